@@ -5,12 +5,14 @@ random draws, the date (then the hash) for recent rows, always ending with the
 row keys, so the result is deterministic and independent of partitioning.
 The first n rows are found without sorting the data: exact order statistics
 (``functions.selection``) give, per group, the order value of row n, and a
-filter keeps everything before it; only rows tied on every level (a handful)
-are ranked by a window.
+single lexicographic filter keeps everything up to it; only rows tied with that
+value on every level (a handful) are ranked by a window, to find the key of
+the last row taken.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,92 +23,143 @@ from ..functions.selection import order_statistics
 MAX_GROUPS = 100_000
 
 
-def _null_safe_join(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
+def _attach(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
+    """Left-join a small per-group table (bounded by MAX_GROUPS rows, broadcast)."""
     if not by:
-        return _attach_literals(df, small)
-    cond = None
+        row = small.first()
+        return df.select("*", *[F.lit(row[c] if row else None).cast(small.schema[c].dataType).alias(c)
+                                for c in small.columns])
     renamed = small
     for c in by:
         renamed = renamed.withColumnRenamed(c, f"_k_{c}")
+    cond = None
     for c in by:
         e = df[c].eqNullSafe(renamed[f"_k_{c}"])
         cond = e if cond is None else cond & e
-    out = df.join(F.broadcast(renamed), cond, "inner")
-    return out.drop(*[f"_k_{c}" for c in by])
-
+    return df.join(F.broadcast(renamed), cond, "left").drop(*[f"_k_{c}" for c in by])
 
-def _attach_literals(df: DataFrame, small: DataFrame) -> DataFrame:
-    row = small.first()
-    return df.select("*", *[F.lit(row[c]).cast(small.schema[c].dataType).alias(c)
-                            for c in small.columns])
 
+def first_n(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[str],
+            by: list[str] | None = None, flag: str = "_first") -> DataFrame:
+    """``df`` with a boolean ``flag``: is the row among the first ``n`` of its group
+    in ascending ``levels`` order, ties broken by ``tie_keys``.
 
-def take_first(df: DataFrame, levels: list[Column], n: int | dict,
-               tie_keys: list[str], by: list[str] | None = None) -> DataFrame:
-    """First ``n`` rows (per group of ``by``) in ascending ``levels`` order, then ``tie_keys``.
-
-    ``n`` is an int (same for every group) or ``{group_tuple: n}``. Each level
-    must be numeric and fit a double exactly. Returns the rows of ``df``.
-    """
+    ``n`` is an int (same for every group) or ``{group_tuple: n}``. The rule is a
+    per-group lexicographic threshold on (levels, tie_keys), found with exact
+    order statistics; rows are never sorted or gathered. Only rows tied with the
+    threshold on every level are ranked, by a window over that handful of rows.
+    Rows with a null level are never selected."""
     by = list(by or [])
     spark = df.sparkSession
-    cols = df.columns
     lv = [f"_o{i}" for i in range(len(levels))]
     work = df.select("*", *[e.cast("double").alias(name) for e, name in zip(levels, lv)])
-    counts = work.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
+    # the fit passes read only (group, levels, keys): persist that narrow projection
+    # once instead of recomputing the input (a join, say) for every pass
+    valid = work.select(*by, *lv, *[k for k in tie_keys if k not in by])
+    for name in lv:
+        valid = valid.where(F.col(name).isNotNull())
+    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = valid.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
     if len(counts) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} sampling groups")
     want = {}
     for r in counts:
         g = tuple(r[c] for c in by)
         k = n.get(g, 0) if isinstance(n, dict) else n
-        want[g] = (min(int(k), r["_n"]), r["_n"])
-    # groups taken whole need no threshold; groups with k == 0 give no rows
+        want[g] = (min(int(k or 0), r["_n"]), r["_n"])
     partial = {g: k for g, (k, total) in want.items() if 0 < k < total}
-    whole = [g for g, (k, total) in want.items() if k > 0 and k >= total]
+    whole = {g for g, (k, total) in want.items() if k > 0 and k >= total}
     thresholds = {g: [] for g in partial}
-    need = dict(partial)       # rows still to take among rows tied so far
+    need = dict(partial)
     for i, name in enumerate(lv):
         if not partial:
             break
-        sub = _restrict(work, by, partial, thresholds, lv[:i], spark)
+        sub = _restrict(valid, by, partial, thresholds, lv[:i], spark)
         vals = order_statistics(sub, [name], {(g, 0): [need[g] - 1] for g in partial}, by=by)
         for g in partial:
             thresholds[g].append(vals[(g, 0, need[g] - 1)])
-        sub2 = _restrict(work, by, partial, thresholds, lv[:i + 1], spark, strict_last=True)
-        below = {tuple(r[c] for c in by): r["_b"]
-                 for r in sub2.groupBy(*by).agg(F.count(F.lit(1)).alias("_b")).collect()}
+        below = {tuple(r[c] for c in by): r["_b"] for r in
+                 _restrict(valid, by, partial, thresholds, lv[:i + 1], spark, strict_last=True)
+                 .groupBy(*by).agg(F.count(F.lit(1)).alias("_b")).collect()}
         for g in partial:
             need[g] -= below.get(g, 0)
-    parts = []
-    if whole:
-        parts.append(_restrict(work, by, {g: 0 for g in whole}, {g: [] for g in whole}, [], spark)
-                     .select(*cols))
+    key_thr, dup_need = {}, {}
     if partial:
-        # rows strictly before the threshold tuple
-        before = _lexi_before(work, by, partial, thresholds, lv, spark)
-        parts.append(before.select(*cols))
-        tied = _restrict(work, by, partial, thresholds, lv, spark)
+        tied = _restrict(valid, by, partial, thresholds, lv, spark)
         w = Window.partitionBy(*by).orderBy(*tie_keys) if by else Window.orderBy(*tie_keys)
         need_df = spark.createDataFrame(
             [tuple(g) + (int(need[g]),) for g in partial],
             T.StructType([work.schema[c] for c in by] + [T.StructField("_need", T.LongType())]))
-        tied = _null_safe_join(tied, need_df, by)
-        parts.append(tied.withColumn("_rn", F.row_number().over(w))
-                     .where(F.col("_rn") <= F.col("_need")).select(*cols))
-    if not parts:
-        return df.limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        ranked = _attach(tied, need_df, by).withColumn("_rn", F.row_number().over(w))
+        picked = ranked.where(F.col("_rn") == F.col("_need")).select(*by, *tie_keys).collect()
+        for r in picked:
+            key_thr[tuple(r[c] for c in by)] = [r[k] for k in tie_keys]
+        # rows equal to the picked row on every key too (exact copies): how many to take
+        kthr = spark.createDataFrame(
+            [tuple(g) + tuple(key_thr[g]) for g in partial],
+            T.StructType([work.schema[c] for c in by]
+                         + [T.StructField(f"_tk{j}", work.schema[k].dataType) for j, k in enumerate(tie_keys)]))
+        before = _attach(tied, kthr, by).where(
+            _lexi_lt(list(tie_keys), [f"_tk{j}" for j in range(len(tie_keys))]))
+        nb = {tuple(r[c] for c in by): r["_b"] for r in before.groupBy(*by).agg(F.count(F.lit(1)).alias("_b")).collect()}
+        for g in partial:
+            dup_need[g] = need[g] - nb.get(g, 0)
+    valid.unpersist()
+    fields = ([work.schema[c] for c in by]
+              + [T.StructField("_all", T.BooleanType()), T.StructField("_m", T.LongType())]
+              + [T.StructField(f"_t{i}", T.DoubleType()) for i in range(len(lv))]
+              + [T.StructField(f"_tk{j}", work.schema[k].dataType) for j, k in enumerate(tie_keys)])
+    rows = [tuple(g) + (True, None) + (None,) * (len(lv) + len(tie_keys)) for g in whole]
+    rows += [tuple(g) + (False, dup_need[g]) + tuple(thresholds[g]) + tuple(key_thr[g]) for g in partial]
+    thr = spark.createDataFrame(rows, T.StructType(fields))
+    joined = _attach(work, thr, by)
+    cols = lv + list(tie_keys)
+    tcols = [f"_t{i}" for i in range(len(lv))] + [f"_tk{j}" for j in range(len(tie_keys))]
+    valid_row = None
+    for name in lv:
+        e = F.col(name).isNotNull()
+        valid_row = e if valid_row is None else valid_row & e
+    full_eq = F.coalesce(~F.col("_all") & valid_row & _all_eq(cols, tcols), F.lit(False))
+    strict = F.coalesce(F.col("_all") | (valid_row & _lexi_lt(cols, tcols)), F.lit(False)) & valid_row
+    # every row but exact copies of the threshold row: decided by the strict rule
+    main = joined.where(~full_eq).select(*df.columns, strict.alias(flag))
+    # exact copies of the threshold row (a handful): take the first _m of them
+    wd = Window.partitionBy(*by).orderBy(*tie_keys) if by else Window.orderBy(*tie_keys)
+    copies = (joined.where(full_eq).withColumn("_rn", F.row_number().over(wd))
+              .select(*df.columns, (F.col("_rn") <= F.col("_m")).alias(flag)))
+    return main.unionByName(copies)
+
+
+def _lexi_lt(cols: list[str], thr: list[str]) -> Column:
+    """(cols...) < (thr...) lexicographically."""
+    cond = None
+    for c, t in reversed(list(zip(cols, thr))):
+        if cond is None:
+            cond = F.col(c) < F.col(t)
+        else:
+            cond = (F.col(c) < F.col(t)) | ((F.col(c) == F.col(t)) & cond)
+    return cond
+
+
+def _all_eq(cols: list[str], thr: list[str]) -> Column:
+    cond = None
+    for c, t in zip(cols, thr):
+        e = F.col(c) == F.col(t)
+        cond = e if cond is None else cond & e
+    return cond
+
+
+def take_first(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[str],
+               by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows (per group) of ``first_n``, as a filter on one scan."""
+    return first_n(df, levels, n, tie_keys, by, "_first").where(F.col("_first")).drop("_first")
 
 
 def _thr_frame(work, by, groups, thresholds, names, spark):
     fields = [work.schema[c] for c in by] + [T.StructField(f"_t{i}", T.DoubleType())
                                               for i in range(len(names))]
     rows = [tuple(g) + tuple(thresholds[g][:len(names)]) for g in groups]
-    return spark.createDataFrame(rows, T.StructType(fields) if fields else T.StructType([]))
+    return spark.createDataFrame(rows, T.StructType(fields))
 
 
 def _restrict(work, by, groups, thresholds, names, spark, strict_last=False):
@@ -114,7 +167,14 @@ def _restrict(work, by, groups, thresholds, names, spark, strict_last=False):
     (strictly below on the last one when ``strict_last``)."""
     if by:
         thr = _thr_frame(work, by, groups, thresholds, names, spark)
-        out = _null_safe_join(work, thr, by)
+        renamed = thr
+        for c in by:
+            renamed = renamed.withColumnRenamed(c, f"_k_{c}")
+        cond = None
+        for c in by:
+            e = work[c].eqNullSafe(renamed[f"_k_{c}"])
+            cond = e if cond is None else cond & e
+        out = work.join(F.broadcast(renamed), cond, "inner").drop(*[f"_k_{c}" for c in by])
     else:
         out = work.select("*", *[F.lit(thresholds[()][i]).alias(f"_t{i}")
                                  for i in range(len(names))])
@@ -127,20 +187,6 @@ def _restrict(work, by, groups, thresholds, names, spark, strict_last=False):
     return out.drop(*[f"_t{i}" for i in range(len(names))])
 
 
-def _lexi_before(work, by, groups, thresholds, names, spark):
-    if by:
-        thr = _thr_frame(work, by, groups, thresholds, names, spark)
-        out = _null_safe_join(work, thr, by)
-    else:
-        out = work.select("*", *[F.lit(thresholds[()][i]).alias(f"_t{i}")
-                                 for i in range(len(names))])
-    cond = None
-    for i in reversed(range(len(names))):
-        lt = F.col(names[i]) < F.col(f"_t{i}")
-        cond = lt if cond is None else lt | ((F.col(names[i]) == F.col(f"_t{i}")) & cond)
-    return out.where(cond).drop(*[f"_t{i}" for i in range(len(names))])
-
-
 def random_sample(df: DataFrame, n: int | None, keys: list[str], seed: int = 42) -> DataFrame:
     """``n`` rows drawn uniformly by a seeded hash of ``keys``; ``n`` null/0 -> all rows."""
     if not n:

@@ -1 +1,250 @@
-"""Registered queries."""
+"""Registered queries: model preparation, models, neighbours, IO round trips (F, A4-A7, G13, G15).
+
+Models train on ``embeddings`` (64-d vectors, 10 classes) or on the activity
+analogue; their outputs are rows-only checks (no SQL oracle can train a
+model), while the deterministic preparation steps have SQL oracles.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from ..functions.hashing import hash_sql
+from ..ml import models as M
+from ..ml import neighbors as NB
+from ..ml import prep as PR
+from ..operators import evaluate as EV
+from ..session import ensure_checkpoint_dir
+from ..sources import tables as IO
+from . import frames as FR
+from .registry import r6, register, rounded
+
+A = FR.ACTIVITY_SQL
+NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"]
+KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def emb(spark, sf):
+    e = IO.read_table(spark, "embeddings", sf)
+    return e.select("vec_id", F.col("label").cast("double").alias("label"),
+                    array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+def emb_split(spark, sf):
+    return PR.stratified_split(emb(spark, sf), "label", ["vec_id"], 0.2, 42)
+
+
+# ---------------------------------------------------------------- F1-F4, F6
+PM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "empty_col", "mostly_null"]
+
+
+@register("prepare_matrix", f"""WITH d AS ({FR.DIRTY_SQL}),
+m AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
+      FROM (SELECT DISTINCT COALESCE(o_orderstatus, 'nan') AS v FROM d) x)
+SELECT d.l_orderkey, d.l_linenumber, CAST(m.code AS DOUBLE) AS label,
+       {", ".join(f"COALESCE(CAST(d.{c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM d)) AS {c}" for c in PM_COLS)}
+FROM d JOIN m ON COALESCE(d.o_orderstatus, 'nan') = m.v""")
+def q_prepare(spark, sf):
+    d = FR.dirty(spark, sf).select(*KEYS, "o_orderstatus", *PM_COLS)
+    return PR.prepare_matrix(d, "o_orderstatus", keys=KEYS, assemble=False).df
+
+
+@register("select_k_best", f"""WITH a AS ({A}),
+p AS (SELECT o_orderstatus, COUNT(*) AS n, {", ".join(f"AVG({c}) AS m{i}, VAR_POP({c}) AS v{i}" for i, c in enumerate(NUM))}
+      FROM a GROUP BY o_orderstatus),
+g AS (SELECT {", ".join(f"SUM(n * m{i}) / SUM(n) AS g{i}" for i in range(len(NUM)))} FROM p),
+fs AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS idx, (SUM(n * (m{i} - g{i}) * (m{i} - g{i})) / (COUNT(*) - 1)) / (SUM(n * v{i}) / (SUM(n) - COUNT(*))) AS f FROM p, g" for i, c in enumerate(NUM))})
+SELECT feature FROM fs ORDER BY f DESC, idx LIMIT 3""")
+def q_select_k(spark, sf):
+    a = FR.activity(spark, sf)
+    chosen = PR.select_k_best(a, "o_orderstatus", NUM, 3)
+    return spark.createDataFrame([(c,) for c in chosen], "feature string") if chosen else None
+
+
+H = hash_sql(KEYS, 42)
+
+
+@register("stratified_split", f"""WITH a AS ({A}),
+c AS (SELECT o_orderstatus, COUNT(*) AS n FROM a GROUP BY o_orderstatus),
+t AS (SELECT CAST(ceil(0.2 * SUM(n)) AS BIGINT) AS nt, SUM(n) AS total FROM c),
+e AS (SELECT o_orderstatus, nt * n / total AS ex, CAST(floor(nt * n / total) AS BIGINT) AS fl, nt FROM c, t),
+r AS (SELECT *, row_number() OVER (ORDER BY ex - fl DESC, o_orderstatus) AS rr,
+             nt - SUM(fl) OVER () AS leftover FROM e),
+q AS (SELECT o_orderstatus, fl + CASE WHEN rr <= leftover THEN 1 ELSE 0 END AS quota FROM r),
+s AS (SELECT a.l_orderkey, a.l_linenumber, a.o_orderstatus,
+             row_number() OVER (PARTITION BY a.o_orderstatus ORDER BY {H}, a.l_orderkey, a.l_linenumber) AS rn
+      FROM a)
+SELECT s.l_orderkey, s.l_linenumber, s.o_orderstatus FROM s JOIN q USING (o_orderstatus) WHERE rn <= quota""")
+def q_split(spark, sf):
+    a = FR.activity(spark, sf).select(*KEYS, "o_orderstatus")
+    train, test = PR.stratified_split(a, "o_orderstatus", KEYS, 0.2, 42)
+    return test
+
+
+@register("random_split")
+def q_random_split(spark, sf):
+    a = FR.activity(spark, sf).select(*KEYS, "o_orderstatus")
+    train, test = PR.random_split(a, (0.8, 0.2), 42)
+    return test
+
+
+@register("standard_scale", f"""WITH a AS ({A}),
+s AS (SELECT {", ".join(f"AVG({c}) AS m{i}, STDDEV_POP({c}) AS s{i}" for i, c in enumerate(NUM))} FROM a)
+SELECT l_orderkey, l_linenumber, {", ".join(r6(f"({c} - m{i}) / s{i}") + f" AS {c}" for i, c in enumerate(NUM))}
+FROM a, s""")
+def q_scale(spark, sf):
+    a = FR.activity(spark, sf).select(*KEYS, *NUM)
+    return rounded(PR.apply_standard_scale(a, PR.fit_standard_scale(a, NUM)))
+
+
+# ------------------------------------------------------------------ F5, F17
+@register("smote_oversample")
+def q_smote(spark, sf):
+    e = IO.read_table(spark, "embeddings", sf)
+    # an imbalanced training side: classes 0-4 keep a third of their rows
+    h = F.expr(hash_sql(["vec_id"], 7))
+    imb = e.where((F.col("label") >= 5) | (h % 3 == 0))
+    out = NB.smote_oversample(imb, "label", "embedding", "vec_id", k=5, seed=42)
+    return out.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                    F.sum(F.col("synthetic").cast("int")).cast("bigint").alias("synthetic"))
+
+
+@register("knn_classify")
+def q_knn(spark, sf):
+    train, test = emb_split(spark, sf)
+    pred = NB.knn_classify(train, test, k=5, id_col="vec_id", vec_col="features", label_col="label")
+    return pred.select("vec_id", "label", "prediction")
+
+
+# ------------------------------------------------------------ F7-F16, F23
+def _fit_predict(spark, sf, name):
+    train, test = emb_split(spark, sf)
+    fitted = M.fit_named(name, train, 64, 10)
+    return M.predict(fitted, test).select("vec_id", "label", "prediction", "probability")
+
+
+for _key, _name in [("train_random_forest", "RandomForest"), ("train_logistic", "LogisticRegression"),
+                    ("train_gbt", "GradientBoosting"), ("train_svm", "SVM"), ("train_mlp", "NeuralNetwork"),
+                    ("train_gaussian_nb", "GaussianNB"), ("train_lda_classifier", "LinearDiscriminantAnalysis"),
+                    ("train_adaboost", "AdaBoost"), ("train_bagging", "Bagging"),
+                    ("train_extra_trees", "ExtraTrees")]:
+    register(_key)(lambda spark, sf, _n=_name: _fit_predict(spark, sf, _n))
+
+
+@register("predict")
+def q_predict(spark, sf):
+    train, test = emb_split(spark, sf)
+    fitted = M.fit_spark("LogisticRegression", M.logistic(max_iter=100), train, 10)
+    return M.predict(fitted, test).select("vec_id", "label", "prediction", "probability")
+
+
+# --------------------------------------------------------------- F18-F22
+@register("train_regressors")
+def q_regressors(spark, sf):
+    a = FR.activity(spark, sf)
+    res = M.train_regressors(a, "l_extendedprice", ["l_quantity", "l_discount", "l_tax", "o_totalprice"])
+    return spark.createDataFrame([(res["mse"], res["r2"])], "mse double, r2 double")
+
+
+@register("kmeans_cluster")
+def q_kmeans(spark, sf):
+    res = M.kmeans_cluster(emb(spark, sf), k=3, n_init=10)
+    return res["labels"].select("vec_id", "cluster")
+
+
+@register("silhouette")
+def q_silhouette(spark, sf):
+    res = M.kmeans_cluster(emb(spark, sf), k=3, n_init=3)
+    return spark.createDataFrame([(M.silhouette(res["labels"]),)], "silhouette_sq_euclidean double")
+
+
+@register("grid_search")
+def q_grid(spark, sf):
+    train, _ = emb_split(spark, sf)
+    res = M.grid_search(train, M.random_forest(num_trees=50), {"numTrees": [50, 100], "maxDepth": [5, 10]})
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(res["best_params"].items())],
+                                 "param string, value double")
+
+
+RP = M.random_projection_matrix(64, 2, 42)
+
+
+@register("random_projection", "SELECT vec_id, " + ", ".join(
+    r6("(" + " + ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) * {float(RP[j][i])!r}" for i in range(64)) + ")")
+    + f" AS rp{j}" for j in range(2)) + " FROM embeddings")
+def q_rp(spark, sf):
+    e = IO.read_table(spark, "embeddings", sf)
+    return rounded(M.random_projection(e, "embedding", 64, 2, 42).select("vec_id", "rp0", "rp1"))
+
+
+# ------------------------------------------------------------- F24, G13
+@register("train_all_models")
+def q_all_models(spark, sf):
+    train, test = emb_split(spark, sf)
+    res = M.train_all_models(train, test, 64, 10)
+    return EV.model_comparison(spark, res).drop("Train_Time")
+
+
+@register("feature_importance")
+def q_importance(spark, sf):
+    feats = ["l_quantity", "l_discount", "l_tax", "o_totalprice", "l_extendedprice"]
+    mat = PR.prepare_matrix(FR.activity(spark, sf).select(*KEYS, "o_orderstatus", *feats), "o_orderstatus",
+                            keys=KEYS)
+    fitted = M.fit_spark("RandomForest", M.random_forest(num_trees=20), mat.df, 3)
+    rows = M.feature_importance(fitted, mat.features)
+    return spark.createDataFrame(rows, "feature string, importance double, rank int")
+
+
+# ------------------------------------------------------- A4-A7, G15 round trips
+def _scratch(spark, name):
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(base.replace("file:", ""), f"{name}-{uuid.uuid4().hex}")
+
+
+@register("read_activity_csv", "SELECT * FROM lineitem")
+def q_csv(spark, sf):
+    li = IO.read_table(spark, "lineitem", sf)
+    path = _scratch(spark, "csv")
+    IO.write_report_csv(li, path)
+    return IO.read_activity_csv(spark, os.path.dirname(path), os.path.basename(path), schema=li.schema)
+
+
+@register("write_table", "SELECT * FROM orders")
+def q_write_table(spark, sf):
+    o = IO.read_table(spark, "orders", sf)
+    path = _scratch(spark, "tbl")
+    IO.write_table(o, path, "replace")
+    return spark.read.parquet(path)
+
+
+@register("save_predictions", f"""SELECT CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS y_test,
+       CAST(l_linenumber % 2 AS INTEGER) AS y_pred FROM ({A}) a""")
+def q_save_predictions(spark, sf):
+    a = FR.activity(spark, sf).select((F.col("o_orderstatus") == "F").cast("int").alias("y"),
+                                      (F.col("l_linenumber") % 2).cast("int").alias("p"))
+    path = _scratch(spark, "pred")
+    EV.save_predictions(a, "y", "p", path)
+    return spark.read.parquet(path)
+
+
+@register("save_model")
+def q_save_model(spark, sf):
+    from pyspark.ml import Pipeline, PipelineModel
+    train, test = emb_split(spark, sf)
+    model = Pipeline(stages=[M.logistic(max_iter=50)]).fit(train)
+    path = _scratch(spark, "model")
+    IO.save_model(model, path)
+    loaded = IO.load_model(path)
+    return loaded.transform(test).select("vec_id", "label", "prediction")
+
+
+@register("list_tables")
+def q_list_tables(spark, sf):
+    for t in ("lineitem", "orders", "events"):
+        IO.read_table(spark, t, sf).createOrReplaceTempView(t)
+    names = IO.list_tables(spark)
+    return spark.createDataFrame([(n,) for n in names], "table_name string")
