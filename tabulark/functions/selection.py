@@ -48,6 +48,7 @@ class _Target:
     count: int | None = None   # rows inside [lo, hi]
     value: float | None = None
     done: bool = False
+    value_below: int | None = None  # rows strictly below ``value``
 
 
 def _value_expr(value_cols: list[str]) -> F.Column:
@@ -144,7 +145,8 @@ def _refine_pass(df, by, value_cols, targets):
             n, mn, mx = chosen
             t.below, t.count, t.lo, t.hi = cum, n, mn, mx
             if mn == mx:
-                t.value, t.done = mn, True
+                # a bucket of one value: everything before it is strictly smaller
+                t.value, t.done, t.value_below = mn, True, cum
 
 
 def _final_pass(df, by, value_cols, targets):
@@ -154,34 +156,45 @@ def _final_pass(df, by, value_cols, targets):
     want = sorted({(pid, t.rank - t.below + 1) for pid, ts in members.items() for t in ts})
     spark = df.sparkSession
     want_df = F.broadcast(spark.createDataFrame(want, "_tid int, _rn int"))
-    picked = (rows.select("_tid", "_v", F.row_number().over(w).alias("_rn"))
-              .join(want_df, ["_tid", "_rn"], "inner")
-              .collect())
-    got = {(r["_tid"], r["_rn"]): r["_v"] for r in picked}
+    ranked = rows.select("_tid", "_v", F.row_number().over(w).alias("_rn"))
+    # first position of each value inside the bracket: rows strictly below it
+    first = ranked.withColumn("_first", F.min("_rn").over(Window.partitionBy("_tid", "_v")))
+    picked = first.join(want_df, ["_tid", "_rn"], "inner").collect()
+    got = {(r["_tid"], r["_rn"]): (r["_v"], r["_first"]) for r in picked}
     for pid, ts in members.items():
         for t in ts:
             key = (pid, t.rank - t.below + 1)
             if key not in got:
                 raise RuntimeError(f"selection lost rank {t.rank} of {t.group}/{t.col}")
-            t.value, t.done = got[key], True
+            v, first_rn = got[key]
+            t.value, t.done = v, True
+            t.value_below = t.below + first_rn - 1
 
 
 def order_statistics(df: DataFrame, value_cols: list[str], wanted: dict,
-                     by: list[str] | None = None, brackets: dict | None = None) -> dict:
+                     by: list[str] | None = None, brackets: dict | None = None,
+                     sizes: dict | None = None, with_below: bool = False) -> dict:
     """Exact values at 0-based ranks.
 
     ``wanted`` maps ``(group_tuple, col_index)`` to an iterable of ranks among the
     non-null values of ``value_cols[col_index]`` within the group; ``brackets``
-    optionally maps the same keys to a ``(lo, hi)`` guess (checked, never trusted).
-    Returns ``{(group, col_index, rank): value}``.
+    optionally maps the same keys to a ``(lo, hi)`` guess (checked, never trusted);
+    ``sizes`` optionally gives the exact non-null count per key, which lets small
+    groups go straight to the ranking pass. Returns ``{(group, col_index, rank): value}``,
+    or ``(value, rows strictly below value)`` pairs with ``with_below``.
     """
     by = list(by or [])
     brackets = brackets or {}
+    sizes = sizes or {}
     targets: dict[int, _Target] = {}
     for (group, ci), ranks in wanted.items():
         lo, hi = brackets.get((group, ci), (None, None))
+        n = sizes.get((group, ci))
         for r in sorted(set(int(x) for x in ranks)):
-            targets[len(targets)] = _Target(tuple(group), ci, r, lo, hi)
+            t = _Target(tuple(group), ci, r, lo, hi)
+            if n is not None and n <= FINAL_ROWS:
+                t.lo, t.hi, t.below, t.count = None, None, 0, n
+            targets[len(targets)] = t
     for _ in range(MAX_PASSES):
         open_t = {tid: t for tid, t in targets.items() if not t.done}
         if not open_t:
@@ -195,6 +208,8 @@ def order_statistics(df: DataFrame, value_cols: list[str], wanted: dict,
             _refine_pass(df, by, value_cols, rest)
     else:
         raise RuntimeError("order statistics did not converge")
+    if with_below:
+        return {(t.group, t.col, t.rank): (t.value, t.value_below) for t in targets.values()}
     return {(t.group, t.col, t.rank): t.value for t in targets.values()}
 
 
@@ -251,7 +266,8 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float],
         return out
     # target (column i, probability j) reads value column i * len(probs) + j
     value_cols = [c for c in cols for _ in probs]
-    vals = order_statistics(df, value_cols, wanted, by=by, brackets=brackets)
+    sizes = {key: n for (_g, _c, key, _j, _p, _k, n) in plan}
+    vals = order_statistics(df, value_cols, wanted, by=by, brackets=brackets, sizes=sizes)
     for group, c, key, j, pos, k, n in plan:
         frac = pos - k
         a = vals[(group, key[1], k)]

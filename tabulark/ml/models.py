@@ -21,7 +21,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
@@ -73,7 +73,8 @@ def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
         prob = _prob_array() if has_prob else F.lit(None).cast("array<double>")
         return out.select(*cols, F.col("prediction").cast("double").alias("prediction"), prob.alias("probability"))
     if fitted.kind == "ovr":
-        out = fitted.model.transform(df)
+        src = rff_features(df, fitted.extra["rff"]) if "rff" in fitted.extra else df
+        out = fitted.model.transform(src)
         margins = vector_to_array(F.col("rawPrediction"), "float64")
         scale = fitted.extra.get("margin_scale", 1.0)
         p = F.transform(margins, lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-F.lit(scale) * m)))
@@ -140,7 +141,7 @@ def fit_gbt(train: DataFrame, num_classes: int, seed: int = SEED, max_iter: int
     gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=0.1, seed=seed)
     if num_classes <= 2:
         return Fitted("GradientBoosting", "spark", gbt.fit(train), num_classes)
-    ovr = OneVsRest(classifier=gbt, parallelism=4).fit(train)
+    ovr = OneVsRest(classifier=gbt, parallelism=min(8, num_classes)).fit(train)
     # GBT margins F give p = 1 / (1 + exp(-2F)) for each binary model
     return Fitted("GradientBoosting", "ovr", ovr, num_classes, extra={"margin_scale": 2.0})
 
@@ -148,36 +149,43 @@ def fit_gbt(train: DataFrame, num_classes: int, seed: int = SEED, max_iter: int
 # ----------------------------------------------------------------------------
 # F10 RBF SVM: random Fourier features + one-vs-rest linear SVM
 # ----------------------------------------------------------------------------
-def rff_transformer(num_features: int, n_components: int = 100, gamma: float | None = None,
-                    seed: int = SEED, input_col: str = "features", output_col: str = "rff") -> SQLTransformer:
-    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi): an unbiased
-    approximation of the RBF kernel exp(-gamma |x - y|^2). ``gamma`` defaults to
-    1 / num_features (scaled inputs, as sklearn's 'scale' on unit-variance data).
-    A ``SQLTransformer`` so it is saved and loaded with the pipeline."""
+def rff_params(num_features: int, n_components: int = 100, gamma: float | None = None,
+               seed: int = SEED) -> dict:
+    """Random Fourier features z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma),
+    b ~ U(0, 2 pi): an unbiased approximation of the RBF kernel exp(-gamma |x - y|^2).
+    ``gamma`` defaults to 1 / num_features (sklearn's 'scale' on unit-variance data)."""
     gamma = gamma or 1.0 / num_features
     rng = np.random.RandomState(seed)
-    w = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, num_features))
-    b = rng.uniform(0.0, 2 * math.pi, size=n_components)
-    rows = ", ".join("array(" + ", ".join(repr(float(v)) for v in r) + ")" for r in w)
-    offs = ", ".join(repr(float(v)) for v in b)
-    scale = repr(math.sqrt(2.0 / n_components))
-    stmt = (f"SELECT *, array_to_vector(transform(array({rows}), (wr, j) -> "
-            f"{scale} * cos(aggregate(zip_with(wr, vector_to_array({input_col}), (a, c) -> a * c), "
-            f"CAST(0.0 AS DOUBLE), (s, v) -> s + v) + element_at(array({offs}), j + 1)))) AS {output_col} "
-            f"FROM __THIS__")
-    return SQLTransformer(statement=stmt)
+    return {"w": rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, num_features)),
+            "b": rng.uniform(0.0, 2 * math.pi, size=n_components), "d": num_features}
+
+
+def rff_features(df: DataFrame, params: dict, input_col: str = "features", output_col: str = "rff") -> DataFrame:
+    """Apply the feature map as native expressions (one flattened literal matrix)."""
+    w, b, d = params["w"], params["b"], params["d"]
+    n_comp = len(b)
+    flat = F.array(*[F.lit(float(v)) for v in w.reshape(-1)])
+    offs = F.array(*[F.lit(float(v)) for v in b])
+    x = vector_to_array(F.col(input_col), "float64")
+    scale = math.sqrt(2.0 / n_comp)
+    z = F.transform(F.sequence(F.lit(0), F.lit(n_comp - 1)), lambda j: F.lit(scale) * F.cos(
+        F.aggregate(F.sequence(F.lit(0), F.lit(d - 1)), F.lit(0.0),
+                    lambda s, i: s + F.element_at(flat, j * d + i + 1) * F.element_at(x, i + 1))
+        + F.element_at(offs, j + 1)))
+    return df.withColumn(output_col, array_to_vector(z))
 
 
 def fit_svm(train: DataFrame, num_features: int, num_classes: int, n_components: int = 100,
             reg: float = 0.01, seed: int = SEED) -> Fitted:
-    rff = rff_transformer(num_features, n_components, seed=seed)
+    params = rff_params(num_features, n_components, seed=seed)
+    data = rff_features(train, params).persist()
     svc = LinearSVC(featuresCol="rff", regParam=reg, maxIter=100)
     if num_classes <= 2:
-        model = Pipeline(stages=[rff, svc]).fit(train)
-        return Fitted("SVM", "ovr", model, num_classes, extra={"margin_scale": 1.0, "binary_raw": True})
-    ovr = OneVsRest(classifier=svc, featuresCol="rff", parallelism=4)
-    model = Pipeline(stages=[rff, ovr]).fit(train)
-    return Fitted("SVM", "ovr", model, num_classes, extra={"margin_scale": 1.0})
+        model = svc.fit(data)
+    else:
+        model = OneVsRest(classifier=svc, featuresCol="rff", parallelism=min(8, num_classes)).fit(data)
+    data.unpersist()
+    return Fitted("SVM", "ovr", model, num_classes, extra={"margin_scale": 1.0, "rff": params})
 
 
 # ----------------------------------------------------------------------------
@@ -263,6 +271,12 @@ def fit_adaboost(train: DataFrame, num_classes: int, n_estimators: int = 50, lea
     return Fitted("AdaBoost", "adaboost", None, num_classes, extra={"stumps": stumps, "alphas": alphas, "k": k})
 
 
+def _vote(pred_col: str, alpha: float):
+    def f(c):
+        return F.when(F.col(pred_col) == c.cast("double"), F.lit(alpha)).otherwise(F.lit(0.0))
+    return f
+
+
 def _ada_predict(fitted: Fitted, df: DataFrame) -> DataFrame:
     k = fitted.extra["k"]
     out = df
@@ -271,9 +285,7 @@ def _ada_predict(fitted: Fitted, df: DataFrame) -> DataFrame:
         stump = stump.copy({stump.predictionCol: f"_p{i}", stump.rawPredictionCol: f"_r{i}",
                             stump.probabilityCol: f"_q{i}"})
         out = stump.transform(out).drop(f"_r{i}", f"_q{i}")
-        v = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                        lambda c, i=i, alpha=alpha: F.when(F.col(f"_p{i}") == c.cast("double"), F.lit(alpha))
-                        .otherwise(F.lit(0.0)))
+        v = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), _vote(f"_p{i}", alpha))
         votes = v if votes is None else F.zip_with(votes, v, lambda a, b: a + b)
     out = out.withColumn("_v", votes)
     # SAMME probabilities: softmax of votes / (k - 1)

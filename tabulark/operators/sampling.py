@@ -71,39 +71,36 @@ def first_n(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[s
     whole = {g for g, (k, total) in want.items() if k > 0 and k >= total}
     thresholds = {g: [] for g in partial}
     need = dict(partial)
+    sizes = {(g, 0): total for g, (k, total) in want.items() if g in partial}
     for i, name in enumerate(lv):
         if not partial:
             break
         sub = _restrict(valid, by, partial, thresholds, lv[:i], spark)
-        vals = order_statistics(sub, [name], {(g, 0): [need[g] - 1] for g in partial}, by=by)
+        vals = order_statistics(sub, [name], {(g, 0): [need[g] - 1] for g in partial}, by=by,
+                                sizes=sizes if i == 0 else None, with_below=True)
         for g in partial:
-            thresholds[g].append(vals[(g, 0, need[g] - 1)])
-        below = {tuple(r[c] for c in by): r["_b"] for r in
-                 _restrict(valid, by, partial, thresholds, lv[:i + 1], spark, strict_last=True)
-                 .groupBy(*by).agg(F.count(F.lit(1)).alias("_b")).collect()}
-        for g in partial:
-            need[g] -= below.get(g, 0)
+            value, below = vals[(g, 0, need[g] - 1)]
+            thresholds[g].append(value)
+            need[g] -= below
     key_thr, dup_need = {}, {}
     if partial:
+        # rows tied with the thresholds on every level: rank them by key and read
+        # off the key of the last row taken and how many of its exact copies to take
         tied = _restrict(valid, by, partial, thresholds, lv, spark)
         w = Window.partitionBy(*by).orderBy(*tie_keys) if by else Window.orderBy(*tie_keys)
         need_df = spark.createDataFrame(
             [tuple(g) + (int(need[g]),) for g in partial],
             T.StructType([work.schema[c] for c in by] + [T.StructField("_need", T.LongType())]))
         ranked = _attach(tied, need_df, by).withColumn("_rn", F.row_number().over(w))
-        picked = ranked.where(F.col("_rn") == F.col("_need")).select(*by, *tie_keys).collect()
-        for r in picked:
-            key_thr[tuple(r[c] for c in by)] = [r[k] for k in tie_keys]
-        # rows equal to the picked row on every key too (exact copies): how many to take
-        kthr = spark.createDataFrame(
-            [tuple(g) + tuple(key_thr[g]) for g in partial],
-            T.StructType([work.schema[c] for c in by]
-                         + [T.StructField(f"_tk{j}", work.schema[k].dataType) for j, k in enumerate(tie_keys)]))
-        before = _attach(tied, kthr, by).where(
-            _lexi_lt(list(tie_keys), [f"_tk{j}" for j in range(len(tie_keys))]))
-        nb = {tuple(r[c] for c in by): r["_b"] for r in before.groupBy(*by).agg(F.count(F.lit(1)).alias("_b")).collect()}
+        head = ranked.where(F.col("_rn") <= F.col("_need")).select(*by, *tie_keys, "_rn", "_need").collect()
+        per = {}
+        for r in head:
+            per.setdefault(tuple(r[c] for c in by), []).append(r)
         for g in partial:
-            dup_need[g] = need[g] - nb.get(g, 0)
+            rows_g = sorted(per[g], key=lambda r: r["_rn"])
+            last = [rows_g[-1][k] for k in tie_keys]
+            key_thr[g] = last
+            dup_need[g] = sum(1 for r in rows_g if [r[k] for k in tie_keys] == last)
     valid.unpersist()
     fields = ([work.schema[c] for c in by]
               + [T.StructField("_all", T.BooleanType()), T.StructField("_m", T.LongType())]
