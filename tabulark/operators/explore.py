@@ -160,14 +160,33 @@ def moments(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """E5: Pearson r for every pair i < j (pairwise deletion of nulls), long form
-    (var1, var2, correlation, n). One aggregation of d(d-1)/2 correlations."""
+    (var1, var2, correlation, n); a constant column gives null.
+
+    Columns without nulls go through Spark ML's ``Correlation`` (one pass building
+    the d x d Gram matrix); with nulls, one aggregation of pairwise statistics."""
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     spark = df.sparkSession
+    schema = "var1 string, var2 string, correlation double, n bigint"
     if not pairs:
-        return spark.createDataFrame([], "var1 string, var2 string, correlation double, n bigint")
+        return spark.createDataFrame([], schema)
+    stats = df.agg(F.count(F.lit(1)).alias("_rows"),
+                   *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in cols]).first()
+    if not any(stats[c] for c in cols) and stats["_rows"] > 1:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+        m = Correlation.corr(vec, "_v").first()[0].toArray()
+        n = stats["_rows"]
+        rows = []
+        for i, a in enumerate(cols):
+            for j in range(i + 1, len(cols)):
+                r = float(m[i][j])
+                rows.append((a, cols[j], None if r != r else r, n))
+        return spark.createDataFrame(rows, schema)
     one = df.agg(*[a for k, (x, y) in enumerate(pairs) for a in (
-        F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r{k}"),
+        ST.pearson(F.col(x), F.col(y)).alias(f"r{k}"),
         F.count_if(F.col(x).isNotNull() & F.col(y).isNotNull()).alias(f"n{k}"))])
     rows = F.array(*[F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"),
                               F.col(f"r{k}").alias("correlation"), F.col(f"n{k}").cast("bigint").alias("n"))
@@ -202,10 +221,9 @@ def correlated_pairs_trend(df: DataFrame, cols: list[str], threshold: float = 0.
     schema = "var1 string, var2 string, correlation double, slope double, intercept double"
     if not chosen:
         return spark.createDataFrame([], schema)
-    both = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull()
     row = df.agg(*[a for k, r in enumerate(chosen) for a in (
-        F.regr_slope(F.when(both(r.var1, r.var2), F.col(r.var2).cast("double")), F.col(r.var1).cast("double")).alias(f"s{k}"),
-        F.regr_intercept(F.when(both(r.var1, r.var2), F.col(r.var2).cast("double")), F.col(r.var1).cast("double")).alias(f"i{k}"))]).first()
+        ST.ls_slope(F.col(r.var2), F.col(r.var1)).alias(f"s{k}"),
+        ST.ls_intercept(F.col(r.var2), F.col(r.var1)).alias(f"i{k}"))]).first()
     return spark.createDataFrame(
         [(r.var1, r.var2, r.correlation, row[f"s{k}"], row[f"i{k}"]) for k, r in enumerate(chosen)], schema)
 
@@ -368,8 +386,7 @@ def anova_f_scores(df: DataFrame, label: str, features: list[str], k: int = 15,
 def pearson_test(df: DataFrame, x: str, y: str) -> dict:
     """R, n, t, two-sided p, significant (< 0.05), effect size |r|, strength."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    row = df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r"),
-                 F.count_if(both).alias("n")).first()
+    row = df.agg(ST.pearson(F.col(x), F.col(y)).alias("r"), F.count_if(both).alias("n")).first()
     r, n = row["r"], row["n"]
     t = r * math.sqrt((n - 2) / (1 - r * r)) if r is not None and n > 2 and abs(r) < 1 else None
     p = ST.pearson_p_value(r, n)
@@ -381,7 +398,7 @@ def pearson_test(df: DataFrame, x: str, y: str) -> dict:
 def pearson_frame(df: DataFrame, x: str, y: str) -> DataFrame:
     """E16 as a lazy one-row frame (correlation, n, t_statistic, effect_size, interpretation)."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    one = df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("correlation"),
+    one = df.agg(ST.pearson(F.col(x), F.col(y)).alias("correlation"),
                  F.count_if(both).cast("bigint").alias("n"))
     r = F.col("correlation")
     return one.select("correlation", "n",

@@ -1,0 +1 @@
+"""Fitted cleaning steps applied to streaming frames (the reference has no streaming)."""
