@@ -338,3 +338,11 @@ def q_cleaning_report(spark, sf):
 @register("narrow_types")
 def q_narrow_types(spark, sf):
     return C.narrow_types(IO.read_table(spark, "lineitem", sf))
+
+
+@register("select_outlier_columns", """SELECT column_name FROM information_schema.columns
+WHERE table_name = 'lineitem' AND (column_name IN ('l_quantity', 'l_tax') OR column_name LIKE 'l_ext%')""")
+def q_outlier_columns(spark, sf):
+    cols = IO.read_table(spark, "lineitem", sf).columns
+    chosen = C.outlier_columns(cols, names=("l_quantity", "l_tax"), prefixes=("l_ext",))
+    return spark.createDataFrame([(c,) for c in chosen if c in cols], "column_name string")

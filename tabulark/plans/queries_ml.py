@@ -255,3 +255,30 @@ def q_list_tables(spark, sf):
         IO.read_table(spark, t, sf).createOrReplaceTempView(t)
     names = IO.list_tables(spark)
     return spark.createDataFrame([(n,) for n in names], "table_name string")
+
+
+@register("read_assessment_csv", "SELECT * FROM orders")
+def q_csv_assess(spark, sf):
+    o = IO.read_table(spark, "orders", sf)
+    path = _scratch(spark, "csv")
+    IO.write_report_csv(o, path)
+    return IO.read_assessment_csv(spark, os.path.dirname(path), os.path.basename(path), schema=o.schema)
+
+
+@register("write_report_csv", """SELECT o_orderstatus, CAST(COUNT(*) AS BIGINT) AS n
+FROM orders GROUP BY o_orderstatus""")
+def q_report_csv(spark, sf):
+    from ..operators.sampling import class_counts
+    rep = class_counts(IO.read_table(spark, "orders", sf), "o_orderstatus")
+    path = _scratch(spark, "report")
+    IO.write_report_csv(rep, path)
+    return IO.read_csv_latin1(spark, path, rep.schema)
+
+
+@register("load_model")
+def q_load_model(spark, sf):
+    from pyspark.ml import Pipeline
+    train, test = emb_split(spark, sf)
+    path = _scratch(spark, "model")
+    IO.save_model(Pipeline(stages=[M.gaussian_nb()]).fit(train), path)
+    return IO.load_model(path).transform(test).select("vec_id", "label", "prediction")

@@ -270,3 +270,10 @@ SELECT '{c}' AS variable, CAST(COUNT(*) AS BIGINT) AS total_values,
 FROM s, b) o{i}""" for i, c in enumerate(OUT_COLS)))
 def q_outlier_report(spark, sf):
     return rounded(X.outlier_report(read_table(spark, "events", sf), OUT_COLS))
+
+
+@register("eda_suite")
+def q_eda_suite(spark, sf):
+    out = X.eda_suite(_act(spark, sf), quick=True, keys=["l_orderkey", "l_linenumber"],
+                      label="o_orderstatus", sample_size=10_000)
+    return out["describe"]
