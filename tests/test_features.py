@@ -62,3 +62,14 @@ def test_feature_operators_stay_in_the_jvm(spark):
     res = FE.create_features(df.union(df), rows=2000)
     plan = res.df._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_group_mean_falls_back_to_shuffle_join_beyond_the_bound(spark, monkeypatch):
+    import tabulark.session as SS
+    from tabulark.session import bounded_lookup
+    df = spark.range(500).select((F.col("id") % 50).alias("m"), F.col("id").cast("double").alias("c"))
+    means = df.groupBy("m").agg(F.avg("c").alias("a"))
+    small, is_b = bounded_lookup(means, max_rows=100)
+    big, is_b2 = bounded_lookup(means, max_rows=10)
+    assert is_b and not is_b2
+    assert sorted(small.collect()) == sorted(big.collect())
