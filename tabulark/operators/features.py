@@ -31,7 +31,7 @@ ENCODE_COLUMNS_REQ2 = ["final_result", "age_band", "imd_band", "disability", "ge
 LEVEL_LABELS = ["Low", "Medium", "High"]
 NULL_TEXT = "nan"
 MAX_LITERAL_CODES = 5_000
-MAX_CODES = 1_000_000
+MAX_CODES = 100_000
 GROUP_FEATURE_MIN_ROWS = 1000
 AGE_MAPPINGS = [
     {"0-35": 1, "35-55": 2, "55<=": 3},
@@ -121,6 +121,7 @@ def outcome_flags(df: DataFrame, label: str = "final_result", flags: dict = OUTC
 class Encoders:
     classes: dict = field(default_factory=dict)     # column -> sorted labels
     null_text: str = NULL_TEXT
+    tables: dict = field(default_factory=dict)      # column -> (value, code) frame, large columns
 
 
 def _as_text(c: str, null_text: str) -> Column:
@@ -131,33 +132,53 @@ def fit_label_encoders(df: DataFrame, cols: list[str], null_text: str = NULL_TEX
                        max_codes: int = MAX_CODES) -> Encoders:
     """D9 fit: sorted distinct text values per column, one job for all columns.
 
-    The distinct (column, value) pairs are found with a partial aggregation; only
-    they reach the driver, and at most ``max_codes`` per column are accepted."""
+    The distinct (column, value) pairs are found with a partial aggregation. A
+    column with at most ``max_codes`` values is collected to the driver; a larger
+    one keeps its code table distributed (ranked by a range-partitioned running
+    count, checkpointed) and is joined back by shuffle."""
     cols = [c for c in cols if c in df.columns]
     enc = Encoders(null_text=null_text)
     if not cols:
         return enc
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ci"), _as_text(c, null_text).alias("v")) for i, c in enumerate(cols)
-    ])).alias("p")).select("p.ci", "p.v").distinct()
-    rows = pairs.limit(max_codes * len(cols) + 1).collect()
-    if len(rows) > max_codes * len(cols):
-        raise ValueError("too many distinct values to label-encode")
-    per = {i: [] for i in range(len(cols))}
-    for r in rows:
-        per[r["ci"]].append(r["v"])
-    for i, c in enumerate(cols):
+    ])).alias("p")).select("p.ci", "p.v").distinct().persist()
+    sizes = {r["ci"]: r["n"] for r in pairs.groupBy("ci").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [i for i in range(len(cols)) if sizes.get(i, 0) <= max_codes]
+    large = [i for i in range(len(cols)) if sizes.get(i, 0) > max_codes]
+    per = {i: [] for i in small}
+    if small:
+        for r in pairs.where(F.col("ci").isin(*small)).collect():
+            per[r["ci"]].append(r["v"])
+    for i in small:
         # Spark compares strings by UTF-8 bytes, which is code point order, like Python
-        enc.classes[c] = sorted(per[i])
+        enc.classes[cols[i]] = sorted(per[i])
+    for i in large:
+        # beyond the bound the code table stays distributed: ranks come from a
+        # range-partitioned running count, and the table is checkpointed
+        from ..functions.cumulative import running_totals
+        from ..session import materialize
+        vals = pairs.where(F.col("ci") == i).select("v", F.lit(1).cast("bigint").alias("one"))
+        codes = running_totals(vals, "v", ["one"]).select(
+            F.col("v").alias("__val"), (F.col("cum_one") - 1).cast("int").alias("__code"))
+        enc.tables[cols[i]] = materialize(codes)
+    pairs.unpersist()
     return enc
 
 
 def apply_label_encoders(df: DataFrame, enc: Encoders) -> DataFrame:
     """D9 apply: replace each encoded column with its 0-based code.
 
-    Small code tables become a literal map lookup; larger ones a broadcast join
-    of the (value, code) table, whose size was bounded at fit time."""
+    Small code tables become a literal map lookup, medium ones a broadcast join of
+    the (value, code) table (size bounded at fit time), distributed ones a shuffle join."""
     out = df
+    for c, table in enc.tables.items():
+        if c in out.columns:
+            t = table.withColumnRenamed("__val", f"__val_{c}").withColumnRenamed("__code", f"__code_{c}")
+            out = (out.withColumn(f"__txt_{c}", _as_text(c, enc.null_text))
+                   .join(t, F.col(f"__txt_{c}") == F.col(f"__val_{c}"), "left")
+                   .withColumn(c, F.col(f"__code_{c}"))
+                   .drop(f"__txt_{c}", f"__val_{c}", f"__code_{c}"))
     for c, labels in enc.classes.items():
         if c not in out.columns:
             continue
@@ -183,7 +204,11 @@ def label_encode(df: DataFrame, cols: list[str], null_text: str = NULL_TEXT) ->
 def encoders_frame(spark, enc: Encoders) -> DataFrame:
     """(column_name, label, code) for every fitted encoder."""
     rows = [(c, v, i) for c, labels in enc.classes.items() for i, v in enumerate(labels)]
-    return spark.createDataFrame(rows, "column_name string, label string, code int")
+    out = spark.createDataFrame(rows, "column_name string, label string, code int")
+    for c, table in enc.tables.items():
+        out = out.unionByName(table.select(F.lit(c).alias("column_name"), F.col("__val").alias("label"),
+                                           F.col("__code").alias("code")))
+    return out
 
 
 # ---------------------------------------------------------------- D10-D14

@@ -73,3 +73,13 @@ def test_group_mean_falls_back_to_shuffle_join_beyond_the_bound(spark, monkeypat
     big, is_b2 = bounded_lookup(means, max_rows=10)
     assert is_b and not is_b2
     assert sorted(small.collect()) == sorted(big.collect())
+
+
+def test_label_encoding_beyond_the_literal_bound(spark):
+    df = spark.createDataFrame([(f"v{i:03d}",) for i in range(40)] + [(None,)], "x string")
+    small = FE.fit_label_encoders(df, ["x"])
+    large = FE.fit_label_encoders(df, ["x"], max_codes=5)
+    assert "x" in small.classes and "x" in large.tables
+    a = sorted(FE.apply_label_encoders(df, small).collect())
+    b = sorted(FE.apply_label_encoders(df, large).collect())
+    assert a == b
