@@ -296,13 +296,15 @@ def _ada_predict(fitted: Fitted, df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 # F18 regressors, F19/F20 clustering, F21 grid search, F22 random projection
 # ----------------------------------------------------------------------------
-def train_regressors(df: DataFrame, label: str, features: list[str], seed: int = SEED,
-                     kind: str = "rf") -> dict:
-    """80/20 random split, random-forest (or GBT) regression, MSE/R^2 and predictions."""
+def train_regressors(df: DataFrame, label: str, features: list[str], keys: list[str],
+                     seed: int = SEED, kind: str = "rf") -> dict:
+    """exact 80/20 split by a seeded hash of ``keys`` (F4), random-forest (or
+    GBT) regression, MSE/R^2 and predictions."""
     from ..operators.evaluate import regression_metrics
+    from .prep import random_split
     data = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip").transform(
-        df.select(F.col(label).cast("double").alias("label"), *features))
-    train, test = data.randomSplit([0.8, 0.2], seed)
+        df.select(*keys, F.col(label).cast("double").alias("label"), *features))
+    train, test = (materialize(p) for p in random_split(data, keys, 0.2, seed))
     est = RandomForestRegressor(numTrees=100, seed=seed) if kind == "rf" else GBTRegressor(seed=seed)
     model = est.fit(train)
     pred = model.transform(test).select(F.col("label").alias("y_test"), F.col("prediction").alias("y_pred"))

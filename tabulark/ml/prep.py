@@ -90,9 +90,15 @@ def stratified_split(df: DataFrame, label: str, keys: list[str], test_size: floa
     return (flagged.where(~F.col("_test")).drop("_test"), flagged.where(F.col("_test")).drop("_test"))
 
 
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[DataFrame]:
-    """unstratified split (approximate sizes, Spark's ``randomSplit``)."""
-    return df.randomSplit(list(weights), seed)
+def random_split(df: DataFrame, keys: list[str], test_size: float = 0.2,
+                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """exact unstratified split. The test set is the first ceil(test_size * N)
+    rows in the order of a seeded hash of ``keys`` (ties by the keys), so its size
+    is exact and it does not depend on partitioning. Returns (train, test)."""
+    total = df.count()
+    n_test = int(math.ceil(test_size * total))
+    flagged = first_n(df, [row_hash(keys, seed)], n_test, keys, flag="_test")
+    return (flagged.where(~F.col("_test")).drop("_test"), flagged.where(F.col("_test")).drop("_test"))
 
 
 @dataclass

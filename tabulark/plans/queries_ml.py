@@ -87,10 +87,14 @@ def q_split(spark, sf):
     return test
 
 
-@register("random_split")
+@register("random_split", f"""WITH a AS ({A}),
+s AS (SELECT l_orderkey, l_linenumber, o_orderstatus,
+             row_number() OVER (ORDER BY {H}, l_orderkey, l_linenumber) AS rn FROM a)
+SELECT l_orderkey, l_linenumber, o_orderstatus FROM s
+WHERE rn <= (SELECT CAST(ceil(0.2 * COUNT(*)) AS BIGINT) FROM a)""")
 def q_random_split(spark, sf):
     a = FR.activity(spark, sf).select(*KEYS, "o_orderstatus")
-    train, test = PR.random_split(a, (0.8, 0.2), 42)
+    train, test = PR.random_split(a, KEYS, 0.2, 42)
     return test
 
 
@@ -153,7 +157,8 @@ def q_predict(spark, sf):
 @register("train_regressors")
 def q_regressors(spark, sf):
     a = FR.activity(spark, sf)
-    res = M.train_regressors(a, "l_extendedprice", ["l_quantity", "l_discount", "l_tax", "o_totalprice"])
+    res = M.train_regressors(a, "l_extendedprice", ["l_quantity", "l_discount", "l_tax", "o_totalprice"],
+                             KEYS)
     return spark.createDataFrame([(res["mse"], res["r2"])], "mse double, r2 double")
 
 

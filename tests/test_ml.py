@@ -24,6 +24,16 @@ def test_stratified_split_exact_sizes(spark):
     assert tr.join(te, "vec_id").count() == 0
 
 
+def test_random_split_exact_and_partition_independent(spark):
+    df = _emb(spark).select("vec_id", "label")
+    n = df.count()
+    tr, te = PR.random_split(df, ["vec_id"], 0.2, 42)
+    assert te.count() == int(np.ceil(0.2 * n)) and tr.count() + te.count() == n
+    assert tr.join(te, "vec_id").count() == 0
+    _, te2 = PR.random_split(df.repartition(5), ["vec_id"], 0.2, 42)
+    assert sorted(r.vec_id for r in te.collect()) == sorted(r.vec_id for r in te2.collect())
+
+
 def test_knn_recall_against_brute_force(spark):
     df = _emb(spark)
     pdf = df.select("vec_id", "x").toPandas()
