@@ -15,7 +15,7 @@ from ..functions.selection import global_quantiles
 from ..operators.explore import anova_f_scores
 from ..operators.features import apply_label_encoders, fit_label_encoders, fit_one_hot, one_hot
 from ..operators.profile import numeric_columns, string_columns
-from ..operators.sampling import first_n
+from ..operators.sampling import MAX_GROUPS, first_n
 
 
 @dataclass
@@ -76,7 +76,10 @@ def stratified_split(df: DataFrame, label: str, keys: list[str], test_size: floa
     """exact stratified split. The test set has ceil(test_size * N) rows shared
     among classes in proportion (largest remainder, ties by class order), the
     rows of each class drawn by a seeded hash of ``keys``. Returns (train, test)."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+              .limit(MAX_GROUPS + 1).collect()}
+    if len(counts) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} classes to stratify")
     total = sum(counts.values())
     n_test = int(math.ceil(test_size * total))
     classes = sorted(counts, key=lambda c: (c is None, c))

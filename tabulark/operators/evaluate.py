@@ -293,7 +293,10 @@ def metrics_dict(df: DataFrame, label: str, pred: str, probability: str | None =
     cm = fit_confusion(df, label, pred)
     out = dict(confusion_counts(cm))
     out.update(classification_metrics(cm))
-    labels_only = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().collect())
+    labels_only = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct()
+                         .limit(MAX_CLASSES + 1).collect())
+    if len(labels_only) > MAX_CLASSES:
+        raise ValueError("too many classes")
     out["roc_auc"] = roc_auc(df, label, probability, pred, labels_only)
     reg = regression_metrics(df, label, pred).first()
     out["mse"], out["r2"] = reg["mse"], reg["r2"]
