@@ -319,8 +319,10 @@ def narrow_types(df: DataFrame, floats: bool = True) -> DataFrame:
                 # unsigned in the reference: one signed step wider here
                 t = "short" if hi < 255 else "int" if hi < 65535 else "bigint"
             else:
+                # the reference wraps a range beyond int32 into int32; values are kept here
                 t = ("tinyint" if lo > -128 and hi < 127 else
-                     "short" if lo > -32768 and hi < 32767 else "int")
+                     "short" if lo > -32768 and hi < 32767 else
+                     "int" if lo >= -2**31 and hi < 2**31 else "bigint")
             casts[c] = t
     out = []
     for f in df.schema.fields:

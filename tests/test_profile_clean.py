@@ -89,3 +89,13 @@ def test_empty_and_one_row(spark):
         P.null_profile(frame).collect()
         C.impute(frame).collect()
         C.clip_iqr(frame, ["clicks"]).collect()
+
+
+def test_narrow_types_picks_smallest_type_and_keeps_values(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(1, -5, 70000, -3_000_000_000, 1.5), (200, 100, 3, 7, 2.5)],
+                               "u bigint, s bigint, w bigint, big bigint, d double")
+    out = C.narrow_types(df)
+    types = {f.name: type(f.dataType) for f in out.schema.fields}
+    assert types == {"u": T.ShortType, "s": T.ByteType, "w": T.LongType, "big": T.LongType, "d": T.FloatType}
+    assert sorted(r.big for r in out.collect()) == [-3_000_000_000, 7]
