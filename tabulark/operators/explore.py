@@ -53,15 +53,22 @@ DESCRIBE_SCHEMA = T.StructType([
 ])
 
 
-def fit_top(df: DataFrame, cols: list[str]) -> dict:
-    """Most frequent value and its count per column (smallest value on ties), one job."""
+def fit_top(df: DataFrame, cols: list[str], with_unique: bool = False) -> dict:
+    """Most frequent value and its count per column (smallest value on ties), one job.
+
+    With ``with_unique`` each entry also carries the exact number of distinct
+    values, read off the same (column, value) counts: no separate distinct
+    aggregate (which Spark expands into one copy of the input per column)."""
     if not cols:
         return {}
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)
     ])).alias("p")).select("p.ci", "p.v").where(F.col("v").isNotNull())
     counts = pairs.groupBy("ci", "v").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("ci").agg(F.min(F.struct((-F.col("n")).alias("negn"), F.col("v"))).alias("b"))
+    best = counts.groupBy("ci").agg(F.min(F.struct((-F.col("n")).alias("negn"), F.col("v"))).alias("b"),
+                                    F.count(F.lit(1)).alias("u"))
+    if with_unique:
+        return {cols[r["ci"]]: (r["b"]["v"], -r["b"]["negn"], r["u"]) for r in best.collect()}
     return {cols[r["ci"]]: (r["b"]["v"], -r["b"]["negn"]) for r in best.collect()}
 
 
@@ -80,10 +87,10 @@ def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}")]
     for i, c in enumerate(txt):
-        aggs += [F.count(c).alias(f"tn{i}"), F.count_distinct(c).alias(f"tu{i}")]
+        aggs.append(F.count(c).alias(f"tn{i}"))
     row = df.agg(*aggs).first() if aggs else None
     q = global_quantiles(df, num, [0.25, 0.5, 0.75]) if num else {}
-    tops = fit_top(df, txt)
+    tops = fit_top(df, txt, with_unique=True)
     out = []
     for c in cols:
         if c in num:
@@ -93,8 +100,8 @@ def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                         qs[0], qs[1], qs[2], row[f"b{i}"]))
         elif c in txt:
             i = txt.index(c)
-            top, freq = tops.get(c, (None, None))
-            out.append((c, row[f"tn{i}"], row[f"tu{i}"], top, freq) + (None,) * 7)
+            top, freq, unique = tops.get(c, (None, None, 0))
+            out.append((c, row[f"tn{i}"], unique, top, freq) + (None,) * 7)
     return df.sparkSession.createDataFrame(out, DESCRIBE_SCHEMA)
 
 
@@ -126,9 +133,14 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 30) -> D
     ranges = {c: (row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(cols) if row[f"a{i}"] is not None}
     if not ranges:
         return spark.createDataFrame([], schema)
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), _hist_bin(F.col(c).cast("double"), *ranges[c], bins).alias("bin"))
-        for c in ranges])).alias("p")).select("p.*").where(F.col("bin").isNotNull())
+    # bins are computed in a projection first: inside the generator the bin
+    # expression runs several times slower than in a code-generated projection
+    names = list(ranges)
+    binned = df.select(*[_hist_bin(F.col(c).cast("double"), *ranges[c], bins).alias(f"_b{i}")
+                         for i, c in enumerate(names)])
+    pairs = binned.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"_b{i}").alias("bin"))
+        for i, c in enumerate(names)])).alias("p")).select("p.*").where(F.col("bin").isNotNull())
     counts = pairs.groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("count"))
     scaffold = []
     for c, (mn, mx) in ranges.items():

@@ -75,3 +75,13 @@ def test_target_share_and_crosstab(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), (None, "x")], "g string, r string")
     shares = {(r.g, r.r): r.share for r in X.crosstab_share(df, "g", "r").collect()}
     assert shares == {("a", "x"): 0.5, ("a", "y"): 0.5, ("b", "x"): 1.0}
+
+
+def test_describe_text_unique_top_freq_from_one_pass(spark):
+    from tabulark.operators import explore as EX
+    df = spark.createDataFrame([("a", None, 1.0), ("b", None, 2.0), ("a", None, 3.0), (None, None, 4.0)],
+                               "t string, e string, x double")
+    rows = {r.variable: r for r in EX.describe_all(df).collect()}
+    assert (rows["t"]["count"], rows["t"]["unique"], rows["t"]["top"], rows["t"]["freq"]) == (3, 2, "a", 2)
+    assert (rows["e"]["count"], rows["e"]["unique"], rows["e"]["top"]) == (0, 0, None)
+    assert rows["x"]["q50"] == 2.5
