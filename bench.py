@@ -70,10 +70,11 @@ def main() -> None:
     num = [c for c in feats.numeric_features if c in fdf.columns]
 
     def eda():
-        X.describe_all(fdf).collect()
+        quart = X.fit_quartiles(fdf, X.numeric_columns(fdf))   # one exact fit shared by three reports
+        X.describe_all(fdf, quartiles=quart).collect()
         X.correlation_matrix(fdf, num).collect()
-        X.box_stats(fdf, num).collect()
-        X.outlier_report(fdf, num).collect()
+        X.box_stats(fdf, num, quart).collect()
+        X.outlier_report(fdf, num, quart).collect()
         X.anova_f_scores(fdf, "final_result", num).collect()
         X.histogram(fdf, num, 30).collect()
     timed("eda_full", eda)

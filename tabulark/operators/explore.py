@@ -72,7 +72,19 @@ def fit_top(df: DataFrame, cols: list[str], with_unique: bool = False) -> dict:
     return {cols[r["ci"]]: (r["b"]["v"], -r["b"]["negn"]) for r in best.collect()}
 
 
-def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def fit_quartiles(df: DataFrame, cols: list[str]) -> dict:
+    """Exact 25/50/75 % quantiles per column, one fit that describe_all, box_stats
+    and outlier_report can share through their ``quartiles`` argument."""
+    return global_quantiles(df, cols, [0.25, 0.5, 0.75]) if cols else {}
+
+
+def _quartiles(df: DataFrame, cols: list[str], quartiles: dict | None) -> dict:
+    if quartiles is not None and all(c in quartiles for c in cols):
+        return quartiles
+    return fit_quartiles(df, cols)
+
+
+def describe_all(df: DataFrame, cols: list[str] | None = None, quartiles: dict | None = None) -> DataFrame:
     """Pandas ``describe(include='all')`` as one row per column.
 
     Numeric: count, mean, sample std, min, exact quartiles, max.
@@ -89,7 +101,7 @@ def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     for i, c in enumerate(txt):
         aggs.append(F.count(c).alias(f"tn{i}"))
     row = df.agg(*aggs).first() if aggs else None
-    q = global_quantiles(df, num, [0.25, 0.5, 0.75]) if num else {}
+    q = _quartiles(df, num, quartiles) if num else {}
     tops = fit_top(df, txt, with_unique=True)
     out = []
     for c in cols:
@@ -244,11 +256,11 @@ BOX_SCHEMA = ("q1 double, median double, q3 double, iqr double, lower_fence doub
               "whisker_low double, whisker_high double, n_fliers bigint")
 
 
-def box_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def box_stats(df: DataFrame, cols: list[str] | None = None, quartiles: dict | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (extreme data inside the fences),
     flier count per column. One quantile fit and one aggregate."""
     cols = cols or numeric_columns(df)
-    q = global_quantiles(df, cols, [0.25, 0.5, 0.75])
+    q = _quartiles(df, cols, quartiles)
     fences = {}
     for c in cols:
         q1, q2, q3 = q[c]
@@ -486,12 +498,12 @@ def normality_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return ks.join(mo, "variable", "left")
 
 
-def outlier_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def outlier_report(df: DataFrame, cols: list[str] | None = None, quartiles: dict | None = None) -> DataFrame:
     """Per column: total_values, IQR and |z| > 3 (population std) outlier counts
     and percentages, IQR bounds. One quantile fit and one aggregate."""
     cols = cols or numeric_columns(df)
     spark = df.sparkSession
-    q = global_quantiles(df, cols, [0.25, 0.75])
+    q = {c: (v[0], v[-1]) for c, v in _quartiles(df, cols, quartiles).items()}
     mom = df.agg(*[a for i, c in enumerate(cols) for a in (
         F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
     aggs, meta = [], []
@@ -529,10 +541,11 @@ def eda_suite(df: DataFrame, quick: bool = True, keys: list[str] | None = None,
     src = sample_rows(df, keys, sample_size) if (quick and keys) else df
     src = src.persist()
     num = numeric_columns(src)
-    out = {"describe": describe_all(src), "correlation": correlation_matrix(src, num)}
+    quart = fit_quartiles(src, num)
+    out = {"describe": describe_all(src, quartiles=quart), "correlation": correlation_matrix(src, num)}
     if not quick:
-        out["box"] = box_stats(src, num)
-        out["outliers"] = outlier_report(src, num)
+        out["box"] = box_stats(src, num, quart)
+        out["outliers"] = outlier_report(src, num, quart)
         if label and label in src.columns:
             out["target_share"] = target_share(src, label)
             out["anova"] = anova_f_scores(src, label, num)

@@ -85,3 +85,12 @@ def test_describe_text_unique_top_freq_from_one_pass(spark):
     assert (rows["t"]["count"], rows["t"]["unique"], rows["t"]["top"], rows["t"]["freq"]) == (3, 2, "a", 2)
     assert (rows["e"]["count"], rows["e"]["unique"], rows["e"]["top"]) == (0, 0, None)
     assert rows["x"]["q50"] == 2.5
+
+
+def test_shared_quartile_fit_gives_same_reports(spark):
+    df = spark.createDataFrame([(float(i % 7), float(i * i % 11)) for i in range(40)], "a double, b double")
+    q = X.fit_quartiles(df, ["a", "b"])
+    assert sorted(X.box_stats(df, ["a", "b"], q).collect()) == sorted(X.box_stats(df, ["a", "b"]).collect())
+    assert sorted(X.outlier_report(df, ["a", "b"], q).collect()) == \
+        sorted(X.outlier_report(df, ["a", "b"]).collect())
+    assert sorted(X.describe_all(df, quartiles=q).collect()) == sorted(X.describe_all(df).collect())
