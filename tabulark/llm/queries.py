@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import suffix_dedup
     return suffix_dedup(table(spark, sf_dir, "documents"), keep_text=False).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        "rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 _OP2_SQL = r"""
@@ -154,3 +154,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import replace_pii
     return replace_pii(table(spark, sf_dir, "documents"), key="corpus-release-1").select("doc_id", "text", "pii")
+
+
+@query("op6_pieces")
+def op6(spark: SparkSession, sf_dir: str, model: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    from .pieces import Vocabulary, encode_pieces
+    with open(model, "rb") as f:                     # read by the driver alone
+        vocabulary = Vocabulary.from_sentencepiece(f.read())
+    return encode_pieces(table(spark, sf_dir, "documents"), vocabulary, check=True)

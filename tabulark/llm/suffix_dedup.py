@@ -44,7 +44,7 @@ GRAM = 12                    # bytes of a minimizer
 COVER, PERIOD = (0, 1, 3), 7  # every difference mod 7 occurs among the cover
 NULL_ID = (1 << 63) - 1
 BLOCK_BYTES = 1 << 18        # text per minimizer pass (fits a core's cache)
-FLUSH_BYTES = 1 << 24        # text per map-side collapse
+FLUSH_BYTES = 1 << 23        # text per map-side collapse
 BUCKET_BYTES = 1 << 24       # text whose contexts share a bucket
 WINDOWS_AT_ONCE = 1 << 20
 
@@ -372,8 +372,8 @@ def _zip_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column("text").to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("ord"), b.column("th"),
-             pa.array([z.compress(t) for t in texts], pa.binary())], names=["doc_id", "ord", "th", "z"])
+            [b.column("rest"), b.column("ord"), b.column("th"),
+             pa.array([z.compress(t) for t in texts], pa.binary())], names=["rest", "ord", "th", "z"])
 
 
 def _cut(keep_text: bool):
@@ -404,17 +404,20 @@ def _cut(keep_text: bool):
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(),
                      pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("ord"), b.column("th"), *(pa.array(o, k) for o, k in zip(out, kinds))],
-                names=["doc_id", "ord", "th", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"])
+                [b.column("rest"), *(pa.array(o, k) for o, k in zip(out, kinds))],
+                names=["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"])
     return run
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, its rank key, a hash that tells rows with one id apart, and the text as bytes."""
+    """The input's other columns, the id's rank key, a hash that tells rows with one id apart (0 if ids are
+    unique, as it travels with every context), and the text as bytes."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("ord"),
-                       F.xxhash64(text).alias("th"), text.cast("binary").alias("text"))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
+    shared = docs.groupBy(key.alias("ord")).count().filter("count > 1").limit(1).count()
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest")
+    return docs.select(rest, key.alias("ord"),
+                       (F.xxhash64(text) if shared else F.lit(0).cast("long")).alias("th"), text.cast("binary").alias("text"))
 
 
 def repeated_ranges(rows: DataFrame, length: int = 50, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -430,13 +433,16 @@ def repeated_ranges(rows: DataFrame, length: int = 50, bucket_bytes: int = BUCKE
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
                  keep_text: bool = True, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` plus
-    ``kept_text`` (null unless ``keep_text``) and the removed ``spans`` as byte ranges."""
+    """One row per input row: ``rest`` (a struct of its columns but the text), ``n_bytes,
+    n_removed, n_spans, kept_sha256`` plus ``kept_text`` (null unless ``keep_text``; a
+    character that lost some of its bytes goes as a whole) and the removed ``spans`` as
+    byte ranges."""
     rows = keyed(docs, id_col, text_col)
     ranges = (repeated_ranges(rows, length, bucket_bytes)
               .groupBy("ord", "th").agg(F.collect_list(F.struct("s", "e")).alias("ranges")))
-    texts = rows.mapInArrow(_zip_text, "doc_id long, ord long, th long, z binary")
-    joined = texts.join(ranges, ["ord", "th"], "left").select("doc_id", "ord", "th", "z", "ranges")
+    kind = rows.schema["rest"].dataType.simpleString()
+    texts = rows.mapInArrow(_zip_text, f"rest {kind}, ord long, th long, z binary")
+    joined = texts.join(ranges, ["ord", "th"], "left").select("rest", "z", "ranges")
     return joined.mapInArrow(
-        _cut(keep_text), "doc_id long, ord long, th long, n_bytes long, n_removed long, n_spans long, "
+        _cut(keep_text), f"rest {kind}, n_bytes long, n_removed long, n_spans long, "
         "kept_sha256 string, kept_text string, spans array<struct<s:long,e:long>>")

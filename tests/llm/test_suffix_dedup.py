@@ -31,7 +31,7 @@ def brute(rows, length=50):
 
 def got(spark, rows, **kw):
     df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA)
-    out = S.suffix_dedup(df, **kw).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    out = S.suffix_dedup(df, **kw).select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     return sorted((tuple(r) for r in out), key=str)
 
 
@@ -99,5 +99,5 @@ def test_kept_text_is_valid(spark):
     t = "Ünïcödé wörds änd möre " * 8
     rows = [(1, t), (2, "é" + t[3:] + "tail")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = {r.doc_id: r for r in S.suffix_dedup(df).collect()}
+    out = {r.rest.doc_id: r for r in S.suffix_dedup(df).collect()}
     assert out[1].kept_text == t and out[2].kept_text.endswith("tail")
