@@ -13,10 +13,17 @@ and a set that loses more than the slack also emits a prefix-filter signature pe
 prefix element, which is complete by itself.
 
 Signatures travel packed, one row per task and bucket. Sets are known by a 128-bit
-digest, so copies are one node from the start. Candidates are verified exactly on
-their shingles. ``jaccard_links`` verifies every candidate pair; ``jaccard_components``
-needs connections only: of a large signature group it tests all members against
-three of them, and afterwards just the pairs that are still unconnected.
+digest, so copies are one node from the start. A signature that many sets share
+(a passage that stands in many texts) need not bring pairs: equal segments have
+equal signatures, so dropping it costs each set the same allowance, and a set whose
+slack covers all it loses that way still meets every partner elsewhere. Only sets
+that lose more (near copies of one text) are compared inside such groups.
+
+A pair is first held against a sketch (how many elements fall into each of 128
+cells; the differences bound the symmetric difference from below, so only certain
+misses go) and then verified exactly on its shingles. ``jaccard_links`` verifies all
+pairs; ``jaccard_components`` needs connections only: of a large group it tests all
+members against three of them, and then just the pairs still unconnected.
 
 Defined results: null and empty texts have the empty set and link with nothing; a
 null ``doc_id`` makes a document of its own, reported with a null component unless
@@ -47,7 +54,11 @@ RATIO = 1.5                    # size bands
 BLOCK_BYTES = 1 << 18
 FLUSH_BYTES = 1 << 24
 BUCKET_BYTES = 1 << 24         # text whose signatures share a bucket
-SMALL_GROUP = 4                # groups up to here: all pairs at once
+SMALL_GROUP = 8                # signatures of more sets are dropped where slack covers that
+EXTRA = 0.15                   # slack for dropped signatures, as a share of the allowances needed
+CELLS = 128                    # cells of a sketch
+BLOCK_MEMBERS = 2048           # members of a large group compared at once
+BIN_MEMBERS = 20_000           # members of small groups handed to one call
 BROADCAST_NODES = 200_000      # ids sent to all tasks at most (8 bytes each)
 NULL_BASE = 1 << 62            # nodes of rows without an id
 _SEG, _ELEM = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
@@ -76,25 +87,26 @@ def allocate(lo: int, hi: int, percent: int) -> tuple[int, int, int]:
     """(segments with allowance 2, segments with allowance 1, slack) of the least cost.
 
     An emitted signature of ``j`` elements costs 1 plus the candidates it may bring,
-    taken as 64 * 0.3**j."""
+    taken as 3 * 0.3**j."""
     need, best = most_different(hi, percent) + 1, None
-    tries = range(0, need // 2 + 2) if need <= 64 else sorted({0, need // 8, need // 4, need // 2 + 1})
-    for twos in tries:
-        slack = 0
-        for _ in range(20):
+    if need <= 2:                     # the whole set and its one-deletion neighbourhood
+        return 1, 0, 2 - need
+    for twos in range(0, need + 2) if need <= 64 else sorted({0, need // 8, need // 4, need // 2, need}):
+        slack = settled = 0
+        while not settled and slack < 2 * need:
             ones = max(0, need + slack - 2 * twos)
-            m = max(1, twos + ones)
+            m = twos + ones
             lam = lo / m
             lost = (ones + twos * (2 + lam)) * math.exp(-lam)
-            want = 0 if m == 1 else math.ceil(lost + 3 * math.sqrt(lost))
-            if want <= slack:
-                break
-            slack = want
-        price = lambda j: 1 + 64 * 0.3 ** max(j, 0.5)
+            want = math.ceil(lost + 2 * math.sqrt(lost)) + max(1, round(EXTRA * need))
+            settled, slack = want <= slack, max(want, slack)
+        if not settled:
+            continue
+        price = lambda j: 1 + 3 * 0.3 ** max(j, 0.5)
         cost = ones * price(lam) + twos * (price(lam) + lam * price(lam - 1))
         if best is None or cost < best[0]:
-            best = (cost, twos, ones, slack)
-    return best[1:]
+            best = (cost, twos, ones, 2 * twos + ones - need)
+    return best[1:] if best else (0, 0, -1)       # none: sets so small have the prefix filter alone
 
 
 @lru_cache(maxsize=None)
@@ -106,9 +118,10 @@ def scheme(lo: int, hi: int, n: int, percent: int) -> tuple[int, int, int, int]:
     return max(1, twos + ones), min(max(1, emits), max(1, twos + ones)), twos, slack
 
 
-def signatures(h: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of the sets ``h[cut[i]:cut[i + 1]]``."""
+def signatures(h: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature) of the sets ``h[cut[i]:cut[i + 1]]``, and the slack each has left."""
     sizes = np.diff(cut)
+    spare = np.full(len(sizes), 1 << 30, np.int64)
     rows, plans = [], []
     for n in np.unique(sizes[sizes > 0]).tolist():
         lo, hi = band_of(n)
@@ -122,7 +135,7 @@ def signatures(h: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray
             rows.append(who)
             plans.append(np.tile(np.array(p, np.int64), (len(who), 1)))
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
+        return np.zeros(0, np.int64), np.zeros(0, U64), spare
     rows, plans = np.concatenate(rows), np.concatenate(plans)
     job = np.repeat(np.arange(len(rows)), sizes[rows])
     e = h[ragged(cut[rows], sizes[rows])]
@@ -148,7 +161,8 @@ def signatures(h: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray
     # allowances lost to empty remainders
     full = np.bincount(gj, np.where(two, np.where(count > 1, 2, 1), 1), len(rows))
     due = np.minimum(plans[:, 2], plans[:, 3]) + plans[:, 2]
-    weak = np.unique(rows[due - full > plans[:, 4]])
+    np.minimum.at(spare, rows, (plans[:, 4] - (due - full)).astype(np.int64))
+    weak = np.flatnonzero(spare < 0)
     if len(weak):
         n = sizes[weak]
         prefix = n - -(-percent * n // 100) + 1
@@ -159,7 +173,23 @@ def signatures(h: np.ndarray, cut: np.ndarray, percent: int) -> tuple[np.ndarray
         first = o[rank < np.repeat(prefix, n)]
         out_row.append(where[first])
         out_sig.append(mix64(token[first] ^ U64(0x5555)))
-    return np.concatenate(out_row), np.concatenate(out_sig)
+    return np.concatenate(out_row), np.concatenate(out_sig), spare
+
+
+def sketches(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Elements per cell of each set, 255 at most."""
+    row = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    cell = (h >> U64(20)) % U64(CELLS)
+    counts = np.bincount(row * CELLS + cell.astype(np.int64), minlength=(len(cut) - 1) * CELLS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, CELLS)
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and sketches leave the similarity possible."""
+    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(-1, dtype=np.int64)
+    total = nx.astype(np.int64) + ny
+    # common >= percent * total / (100 + percent), apart <= total - 2 * common
+    return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * apart <= (100 - percent) * total)
 
 
 # ---- tasks ---------------------------------------------------------------------
@@ -169,20 +199,21 @@ def _describe(words: int):
         for block, data, off in text_blocks(batches, "text", BLOCK_BYTES):
             h, cut = shingle_sets(data, off, words)
             d1, d2 = digests(h, cut)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(np.diff(cut)), pa.array(d1), pa.array(d2)],
-                                             names=["doc_id", "n_shingles", "d1", "d2"])
+            cells = pa.array([r.tobytes() for r in sketches(h, cut)], pa.binary())
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(np.diff(cut)), pa.array(d1), pa.array(d2), cells],
+                                             names=["doc_id", "n_shingles", "d1", "d2", "cells"])
     return run
 
 
 def _emit(words: int, percent: int, n_buckets: int):
     def flush(held):
-        d1, d2, n, cut_sizes, rows, sigs, base = [], [], [], [], [], [], 0
+        d1, d2, n, spare, rows, sigs, base = [], [], [], [], [], [], 0
         for h, cut in held:
             a, b = digests(h, cut)
-            r, s = signatures(h, cut, percent)
-            d1.append(a), d2.append(b), n.append(np.diff(cut)), rows.append(r + base), sigs.append(s)
+            r, s, left = signatures(h, cut, percent)
+            d1.append(a), d2.append(b), n.append(np.diff(cut)), rows.append(r + base), sigs.append(s), spare.append(left)
             base += len(a)
-        d1, d2, n, rows, sigs = (np.concatenate(x) for x in (d1, d2, n, rows, sigs))
+        d1, d2, n, spare, rows, sigs = (np.concatenate(x) for x in (d1, d2, n, spare, rows, sigs))
         order = np.lexsort((d2, d1))                       # copies of a batch: one set
         same = (d1[order][1:] == d1[order][:-1]) & (d2[order][1:] == d2[order][:-1])
         extra = np.zeros(len(d1), bool)
@@ -199,7 +230,8 @@ def _emit(words: int, percent: int, n_buckets: int):
             if len(r):
                 st = bounds(r)
                 own = r[st]
-                blobs.append((b, pack([d1[own], d2[own], n[own].astype("<i4"), np.diff(np.append(st, len(r))).astype("<u4"), s])))
+                blobs.append((b, pack([d1[own], d2[own], n[own].astype("<i4"), spare[own].astype("<i4"),
+                                       np.diff(np.append(st, len(r))).astype("<u4"), s])))
         if blobs:
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blobs], pa.int32()),
                                               pa.array([x for _, x in blobs], pa.binary())], names=["bucket", "blob"])
@@ -217,22 +249,23 @@ def _emit(words: int, percent: int, n_buckets: int):
     return run
 
 
-_CANDIDATE = "gid long, a1 long, a2 long, an int, b1 long, b2 long, bn int"
+_MET = "gid long, times int, a1 long, a2 long, an int, spare int, b1 long, b2 long"
 
 
-def _meet(percent: int, all_pairs: bool):
-    """Signatures of a bucket -> candidate pairs (gid null) and members of large groups (b null)."""
+def _meet(percent: int):
+    """Signatures of a bucket -> pairs of small groups (gid null), and the members of large
+    ones (b null) with the number of signatures that have just these members."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack(b) for b in pdf["blob"]]
-        many = np.concatenate([p[3] for p in parts]).astype(np.int64)
-        d1, d2, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        sig = np.concatenate([p[4] for p in parts])
+        many = np.concatenate([p[4] for p in parts]).astype(np.int64)
+        d1, d2, n, spare = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        sig = np.concatenate([p[5] for p in parts])
         del parts
         o = np.lexsort((d2, d1))
         new = np.append(True, (d1[o][1:] != d1[o][:-1]) | (d2[o][1:] != d2[o][:-1]))
         node = np.empty(len(o), np.int64)
         node[o] = np.cumsum(new) - 1
-        d1, d2, n = d1[o][new], d2[o][new], n[o][new]
+        d1, d2, n, spare = d1[o][new], d2[o][new], n[o][new], spare[o][new]
         who = np.repeat(node, many)
         o = np.argsort(sig)
         sig, who = sig[o], who[o]
@@ -247,33 +280,58 @@ def _meet(percent: int, all_pairs: bool):
         st = bounds(sig)
         size = np.diff(np.append(st, len(sig)))
         name = np.add.reduceat(mix64(d1[who].view(U64) ^ mix64(d2[who].view(U64))), st).view(np.int64) if len(st) else st
-        _, first = np.unique(name, return_index=True)                     # one group for each set of members
-        first = first[size[first] > 1]
-        left, right, gids, members = [], [], [], []
-        whole = len(who) if all_pairs else SMALL_GROUP
-        for k in np.unique(size[first]).tolist() if len(first) else []:
-            g = first[size[first] == k]
-            m = who[st[g][:, None] + np.arange(k)]
-            if k <= whole:
-                for i in range(k - 1):
-                    left.append(np.repeat(m[:, i], k - 1 - i)), right.append(m[:, i + 1:].ravel())
-            else:
-                for salt in (1, 2, 3):                                      # three members against all
-                    c = m[np.arange(len(m)), np.argmin(mix64(d1[m].view(U64) * U64(2 * salt + 1)), 1)]
-                    left.append(np.repeat(c, k)), right.append(m.ravel())
-                gids.append(np.repeat(name[g], k)), members.append(m.ravel())
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        a, b, gid, mem = cat(left), cat(right), cat(gids), cat(members)
-        ok = (100 * np.minimum(n[a], n[b]).astype(np.int64) >= percent * np.maximum(n[a], n[b]).astype(np.int64)) & (a != b)
-        pair = np.unique(np.minimum(a[ok], b[ok]) * len(d1) + np.maximum(a[ok], b[ok]))
+        _, first, times = np.unique(name, return_index=True, return_counts=True)   # one group for each set of members
+        first, times = first[size[first] > 1], times[size[first] > 1]
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in range(2, SMALL_GROUP + 1):
+            m = who[st[first[size[first] == k]][:, None] + np.arange(k)]
+            for i in range(k - 1):
+                left.append(np.repeat(m[:, i], k - 1 - i)), right.append(m[:, i + 1:].ravel())
+        a, b = np.concatenate(left), np.concatenate(right)
+        ok = 100 * np.minimum(n[a], n[b]).astype(np.int64) >= percent * np.maximum(n[a], n[b]).astype(np.int64)
+        pair = np.unique(a[ok] * len(d1) + b[ok])
         a, b = pair // max(1, len(d1)), pair % max(1, len(d1))
-        one = pd.DataFrame({"gid": pd.array([None] * len(a), "Int64"), "a1": d1[a], "a2": d2[a], "an": n[a],
-                            "b1": pd.array(d1[b], "Int64"), "b2": pd.array(d2[b], "Int64"), "bn": pd.array(n[b], "Int32")})
-        if not len(mem):
-            return one
-        none = pd.array([None] * len(mem), "Int64")
-        return pd.concat([one, pd.DataFrame({"gid": pd.array(gid, "Int64"), "a1": d1[mem], "a2": d2[mem], "an": n[mem],
-                                             "b1": none, "b2": none, "bn": none.astype("Int32")})])
+        big = size[first] > SMALL_GROUP
+        g, k = first[big], size[first[big]]
+        mem = who[ragged(st[g], k)]
+        none = lambda x, kind: pd.array([None] * len(x), kind)
+        return pd.concat([
+            pd.DataFrame({"gid": none(a, "Int64"), "times": none(a, "Int32"), "a1": d1[a], "a2": d2[a], "an": n[a], "spare": spare[a],
+                          "b1": pd.array(d1[b], "Int64"), "b2": pd.array(d2[b], "Int64")}),
+            pd.DataFrame({"gid": pd.array(np.repeat(name[g], k), "Int64"), "times": pd.array(np.repeat(times[big], k), "Int32"),
+                          "a1": d1[mem], "a2": d2[mem], "an": n[mem], "spare": spare[mem], "b1": none(mem, "Int64"), "b2": none(mem, "Int64")})])
+    return run
+
+
+def _sketch_filter(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("ca", "cb"))
+            ok = pa.array(_may_link(x, y, b.column("na").to_numpy(), b.column("nb").to_numpy(), percent))
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], names=["a", "b"])
+    return run
+
+
+def _open_pairs(percent: int):
+    """Pairs of a block of members and another of their group, in different components, that
+    may link; a task call holds many small groups, each pair once."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["gid", "i", "j"], kind="stable")
+        cells = np.frombuffer(b"".join(pdf["cells"]), np.uint8).reshape(-1, CELLS)
+        node, n, comp, own, i, j = (pdf[c].to_numpy() for c in ("node", "n", "component", "own", "i", "j"))
+        keys = pdf[["gid", "i", "j"]].to_numpy()
+        st = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+        found = []
+        for lo, hi in zip(st, np.append(st[1:], len(node))):
+            at = np.arange(lo, hi)
+            x, y = at[own[at] == i[lo]], at[own[at] == j[lo]]
+            for r in x:
+                ok = y[(comp[y] != comp[r]) & ((i[lo] != j[lo]) | (node[y] > node[r]))]
+                ok = ok[_may_link(cells[r][None, :], cells[ok], n[r], n[ok], percent)]
+                if len(ok):
+                    found.append(np.stack([np.minimum(node[r], node[ok]), np.maximum(node[r], node[ok])], 1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
     return run
 
 
@@ -319,25 +377,59 @@ class _Join:
         self.words, self.percent = words, percent
         text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
         self.rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text)
-        described = self.rows.mapInArrow(_describe(words), "doc_id long, n_shingles long, d1 long, d2 long")
+        described = self.rows.mapInArrow(_describe(words), "doc_id long, n_shingles long, d1 long, d2 long, cells binary")
         # a row without an id is a node of its own, told from others by its set
         node = F.coalesce("doc_id", F.lit(NULL_BASE) + F.shiftrightunsigned(F.xxhash64("d1", "d2"), 3))
         self.docs = materialize(described.withColumn("node", node))
-        self.classes = materialize(self.docs.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("node").alias("rep")))
+        self.classes = materialize(self.docs.filter("n_shingles > 0").groupBy("d1", "d2").agg(
+            F.min("node").alias("rep"), F.first("n_shingles").alias("n"), F.first("cells").alias("cells")))
+        self.sketches = self.classes.groupBy("rep").agg(F.first("n").alias("n"), F.first("cells").alias("cells"))
 
-    def candidates(self, all_pairs: bool) -> DataFrame:
+    def meet(self) -> tuple[DataFrame, DataFrame]:
+        """Pairs ``a, b`` of small groups, and the members ``gid, node`` of large groups that can't do without them."""
         total = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         n_buckets = int(max(32, -(-total // BUCKET_BYTES)))
         packed = self.rows.mapInArrow(_emit(self.words, self.percent, n_buckets), "bucket int, blob binary")
-        met = packed.groupBy("bucket").applyInPandas(_meet(self.percent, all_pairs), _CANDIDATE)
-        for side in ("a", "b"):                                     # digests -> representatives
-            c = self.classes.select(F.col("d1").alias(f"{side}1"), F.col("d2").alias(f"{side}2"), F.col("rep").alias(side))
-            met = met.join(c, [f"{side}1", f"{side}2"], "left")
-        return materialize(met.select("gid", "a", "an", "b").distinct())
+        met = materialize(packed.groupBy("bucket").applyInPandas(_meet(self.percent), _MET))
+        reps = lambda x: self.classes.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("rep").alias(x))
+        pairs = (met.filter("gid is null").select("a1", "a2", "b1", "b2").distinct()
+                 .join(reps("a"), ["a1", "a2"]).join(reps("b"), ["b1", "b2"]).select("a", "b"))
+        large = met.filter("gid is not null")
+        lost = (large.groupBy("a1", "a2").agg(F.sum("times").alias("lost"), F.min("spare").alias("spare"))
+                .filter("lost > spare").select("a1", "a2"))
+        members = (large.select("gid", "a1", "a2").distinct().join(lost, ["a1", "a2"]).join(reps("a"), ["a1", "a2"])
+                   .select("gid", F.col("a").alias("node")))
+        return pairs, materialize(members)
+
+    def few_against_all(self, members: DataFrame) -> DataFrame:
+        """Three members of every group, each with all others."""
+        centres = members.groupBy("gid").agg(F.array(*[
+            F.min_by("node", F.xxhash64(F.lit(i), "node")) for i in (1, 2, 3)]).alias("c"))
+        return members.join(centres, "gid").select("node", F.explode(F.array_distinct("c")).alias("b")).select(F.col("node").alias("a"), "b")
+
+    def all_against_all(self, members: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+        """Pairs of a group's members in different components that sketches don't rule out, block by block."""
+        at = members.withColumn("component", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+        groups = at.groupBy("gid").agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+        left = materialize(at.join(groups, "gid").withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS).cast("int"))
+                           .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).select("gid", "node", "component", "blocks", "own"))
+        if not left.limit(1).count():
+            return left.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        other = left.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        cells = self.sketches.select(F.col("rep").alias("node"), "n", "cells")
+        met = (other.join(cells, "node").withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
+               .select("gid", "i", "j", "own", "node", "component", "n", "cells"))
+        n_bins = int(max(32, -(-left.count() // BIN_MEMBERS)))
+        return (met.groupBy(F.pmod(F.xxhash64("gid", "i", "j"), F.lit(n_bins)).alias("bin"))
+                .applyInPandas(_open_pairs(self.percent), "a long, b long"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Of pairs ``a, b`` of representatives those similar enough, with their counts."""
-        pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+        for x in ("a", "b"):
+            pairs = pairs.join(self.sketches.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("cells").alias(f"c{x}")), x)
+        pairs = materialize(pairs.mapInArrow(_sketch_filter(self.percent), "a long, b long"))
         wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
         ids = self.docs.join(F.broadcast(wanted) if few else wanted, "node").select("node", "doc_id", "d1", "d2")
@@ -361,30 +453,21 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   percent: int = 80) -> DataFrame:
     """All links between different sets: ``a, b`` (smallest ids with each set), ``common``, ``total``."""
     j = _Join(docs, id_col, text_col, words, percent)
-    return j.verified(j.candidates(True).filter("gid is null"))
+    pairs, members = j.meet()
+    return j.verified(pairs.union(j.all_against_all(members)))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                        percent: int = 80) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id`` (smallest id reachable by links)."""
     j = _Join(docs, id_col, text_col, words, percent)
-    met = j.candidates(False)
-    links = j.verified(met.filter("gid is null"))
+    pairs, members = j.meet()
+    links = j.verified(pairs.union(j.few_against_all(members)))
     labels = components(links)
-    groups = met.filter("gid is not null").select("gid", F.col("a").alias("node"), F.col("an").alias("n"))
-    at = (groups.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    split = at.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("gid")
-    left = materialize(at.join(split, "gid"))
-    if left.limit(1).count():                       # members of a group that are not connected yet
-        x = left.select("gid", F.col("node").alias("a"), F.col("n").alias("an"), F.col("component").alias("ca"))
-        y = left.select("gid", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("component").alias("cb"))
-        open_pairs = (x.join(y, "gid").filter(
-            (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-            & (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn"))).select("a", "b").distinct()
-            .join(met.filter("gid is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-        links = links.select("a", "b").union(j.verified(open_pairs).select("a", "b"))
-        labels = components(links)
-    out = (j.docs.join(j.classes, ["d1", "d2"], "left")
+    more = j.verified(j.all_against_all(members, labels))         # members of a group not connected yet
+    if more.limit(1).count():
+        labels = components(links.select("a", "b").union(more.select("a", "b")))
+    out = (j.docs.join(j.classes.select("d1", "d2", "rep"), ["d1", "d2"], "left")
            .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
            .withColumn("c", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))))
     # rows with one id are one document; a null id stays null unless it reaches one

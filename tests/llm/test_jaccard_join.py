@@ -98,7 +98,7 @@ def test_signatures_are_complete():
         if not len(y) or 100 * (n - drop) < 80 * (n + add):
             continue
         h = np.concatenate([np.sort(x), np.sort(y)])
-        row, sig = J.signatures(h, np.array([0, n, n + len(y)]), 80)
+        row, sig, _ = J.signatures(h, np.array([0, n, n + len(y)]), 80)
         assert set(sig[row == 0].tolist()) & set(sig[row == 1].tolist()), (n, drop, add)
 
 
