@@ -1,12 +1,84 @@
-"""Corpus pipeline: documents through five operators, a table written between stages."""
+"""Corpus pipeline: documents through five operators of ``tabulark.llm``.
+
+Every stage gets all documents its predecessor kept, as a table written and reread
+in between; all but the last return the columns of documents, with ``n_chars``
+following the text. Rows without a text fail the quality rules and go there; rows
+without an id pass the near-copy stage, as no id says which of a group to keep; an
+empty table stays empty.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabulark.llm.jaccard_join import jaccard_components
+from tabulark.llm.packing import pack_lengths
+from tabulark.llm.pii import replace_pii
+from tabulark.llm.quality_rules import quality_rules
+from tabulark.llm.suffix_dedup import suffix_dedup
+from tabulark.session import ensure_checkpoint_dir
 
-STAGES: list = []
+PII_KEY = "corpus-release-1"
+# The near-copy join, passages and lengths need whole-corpus state that SQL can't express
 ORACLE_SQL = None
 
 
+def _with_text(rows: DataFrame, like: DataFrame, text, row: str = "") -> DataFrame:
+    """The columns of ``like`` (in struct ``row``, if named) with a new text and its length."""
+    new = rows.withColumn("_text", text)
+    out = []
+    for f in like.schema.fields:
+        if f.name == "text":
+            out.append(F.col("_text").alias("text"))
+        elif f.name == "n_chars":
+            out.append(F.length("_text").cast(f.dataType).alias("n_chars"))
+        else:
+            out.append(F.col(f"{row}`{f.name}`"))
+    return new.select(*out)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that fail a rule go; documents that lose too much, or fail the base counts, go."""
+    judged = quality_rules(docs, out="_quality").filter("_quality.kept")
+    return _with_text(judged, docs, F.when(F.col("_quality.removed") == 0, F.col("text")).otherwise(F.col("_quality.clean_text")))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    groups = jaccard_components(docs)
+    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes or more that also stand in a document with a smaller id go."""
+    cut = suffix_dedup(docs)
+    return _with_text(cut, docs, F.col("kept_text"), "rest.")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gets surrogates."""
+    safe = replace_pii(docs, key=PII_KEY, out="_pii")
+    return _with_text(safe, docs, F.col("text"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences in length buckets and batches."""
+    return pack_lengths(docs)
+
+
+STAGES = [("quality", quality), ("near_copies", near_copies), ("passages", passages),
+          ("personal_data", personal_data), ("packing", packing)]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over the documents below ``sf_dir``; tables between stages go to the checkpoint folder."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

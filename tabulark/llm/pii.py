@@ -41,20 +41,24 @@ MALE = ("James", "John", "Robert", "Michael", "William", "David", "Richard", "Jo
 # Titles before a name
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora")
 
-MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}\b"
-SECRET = (r"(?<=\b(?:token|secret|password|passwd|api_key|apikey|access_key) ?[=:] ?[\"']?)[A-Za-z0-9+/_-]{8,256}"
-          r"|\b(?=[0-9a-f]*[0-9])[0-9a-f]{32,128}\b|\b(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,64}\b")
+KEYWORD = r"(?:token|secret|password|passwd|api_key|apikey|access_key) ?[=:] ?[\"']?"
+TITLE = rf"(?:{'|'.join(TITLES)})\.? "
+MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}\b"
+SECRET = (rf"\b(?=[tspa]){KEYWORD}[A-Za-z0-9+/_-]{{8,256}}"
+          r"|\b(?=[a-f]{0,31}[0-9])[0-9a-f]{32,128}\b|\b(?=[spgA])(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,64}\b")
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 CARD = r"(?<![\d+])\d(?:[ -]?\d){12,18}(?![\d])"
 PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)"
          r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
 NUMBER = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-NAME = (rf"(?<=\b(?:{'|'.join(TITLES)})\.? )\p{{Lu}}[\p{{L}}'-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'-]{{1,40}})?"
-        rf"|\b(?:{'|'.join(FEMALE + MALE)}) \p{{Lu}}[\p{{L}}'-]{{1,40}}")
+WORDS = r"\p{Lu}[\p{L}'-]{1,40}"
+NAME = (rf"\b(?=[A-Z]){TITLE}{WORDS}(?: {WORDS})?|\b(?=[A-Z])(?:{'|'.join(FEMALE + MALE)}) {WORDS}")
 KINDS = (("mail", MAIL), ("secret", SECRET), ("ip", IP), ("number", NUMBER), ("iban", IBAN), ("card", CARD),
          ("phone", PHONE), ("name", NAME))
 PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
+# every entity has a digit, an @, a keyword, a title or a known first name
+HINT = rf"[0-9@]|\b(?=[A-Z])(?:{'|'.join((*TITLES, *FEMALE, *MALE))})\b|\b(?=[tspa]){KEYWORD}"
 ROUNDS = 4
 
 
@@ -67,7 +71,7 @@ def kind_of(m: Column) -> Column:
             .when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
             .when(m.rlike(r"^[+(\d][-+() .\d]*$") & (digits < 20), "phone")
             .when(m.rlike(rf"^(?:{IBAN})$"), "iban")
-            .when(m.rlike(r"^\p{Lu}[\p{L}'-]*(?: \p{Lu}[\p{L}'-]*)?$") & (F.length(m) < 32), "name")
+            .when(m.rlike(rf"^(?:{NAME})$"), "name")
             .otherwise("secret"))
 
 
@@ -162,18 +166,24 @@ def surrogate(m: Column, kind: Column, key: str) -> Column:
     head, tail = F.substr(m, F.lit(1), at), F.substr(m, at + 1)
     country = F.regexp_extract(m, r"^\+\d{1,3}(?=\D)", 0)       # a phone number keeps its country code
     local = F.substr(m, F.length(country) + 1)
-    hexadecimal = m.rlike("^[0-9a-f]+$")
+    keyword = F.regexp_extract(m, rf"^{KEYWORD}", 0)             # a secret keeps what names it, a name its title
+    value = F.substr(m, F.length(keyword) + 1)
+    title = F.regexp_extract(m, rf"^{TITLE}", 0)
+    hexadecimal = value.rlike("^[0-9a-f]+$")
     return (F.when(kind == "mail", F.concat(_letters(head, F.lower(head), key, F.lit("mail"), none), tail))
             .when(kind == "ip", _ip(m, key))
             .when(kind == "card", _card(m, key))
             .when(kind == "phone", F.concat(country, _letters(local, local, key, F.lit("phone"), none)))
-            .when(kind == "name", _name(m, key))
-            .otherwise(_letters(m, m, key, F.lit("secret"), hexadecimal)))
+            .when(kind == "name", F.concat(title, _name(F.substr(m, F.length(title) + 1), key)))
+            .when(kind == "secret", F.concat(keyword, _letters(value, value, key, F.lit("secret"), hexadecimal)))
+            .otherwise(_letters(m, m, key, kind, none)))
 
 
 def identity(m: Column, kind: Column) -> Column:
     """What makes two mentions one entity."""
-    return F.when(kind == "mail", F.lower(m)).when(kind.isin("phone", "card"), F.regexp_replace(m, r"\D", "")).otherwise(m)
+    return (F.when(kind == "mail", F.lower(m)).when(kind.isin("phone", "card"), F.regexp_replace(m, r"\D", ""))
+            .when(kind == "secret", F.regexp_replace(m, rf"^{KEYWORD}", ""))
+            .when(kind == "name", F.regexp_replace(m, rf"^{TITLE}", "")).otherwise(m))
 
 
 def _entities(text: Column, key: str) -> Column:
@@ -183,22 +193,23 @@ def _entities(text: Column, key: str) -> Column:
                                                  surrogate(e["original"], e["kind"], key).alias("surrogate")))
 
 
-def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """The input's columns with surrogates in the text, plus ``pii``, the entities in
-    order as array<struct<kind, original, surrogate>>. ``key`` is secret: who holds it
+def replace_pii(docs: DataFrame, key: str, text_col: str = "text", out: str = "pii") -> DataFrame:
+    """The input's columns with surrogates in the text, plus ``out`` (in place of an input
+    column of that name), the entities in order as array<struct<kind, original, surrogate>>. ``key`` is secret: who holds it
     can link surrogates to guesses."""
     text = F.col(text_col)
-    own = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    # most texts hold none: one search decides whether the rest is done
-    x = docs.select(own, F.when(text.rlike(PATTERN), _entities(text, key)).otherwise(
+    names = [c for c in docs.columns if c != out]
+    own = F.struct(*[F.col(c) for c in names]).alias("_row")
+    # most texts hold none: a cheap search for what every entity has comes first
+    x = docs.select(own, F.when(text.rlike(HINT), _entities(text, key)).otherwise(
         F.array().cast("array<struct<kind:string,original:string,surrogate:string>>")).alias("_pii"))
     t, e = F.col(f"_row.`{text_col}`"), F.col("_pii")
     gaps = F.split(t, PATTERN, -1)
     new = F.when(F.size(e) == 0, t).otherwise(F.array_join(F.transform(
         gaps, lambda g, i: F.concat(g, F.coalesce(F.get(e, i)["surrogate"], F.lit("")))), ""))
     x = x.select("_row", new.alias("_new"), "_pii")
-    return x.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns],
-                    F.col("_pii").alias("pii"))
+    return x.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in names],
+                    F.col("_pii").alias(out))
 
 
 def surrogate_collisions(replaced: DataFrame) -> DataFrame:

@@ -70,12 +70,12 @@ def _rule(x: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", max_lost_percent: int = MAX_LOST_PERCENT,
-                  clean_text: bool = True) -> DataFrame:
-    """The input's columns plus a struct ``quality``: ``n_words, word_chars, n_symbols,
+                  clean_text: bool = True, out: str = "quality") -> DataFrame:
+    """The input's columns plus a struct ``out`` (in place of an input column of that name): ``n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, lines`` and ``removed`` counts, ``lost_percent``,
     ``base_failed``, ``kept`` and, with ``clean_text``, ``clean_text`` (the lines that passed)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    own = F.struct(*[F.col(c) for c in docs.columns if c != out]).alias("row")
     # one projection a step: an array that lambdas read often is made once
     x = docs.select(own, text.alias("t"), _lines(text).alias("lines"))
     x = x.select("row", "t", F.flatten(F.transform("lines", lambda v: v["w"])).alias("w"),
@@ -117,4 +117,4 @@ def quality_rules(docs: DataFrame, text_col: str = "text", max_lost_percent: int
         (F.col("n_lines") - F.col("n_passed")).cast("long").alias("removed"),
         F.col("all_chars").alias("chars"), lost.alias("lost_chars"), failed.alias("base_failed"),
         (~failed & (100 * lost <= max_lost_percent * F.col("all_chars"))).alias("kept"),
-        (F.array_join("passed", "\n") if clean_text else F.lit(None).cast("string")).alias("clean_text")).alias("quality"))
+        (F.array_join("passed", "\n") if clean_text else F.lit(None).cast("string")).alias("clean_text")).alias(out))

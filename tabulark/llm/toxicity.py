@@ -1,27 +1,30 @@
 """Operator 3: toxic spans by a linear-chain conditional random field.
 
 Labelled tokens come from labelled documents: every token of a clean document is
-clean; in a toxic document those tokens are toxic that stand out there against
-the clean documents (counted over all training documents). The field has two
-tags, transition weights and emission weights on features of a token: how it
-divides between toxic and clean training documents, and its hashed character
-prefixes and suffixes (so unseen forms of a word are recognised). It is fitted by
-gradient ascent on the conditional likelihood of a bounded sample of training
-documents (``max_train_docs``, split into sequences of ``TRAIN_WINDOW`` tokens).
+clean; in a toxic document those tokens are toxic whose word or stem (its first 4
+to 8 letters) stands out there against the clean documents. A stem stands out by
+its share of documents and by the different neighbours it occurs between, so that
+the words of a toxic text that was copied often don't. The field has two tags,
+transition weights and emission weights on a token's word and stems. It is fitted
+by gradient ascent on the conditional likelihood.
 
 Whole texts are tagged: forward-backward runs over a batch of documents at a time,
-one vector step per token position. A document's score is its highest marginal
-of the toxic tag; spans are runs of tokens whose marginal reaches ``span_min``.
+one vector step per token position. The marginals of a document aggregate to its
+highest one, the expected number of toxic tokens, of different toxic words, and
+their density; a logistic function of these, fitted with the field, is the score.
+Spans are runs of tokens whose marginal reaches ``span_min``.
 
-Defined results: a null or empty text, or one without letters, scores the prior of
-a start (below any threshold); rows with a null label or id don't train; repeated
-rows score equal; without labels of both kinds every score is 0.
+All fitting uses a bounded sample of the labelled training documents (about
+``max_train_docs`` of each label, by a hash of the text, equal texts once).
+
+Defined results: a null or empty text, or one without letters, gets the score of no
+toxic tokens; rows with a null label or id don't train; repeated rows score equal;
+without labels of both kinds every score is 0.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,44 +32,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 WORD = re.compile(r"[^\W\d_]+")
-HASH_BITS = 15
-MIN_DOCS, MIN_SHARE = 3, 0.9         # a token stands out: in so many toxic documents, of all documents with it
-MAX_TERMS = 20000                    # tokens kept with their counts, most telling first
-MAX_TRAIN_DOCS, TRAIN_WINDOW, EPOCHS = 4000, 64, 120
-BINS = 12
+AGGREGATES = ("highest", "expected", "words", "density", "length")
+STEMS = (4, 5, 6, 7, 8)
+MAX_TRAIN_DOCS, MAX_UNITS = 3000, 8000
+MIN_CONTEXTS, MIN_LIFT, MIN_GAIN = 5, 4.0, 30.0   # a unit stands out by so much
+TRAIN_WINDOW, EPOCHS = 64, 100
+
 
+def units(word: str) -> list[str]:
+    return [word + "$", *(f"^{word[:n]}" for n in STEMS if len(word) >= n)]
 
-def token_counts(train: DataFrame) -> DataFrame:
-    """``token, toxic, clean``: training documents of either label with the token."""
+
+def unit_counts(sample: DataFrame) -> DataFrame:
+    """``unit, toxic, clean``: documents of either label with a word or stem."""
+    w = F.col("w")
+    each = F.array(F.concat(w, F.lit("$")), *[F.when(F.length(w) >= n, F.concat(F.lit("^"), F.substr(w, F.lit(1), F.lit(n)))) for n in STEMS])
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
-    return (train.select("toxic", F.explode(words).alias("token"))
-            .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum(F.lit(1) - F.col("toxic")).alias("clean")))
+    rows = (sample.select("toxic", F.monotonically_increasing_id().alias("row"), F.explode(words).alias("w"))
+            .select("toxic", "row", F.explode(each).alias("unit")).filter("unit is not null").distinct())
+    return rows.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum(F.lit(1) - F.col("toxic")).alias("clean"))
 
 
-def _bin(toxic: float, clean: float, ratio: float) -> int:
-    """Log odds of a token's documents, corrected for the class sizes, in BINS steps."""
-    odds = np.log((toxic + 0.5) / (clean * ratio + 0.5))
-    return int(np.clip(np.floor((odds + 6) / 12 * BINS), 0, BINS - 1))
+def standing_out(toxic: float, clean: float, n1: int, n0: int) -> float:
+    """Log-likelihood gain of a unit's share in toxic over that in clean documents (signed)."""
+    def part(k, n, q):
+        return (k * np.log(q) if k else 0.0) + ((n - k) * np.log(1 - q) if n > k else 0.0)
+    if n1 < toxic or n0 < clean or not toxic + clean:
+        return 0.0
+    q = (toxic + clean) / (n1 + n0)
+    if q >= 1:
+        return 0.0
+    gain = 2 * (part(toxic, n1, toxic / n1) + part(clean, n0, clean / n0) - part(toxic, n1, q) - part(clean, n0, q))
+    return float(gain if toxic / n1 > clean / n0 else -gain)
 
 
 class Field:
-    """The fitted field: emission weights by feature, and log transition weights."""
+    """The fitted field: emission weights by unit, log transition weights, and the
+    logistic aggregation of a document's marginals."""
 
     def __init__(self, terms: dict[str, int]):
-        self.terms = terms
-        self.weights = np.zeros(BINS + 2 + (1 << HASH_BITS))
+        self.terms = terms                       # unit -> weight index; index 0 is the bias
+        self.weights = np.zeros(len(terms) + 1)
         self.start = np.zeros(2)
         self.move = np.zeros((2, 2))
+        self.logit = np.zeros(len(AGGREGATES) + 1)
         self.cache: dict[str, float] = {}
 
     def features(self, word: str) -> list[int]:
-        out = [self.terms.get(word, BINS), BINS + 1]
-        for n in (3, 4, 5):
-            if len(word) >= n:
-                out.append(BINS + 2 + (zlib.crc32(f"<{word[:n]}".encode()) >> (32 - HASH_BITS)))
-                out.append(BINS + 2 + (zlib.crc32(f"{word[-n:]}>".encode()) >> (32 - HASH_BITS)))
-        return out
+        return [0, *(self.terms[u] for u in units(word) if u in self.terms)]
+
+    def score(self, stats: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(stats @ self.logit[:-1] + self.logit[-1], -30, 30)))
 
     def emission(self, word: str) -> float:
         e = self.cache.get(word)
@@ -129,7 +148,7 @@ def fit_field(sequences: list[list[str]], tags: list[np.ndarray], field: Field,
     cols = np.concatenate([np.array(f) for f in feats])
     theta = np.concatenate([field.weights, np.zeros(3)])       # move: stay clean 0, enter, leave, stay toxic
     theta[-3:] = (-3.0, -0.5, 0.0)
-    theta[BINS + 1] = -3.0
+    theta[0] = -4.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     total = mask.sum()
     for epoch in range(1, epochs + 1):
@@ -165,66 +184,128 @@ def fit_field(sequences: list[list[str]], tags: list[np.ndarray], field: Field,
     return field
 
 
+def aggregate(words: list[str], p: np.ndarray) -> list[float]:
+    """The statistics of one document's marginals that make its score."""
+    if len(p) == 0:
+        return [0.0, 0.0, 0.0, np.log(0.05 / 20), 0.0]
+    best: dict[str, float] = {}
+    for i in np.flatnonzero(p > 0.02).tolist():
+        if p[i] > best.get(words[i], 0.0):
+            best[words[i]] = float(p[i])
+    kinds = sum(best.values())
+    return [float(p.max()), float(np.log1p(p.sum())), float(np.log1p(kinds)), float(np.log((kinds + 0.05) / (len(p) + 20))),
+            float(np.log1p(len(p)))]
+
+
+def _tagged(texts: list[str | None], field: Field) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """(row, words, marginals) of all texts, some 16 MB at a time."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size < 1 << 24):
+            size += len(texts[hi] or "")
+            hi += 1
+        words = [WORD.findall((t or "").lower()) for t in texts[lo:hi]]
+        emission = field.emission
+        for i, p in enumerate(marginals([np.array([emission(w) for w in ws]) for ws in words], field)):
+            yield lo + i, words[i], p
+        lo = hi
+
+
+def _stats(field: Field):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [aggregate(w, p) for _, w, p in _tagged(batch.column("text").to_pylist(), field)]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
+    return run
+
+
+def fit_logit(x: np.ndarray, y: np.ndarray, prior: float, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
+    """Logistic regression by Newton steps, either label weighing one half, then moved to the ``prior``."""
+    z = np.column_stack([x, np.ones(len(x))])
+    w = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    theta = np.zeros(z.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ theta, -30, 30)))
+        g = z.T @ (w * (y - p)) - ridge * theta
+        h = (z * (w * p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(theta))
+        step = np.linalg.solve(h, g)
+        theta = theta + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-6:
+            break
+    theta[-1] += np.log(prior / (1 - prior))
+    return theta
+
+
 def fit_toxicity(train: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Field | None:
     """Fit on ``train`` (``text``, ``toxic`` 0 or 1); null without both labels."""
     sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
-    ratio = sizes[1] / sizes[0]
-    odds = F.log((F.col("toxic") + 0.5) / (F.col("clean") * ratio + 0.5))
-    telling = (token_counts(train).filter(F.col("toxic") + F.col("clean") >= MIN_DOCS)
-               .orderBy((F.abs(odds) * F.log1p(F.col("toxic") + F.col("clean"))).desc(), "token").limit(MAX_TERMS).collect())
-    terms = {r["token"]: _bin(r["toxic"], r["clean"], ratio) for r in telling}
-    bad = {r["token"] for r in telling if r["toxic"] >= MIN_DOCS
-           and r["toxic"] >= MIN_SHARE * (r["toxic"] + r["clean"] * ratio)}
-    field = Field(terms)
+    prior = sizes[1] / (sizes[0] + sizes[1])
+    million = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
+    share = F.when(F.col("toxic") == 1, max_train_docs / sizes[1]).otherwise(max_train_docs / sizes[0])
+    sample = materialize(train.filter(million < share * 1_000_000).select("text", F.col("toxic").cast("int").alias("toxic"))
+                         .dropDuplicates(["text"]))
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n1, n0 = n.get(1, 0), n.get(0, 0)
+    if not n0 or not n1:
+        return None
+    odds = F.abs(F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5) * (n0 / n1)))
+    telling = (unit_counts(sample).filter(F.col("toxic") + F.col("clean") >= 4)
+               .orderBy((odds * F.sqrt(F.col("toxic") + F.col("clean"))).desc(), "unit").limit(MAX_UNITS).collect())
+    field = Field({r["unit"]: i + 1 for i, r in enumerate(telling)})
+    high = {r["unit"] for r in telling if standing_out(r["toxic"], r["clean"], n1, n0) >= MIN_GAIN
+            and r["toxic"] / n1 >= MIN_LIFT * r["clean"] / n0}
+    texts = [(r["text"], r["toxic"]) for r in sample.orderBy(F.xxhash64("text")).toLocalIterator()]   # bounded by the sample
+    seen: dict[str, set] = {u: set() for u in high}
+    found = []
+    for text, label in texts:
+        words = WORD.findall(text.lower())
+        hits = [(i, [u for u in units(w) if u in high]) for i, w in enumerate(words)] if label else []
+        found.append((words, [(i, us) for i, us in hits if us]))
+        for i, us in found[-1][1]:
+            near = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
+            for u in us:
+                if len(seen[u]) < MIN_CONTEXTS:
+                    seen[u].add(near)
+    bad = {u for u, c in seen.items() if len(c) >= MIN_CONTEXTS}
     sequences, tags = [], []
-    for label in (0, 1):
-        sample = (train.filter(F.col("toxic") == label).select("text").orderBy(F.xxhash64("text"), "text")
-                  .limit(max_train_docs // 2).toLocalIterator())
-        for r in sample:
-            words = WORD.findall(r["text"].lower())
-            hit = np.array([w in bad for w in words], float) if label else np.zeros(len(words))
-            starts = list(range(0, len(words), TRAIN_WINDOW))
-            if label:                                # windows with toxic tokens, and one without
-                held = [s for s in starts if hit[s:s + TRAIN_WINDOW].any()]
-                starts = held[:6] + [s for s in starts if s not in held][:1]
-            else:
-                starts = starts[:2]
-            for s in starts:
-                sequences.append(words[s:s + TRAIN_WINDOW])
-                tags.append(hit[s:s + TRAIN_WINDOW])
+    for words, hits in found:
+        hit = np.zeros(len(words))
+        hit[[i for i, us in hits if any(u in bad for u in us)]] = 1
+        starts = list(range(0, len(words), TRAIN_WINDOW))
+        held = [s for s in starts if hit[s:s + TRAIN_WINDOW].any()]
+        # a document's windows with toxic tokens, and a few others
+        for s in held[:6] + [s for s in starts if s not in held[:6]][:2]:
+            sequences.append(words[s:s + TRAIN_WINDOW])
+            tags.append(hit[s:s + TRAIN_WINDOW])
+    del found, texts
     if not sequences:
         return None
-    return fit_field(sequences, tags, field)
+    fit_field(sequences, tags, field)
+    stats = sample.mapInArrow(_stats(field), "toxic int, x array<double>").toPandas()
+    field.logit = fit_logit(np.array(stats["x"].to_list()), stats["toxic"].to_numpy(), prior)
+    field.cache.clear()
+    return field
 
 
 def _score(field: Field | None, span_min: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 1 << 24):
-                    size += len(texts[hi] or "")
-                    hi += 1
-                part = texts[lo:hi]
-                score, spans = [0.0] * len(part), [[] for _ in part]
-                if field is not None:
-                    emission = field.emission
-                    emits = [np.array([emission(w) for w in WORD.findall((t or "").lower())]) for t in part]
-                    probs = marginals(emits, field)
-                    for i, p in enumerate(probs):
-                        if len(p):
-                            score[i] = float(p.max())
-                            if score[i] >= span_min:
-                                spans[i] = _spans(part[i], p, span_min)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(score, pa.float64()),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                    names=["doc_id", "score", "spans"])
-                lo = hi
+            score, spans = np.zeros(len(texts)), [[] for _ in texts]
+            if field is not None:
+                x = np.zeros((len(texts), len(AGGREGATES)))
+                for i, words, p in _tagged(texts, field):
+                    x[i] = aggregate(words, p)
+                    if len(p) and p.max() >= span_min:
+                        spans[i] = _spans(texts[i], p, span_min)
+                score = field.score(x)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(score, pa.float64()),
+                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                names=["doc_id", "score", "spans"])
     return run
 
 
