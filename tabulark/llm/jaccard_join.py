@@ -59,6 +59,8 @@ EXTRA = 0.15                   # slack for dropped signatures, as a share of the
 CELLS = 128                    # cells of a sketch
 BLOCK_MEMBERS = 2048           # members of a large group compared at once
 BIN_MEMBERS = 20_000           # members of small groups handed to one call
+HELD_PAIRS = 500_000           # pairs a call holds before it makes them distinct
+DENSE, ROUNDS = 200, 4         # groups this large on average are tested by few against all again, so often
 BROADCAST_NODES = 200_000      # ids sent to all tasks at most (8 bytes each)
 NULL_BASE = 1 << 62            # nodes of rows without an id
 _SEG, _ELEM = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
@@ -321,7 +323,7 @@ def _open_pairs(percent: int):
         node, n, comp, own, i, j = (pdf[c].to_numpy() for c in ("node", "n", "component", "own", "i", "j"))
         keys = pdf[["gid", "i", "j"]].to_numpy()
         st = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
-        found = []
+        found, held = [], 0
         for lo, hi in zip(st, np.append(st[1:], len(node))):
             at = np.arange(lo, hi)
             x, y = at[own[at] == i[lo]], at[own[at] == j[lo]]
@@ -330,6 +332,10 @@ def _open_pairs(percent: int):
                 ok = ok[_may_link(cells[r][None, :], cells[ok], n[r], n[ok], percent)]
                 if len(ok):
                     found.append(np.stack([np.minimum(node[r], node[ok]), np.maximum(node[r], node[ok])], 1))
+                    held += len(ok)
+            if held > HELD_PAIRS:                          # groups share most of their pairs
+                found = [np.unique(np.concatenate(found), axis=0)]
+                held = 0
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
     return run
@@ -401,10 +407,17 @@ class _Join:
                    .select("gid", F.col("a").alias("node")))
         return pairs, materialize(members)
 
-    def few_against_all(self, members: DataFrame) -> DataFrame:
+    def still_split(self, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+        """The members of groups with several components, and the mean size of the groups they are in."""
+        at = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        groups = at.groupBy("gid").agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+        row = groups.agg(F.sum(F.col("k") * F.col("k")).alias("kk"), F.sum("k").alias("k")).first()
+        return members.join(groups.select("gid"), "gid"), (row["kk"] / row["k"] if row["k"] else 0.0)
+
+    def few_against_all(self, members: DataFrame, turn: int = 0) -> DataFrame:
         """Three members of every group, each with all others."""
         centres = members.groupBy("gid").agg(F.array(*[
-            F.min_by("node", F.xxhash64(F.lit(i), "node")) for i in (1, 2, 3)]).alias("c"))
+            F.min_by("node", F.xxhash64(F.lit(3 * turn + i), "node")) for i in (1, 2, 3)]).alias("c"))
         return members.join(centres, "gid").select("node", F.explode(F.array_distinct("c")).alias("b")).select(F.col("node").alias("a"), "b")
 
     def all_against_all(self, members: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -464,6 +477,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs, members = j.meet()
     links = j.verified(pairs.union(j.few_against_all(members)))
     labels = components(links)
+    for turn in range(1, ROUNDS):
+        split, mean = j.still_split(members, labels)
+        if mean < DENSE:                                          # large groups of near copies: connect them first
+            break
+        links = links.union(j.verified(j.few_against_all(split, turn)))
+        labels = components(links)
     more = j.verified(j.all_against_all(members, labels))         # members of a group not connected yet
     if more.limit(1).count():
         labels = components(links.select("a", "b").union(more.select("a", "b")))
