@@ -10,11 +10,14 @@ Gaussian random projection.
 
 from __future__ import annotations
 
+import importlib
+import json
 import math
 import time
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
@@ -66,6 +69,13 @@ def _argmax(arr: Column) -> Column:
 
 def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
     """``prediction`` and ``probability`` (array, or null) for every row."""
+    if "scale" in fitted.extra:
+        plain = Fitted(fitted.name, fitted.kind, fitted.model, fitted.num_classes, fitted.features_col,
+                       {k: v for k, v in fitted.extra.items() if k != "scale"})
+        scaled = scale_vector(df.withColumn("_raw", F.col(fitted.features_col)), fitted.extra["scale"], fitted.features_col)
+        out = predict(plain, scaled)
+        return out.select(*[F.col("_raw").alias(c) if c == fitted.features_col else F.col(c) for c in df.columns],
+                          "prediction", "probability")
     cols = df.columns
     if fitted.kind == "spark":
         out = fitted.model.transform(df)
@@ -161,18 +171,15 @@ def rff_params(num_features: int, n_components: int = 100, gamma: float | None =
 
 
 def rff_features(df: DataFrame, params: dict, input_col: str = "features", output_col: str = "rff") -> DataFrame:
-    """Apply the feature map as native expressions (one flattened literal matrix)."""
-    w, b, d = params["w"], params["b"], params["d"]
-    n_comp = len(b)
-    flat = F.array(*[F.lit(float(v)) for v in w.reshape(-1)])
-    offs = F.array(*[F.lit(float(v)) for v in b])
-    x = vector_to_array(F.col(input_col), "float64")
-    scale = math.sqrt(2.0 / n_comp)
-    z = F.transform(F.sequence(F.lit(0), F.lit(n_comp - 1)), lambda j: F.lit(scale) * F.cos(
-        F.aggregate(F.sequence(F.lit(0), F.lit(d - 1)), F.lit(0.0),
-                    lambda s, i: s + F.element_at(flat, j * d + i + 1) * F.element_at(x, i + 1))
-        + F.element_at(offs, j + 1)))
-    return df.withColumn(output_col, array_to_vector(z))
+    """Apply the feature map, one matrix product for each Arrow batch."""
+    w, b = np.asarray(params["w"]), np.asarray(params["b"])
+    scale = math.sqrt(2.0 / len(b))
+
+    @F.pandas_udf("array<double>")
+    def mapped(x: pd.Series) -> pd.Series:
+        return pd.Series(list(scale * np.cos(np.stack(x.to_list()) @ w.T + b))) if len(x) else pd.Series([], dtype=object)
+
+    return df.withColumn(output_col, array_to_vector(mapped(vector_to_array(F.col(input_col), "float64"))))
 
 
 def fit_svm(train: DataFrame, num_features: int, num_classes: int, n_components: int = 100,
@@ -243,7 +250,8 @@ def fit_adaboost(train: DataFrame, num_classes: int, n_estimators: int = 50, lea
     k = max(2, num_classes)
     data = train.select("features", "label").withColumn("w", F.lit(1.0))
     n = data.count()
-    data = data.withColumn("w", F.lit(1.0 / n))
+    data = data.withColumn("w", F.lit(1.0 / n)).persist()
+    held = [data]
     stumps, alphas = [], []
     for m in range(n_estimators):
         stump = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=seed + m).fit(data)
@@ -268,6 +276,12 @@ def fit_adaboost(train: DataFrame, num_classes: int, n_estimators: int = 50, lea
         data = data.withColumn("w", F.col("w") / F.lit(tot))
         if (m + 1) % checkpoint_every == 0:
             data = materialize(data)   # cut the growing lineage
+        data = data.persist()          # read by three jobs of the next round
+        held.append(data)
+        if len(held) > 2:
+            held.pop(0).unpersist()
+    for h in held:
+        h.unpersist()
     return Fitted("AdaBoost", "adaboost", None, num_classes, extra={"stumps": stumps, "alphas": alphas, "k": k})
 
 
@@ -317,12 +331,14 @@ def kmeans_cluster(df: DataFrame, k: int = 3, seed: int = SEED, n_init: int = 10
     """k-means with ``n_init`` seeded restarts, the lowest training cost kept;
     row labels in ``cluster``."""
     best = None
+    df = df.persist()
     for i in range(n_init):
         model = KMeans(k=k, seed=seed + i, featuresCol=features_col, predictionCol="cluster").fit(df)
         cost = model.summary.trainingCost
         if best is None or cost < best[1]:
             best = (model, cost)
     model = best[0]
+    df.unpersist()
     return {"model": model, "cost": best[1], "labels": model.transform(df)}
 
 
@@ -424,20 +440,123 @@ def fit_named(name: str, train: DataFrame, num_features: int, num_classes: int,
     raise ValueError(f"unknown model {name}")
 
 
+class TrainingRun(dict):
+    """Results by model name; ``best`` is the first with the highest weighted F1."""
+
+    best: str | None = None
+
+
+def fit_vector_scale(df: DataFrame, features_col: str = "features") -> dict:
+    """Mean and population deviation of every vector component (0 counts as 1)."""
+    row = df.select(Summarizer.metrics("count", "mean", "variance").summary(F.col(features_col)).alias("s")).first()["s"]
+    n = row["count"]
+    std = np.sqrt(np.asarray(row["variance"].toArray()) * (n - 1) / n) if n > 1 else np.zeros(len(row["mean"]))
+    return {"mean": [float(v) for v in row["mean"].toArray()], "std": [float(v) or 1.0 for v in std]}
+
+
+def scale_vector(df: DataFrame, scale: dict, features_col: str = "features") -> DataFrame:
+    """(x - mean) / std on a vector column."""
+    mean, std = (F.array(*[F.lit(v) for v in scale[k]]) for k in ("mean", "std"))
+    x = vector_to_array(F.col(features_col), "float64")
+    return df.withColumn(features_col, array_to_vector(F.zip_with(F.zip_with(x, mean, lambda a, m: a - m), std, lambda a, s: a / s)))
+
+
+def oversampled(train: DataFrame, id_col: str | None = None, seed: int = SEED) -> DataFrame:
+    """The train side with every class raised to the majority's count (F5): ``label, features``."""
+    from .neighbors import smote_oversample
+    if id_col is None:
+        id_col = "_id"
+        train = train.withColumn(id_col, F.monotonically_increasing_id())
+    train = materialize(train.select(id_col, "label", "features"))
+    return smote_oversample(train, "label", "features", id_col, seed=seed).select(
+        "label", array_to_vector(F.col("features")).alias("features"))
+
+
+def fit_chain(name: str, train: DataFrame, num_features: int, num_classes: int, id_col: str | None = None,
+              oversample: bool = True, seed: int = SEED) -> Fitted:
+    """Oversample (train rows only), scale, classify; ``predict`` scales by the fitted values."""
+    data = oversampled(train, id_col, seed) if oversample else train.select("label", "features")
+    scale = fit_vector_scale(data)
+    fitted = fit_named(name, scale_vector(data, scale), num_features, num_classes, seed)
+    fitted.extra["scale"] = scale
+    return fitted
+
+
 def train_all_models(train: DataFrame, test: DataFrame, num_features: int, num_classes: int,
-                     names: list[str] = MODEL_NAMES, seed: int = SEED) -> dict:
-    """fit each model on the (cached) train frame, time it, predict the test
-    frame, compute the full metrics; returns {name: {model, metrics, predictions,
-    train_time}}; the best is the first with the highest weighted F1."""
-    from ..operators.evaluate import metrics_dict
-    train = train.persist()
+                     names: list[str] = MODEL_NAMES, seed: int = SEED, id_col: str | None = None,
+                     oversample: bool = True) -> TrainingRun:
+    """every model as a chain of oversampling (train rows only), scaling and the
+    classifier, timed, applied to the test rows, with the full metrics:
+    {name: {model, metrics, predictions, train_time}} and ``best``. The oversampled and
+    scaled rows are the same for all models, so they are made once; each model's time
+    includes them, as the reference's does."""
+    from ..operators.evaluate import best_model, metrics_dict
+    t0 = time.time()
+    data = oversampled(train, id_col, seed) if oversample else train.select("label", "features")
+    data = materialize(data)
+    scale = fit_vector_scale(data)
+    data = materialize(scale_vector(data, scale)).persist()
+    prepared = time.time() - t0
     test = test.persist()
-    results = {}
+    results = TrainingRun()
     for name in names:
         t0 = time.time()
-        fitted = fit_named(name, train, num_features, num_classes, seed)
-        took = time.time() - t0
+        fitted = fit_named(name, data, num_features, num_classes, seed)
+        fitted.extra["scale"] = scale
+        took = time.time() - t0 + prepared
         pred = predict(fitted, test).persist()
         metrics = metrics_dict(pred, "label", "prediction", "probability")
-        results[name] = {"model": fitted, "metrics": metrics, "predictions": pred, "train_time": took}
+        pred.unpersist()
+        results[name] = {"model": fitted, "metrics": metrics, "predictions": predict(fitted, test), "train_time": took}
+    data.unpersist()
+    test.unpersist()
+    results.best = best_model(results) if results else None
     return results
+
+
+# ----------------------------------------------------------------------------
+# Any fitted model, with its scaling
+# ----------------------------------------------------------------------------
+def _plain(v):
+    if isinstance(v, np.ndarray):
+        return v.tolist()
+    if isinstance(v, dict):
+        return {k: _plain(x) for k, x in v.items()}
+    if isinstance(v, (list, tuple)):
+        return [_plain(x) for x in v]
+    return v.item() if isinstance(v, np.generic) else v
+
+
+def save_fitted(fitted: Fitted, path: str) -> None:
+    """Parameters as one JSON row in ``fitted``, Spark models beside it."""
+    from pyspark.sql import SparkSession
+    parts = {"model": fitted.model} if fitted.model is not None else {}
+    parts.update({f"stump{i}": m for i, m in enumerate(fitted.extra.get("stumps", []))})
+    for name, model in parts.items():
+        model.write().overwrite().save(f"{path}/{name}")
+    meta = {"name": fitted.name, "kind": fitted.kind, "num_classes": fitted.num_classes, "features_col": fitted.features_col,
+            "parts": {n: f"{type(m).__module__}.{type(m).__name__}" for n, m in parts.items()},
+            "extra": {k: _plain(v) for k, v in fitted.extra.items() if k != "stumps"}}
+    SparkSession.active().createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").parquet(f"{path}/fitted")
+
+
+def is_fitted(spark, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(f"{path}/fitted")
+    except AnalysisException:
+        return False
+    return True
+
+
+def load_fitted(spark, path: str) -> Fitted:
+    meta = json.loads(spark.read.parquet(f"{path}/fitted").first()["meta"])
+    parts = {}
+    for name, cls in meta["parts"].items():
+        module, _, kind = cls.rpartition(".")
+        parts[name] = getattr(importlib.import_module(module), kind).load(f"{path}/{name}")
+    extra = meta["extra"]
+    stumps = [parts[f"stump{i}"] for i in range(sum(n.startswith("stump") for n in parts))]
+    if stumps:
+        extra["stumps"] = stumps
+    return Fitted(meta["name"], meta["kind"], parts.get("model"), meta["num_classes"], meta["features_col"], extra)

@@ -52,7 +52,7 @@ def prepare_matrix(df: DataFrame, label: str, keys: list[str] | None = None,
     y = F.col(label)
     if isinstance(df.schema[label].dataType, T.StringType):
         enc = fit_label_encoders(work, [label])
-        classes = enc.classes[label]
+        classes = enc.classes.get(label)      # null beyond the bound: the code table stays distributed
         work = apply_label_encoders(work, enc)
         y = F.col(label)
     out = work.select(*keys, y.cast("double").alias("label"), *cols)

@@ -22,26 +22,39 @@ MAX_CLASSES = 1_000
 
 # ---------------------------------------------------------------------- G1
 def class_labels(df: DataFrame, label: str, pred: str) -> list:
-    """Sorted union of the classes seen in either column (sklearn ``unique_labels``)."""
-    vals = (df.select(F.col(label).alias("c")).where(F.col("c").isNotNull())
-            .union(df.select(F.col(pred).alias("c")).where(F.col("c").isNotNull()))
-            .distinct().limit(MAX_CLASSES + 1).collect())
-    if len(vals) > MAX_CLASSES:
-        raise ValueError("too many classes")
-    return sorted(r["c"] for r in vals)
+    """Sorted union of the classes seen in either column (sklearn ``unique_labels``).
+    Nulls, if any, are a class of their own, the last one."""
+    a, b = _common(df, label, pred)
+    vals = df.select(a.alias("c")).union(df.select(b.alias("c"))).distinct().collect()   # one row per class
+    seen = [r["c"] for r in vals]
+    return sorted(c for c in seen if c is not None) + [None] * (None in seen)
+
+
+def _common(df: DataFrame, label: str, pred: str) -> tuple[Column, Column]:
+    """Label and prediction in one type: as they are, as doubles, or as text."""
+    kinds = [df.schema[c].dataType for c in (label, pred)]
+    if kinds[0] == kinds[1]:
+        return F.col(label), F.col(pred)
+    kind = "double" if all(isinstance(k, T.NumericType) for k in kinds) else "string"
+    return F.col(label).cast(kind), F.col(pred).cast(kind)
+
+
+def _pair_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
+    a, b = _common(df, label, pred)
+    return df.groupBy(a.alias("label"), b.alias("prediction")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list | None = None) -> DataFrame:
     """G1: (label, prediction, n) for every pair of the class union, zeros kept."""
     spark = df.sparkSession
     classes = classes if classes is not None else class_labels(df, label, pred)
-    counts = df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"))
-    ltype = df.schema[label].dataType
-    scaffold = spark.createDataFrame([(a, b) for a in classes for b in classes],
-                                     T.StructType([T.StructField("label", ltype),
-                                                   T.StructField("prediction", ltype)]))
-    return (F.broadcast(scaffold).join(counts, ["label", "prediction"], "left")
+    counts = _pair_counts(df, label, pred)
+    ltype = counts.schema["label"].dataType
+    one = spark.createDataFrame([(c,) for c in classes], T.StructType([T.StructField("c", ltype)]))
+    scaffold = one.select(F.col("c").alias("label"), F.explode(F.array(*[
+        F.lit(c).cast(ltype) for c in classes]) if classes else F.array().cast(T.ArrayType(ltype))).alias("prediction"))
+    hit = counts.select(F.col("label").alias("_l"), F.col("prediction").alias("_p"), "n")
+    return (scaffold.join(hit, scaffold["label"].eqNullSafe(hit["_l"]) & scaffold["prediction"].eqNullSafe(hit["_p"]), "left")
             .select("label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
@@ -72,7 +85,7 @@ def fit_confusion(df: DataFrame, label: str, pred: str) -> Confusion:
     classes = class_labels(df, label, pred)
     idx = {c: i for i, c in enumerate(classes)}
     m = [[0] * len(classes) for _ in classes]
-    for r in confusion_matrix(df, label, pred, classes).collect():
+    for r in _pair_counts(df, label, pred).collect():
         m[idx[r["label"]]][idx[r["prediction"]]] = r["n"]
     return Confusion(classes, m)
 
@@ -197,8 +210,7 @@ def roc_auc(df: DataFrame, label: str, probability: str | None = None, pred: str
     more classes; with no probabilities, the binary AUC of the hard predictions
     (the reference's fallback); None when it cannot be computed."""
     if classes is None:
-        classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct()
-                         .limit(MAX_CLASSES + 1).collect())
+        classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().collect())
     if len(classes) < 2:
         return None
     if probability is None:
@@ -209,8 +221,9 @@ def roc_auc(df: DataFrame, label: str, probability: str | None = None, pred: str
     if len(classes) == 2:
         return binary_auc(df, F.col(label) == F.lit(classes[1]), prob.getItem(1))
     long = df.select(F.posexplode(prob).alias("_k", "_s"), F.col(label).alias("_y"))
-    mapping = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(i), F.lit(c))])
-    long = long.where(F.col("_k") < len(classes)).withColumn("_cls", F.element_at(mapping, F.col("_k")))
+    names = df.sparkSession.createDataFrame(list(enumerate(classes)), T.StructType([
+        T.StructField("_k", T.IntegerType()), T.StructField("_cls", df.schema[label].dataType)]))
+    long = long.join(F.broadcast(names) if len(classes) <= MAX_CLASSES else names, "_k")
     per = auc_by_group(long, "_k", F.col("_y") == F.col("_cls"), F.col("_s"))
     vals = [per.get(i) for i in range(len(classes))]
     if any(v is None for v in vals):
@@ -246,21 +259,17 @@ def residual_histogram(df: DataFrame, y: str, p: str, bins: int = 20) -> DataFra
     return histogram(residual_table(df, y, p), ["residual"], bins)
 
 
-def probability_histogram(df: DataFrame, label: str, probability: str, bins: int = 20,
-                          max_classes: int = 10) -> DataFrame:
-    """For each class i (at most 10), the distribution of p(class i) among rows
+def probability_histogram(df: DataFrame, label: str, probability: str, bins: int = 20) -> DataFrame:
+    """For each class i, the distribution of p(class i) among rows
     of that class, ``bins`` bins over its own range: (class, bin, bin_start, bin_end, count)."""
     from .explore import grouped_histogram
-    classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct()
-                     .limit(MAX_CLASSES + 1).collect())
-    if len(classes) > max_classes:
-        return df.sparkSession.createDataFrame(
-            [], "class string, bin int, bin_start double, bin_end double, count bigint")
-    mapping = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
+    classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().collect())
+    places = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(classes)], T.StructType([
+        T.StructField("_c", df.schema[label].dataType), T.StructField("_i", T.IntegerType())]))
     own = (df.select(F.col(label).alias("_y"), F.col(probability).alias("_p"))
-           .where(F.col("_y").isNotNull())
+           .join(F.broadcast(places) if len(classes) <= MAX_CLASSES else places, F.col("_y") == F.col("_c"))
            .select(F.col("_y").cast("string").alias("class"),
-                   F.element_at(F.col("_p"), F.element_at(mapping, F.col("_y")) + 1).cast("double").alias("p")))
+                   F.get(F.col("_p"), F.col("_i")).cast("double").alias("p")))
     return grouped_histogram(own, "class", "p", bins)
 
 

@@ -443,7 +443,7 @@ def test_hypotheses(df: DataFrame, label: str = "final_result", clicks: str = "s
     work = df
     if isinstance(df.schema[label].dataType, T.StringType):
         enc = fit_label_encoders(df, [label])
-        work = apply_label_encoders(df.withColumn("_y", F.col(label)), _rename(enc, label, "_y"))
+        work = apply_label_encoders(df.withColumn("_y", F.col(label)), enc.renamed(label, "_y"))
     else:
         work = df.withColumn("_y", F.col(label))
     rows = []
@@ -465,11 +465,6 @@ def test_hypotheses(df: DataFrame, label: str = "final_result", clicks: str = "s
                                        "significant boolean, interpretation string")
 
 
-def _rename(enc, old: str, new: str):
-    from .features import Encoders
-    return Encoders({new: enc.classes[old]}, enc.null_text)
-
-
 def ks_normality(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Kolmogorov-Smirnov against N(mean, sample std) per column with > 3 values
     (Spark's distributed KS test): (variable, ks_statistic, ks_p_value, normal_ks)."""

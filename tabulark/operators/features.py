@@ -30,9 +30,8 @@ ENCODE_COLUMNS_REQ2 = ["final_result", "age_band", "imd_band", "disability", "ge
                        "highest_education", "code_module", "assessment_type", "semester"]
 LEVEL_LABELS = ["Low", "Medium", "High"]
 NULL_TEXT = "nan"
-MAX_LITERAL_CODES = 5_000
+MAX_LITERAL_CODES = 100
 MAX_CODES = 100_000
-GROUP_FEATURE_MIN_ROWS = 1000
 AGE_MAPPINGS = [
     {"0-35": 1, "35-55": 2, "55<=": 3},
     {"Under 35": 1, "35-55": 2, "Over 55": 3},
@@ -123,6 +122,11 @@ class Encoders:
     null_text: str = NULL_TEXT
     tables: dict = field(default_factory=dict)      # column -> (value, code) frame, large columns
 
+    def renamed(self, old: str, new: str) -> Encoders:
+        """One column's codes under another name."""
+        pick = lambda d: {new: d[old]} if old in d else {}
+        return Encoders(pick(self.classes), self.null_text, pick(self.tables))
+
 
 def _as_text(c: str, null_text: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(null_text))
@@ -306,6 +310,8 @@ def preprocessing_report(spark, cleaning: dict, numeric_features: list[str]) ->
 # ------------------------------------------------------------------ D20, D21
 def fit_one_hot(df: DataFrame, cols: list[str]) -> dict:
     enc = fit_label_encoders(df, cols, null_text="__null__")
+    if enc.tables:
+        raise ValueError(f"one-hot would add over {MAX_CODES} columns each for {sorted(enc.tables)}; encode them as codes")
     return {c: [v for v in labels if v != "__null__"] for c, labels in enc.classes.items()}
 
 
@@ -335,7 +341,7 @@ def fit_ordinal_map(df: DataFrame, col: str, mappings: list[dict] = AGE_MAPPINGS
 
 
 def ordinal_map(df: DataFrame, col: str, out_col: str | None = None,
-                mappings: list[dict] = AGE_MAPPINGS) -> DataFrame:
+                mappings: list[dict] = AGE_MAPPINGS, max_codes: int = MAX_CODES) -> DataFrame:
     """Ordinal codes from the first matching dictionary, else alphabetical
     codes with nulls as ``Unknown``."""
     out_col = out_col or f"{col}_ord"
@@ -343,11 +349,9 @@ def ordinal_map(df: DataFrame, col: str, out_col: str | None = None,
     if m is not None:
         lookup = F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(float(v)))])
         return df.withColumn(out_col, F.element_at(lookup, F.col(col).cast("string")))
-    enc = fit_label_encoders(df, [col], null_text="Unknown")
-    labels = enc.classes[col]
-    lookup = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(float(i)))])
-    return df.withColumn(out_col, F.element_at(lookup, F.coalesce(F.col(col).cast("string"),
-                                                                  F.lit("Unknown"))))
+    enc = fit_label_encoders(df, [col], null_text="Unknown", max_codes=max_codes)
+    coded = apply_label_encoders(df.withColumn(out_col, F.col(col)), enc.renamed(col, out_col))
+    return coded.withColumn(out_col, F.col(out_col).cast("double"))
 
 
 # ------------------------------------------------------------------------ D19
@@ -365,9 +369,10 @@ def create_features(df: DataFrame, requirement: int = 1, advanced: bool = True,
                     label: str = "final_result", clicks: str = "sum_click",
                     module: str = "code_module", code_col: str = "code_presentation",
                     encode_columns: list[str] | None = None, rows: int | None = None,
-                    drop_leaky: bool = False) -> FeatureResult:
-    """The reference's feature order. ``rows`` (known from cleaning) avoids a
-    count for the > 1000-row rule. ``drop_leaky=True`` removes the outcome flags
+                    drop_leaky: bool = False, group_min_rows: int | None = None) -> FeatureResult:
+    """The reference's feature order. Group features are always built, unless
+    ``group_min_rows`` (1000 in the reference) is given and ``rows`` (counted if not
+    known from cleaning) doesn't exceed it. ``drop_leaky=True`` removes the outcome flags
     that restate the label (quirk Q2); the default reproduces the reference."""
     out, tparams = add_time_features(df, code_col, advanced)
     if label in out.columns:
@@ -393,8 +398,8 @@ def create_features(df: DataFrame, requirement: int = 1, advanced: bool = True,
                                  socioeconomic_score("imd_band", "highest_education"))
         if "num_of_prev_attempts" in out.columns:
             out = out.select("*", *attempt_flags("num_of_prev_attempts"))
-        n = rows if rows is not None else out.count()
-        if n > GROUP_FEATURE_MIN_ROWS and module in out.columns and clicks in out.columns:
+        many = group_min_rows is None or (rows if rows is not None else out.count()) > group_min_rows
+        if many and module in out.columns and clicks in out.columns:
             out = group_mean_feature(out, module, clicks, "module_avg_clicks")
             out = out.withColumn("clicks_vs_module_avg", diff_from_group_mean(clicks, "module_avg_clicks"))
     if drop_leaky:

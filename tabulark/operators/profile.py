@@ -102,6 +102,23 @@ def profile(df: DataFrame) -> Profile:
     return p
 
 
+def column_profile(df: DataFrame) -> Profile:
+    """Nulls and constancy per column from one plain aggregate (no shuffle of rows);
+    copies are not counted (``distinct_rows`` 0)."""
+    work = _nan_to_null(df)
+    cols = work.columns
+    row = work.agg(F.count(F.lit(1)).alias("__rows"), *[a for i, c in enumerate(cols) for a in (
+        F.count_if(F.col(c).isNull()).alias(f"n{i}"),
+        (F.min(F.col(c)) == F.max(F.col(c)) if isinstance(work.schema[c].dataType, ATOMIC) else F.lit(False)).alias(f"k{i}"))]).first()
+    rows = int(row["__rows"])
+    p = Profile(rows, 0)
+    for i, c in enumerate(cols):
+        nn = int(row[f"n{i}"] or 0)
+        p.nulls[c], p.non_null[c] = nn, rows - nn
+        p.constant[c] = (rows - nn == 0) or bool(row[f"k{i}"])
+    return p
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """(column_name, null_count, null_fraction) for every column; one aggregation."""
     df = _nan_to_null(df)
@@ -146,14 +163,14 @@ def columns_to_drop(p: Profile, advanced: bool = True, keep: tuple = ("final_res
 
 def drop_all_null_columns(df: DataFrame, p: Profile | None = None) -> DataFrame:
     """C3."""
-    p = p or profile(df)
+    p = p or column_profile(df)
     return df.drop(*all_null_columns(p))
 
 
 def drop_constant_columns(df: DataFrame, keep: tuple = ("final_result",),
                           p: Profile | None = None) -> DataFrame:
     """C4: drop columns with <= 1 distinct non-null value, except ``keep``."""
-    p = p or profile(df)
+    p = p or column_profile(df)
     return df.drop(*constant_columns(p, keep))
 
 

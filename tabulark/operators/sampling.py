@@ -46,8 +46,7 @@ def first_n(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[s
 
     ``n`` is an int (same for every group) or ``{group_tuple: n}``. The rule is a
     per-group lexicographic threshold on (levels, tie_keys), found with exact
-    order statistics; rows are never sorted or gathered. Only rows tied with the
-    threshold on every level are ranked, by a window over that handful of rows.
+    order statistics; rows are never sorted or gathered.
     Rows with a null level are never selected."""
     by = list(by or [])
     spark = df.sparkSession
@@ -82,25 +81,21 @@ def first_n(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[s
             value, below = vals[(g, 0, need[g] - 1)]
             thresholds[g].append(value)
             need[g] -= below
-    key_thr, dup_need = {}, {}
+    key_thr, dup_need, cut = {}, {}, False       # cut: some copies of the last key stay out
     if partial:
-        # rows tied with the thresholds on every level: rank them by key and read
-        # off the key of the last row taken and how many of its exact copies to take
+        # rows tied with the thresholds on every level: distinct keys with one hash, so
+        # few, whatever the number of their copies; the last key taken may be cut
         tied = _restrict(valid, by, partial, thresholds, lv, spark)
-        w = Window.partitionBy(*by).orderBy(*tie_keys) if by else Window.orderBy(*tie_keys)
-        need_df = spark.createDataFrame(
-            [tuple(g) + (int(need[g]),) for g in partial],
-            T.StructType([work.schema[c] for c in by] + [T.StructField("_need", T.LongType())]))
-        ranked = _attach(tied, need_df, by).withColumn("_rn", F.row_number().over(w))
-        head = ranked.where(F.col("_rn") <= F.col("_need")).select(*by, *tie_keys, "_rn", "_need").collect()
         per = {}
-        for r in head:
-            per.setdefault(tuple(r[c] for c in by), []).append(r)
+        for r in tied.groupBy(*by, *tie_keys).agg(F.count(F.lit(1)).alias("_c")).collect():
+            per.setdefault(tuple(r[c] for c in by), []).append(([r[k] for k in tie_keys], r["_c"]))
         for g in partial:
-            rows_g = sorted(per[g], key=lambda r: r["_rn"])
-            last = [rows_g[-1][k] for k in tie_keys]
-            key_thr[g] = last
-            dup_need[g] = sum(1 for r in rows_g if [r[k] for k in tie_keys] == last)
+            left = need[g]
+            for key, copies in sorted(per[g], key=lambda x: [(v is not None, v) for v in x[0]]):
+                key_thr[g], dup_need[g], cut = key, left, cut or left < copies
+                if left <= copies:
+                    break
+                left -= copies
     valid.unpersist()
     fields = ([work.schema[c] for c in by]
               + [T.StructField("_all", T.BooleanType()), T.StructField("_m", T.LongType())]
@@ -118,6 +113,8 @@ def first_n(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[s
         valid_row = e if valid_row is None else valid_row & e
     full_eq = F.coalesce(~F.col("_all") & valid_row & _all_eq(cols, tcols), F.lit(False))
     strict = F.coalesce(F.col("_all") | (valid_row & _lexi_lt(cols, tcols)), F.lit(False)) & valid_row
+    if not cut:                                   # one pass decides every row
+        return joined.select(*df.columns, (strict | (full_eq & valid_row)).alias(flag))
     # every row but exact copies of the threshold row: decided by the strict rule
     main = joined.where(~full_eq).select(*df.columns, strict.alias(flag))
     # exact copies of the threshold row (a handful): take the first _m of them

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 
 def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, name: str, sf_dir: str | None = None,
@@ -58,11 +58,11 @@ def read_csv_latin1(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def read_activity_csv(spark, base_path: str, filename: str = "Full_vle_train.csv", schema=None):
-    return read_csv_latin1(spark, os.path.join(base_path, filename), schema)
+    return read_csv_latin1(spark, f"{base_path.rstrip('/')}/{filename}", schema)
 
 
 def read_assessment_csv(spark, base_path: str, filename: str = "Full_assess_train.csv", schema=None):
-    return read_csv_latin1(spark, os.path.join(base_path, filename), schema)
+    return read_csv_latin1(spark, f"{base_path.rstrip('/')}/{filename}", schema)
 
 
 def write_table(df: DataFrame, name_or_path: str, if_exists: str = "replace", fmt: str = "parquet",
@@ -80,17 +80,26 @@ def write_table(df: DataFrame, name_or_path: str, if_exists: str = "replace", fm
         df.write.mode(mode).format(fmt).options(**options).save(name_or_path)
 
 
-def write_report_csv(df: DataFrame, path: str) -> None:
-    """A report-sized frame as one CSV file with a header (row-level output
-    should go to parquet with ``write_table``)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report_csv(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """A report-sized frame as one CSV file with a header; row-level output takes
+    ``one_file=False`` and is written by all tasks."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def save_model(model, path: str) -> None:
-    """A7."""
-    model.write().overwrite().save(path)
+    """A Spark ML model, or any model of ``ml.models`` with its scaling and encoders."""
+    from ..ml.models import Fitted, save_fitted
+    if isinstance(model, Fitted):
+        save_fitted(model, path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str):
+def load_model(path: str, spark=None):
+    """What ``save_model`` wrote."""
     from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)
+    from pyspark.sql import SparkSession
+
+    from ..ml.models import is_fitted, load_fitted
+    spark = spark or SparkSession.active()
+    return load_fitted(spark, path) if is_fitted(spark, path) else PipelineModel.load(path)
