@@ -110,11 +110,14 @@ def quality_rules(docs: DataFrame, text_col: str = "text", max_lost_percent: int
                  chars(F.col("passed")).alias("left_chars"), F.transform("passed", lambda v: v["line"]).alias("passed"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     lost = F.col("all_chars") - F.col("left_chars")
-    return x.select("row.*", F.struct(
+    # exploding the one struct keeps a later filter on it from being pushed below, where
+    # it would make every array above anew
+    return x.select("row", F.explode(F.array(F.struct(
         F.col("n_words").cast("long").alias("n_words"), F.col("word_chars").cast("long").alias("word_chars"),
         _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"), F.col("n_dup_lines").cast("long").alias("n_dup_lines"),
         F.col("n_repeat_words").alias("n_repeat_words"), F.col("n_lines").cast("long").alias("lines"),
         (F.col("n_lines") - F.col("n_passed")).cast("long").alias("removed"),
         F.col("all_chars").alias("chars"), lost.alias("lost_chars"), failed.alias("base_failed"),
         (~failed & (100 * lost <= max_lost_percent * F.col("all_chars"))).alias("kept"),
-        (F.array_join("passed", "\n") if clean_text else F.lit(None).cast("string")).alias("clean_text")).alias(out))
+        (F.array_join("passed", "\n") if clean_text else F.lit(None).cast("string")).alias("clean_text")))).alias("judgement")).select(
+            *[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != out], F.col("judgement").alias(out))
