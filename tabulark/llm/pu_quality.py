@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .blocks import PAD, text_blocks
 from .shingles import word_hashes
 
-MAX_ROWS, BINS, EPOCHS = 20000, 10, 300
+MAX_ROWS, BINS, EPOCHS = 20000, 24, 300
 THRESHOLDS = 200
 MIN_POSITIVE_SHARE = 0.2            # thresholds above which fewer positives lie don't count for the prior
 BLOCK_BYTES = 1 << 18
@@ -97,6 +97,17 @@ def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(_featured, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, x array<float>")
 
 
+def bin_edges(x: np.ndarray) -> np.ndarray:
+    """Per feature 0 (most shares are 0 in most texts) and quantiles of the values above it,
+    half by rows and half by different values."""
+    out = []
+    for f in range(x.shape[1]):
+        v = x[:, f][x[:, f] > 0]
+        v = np.concatenate([v, np.unique(v)]) if len(v) else np.ones(1)
+        out.append(np.append(0.0, np.quantile(v, np.arange(1, BINS - 1) / (BINS - 1))))
+    return np.stack(out)
+
+
 class Scorer:
     """Additive model on quantile bins: ``weights[f, bin]`` and an intercept."""
 
@@ -139,7 +150,8 @@ def first_classifier(edges: np.ndarray, pos: np.ndarray, unl: np.ndarray) -> Sco
     """Logistic regression of positives against unlabelled rows, either weighing one half."""
     model = Scorer(edges)
     p, u = model.bins(pos), model.bins(unl)
-    return _train(model, p, u, lambda a, b: (-_sigmoid(-a) / len(a) / 2, _sigmoid(b) / len(b) / 2))
+    # stopped early: positives it knows by heart would make the prior look smaller
+    return _train(model, p, u, lambda a, b: (-_sigmoid(-a) / len(a) / 2, _sigmoid(b) / len(b) / 2), epochs=60)
 
 
 def nn_pu(edges: np.ndarray, pos: np.ndarray, unl: np.ndarray, prior: float) -> Scorer:
@@ -194,8 +206,7 @@ def fit_pu(featured: DataFrame, max_rows: int = MAX_ROWS) -> tuple[Scorer | None
     pos, unl = sample(featured.filter("positive")), sample(featured)
     if len(pos) == 0:
         return None, 0.5
-    both = np.concatenate([pos, unl])
-    edges = np.stack([np.quantile(np.concatenate([both[:, f], np.unique(both[:, f])]), np.arange(1, BINS) / BINS) for f in range(N_FEATURES)])
+    edges = bin_edges(np.concatenate([pos, unl]))
     first = first_classifier(edges, pos, unl)
     scored = score_rows(featured.select("x", "positive"), first)
     slot = F.least(F.floor(F.col("score") * THRESHOLDS), F.lit(THRESHOLDS - 1)).cast("int").alias("slot")
