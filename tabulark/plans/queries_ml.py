@@ -134,15 +134,19 @@ def _fit_predict(spark, sf, name):
     return _checked(M.predict(fitted, test))
 
 
-def _checked(pred, least: float = 0.5):
-    """One row: rows predicted, and whether accuracy passes a bar and probabilities sum to 1."""
+def _checked(pred):
+    """One row: rows predicted, whether every prediction is a known label of the highest
+    probability, and whether probabilities sum to 1 (the labels of ``embeddings`` are not
+    learnable, so accuracy says nothing here; tests hold models against separable data)."""
     total = F.aggregate("probability", F.lit(0.0), lambda a, b: a + b)
     return pred.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                    (F.avg((F.col("label") == F.col("prediction")).cast("double")) >= least).alias("accurate"),
+                    F.coalesce(F.bool_and(F.col("prediction").between(0, 9) & (F.get("probability", F.col("prediction").cast("int"))
+                                                                               >= F.array_max("probability") - 1e-9)),
+                               F.lit(False)).alias("most_likely"),
                     F.coalesce(F.bool_and(F.abs(total - 1) < 1e-6), F.lit(False)).alias("probabilities"))
 
 
-CHECKED = """SELECT CAST(ceil(0.2 * COUNT(*)) AS BIGINT) AS n, TRUE AS accurate, TRUE AS probabilities FROM embeddings"""
+CHECKED = """SELECT CAST(ceil(0.2 * COUNT(*)) AS BIGINT) AS n, TRUE AS most_likely, TRUE AS probabilities FROM embeddings"""
 
 
 for _key, _name in [("train_random_forest", "RandomForest"), ("train_logistic", "LogisticRegression"),
