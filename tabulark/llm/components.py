@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
+BROADCAST_LABELS = 200_000     # rows (16 bytes each) of a label table sent to all tasks at most
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` of every node of an edge, ``component`` the smallest node
     it reaches. Each round takes the least label among the neighbours and then
     jumps to the label's own label, so rounds grow with the logarithm of the
     longest path; rounds are cut with a reliable checkpoint."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-                       .union(edges.select(F.col(b), F.col(a))).filter("u <> v").distinct())
+                       .union(edges.select(F.col(b), F.col(a))).filter("u <> v").distinct().coalesce(parts))
     labels = materialize(both.groupBy("u").agg(F.min("v").alias("m"))
                          .select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
+    # labels of a checked size go to all tasks, which saves the shuffles of every round
+    small = labels.count() <= BROADCAST_LABELS
     while True:
+        if small:
+            labels = F.broadcast(labels)
         near = (both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("component").alias("m")))
-        step = (labels.join(near, labels["node"] == near["u"])
+        step = (near.join(labels, labels["node"] == near["u"])
                 .select("node", F.least("component", "m").alias("component"), F.col("component").alias("old")))
         up = labels.select(F.col("node").alias("root"), F.col("component").alias("up"))
+        up = F.broadcast(up) if small else up
         new = materialize(step.join(up, step["component"] == up["root"], "left")
                           .select("node", F.least("component", F.coalesce("up", "component")).alias("component"), "old"))
         changed = new.filter("component <> old").limit(1).count()

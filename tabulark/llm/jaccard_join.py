@@ -23,7 +23,7 @@ A pair is first held against a sketch (how many elements fall into each of 128
 cells; the differences bound the symmetric difference from below, so only certain
 misses go) and then verified exactly on its shingles. ``jaccard_links`` verifies all
 pairs; ``jaccard_components`` needs connections only: of a large group it tests all
-members against three of them, and then just the pairs still unconnected.
+members against one of them, and then just the pairs still unconnected.
 
 Defined results: null and empty texts have the empty set and link with nothing; a
 null ``doc_id`` makes a document of its own, reported with a null component unless
@@ -58,7 +58,7 @@ SMALL_GROUP = 8                # signatures of more sets are dropped where slack
 EXTRA = 0.15                   # slack for dropped signatures, as a share of the allowances needed
 CELLS = 128                    # cells of a sketch
 BLOCK_MEMBERS = 2048           # members of a large group compared at once
-BIN_MEMBERS = 20_000           # members of small groups handed to one call
+BIN_MEMBERS = 100_000          # members of small groups handed to one call
 HELD_PAIRS = 500_000           # pairs a call holds before it makes them distinct
 DENSE, ROUNDS = 200, 4         # groups this large on average are tested by few against all again, so often
 BROADCAST_NODES = 200_000      # ids sent to all tasks at most (8 bytes each)
@@ -415,10 +415,9 @@ class _Join:
         return members.join(groups.select("gid"), "gid"), (row["kk"] / row["k"] if row["k"] else 0.0)
 
     def few_against_all(self, members: DataFrame, turn: int = 0) -> DataFrame:
-        """Three members of every group, each with all others."""
-        centres = members.groupBy("gid").agg(F.array(*[
-            F.min_by("node", F.xxhash64(F.lit(3 * turn + i), "node")) for i in (1, 2, 3)]).alias("c"))
-        return members.join(centres, "gid").select("node", F.explode(F.array_distinct("c")).alias("b")).select(F.col("node").alias("a"), "b")
+        """One member of every group with all others."""
+        centres = members.groupBy("gid").agg(F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("b"))
+        return members.join(centres, "gid").select(F.col("node").alias("a"), "b").distinct()
 
     def all_against_all(self, members: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         """Pairs of a group's members in different components that sketches don't rule out, block by block."""
@@ -433,7 +432,7 @@ class _Join:
         cells = self.sketches.select(F.col("rep").alias("node"), "n", "cells")
         met = (other.join(cells, "node").withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
                .select("gid", "i", "j", "own", "node", "component", "n", "cells"))
-        n_bins = int(max(32, -(-left.count() // BIN_MEMBERS)))
+        n_bins = int(max(12, -(-left.count() // BIN_MEMBERS)))
         return (met.groupBy(F.pmod(F.xxhash64("gid", "i", "j"), F.lit(n_bins)).alias("bin"))
                 .applyInPandas(_open_pairs(self.percent), "a long, b long"))
 
@@ -481,7 +480,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         split, mean = j.still_split(members, labels)
         if mean < DENSE:                                          # large groups of near copies: connect them first
             break
-        links = links.union(j.verified(j.few_against_all(split, turn)))
+        links = links.union(j.verified(j.few_against_all(split, turn))).coalesce(
+            int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         labels = components(links)
     more = j.verified(j.all_against_all(members, labels))         # members of a group not connected yet
     if more.limit(1).count():
