@@ -274,6 +274,10 @@ def q_outlier_report(spark, sf):
 
 @register("eda_suite")
 def q_eda_suite(spark, sf):
-    out = X.eda_suite(_act(spark, sf), quick=True, keys=["l_orderkey", "l_linenumber"],
-                      label="o_orderstatus", sample_size=10_000)
-    return out["describe"]
+    """All reports over all rows, stacked as (report, row)."""
+    reports = X.eda_suite(_act(spark, sf), quick=False, keys=["l_orderkey", "l_linenumber"], label="o_orderstatus")
+    stacked = None
+    for name, df in reports.items():
+        one = df.select(F.lit(name).alias("report"), F.to_json(F.struct(*df.columns)).alias("row"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    return stacked
