@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 MARK = "\u2581"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE = 500_000
+CACHE = 800_000
 BLOCK_CHARS = 1 << 21
 
 
@@ -59,6 +59,16 @@ class Vocabulary:
         self.made = scores if kind != "bpe" else {p for p in scores if len(p) == 1 or self._merged(p) == [p]}
         self.endings = {p[i:] for p in self.made for i in range(len(p))}
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def __reduce__(self):
+        # a worker that has had tasks of this vocabulary keeps it, with the words it knows
+        return _kept, (self.digest(), self.scores, self.byte_ids, self.unknown, self.special, self.kind)
+
+    def digest(self) -> str:
+        import hashlib
+        return hashlib.sha256(repr((sorted(self.scores.items()), sorted(self.byte_ids.items()), self.unknown,
+                                    sorted(self.special), self.kind)).encode()).hexdigest()
 
     @classmethod
     def from_sentencepiece(cls, model: bytes, kind: str = "bpe") -> Vocabulary:
@@ -159,11 +169,17 @@ class Vocabulary:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         docs = [None if t is None else self.marked(t) for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-            self.lossy.clear()
-        cache, known = self.cache, self.known
-        new = [w for w in set().union(*(d for d in docs if d)) if w not in cache]
+        if len(self.cache) > CACHE // 2:         # the words not seen for a while go
+            self.older, self.cache = self.cache, {}
+        cache, older, known = self.cache, self.older, self.known
+        new = []
+        for w in set().union(*(d for d in docs if d)):
+            if w not in cache:
+                ids = older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    cache[w] = ids
         new.sort()
         for w, pieces in self.split(new):
             try:
@@ -191,6 +207,16 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
+_KEPT: dict[str, Vocabulary] = {}
+
+
+def _kept(digest: str, *args) -> Vocabulary:
+    if digest not in _KEPT:
+        _KEPT.clear()
+        _KEPT[digest] = Vocabulary(*args)
+    return _KEPT[digest]
+
+
 def _blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list]]:
     values = batch.column(column).to_pylist()
     lo = 0
