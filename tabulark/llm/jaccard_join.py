@@ -23,12 +23,14 @@ A pair is first held against a sketch (how many elements fall into each of 128
 cells; the differences bound the symmetric difference from below, so only certain
 misses go) and then verified exactly on its shingles. ``jaccard_links`` verifies all
 pairs; ``jaccard_components`` needs connections only: of a large group it tests all
-members against one of them, and then just the pairs still unconnected.
+members against one of them, and then just the pairs still unconnected. All of this
+works on numbered sets; ids come in at the end, where sets that stand under one id
+are joined by edges of their own.
 
 Defined results: null and empty texts have the empty set and link with nothing; a
 null ``doc_id`` makes a document of its own, reported with a null component unless
-it reaches an id; rows with one id are one document; an empty table gives an empty
-one. Two sets whose 64-bit shingle hashes collide would be taken for closer than
+it reaches an id; rows with one id are one document, also if their texts differ;
+an empty table gives an empty one. Two sets whose 64-bit shingle hashes collide would be taken for closer than
 they are (chance about 2**-64 per shingle pair).
 """
 
@@ -62,7 +64,6 @@ BIN_MEMBERS = 100_000          # members of small groups handed to one call
 HELD_PAIRS = 500_000           # pairs a call holds before it makes them distinct
 DENSE, ROUNDS = 200, 4         # groups this large on average are tested by few against all again, so often
 BROADCAST_NODES = 200_000      # ids sent to all tasks at most (8 bytes each)
-NULL_BASE = 1 << 62            # nodes of rows without an id
 _SEG, _ELEM = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 
 
@@ -196,14 +197,14 @@ def _may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, perc
 
 # ---- tasks ---------------------------------------------------------------------
 
-def _describe(words: int):
+def _describe(words: int, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, data, off in text_blocks(batches, "text", BLOCK_BYTES):
             h, cut = shingle_sets(data, off, words)
             d1, d2 = digests(h, cut)
             cells = pa.array([r.tobytes() for r in sketches(h, cut)], pa.binary())
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(np.diff(cut)), pa.array(d1), pa.array(d2), cells],
-                                             names=["doc_id", "n_shingles", "d1", "d2", "cells"])
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in kept), pa.array(np.diff(cut)), pa.array(d1), pa.array(d2), cells],
+                                             names=[*kept, "n_shingles", "d1", "d2", "cells"])
     return run
 
 
@@ -347,9 +348,9 @@ def _zip_sets(words: int):
         for block, data, off in text_blocks(batches, "text", BLOCK_BYTES):
             d1, d2 = digests(*shingle_sets(data, off, words))
             yield pa.RecordBatch.from_arrays(
-                [block.column("node"), pa.array(d1), pa.array(d2),
+                [pa.array(d1), pa.array(d2),
                  pa.array([z.compress(data[off[i]:off[i + 1]].tobytes()) for i in range(len(off) - 1)], pa.binary())],
-                names=["node", "d1", "d2", "z"])
+                names=["d1", "d2", "z"])
     return run
 
 
@@ -377,19 +378,26 @@ def _verify(words: int, percent: int):
 # ---- operator ------------------------------------------------------------------
 
 class _Join:
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
+    """The sets of a table, numbered (``rep``), and the steps that connect them."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, row_col: str | None = None):
         if not 50 < percent <= 100:
             raise ValueError("percent must be over 50 and at most 100")
         self.words, self.percent = words, percent
         text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-        self.rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text)
-        described = self.rows.mapInArrow(_describe(words), "doc_id long, n_shingles long, d1 long, d2 long, cells binary")
-        # a row without an id is a node of its own, told from others by its set
-        node = F.coalesce("doc_id", F.lit(NULL_BASE) + F.shiftrightunsigned(F.xxhash64("d1", "d2"), 3))
-        self.docs = materialize(described.withColumn("node", node))
+        doc_id = F.col(id_col).cast("long").alias("doc_id")
+        self.rows = docs.select(doc_id, text)
+        rows, kept, kinds = self.rows, ["doc_id"], "doc_id long"
+        if row_col is not None:
+            rows, kept = docs.select(doc_id, F.col(row_col).alias("row"), text), ["doc_id", "row"]
+            kinds += f", row {docs.schema[row_col].dataType.simpleString()}"
+        self.docs = materialize(rows.mapInArrow(
+            _describe(words, kept), f"{kinds}, n_shingles long, d1 long, d2 long, cells binary"))
+        first = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), *kept)).alias("first")] if row_col is not None else []
         self.classes = materialize(self.docs.filter("n_shingles > 0").groupBy("d1", "d2").agg(
-            F.min("node").alias("rep"), F.first("n_shingles").alias("n"), F.first("cells").alias("cells")))
-        self.sketches = self.classes.groupBy("rep").agg(F.first("n").alias("n"), F.first("cells").alias("cells"))
+            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("cells").alias("cells"), *first)
+            .withColumn("rep", F.monotonically_increasing_id()))
+        self.sketches = self.classes.select("rep", "n", "cells")
 
     def meet(self) -> tuple[DataFrame, DataFrame]:
         """Pairs ``a, b`` of small groups, and the members ``gid, node`` of large groups that can't do without them."""
@@ -444,50 +452,74 @@ class _Join:
         pairs = materialize(pairs.mapInArrow(_sketch_filter(self.percent), "a long, b long"))
         wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-        ids = self.docs.join(F.broadcast(wanted) if few else wanted, "node").select("node", "doc_id", "d1", "d2")
-        reps = ids.join(self.classes, (ids["node"] == self.classes["rep"]) & (ids["d1"] == self.classes["d1"])
-                        & (ids["d2"] == self.classes["d2"]), "left_semi")
-        known = reps.filter("doc_id is not null").select("doc_id").distinct()
+        want = (self.classes.join(F.broadcast(wanted) if few else wanted, self.classes["rep"] == wanted["node"])
+                .select("rep", "d1", "d2", "id"))
+        known = want.filter("id is not null").select(F.col("id").alias("doc_id")).distinct()
         rows = self.rows.join(F.broadcast(known) if few else known, "doc_id", "left_semi")
-        if reps.filter("doc_id is null").limit(1).count():
+        if want.filter("id is null").limit(1).count():
             rows = rows.unionByName(self.rows.filter("doc_id is null"))
-        zipped = (rows.withColumn("node", F.coalesce("doc_id", F.lit(-1))).mapInArrow(
-            _zip_sets(self.words), "node long, d1 long, d2 long, z binary"))
-        sets = (zipped.join(self.classes, ["d1", "d2"]).groupBy("rep").agg(F.min("z").alias("z")))
+        # an id can have several texts: the set of each decides which it is
+        zipped = rows.mapInArrow(_zip_sets(self.words), "d1 long, d2 long, z binary")
+        sets = zipped.groupBy("d1", "d2").agg(F.min("z").alias("z")).join(want, ["d1", "d2"]).select("rep", "z")
         sets = materialize(sets)
         a = sets.select(F.col("rep").alias("a"), F.col("z").alias("za"))
         b = sets.select(F.col("rep").alias("b"), F.col("z").alias("zb"))
         return materialize(pairs.join(a, "a").join(b, "b").mapInArrow(
             _verify(self.words, self.percent), "a long, b long, common long, total long"))
 
+    def connected(self) -> DataFrame:
+        """All sets with the group their texts connect them to: ``d1, d2, id, group`` and, with row keys, ``first``."""
+        pairs, members = self.meet()
+        links = self.verified(pairs.union(self.few_against_all(members)))
+        labels = components(links)
+        for turn in range(1, ROUNDS):
+            split, mean = self.still_split(members, labels)
+            if mean < DENSE:                                      # large groups of near copies: connect them first
+                break
+            links = links.union(self.verified(self.few_against_all(split, turn))).coalesce(
+                int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            labels = components(links)
+        more = self.verified(self.all_against_all(members, labels))   # members of a group not connected yet
+        if more.limit(1).count():
+            labels = components(links.select("a", "b").union(more.select("a", "b")))
+        return (self.classes.drop("n", "cells").join(labels, self.classes["rep"] == labels["node"], "left")
+                .withColumn("group", F.coalesce("component", "rep")).drop("rep", "node", "component"))
+
+    def one_document_an_id(self, sets: DataFrame) -> DataFrame:
+        """``sets`` with the groups joined that share an id."""
+        own = self.docs.filter("n_shingles > 0 and doc_id is not null").select("doc_id", "d1", "d2")
+        several = materialize(own.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("d1", "d2") for f in (F.min, F.max)])
+                              .filter("min_d1 <> max_d1 or min_d2 <> max_d2")
+                              .select("doc_id", (-1 - F.monotonically_increasing_id()).alias("hub")))   # no set has a negative number
+        if not several.limit(1).count():
+            return sets
+        edges = (own.join(several, "doc_id").select("hub", "d1", "d2").distinct()
+                 .join(sets.select("d1", "d2", "group"), ["d1", "d2"]).select(F.col("group").alias("a"), F.col("hub").alias("b")))
+        labels = components(edges)
+        return (sets.join(labels, sets["group"] == labels["node"], "left")
+                .withColumn("group", F.coalesce("component", "group")).drop("node", "component"))
+
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                   percent: int = 80) -> DataFrame:
-    """All links between different sets: ``a, b`` (smallest ids with each set), ``common``, ``total``."""
+    """All links between different sets: ``a, b`` (smallest ids with each set; equal if one id has both, null in ``b``,
+    then in ``a``, for sets without an id), ``common``, ``total``."""
     j = _Join(docs, id_col, text_col, words, percent)
     pairs, members = j.meet()
-    return j.verified(pairs.union(j.all_against_all(members)))
+    links = j.verified(pairs.union(j.all_against_all(members)))
+    for x in ("a", "b"):
+        links = links.join(j.classes.select(F.col("rep").alias(x), F.col("id").alias(f"id_{x}")), x)
+    return links.select(F.least("id_a", "id_b").alias("a"),
+                        F.when(F.col("id_a").isNotNull() & F.col("id_b").isNotNull(), F.greatest("id_a", "id_b")).alias("b"),
+                        "common", "total")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                        percent: int = 80) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id`` (smallest id reachable by links)."""
     j = _Join(docs, id_col, text_col, words, percent)
-    pairs, members = j.meet()
-    links = j.verified(pairs.union(j.few_against_all(members)))
-    labels = components(links)
-    for turn in range(1, ROUNDS):
-        split, mean = j.still_split(members, labels)
-        if mean < DENSE:                                          # large groups of near copies: connect them first
-            break
-        links = links.union(j.verified(j.few_against_all(split, turn))).coalesce(
-            int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        labels = components(links)
-    more = j.verified(j.all_against_all(members, labels))         # members of a group not connected yet
-    if more.limit(1).count():
-        labels = components(links.select("a", "b").union(more.select("a", "b")))
-    out = (j.docs.join(j.classes.select("d1", "d2", "rep"), ["d1", "d2"], "left")
-           .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-           .withColumn("c", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))))
+    sets = materialize(j.one_document_an_id(j.connected()))
+    least = sets.groupBy("group").agg(F.min("id").alias("least"))
+    out = j.docs.join(sets.join(least, "group").select("d1", "d2", "least"), ["d1", "d2"], "left")
     # rows with one id are one document; a null id stays null unless it reaches one
-    return out.select("doc_id", "n_shingles", F.when(F.col("c") < NULL_BASE, F.col("c")).alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

@@ -104,3 +104,18 @@ def test_signatures_are_complete():
 
 def test_empty_table(spark):
     assert J.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_one_id_with_different_texts(spark):
+    """Every text of an id is compared, whichever partition it comes from."""
+    rnd = random.Random(5)
+    a, b, c = ([f"{x}{rnd.randrange(10 ** 6)}" for _ in range(60)] for x in "abc")
+    near = lambda w: " ".join([*w[:-1], "changed"])
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (7, " ".join(c)), (9, near(a)), (10, near(b)), (11, near(c)), (3, " ".join(b)),
+            (12, "alone in this corpus of few texts"), (7, ""), (None, near(c) + " and more")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = {(r.doc_id, r.n_shingles): r.component_id for r in J.jaccard_components(df).collect()}
+        assert got == {(7, 56): 3, (9, 56): 3, (10, 56): 3, (11, 56): 3, (3, 56): 3, (12, 3): 12, (7, 0): 7, (None, 58): 3}
+        links = {(r.a, r.b, r.common) for r in J.jaccard_links(df.filter("doc_id is not null")).collect()}
+        assert links == {(7, 9, 55), (3, 10, 55), (7, 11, 55)}
