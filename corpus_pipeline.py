@@ -2,24 +2,26 @@
 
 Every stage gets all documents its predecessor kept, as a table written and reread
 in between; all but the last return the columns of documents, with ``n_chars``
-following the text. Rows without a text fail the quality rules and go there; rows
-without an id pass the near-copy stage, as no id says which of a group to keep; an
-empty table stays empty.
+following the text. Rows without a text fail the quality rules and go there. Near
+copies are told apart by row, not by id: of repeated rows one stays, of copies
+without an id one stays if none has an id, and different texts of one id all stay.
+An empty table stays empty.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm.jaccard_join import jaccard_components
+from tabulark.llm.jaccard_join import jaccard_keepers
 from tabulark.llm.packing import pack_lengths
 from tabulark.llm.pii import replace_pii
 from tabulark.llm.quality_rules import quality_rules
 from tabulark.llm.suffix_dedup import suffix_dedup
-from tabulark.session import ensure_checkpoint_dir
+from tabulark.session import ensure_checkpoint_dir, materialize
 
 PII_KEY = "corpus-release-1"
 # The near-copy join, passages and lengths need whole-corpus state that SQL can't express
@@ -46,11 +48,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(judged, docs, F.when(F.col("_quality.removed") == 0, F.col("text")).otherwise(F.col("_quality.clean_text")))
 
 
+def _with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key for each row that stays the same in every job: the row's place in the files it is
+    read from or, for other tables, a number written with the rows."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        return docs.withColumn(name, F.struct(place["file_path"].alias("file"), place["row_index"].alias("at")))
+    except AnalysisException:
+        return materialize(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    groups = jaccard_components(docs)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies one row stays: the smallest id's, then the first without an id."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    keyed = _with_row_key(docs, key)
+    stay = jaccard_keepers(keyed, key).withColumnRenamed("row", key)
+    return keyed.join(stay, key, "left_semi").select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,8 +29,8 @@ are joined by edges of their own.
 
 Defined results: null and empty texts have the empty set and link with nothing; a
 null ``doc_id`` makes a document of its own, reported with a null component unless
-it reaches an id; rows with one id are one document, also if their texts differ;
-an empty table gives an empty one. Two sets whose 64-bit shingle hashes collide would be taken for closer than
+it reaches an id; rows with one id are one document, also if their texts differ
+(``jaccard_keepers`` goes by the texts alone); an empty table gives an empty one. Two sets whose 64-bit shingle hashes collide would be taken for closer than
 they are (chance about 2**-64 per shingle pair).
 """
 
@@ -523,3 +523,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = j.docs.join(sets.join(least, "group").select("d1", "d2", "least"), ["d1", "d2"], "left")
     # rows with one id are one document; a null id stays null unless it reaches one
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def jaccard_keepers(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """``row``: the keys of the rows that stay if one row of each group of near copies does, the one with the
+    smallest id (null after all ids), then row key. Groups go by texts alone, so the different texts of one id
+    stay; rows with an empty set all stay. ``row_col`` must be unique and the same whenever ``docs`` is read."""
+    j = _Join(docs, id_col, text_col, words, percent, row_col)
+    best = j.connected().groupBy("group").agg(F.min("first").alias("first"))
+    return best.select("first.row").union(j.docs.filter("n_shingles = 0").select("row"))

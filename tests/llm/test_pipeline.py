@@ -63,3 +63,23 @@ def test_run(spark, tmp_path):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_by_row(spark, tmp_path):
+    """One row of each group stays, also of repeated rows and rows without an id; other texts of an id stay."""
+    rnd = random.Random(3)
+    a, b, c, d, e = (" ".join(f"{x}{rnd.randrange(10 ** 6)}" for _ in range(60)) for x in "abcde")
+    near = lambda t: t + " more"
+    rows = [(5, a), (5, a), (5, a), (None, near(a)),                # repeated rows, and a copy without an id
+            (None, b), (None, near(b)), (None, b),                  # no id at all
+            (8, c), (8, d), (9, near(d)), (4, near(c)),             # two texts of one id
+            (None, e), (6, e), (2, near(e)), (None, e), (None, ""), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t), 7, "x") for i, t in rows], SCHEMA)
+    df.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    for docs in (spark.read.parquet(str(tmp_path / "documents.parquet")), df):
+        got = pipeline.near_copies(spark, docs, str(tmp_path))
+        assert got.dtypes == df.dtypes
+        kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+        unnamed = [t for i, t in kept if i is None]
+        assert len(unnamed) == 3 and unnamed.count("") == 2 and set(unnamed) & {b, near(b)}
+        assert [k for k in kept if k[0] is not None] == sorted([(5, a), (4, near(c)), (8, d), (2, near(e))], key=str)
