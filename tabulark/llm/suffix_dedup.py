@@ -16,10 +16,14 @@ bucket of minimizers is then one block of the suffix order:
   cover positions, and compare by the ranks at i+d, j+d. Neighbours in that order
   which agree on ``length`` bytes are repeats.
 
-Blocks are sized by bytes, so memory stays bounded; a copy group is collapsed in
-the map task before the shuffle (a context whose equal is in a smaller document
-of the same batch is settled there). Nothing is collected on the driver but one
-byte count.
+Blocks are sized by bytes; a copy group is collapsed in the map task before the
+shuffle (a context whose equal is in a smaller document of the same batch is
+settled there). A minimizer with very many different contexts (the edges of a
+passage that stands in a large share of all documents, a very frequent string)
+would be one block however many there are, so its suffixes travel one by one and
+are dealt by their own ``length`` bytes. Which minimizers are that heavy is
+estimated from a sample; it decides the way to a block, not the result. The driver
+gets one byte count and the hashes of at most ``HEAVY_AT_MOST`` heavy minimizers.
 
 Defined results: a null text is an empty one; texts below ``length`` bytes lose
 nothing; a null ``doc_id`` ranks after all ids; rows with one id never remove each
@@ -47,6 +51,12 @@ BLOCK_BYTES = 1 << 18        # text per minimizer pass (fits a core's cache)
 FLUSH_BYTES = 1 << 23        # text per map-side collapse
 BUCKET_BYTES = 1 << 24       # text whose contexts share a bucket
 WINDOWS_AT_ONCE = 1 << 20
+HEAVY = 1 << 18              # different contexts of a minimizer that is dealt suffix by suffix
+HEAVY_AT_MOST = 100_000
+SAMPLE_BYTES = 1 << 28       # text sampled for heavy minimizers, if that finds SAMPLE_HITS of each
+SAMPLE_HITS = 50
+SURE_BYTES = 1 << 24         # texts this long are always in the sample
+CONTEXT_BYTES = 16           # text a context stands for, at least, in the size of a map-side collapse
 
 
 def _view(data: np.ndarray, kind: str, spare: int = 8) -> np.ndarray:
@@ -98,6 +108,23 @@ def contexts(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray
     return row, p, last - p + length, a[p], h[a[p]]
 
 
+def _apart(data: np.ndarray, found: tuple[np.ndarray, ...], heavy: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """``contexts`` with those of heavy minimizers cut into single suffixes, hashed by their own bytes."""
+    row, p, ln, a, h = found
+    if len(heavy) == 0 or len(h) == 0:
+        return found
+    hot = heavy[np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)] == h
+    if not hot.any():
+        return found
+    many = ln[hot] - length + 1
+    at = ragged(p[hot], many)
+    size = np.full(len(at), length, np.int64)
+    out = [np.concatenate([x[~hot], y]) for x, y in zip(found, (
+        np.repeat(row[hot], many), at, size, np.repeat(a[hot], many), _content_hash(data, at, size, length)))]
+    order = np.lexsort((out[1], out[0]))                       # rows together, as before
+    return tuple(x[order] for x in out)
+
+
 def _content_hash(data: np.ndarray, p: np.ndarray, ln: np.ndarray, longest: int) -> np.ndarray:
     w, out = _view(data, "<u8"), mix64(ln.astype(U64))
     for j in range((longest + 7) // 8):
@@ -178,7 +205,7 @@ def _flush(parts, length, n_buckets):
                        ln[i].astype("u1"), ao[i].astype("u1"), data[ragged(p[i], ln[i])], gd[g], gt[g], gs[g], ge[g]])
 
 
-def _map_contexts(length: int, n_buckets: int):
+def _map_contexts(length: int, n_buckets: int, heavy: np.ndarray = np.zeros(0, U64)):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(parts):
             out = list(_flush(parts, length, n_buckets))
@@ -191,8 +218,9 @@ def _map_contexts(length: int, n_buckets: int):
         for block, data, off in text_blocks(batches, "text", BLOCK_BYTES):
             ids = block.column("ord").to_numpy()
             ths = block.column("th").to_numpy()
-            parts.append((ids, ths, data, off, contexts(data, off, length)))
-            held += len(data)
+            found = _apart(data, contexts(data, off, length), heavy, length)
+            parts.append((ids, ths, data, off, found))
+            held += max(len(data), CONTEXT_BYTES * len(found[0]))
             if held >= FLUSH_BYTES:
                 yield from rows(parts)
                 parts, held = [], 0
@@ -201,6 +229,32 @@ def _map_contexts(length: int, n_buckets: int):
     return run
 
 
+def _sampled_contexts(length: int):
+    """The different contexts of a sample: minimizer's hash, content's hash, rows of the corpus a sampled row stands for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, data, off in text_blocks(batches, "text", BLOCK_BYTES):
+            row, p, ln, _, h = contexts(data, off, length)
+            c = _content_hash(data, p, ln, 2 * length - GRAM)
+            o = np.lexsort((c, h))
+            o = o[np.append(True, (h[o][1:] != h[o][:-1]) | (c[o][1:] != c[o][:-1]))[:len(o)]]
+            yield pa.RecordBatch.from_arrays([pa.array(h[o].view(np.int64)), pa.array(c[o].view(np.int64)),
+                                              block.column("weight").take(pa.array(row[o]))], names=["h", "c", "weight"])
+    return run
+
+
+def heavy_minimizers(rows: DataFrame, total: int, length: int) -> np.ndarray:
+    """Sorted hashes of the minimizers estimated to have ``HEAVY`` different contexts or more."""
+    if total < HEAVY:                                          # no text has more contexts than bytes
+        return np.zeros(0, U64)
+    share = min(1.0, max(SAMPLE_HITS / HEAVY, min(1 / 64, SAMPLE_BYTES / total)))
+    drawn = rows.select("text", F.least(F.lit(1.0), F.greatest(F.lit(share), F.octet_length("text") / SURE_BYTES)).alias("q"))
+    drawn = drawn.filter(F.rand(7) < F.col("q")).select("text", (1 / F.col("q")).alias("weight"))
+    found = (drawn.mapInArrow(_sampled_contexts(length), "h long, c long, weight double")
+             .groupBy("h", "c").agg(F.max("weight").alias("weight")).groupBy("h").agg(F.sum("weight").alias("n"))
+             .filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "h").limit(HEAVY_AT_MOST).collect())
+    return np.sort(np.array([r["h"] for r in found], np.int64).view(U64))
+
+
 def _cover_table() -> list[list[int]]:
     return [[next(d for d in range(PERIOD) if (a + d) % PERIOD in COVER and (b + d) % PERIOD in COVER)
              for b in range(PERIOD)] for a in range(PERIOD)]
@@ -427,7 +481,7 @@ def repeated_ranges(rows: DataFrame, length: int = 50, bucket_bytes: int = BUCKE
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = int(max(32, -(-total // bucket_bytes)))
     packed = rows.select("ord", "th", "text").mapInArrow(
-        _map_contexts(length, n_buckets), "bucket int, blob binary")
+        _map_contexts(length, n_buckets, heavy_minimizers(rows, total, length)), "bucket int, blob binary")
     return packed.groupBy("bucket").applyInPandas(_sort_bucket(length), "ord long, th long, s long, e long")
 
 

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabulark.llm import suffix_dedup as S
@@ -101,3 +102,36 @@ def test_kept_text_is_valid(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.rest.doc_id: r for r in S.suffix_dedup(df).collect()}
     assert out[1].kept_text == t and out[2].kept_text.endswith("tail")
+
+
+@pytest.mark.parametrize("seed", [1, 6])
+def test_heavy_minimizers_match_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(S, "HEAVY", 4)
+    rows = corpus(seed)
+    df = S.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(S.heavy_minimizers(df, 10 ** 5, 50)) > 5
+    assert got(spark, rows) == brute(rows)
+
+
+def test_heavy_minimizer_is_spread(spark, monkeypatch):
+    """The edges of a passage in all documents are one minimizer's contexts, but not one block's."""
+    monkeypatch.setattr(S, "HEAVY", 1000, raising=False)
+    rnd = random.Random(2)
+    passage = "".join(rnd.choices("klmnopqrst", k=120))
+    edge = lambda: "".join(rnd.choices("abcdefghij", k=60))
+    rows = [(i, edge() + passage + edge()) for i in range(2000)]
+    packed, plain = [], S._map_contexts
+
+    def watched(*args):
+        task = plain(*args)
+        texts = pa.RecordBatch.from_arrays([pa.array(list(range(2000))), pa.array([0] * 2000), pa.array([t.encode() for _, t in rows])],
+                                           names=["ord", "th", "text"])
+        for out in task(iter([texts])):
+            packed.extend(zip(out.column("bucket").to_pylist(), out.column("blob").to_pylist()))
+        return task
+    monkeypatch.setattr(S, "_map_contexts", watched)
+    assert got(spark, rows) == brute(rows)
+    size = {}
+    for b, blob in packed:
+        size[b] = size.get(b, 0) + len(S.unpack(blob)[4])
+    assert len(size) == 32 and max(size.values()) < 3 * sum(size.values()) / 32
