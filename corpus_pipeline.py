@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tabulark.llm.jaccard_join import jaccard_keepers
 from tabulark.llm.packing import pack_lengths
-from tabulark.llm.pii import replace_pii
+from tabulark.llm.pii import check_surrogates, replace_pii
 from tabulark.llm.quality_rules import quality_rules
 from tabulark.llm.suffix_dedup import suffix_dedup
 from tabulark.session import ensure_checkpoint_dir, materialize
@@ -75,8 +75,8 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data gets surrogates."""
-    safe = replace_pii(docs, key=PII_KEY, out="_pii")
+    """Personal data gets surrogates; the stage fails if entities and surrogates are not one to one."""
+    safe = check_surrogates(replace_pii(docs, key=PII_KEY, out="_pii"), "_pii")
     return _with_text(safe, docs, F.col("text"))
 
 

@@ -9,12 +9,15 @@ digits, so
 * one entity gets one surrogate wherever it occurs (coreference), also in another
   format (phone and card numbers count by their digits, mail addresses in any case);
 * two entities never share a surrogate (distinctness): the permutation maps each
-  format onto itself one to one. ``surrogate_collisions`` checks that over a corpus
-  by one pre-aggregated count;
+  format onto itself one to one, words of a name that are no listed first name stay
+  off that list, and lower-case secrets that are not hexadecimal stay so;
+* ``check_surrogates`` checks both over a corpus by pre-aggregated counts and fails
+  if an entity has two surrogates or a surrogate two entities; op7_pii and the
+  pipeline run it;
 * first names map to first names of the same gender by a keyed permutation of
   that list; card numbers that satisfy the Luhn check still do.
 
-Nothing is shuffled: a text is split at its entities and put together again in
+Replacing shuffles nothing (the check shuffles distinct entities): a text is split at its entities and put together again in
 one projection, whatever the size of a source or a group of copies.
 
 Defined results: a null text stays null with no entities; empty texts stay empty;
@@ -60,6 +63,9 @@ PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
 # every entity has a digit, an @, a keyword, a title or a known first name
 HINT = rf"[0-9@]|\b(?=[A-Z])(?:{'|'.join((*TITLES, *FEMALE, *MALE))})\b|\b(?=[tspa]){KEYWORD}"
 ROUNDS = 4
+HEX, NOT_HEX = "abcdef", "ghijklmnopqrstuvwxyz"
+# Country codes of one and two digits, all others have three; digits may have separators between them
+COUNTRY = r"^\+(?:[17]|2\D*[07]|3\D*[0-469]|4\D*[013-9]|5\D*[1-8]|6\D*[0-6]|8\D*[1246]|9\D*[0-58]|\d\D*\d\D*\d)"
 
 
 def kind_of(m: Column) -> Column:
@@ -101,13 +107,14 @@ def _alphabet(ch: Column) -> Column:
                   else F.when(F.instr(F.lit(a), ch) > 0, a), reversed(ALPHABETS), None)
 
 
-def _letters(m: Column, norm: Column, key: str, kind: Column, hexadecimal: Column) -> Column:
-    """``m`` with its letters and digits permuted; ``norm`` is ``m`` in the case that counts."""
-    def unit(ch):
+def _letters(m: Column, norm: Column, key: str, kind: Column, hexes: Column | int = -1) -> Column:
+    """``m`` with its letters and digits permuted; ``norm`` is ``m`` in the case that counts. Of the first ``hexes``
+    characters a-f stay among themselves, and g-z right behind them."""
+    def unit(ch, i):
         own = _alphabet(ch)
-        return _bind(F.when(hexadecimal & ch.rlike("[a-f]"), "abcdef").otherwise(own),
+        return _bind(F.when((i < hexes) & ch.rlike("[a-f]"), HEX).when((i == hexes) & ch.rlike("[g-z]"), NOT_HEX).otherwise(own),
                      lambda a: F.struct(a.alias("a"), (F.instr(a, ch) - 1).alias("v"), F.length(a).alias("size")))
-    chars = F.transform(F.split(norm, ""), lambda c: F.when(_alphabet(c).isNotNull(), unit(c)))
+    chars = F.transform(F.split(norm, ""), lambda c, i: F.when(_alphabet(c).isNotNull(), unit(c, i)))
 
     def back(made):
         # the k-th permuted unit goes where the k-th letter or digit stood
@@ -140,7 +147,7 @@ def _card(m: Column, key: str) -> Column:
     """All digits but the last are permuted; the last keeps the number's Luhn remainder."""
     head, last = F.substr(m, F.lit(1), F.length(m) - 1), F.substr(m, F.length(m), F.lit(1))
     digits = F.regexp_replace(head, r"\D", "")
-    return _bind(_letters(head, head, key, F.lit("card"), F.lit(False)), lambda new: F.concat(new, F.pmod(
+    return _bind(_letters(head, head, key, F.lit("card")), lambda new: F.concat(new, F.pmod(
         last.cast("int") + _luhn(F.concat(digits, F.lit("0"))) - _luhn(F.concat(F.regexp_replace(new, r"\D", ""), F.lit("0"))),
         F.lit(10)).cast("string")))
 
@@ -151,7 +158,12 @@ def _name(m: Column, key: str) -> Column:
         for gender, names in (("f", FEMALE), ("m", MALE)):      # a keyed order of the list, shifted by one
             keyed = sorted(names, key=lambda n: _digest(f"{key}|{gender}|{n}"))
             out = reduce(lambda acc, i: acc.when(w == keyed[i], keyed[(i + 1) % len(keyed)]), range(len(keyed)), out)
-        return out.otherwise(_letters(w, w, key, F.lit("name"), F.lit(False)))
+        # a result on the list is permuted on: in a cycle, at most the listed names of one length follow each other
+        step = lambda x: _letters(x, x, key, F.lit("name"))
+        listed = [*FEMALE, *MALE]
+        most = max(sum(len(a) == len(b) for b in listed) for a in listed)
+        return out.otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(most)), step(w), lambda x, _: F.when(
+            x.isin(listed), step(x)).otherwise(x)))
     return F.array_join(F.transform(F.split(m, " "), word), " ")
 
 
@@ -161,27 +173,28 @@ def _digest(s: str) -> str:
 
 
 def surrogate(m: Column, kind: Column, key: str) -> Column:
-    none = F.lit(False)
     at = F.length(m) - F.instr(F.reverse(m), ".")              # a mail address keeps its top domain
     head, tail = F.substr(m, F.lit(1), at), F.substr(m, at + 1)
-    country = F.regexp_extract(m, r"^\+\d{1,3}(?=\D)", 0)       # a phone number keeps its country code
+    country = F.regexp_extract(m, COUNTRY, 0)                   # a phone number keeps its country code
     local = F.substr(m, F.length(country) + 1)
     keyword = F.regexp_extract(m, rf"^{KEYWORD}", 0)             # a secret keeps what names it, a name its title
     value = F.substr(m, F.length(keyword) + 1)
     title = F.regexp_extract(m, rf"^{TITLE}", 0)
-    hexadecimal = value.rlike("^[0-9a-f]+$")
-    return (F.when(kind == "mail", F.concat(_letters(head, F.lower(head), key, F.lit("mail"), none), tail))
+    hexes = F.when(value.rlike("^[0-9a-z]+$"), F.length(F.regexp_extract(value, "^[0-9a-f]*", 0))).otherwise(-1)
+    return (F.when(kind == "mail", F.concat(_letters(head, F.lower(head), key, F.lit("mail")), tail))
             .when(kind == "ip", _ip(m, key))
             .when(kind == "card", _card(m, key))
-            .when(kind == "phone", F.concat(country, _letters(local, local, key, F.lit("phone"), none)))
+            .when(kind == "phone", F.concat(country, _letters(local, local, key, F.lit("phone"))))
             .when(kind == "name", F.concat(title, _name(F.substr(m, F.length(title) + 1), key)))
-            .when(kind == "secret", F.concat(keyword, _letters(value, value, key, F.lit("secret"), hexadecimal)))
-            .otherwise(_letters(m, m, key, kind, none)))
+            .when(kind == "secret", F.concat(keyword, _letters(value, value, key, F.lit("secret"), hexes)))
+            .otherwise(_letters(m, m, key, kind)))
 
 
 def identity(m: Column, kind: Column) -> Column:
     """What makes two mentions one entity."""
-    return (F.when(kind == "mail", F.lower(m)).when(kind.isin("phone", "card"), F.regexp_replace(m, r"\D", ""))
+    return (F.when(kind == "mail", F.lower(m)).when(kind == "phone", F.regexp_replace(m, r"(?!^\+)\D", ""))
+            .when(kind == "card", F.regexp_replace(m, r"\D", "")).when(kind == "iban", F.regexp_replace(m, " ", ""))
+            .when(kind == "ip", F.array_join(F.transform(F.split(m, r"\."), lambda x: x.cast("int").cast("string")), "."))
             .when(kind == "secret", F.regexp_replace(m, rf"^{KEYWORD}", ""))
             .when(kind == "name", F.regexp_replace(m, rf"^{TITLE}", "")).otherwise(m))
 
@@ -212,10 +225,27 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", out: str = "p
                     F.col("_pii").alias(out))
 
 
+def _mentions(replaced: DataFrame, col: str = "pii") -> DataFrame:
+    """Distinct ``kind, who, surrogate`` of a corpus."""
+    return replaced.select(F.explode(col).alias("e")).select(
+        F.col("e.kind").alias("kind"), identity(F.col("e.original"), F.col("e.kind")).alias("who"),
+        identity(F.col("e.surrogate"), F.col("e.kind")).alias("surrogate")).distinct()
+
+
 def surrogate_collisions(replaced: DataFrame) -> DataFrame:
     """Collision check over a corpus: ``kind, surrogate, entities`` of surrogates that stand
     for more than one entity (none, if all is well)."""
-    e = replaced.select(F.explode("pii").alias("e")).select(
-        F.col("e.kind").alias("kind"), identity(F.col("e.original"), F.col("e.kind")).alias("who"),
-        identity(F.col("e.surrogate"), F.col("e.kind")).alias("surrogate")).distinct()
-    return e.groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).filter("entities > 1")
+    return _mentions(replaced).groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).filter("entities > 1")
+
+
+def check_surrogates(replaced: DataFrame, col: str = "pii") -> DataFrame:
+    """``replaced``, after one job over it that fails with ``ValueError`` if a surrogate stands for several
+    entities or an entity has several surrogates. The message has kinds and counts, no values."""
+    both = _mentions(replaced, col).select("kind", F.explode(F.array(
+        F.struct(F.lit("surrogate with several entities").alias("what"), F.col("surrogate").alias("value")),
+        F.struct(F.lit("entity with several surrogates").alias("what"), F.col("who").alias("value")))).alias("x")).select("kind", "x.*")
+    wrong = (both.groupBy("kind", "what", "value").count().filter("count > 1")
+             .groupBy("kind", "what").count().orderBy("kind", "what").collect())
+    if wrong:
+        raise ValueError("; ".join(f"{r['kind']}: {r['count']} x {r['what']}" for r in wrong))
+    return replaced

@@ -152,8 +152,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import replace_pii
-    return replace_pii(table(spark, sf_dir, "documents"), key="corpus-release-1").select("doc_id", "text", "pii")
+    from .pii import check_surrogates, replace_pii
+    return check_surrogates(replace_pii(table(spark, sf_dir, "documents"), key="corpus-release-1")).select("doc_id", "text", "pii")
 
 
 @query("op6_pieces")

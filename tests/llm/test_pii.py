@@ -2,6 +2,10 @@
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
+from tabulark.llm import pii
 from tabulark.llm.pii import FEMALE, MALE, replace_pii, surrogate_collisions
 
 
@@ -75,3 +79,50 @@ def test_edges(spark):
     assert replace_pii(spark.createDataFrame([], "doc_id long, text string"), "k").collect() == []
     plan = replace_pii(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_one_phone_in_any_format(spark):
+    same = [["+14995556503", "+1 499 555 6503", "+1 (499) 555-6503", "+1499 555 6503"], ["+358401234567", "+358 40 123 4567", "+3 58 401 2345 67"],
+            ["(212) 555-0199", "212-555-0199", "212.555.0199"], ["+212 555 0199", "+2125550199"]]
+    out = run(spark, [" or ".join(x) for x in same])
+    made = []
+    for i, x in enumerate(same):
+        assert [p.original for p in out[i].pii] == x
+        new = {(p.surrogate[0] == "+", re.sub(r"\D", "", p.surrogate)) for p in out[i].pii}
+        assert len(new) == 1
+        made.append(new.pop())
+    assert [d[:k] for (_, d), k in zip(made, (1, 3, 0, 3))] == ["1", "358", "", "212"] and len(set(made)) == 4
+
+
+def test_listed_names_and_hexadecimal_are_kept_apart(spark, monkeypatch):
+    """A word never becomes a first name of the list, a secret that is not hexadecimal never one that is."""
+    monkeypatch.setattr(pii, "FEMALE", tuple("ABCDEFGHIJKLM"))
+    monkeypatch.setattr(pii, "MALE", ("Zo",))
+    words = [chr(c) for c in range(65, 91)]
+    df = spark.createDataFrame([(w,) for w in words], "m string")
+    got = {r.m: r.s for r in df.select("m", pii._name(F.col("m"), "k").alias("s")).collect()}
+    assert len(set(got.values())) == 26 and {got[w] for w in words[:13]} == set(words[:13])
+    values = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    df = spark.createDataFrame([("token=" + v,) for v in values], "m string")
+    got = {r.m[6:]: r.s[6:] for r in df.select("m", pii.surrogate(F.col("m"), F.lit("secret"), "k").alias("s")).collect()}
+    is_hex = lambda v: set(v) <= set("abcdef")
+    assert len(set(got.values())) == 26 * 26 and all(is_hex(a) == is_hex(b) for a, b in got.items())
+
+
+def test_check_on_the_main_path(spark, monkeypatch, tmp_path):
+    schema = "doc_id long, text string, pii array<struct<kind:string,original:string,surrogate:string>>"
+    good = [("ip", "1.2.3.4", "9.9.9.9"), ("ip", "01.2.3.4", "9.9.9.9"), ("mail", "A@b.com", "x@b.com")]
+    pii.check_surrogates(spark.createDataFrame([(1, "", good)], schema))
+    with pytest.raises(ValueError, match="ip: 1 x surrogate with several entities"):
+        pii.check_surrogates(spark.createDataFrame([(1, "", good), (2, "", [("ip", "1.2.3.5", "9.9.9.9")])], schema))
+    with pytest.raises(ValueError, match="mail: 1 x entity with several surrogates"):
+        pii.check_surrogates(spark.createDataFrame([(1, "", good), (2, "", [("mail", "a@B.com", "y@b.com")])], schema))
+    import corpus_pipeline
+    from tabulark.llm import queries
+    spark.createDataFrame([(1, "mail a@b.com"), (2, "mail c@b.com")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert queries.op7(spark, str(tmp_path)).count() == 2 and corpus_pipeline.personal_data(spark, docs, str(tmp_path)).count() == 2
+    monkeypatch.setattr(pii, "surrogate", lambda m, kind, key: F.lit("z@b.com"))
+    for run_it in (lambda: queries.op7(spark, str(tmp_path)), lambda: corpus_pipeline.personal_data(spark, docs, str(tmp_path))):
+        with pytest.raises(ValueError, match="mail: 1 x surrogate with several entities"):
+            run_it()
