@@ -42,26 +42,33 @@ FEMALE = ("Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susa
 MALE = ("James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles",
         "Daniel", "Matthew", "Peter", "Paul", "Hans", "Pierre", "Carlos", "Juan", "Klaus", "Andrew")
 # Titles before a name
-TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora")
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora",
+          "Madam", "Mme", "Signor", "Signora", "Sr", "Sra", "Господин", "Госпожа", "Доктор", "господин", "госпожа", "доктор",
+          "г-н", "г-жа", "Κύριος", "Κυρία", "κύριος", "κυρία", "κ")
 
-KEYWORD = r"(?:token|secret|password|passwd|api_key|apikey|access_key) ?[=:] ?[\"']?"
+KEYWORD = r"(?i:token|secret|password|passwd|api[_ -]?key|access[_ -]?key) ?[=:] ?[\"']?"
+FREE, CAPITAL = r"(?<![\p{L}\d_])", "(?=[A-ZГДгдΚκ])"   # no word before, and the first letters of titles and names
 TITLE = rf"(?:{'|'.join(TITLES)})\.? "
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}\b"
-SECRET = (rf"\b(?=[tspa]){KEYWORD}[A-Za-z0-9+/_-]{{8,256}}"
+SECRET = (rf"(?<![A-Za-z0-9])(?=[tspaTSPA]){KEYWORD}[A-Za-z0-9+/_-]{{8,256}}"
           r"|\b(?=[a-f]{0,31}[0-9])[0-9a-f]{32,128}\b|\b(?=[spgA])(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,64}\b")
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 CARD = r"(?<![\d+])\d(?:[ -]?\d){12,18}(?![\d])"
-PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)"
-         r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
+SEP = r"[ ./\u00a0-]"
+PHONE = (rf"(?<![\d+])\+\d{{1,3}}{SEP}?(?:\(\d{{1,4}}\){SEP}?)?\d{{2,4}}(?:{SEP}?\d{{2,4}}){{1,3}}(?!\d)"
+         r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+         r"|(?<![\d-])(?<!\d )\d{3}[ \u00a0]\d{3}[ \u00a0]\d{4}(?![\d-])(?! \d)"
+         r"|(?<![\d.,/-])(?<!\d )0(?:\d(?:[ \u00a0]\d{2}){4}|\d{2,4}[ /]\d{3,7})(?![\d/-])(?! \d)")
 NUMBER = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 WORDS = r"\p{Lu}[\p{L}'-]{1,40}"
-NAME = (rf"\b(?=[A-Z]){TITLE}{WORDS}(?: {WORDS})?|\b(?=[A-Z])(?:{'|'.join(FEMALE + MALE)}) {WORDS}")
+NAME = (rf"{FREE}{CAPITAL}{TITLE}{WORDS}(?: {WORDS})?|\b(?=[A-Z])(?:{'|'.join(FEMALE + MALE)}) {WORDS}")
 KINDS = (("mail", MAIL), ("secret", SECRET), ("ip", IP), ("number", NUMBER), ("iban", IBAN), ("card", CARD),
          ("phone", PHONE), ("name", NAME))
 PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
 # every entity has a digit, an @, a keyword, a title or a known first name
-HINT = rf"[0-9@]|\b(?=[A-Z])(?:{'|'.join((*TITLES, *FEMALE, *MALE))})\b|\b(?=[tspa]){KEYWORD}"
+HINT = (rf"[0-9@]|{CAPITAL}{FREE}(?:{'|'.join((*TITLES, *FEMALE, *MALE))})(?![\p{{L}}\d_])"
+        rf"|(?=[tspaTSPA])(?<![A-Za-z0-9]){KEYWORD}")
 ROUNDS = 4
 HEX, NOT_HEX = "abcdef", "ghijklmnopqrstuvwxyz"
 # Country codes of one and two digits, all others have three; digits may have separators between them
@@ -75,7 +82,7 @@ def kind_of(m: Column) -> Column:
             .when(m.rlike(rf"^{IP}$"), "ip")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "number")
             .when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
-            .when(m.rlike(r"^[+(\d][-+() .\d]*$") & (digits < 20), "phone")
+            .when(m.rlike(r"^[+(\d][-+() ./\u00a0\d]*$") & (digits < 20), "phone")
             .when(m.rlike(rf"^(?:{IBAN})$"), "iban")
             .when(m.rlike(rf"^(?:{NAME})$"), "name")
             .otherwise("secret"))

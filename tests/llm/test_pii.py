@@ -126,3 +126,16 @@ def test_check_on_the_main_path(spark, monkeypatch, tmp_path):
     for run_it in (lambda: queries.op7(spark, str(tmp_path)), lambda: corpus_pipeline.personal_data(spark, docs, str(tmp_path))):
         with pytest.raises(ValueError, match="mail: 1 x surrogate with several entities"):
             run_it()
+
+
+def test_more_forms(spark):
+    found = ["Password: hunter2xyz", "API_KEY=Abcdef123", "Api-Key: Abcdef123", "PASSWORD = 'Abcdef123", "господин Иванов", "Госпожа Анна Петрова",
+             "κ. Παπαδόπουλος", "Signora Rossi", "+49 30/1234 5678", "+1\u00a0499\u00a0555\u00a06503", "499 555 6503", "01 23 45 67 89", "030/1234567"]
+    kinds = ["secret"] * 4 + ["name"] * 4 + ["phone"] * 5
+    none = ["on 08.12.2020 or 08/12/2020", "in 0.125 of 10 000 000", "12 100 200 3000", "the secretary: somebody", "маг-н Иванов"]
+    out = run(spark, [f"x {x}, y" for x in found] + ["DB_PASSWORD=hunter2xyz"] + none)
+    for i, (x, kind) in enumerate(zip(found, kinds)):
+        assert [(p.kind, p.original) for p in out[i].pii] == [(kind, x)] and x not in out[i].text, (x, out[i].pii)
+    assert out[0].text.startswith("x Password: ") and out[4].text.startswith("x господин ") and out[13].text.startswith("DB_PASSWORD=")
+    assert "hunter2xyz" not in out[13].text
+    assert all(out[14 + i].text == t and out[14 + i].pii == [] for i, t in enumerate(none))
