@@ -52,7 +52,6 @@ class Vocabulary:
         self.pieces.update({i: bytes([b]) for b, i in byte_ids.items()})
         self.whole = any(MARK in p.lstrip(MARK) for p in scores)       # a piece that crosses words
         self.known = {p: i for p, (i, _) in scores.items()}
-        self.lossy: set[str] = set()
         self.rank = {p: -s for p, (_, s) in scores.items()}
         self.fits: dict[tuple[str, str], bool] = {}
         # pieces that merging makes of their own letters, and all of their endings
@@ -186,21 +185,15 @@ class Vocabulary:
                 cache[w] = tuple([known[p] for p in pieces])
             except KeyError:                     # characters without a piece
                 cache[w] = tuple(i for p in pieces for i in self._ids(p))
-                if self.text(cache[w]) != w:
-                    self.lossy.add(w)
         get = cache.__getitem__
         return [None if d is None else np.fromiter(chain.from_iterable(map(get, d)), np.int32) for d in docs]
 
-    def restores(self, text: str) -> bool:
-        """Whether decoding the text's ids (just encoded) gives the text: word by word, as
-        no character's bytes span two words."""
-        return MARK not in text and not (self.lossy and any(w in self.lossy for w in self.marked(text)))
-
     # -- decoding --
 
     def text(self, ids) -> str:
-        pieces, special = self.pieces, self.special
-        return b"".join(pieces.get(int(i), b"") for i in ids if int(i) not in special).decode("utf-8", "replace")
+        get, special = self.pieces.get, self.special
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        return b"".join([get(i, b"") for i in ids if i not in special]).decode("utf-8", "replace")
 
     def decode(self, ids) -> str:
         text = self.text(ids).replace(MARK, " ")
@@ -234,7 +227,7 @@ def _encoded(vocabulary: Vocabulary, check: bool):
         for batch in batches:
             for lo, texts in _blocks(batch, "text"):
                 ids = vocabulary.encode(texts)
-                back = [None if i is None or not check else vocabulary.restores(t) for i, t in zip(ids, texts)]
+                back = [None if i is None or not check else vocabulary.decode(i) == t for i, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, len(texts)), pa.array(ids, pa.list_(pa.int32())),
                      pa.array([None if i is None else len(i) for i in ids], pa.int64()), pa.array(back, pa.bool_())],

@@ -2,9 +2,10 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 
-from tabulark.llm.pieces import MARK, Vocabulary, decode_pieces, encode_pieces
+from tabulark.llm.pieces import MARK, Vocabulary, _encoded, decode_pieces, encode_pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -62,3 +63,12 @@ def test_unigram_is_the_best_path():
                 s = sum(v.scores[p][1] for p in parts)
                 best = s if best is None else max(best, s)
         assert abs(sum(v.scores[p][1] for p in got) - best) < 1e-9
+
+
+def test_round_trip_decodes_every_piece():
+    """A known piece with wrong bytes shows in the rows that have it."""
+    v = Vocabulary.from_sentencepiece(open(MODEL, "rb").read())
+    rows = ["the end", "of the day", "12"]
+    v.pieces = {**v.pieces, int(v.encode(["the"])[0][0]): b"wrong"}
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array(rows)], names=["doc_id", "text"])
+    assert [b for out in _encoded(v, True)(iter([batch])) for b in out.column("round_trip").to_pylist()] == [False, False, True]
