@@ -162,3 +162,52 @@ def op6(spark: SparkSession, sf_dir: str, model: str = "/opt/tokenizers/piece_bp
     with open(model, "rb") as f:                     # read by the driver alone
         vocabulary = Vocabulary.from_sentencepiece(f.read())
     return encode_pieces(table(spark, sf_dir, "documents"), vocabulary, check=True)
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_bpe import ByteBpe, encode_byte_bpe
+    # the rank file is read by the driver alone
+    bpe = ByteBpe.from_file(ranks or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = encode_byte_bpe(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe, decoded=True)
+    return encoded.select("doc.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') part, coalesce(text, '') t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') w FROM d),
+m AS (SELECT t, min(doc_id) least_id FROM d GROUP BY t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) toxic
+      FROM labels GROUP BY doc_id),
+f AS (SELECT part, CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * (length(w.t) - length(regexp_replace(w.t, '[A-Z]', '', 'g'))) > 5 * length(w.t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(w.t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN w.doc_id > least_id THEN 'E' ELSE '' END fails,
+        coalesce(good, 0) good, coalesce(toxic, 0) toxic
+      FROM w JOIN m ON w.t = m.t LEFT JOIN l ON w.doc_id = l.doc_id),
+c AS (SELECT part, fails, count(*) n, sum(good) good, sum(toxic) toxic FROM f GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x filter_order FROM x a, x b, x c, x d, x e
+      WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) own, substr(filter_order, 1, step - 1) before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5]) step) k),
+r AS (SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) hit, fails = own only_own,
+        before <> '' AND regexp_matches(fails, '[' || before || '_]') gone FROM c, s),
+g AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) kept,
+        sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) removed, sum(CASE WHEN gone AND hit THEN n ELSE 0 END) redundant,
+        sum(CASE WHEN only_own THEN n ELSE 0 END) unique_fails, sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END) good_lost,
+        sum(CASE WHEN NOT gone AND hit THEN toxic ELSE 0 END) toxic_lost
+      FROM r GROUP BY part, filter_order, step, own),
+h AS (SELECT part, own, sum(removed) shapley FROM g GROUP BY part, own)
+SELECT part, filter_order, CAST(step AS INTEGER) step, CAST(kept AS BIGINT) kept, CAST(removed AS BIGINT) removed,
+  CAST(redundant AS BIGINT) redundant, CAST(unique_fails AS BIGINT) unique_fails, CAST(good_lost AS BIGINT) good_lost,
+  CAST(toxic_lost AS BIGINT) toxic_lost, CAST(shapley AS BIGINT) shapley
+FROM g JOIN h USING (part, own)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit_filters, document_failures, with_marks
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(
+        F.max((F.col("quality") == 1)).alias("good"), F.max((F.col("toxic") == 1)).alias("toxic"))
+    rows = with_marks(document_failures(table(spark, sf_dir, "documents")), labels)
+    return audit_filters(rows, list("ABCDE"), F.col("part"), F.col("good"), F.col("toxic"), F.col("n"), ("good_lost", "toxic_lost"))
