@@ -211,3 +211,26 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max((F.col("quality") == 1)).alias("good"), F.max((F.col("toxic") == 1)).alias("toxic"))
     rows = with_marks(document_failures(table(spark, sf_dir, "documents")), labels)
     return audit_filters(rows, list("ABCDE"), F.col("part"), F.col("good"), F.col("toxic"), F.col("n"), ("good_lost", "toxic_lost"))
+
+
+@query("op11_lexical_search", r"""
+WITH t AS (SELECT doc_id, row_number() OVER () rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w FROM documents),
+d AS (SELECT rid, doc_id, len(w) size FROM t WHERE len(w) > 0),
+c AS (SELECT count(*) docs, sum(size) terms FROM d),
+u AS (SELECT rid, unnest(w) term FROM t),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term FROM (SELECT DISTINCT item_id, text FROM benchmark) b),
+q AS (SELECT item_id, term, count(*) times FROM i GROUP BY item_id, term),
+p AS (SELECT rid, u.term, count(*) tf FROM u JOIN (SELECT DISTINCT term FROM q) v ON u.term = v.term GROUP BY rid, u.term),
+f AS (SELECT term, count(*) df FROM p GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) w FROM f, c),
+m AS (SELECT rid, doc_id, CAST(100 - 25 + ((25 * size * docs) // terms) AS BIGINT) m FROM d, c),
+s AS (SELECT item_id, p.rid, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) score
+      FROM q JOIN p ON q.term = p.term JOIN w ON q.term = w.term JOIN m ON p.rid = m.rid GROUP BY item_id, p.rid),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) rank
+      FROM s JOIN d ON s.rid = d.rid WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) rank, doc_id, score FROM r WHERE rank <= 20""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical_search import lexical_topk
+    return lexical_topk(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
