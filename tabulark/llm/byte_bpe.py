@@ -388,9 +388,8 @@ def encode_byte_bpe(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", decod
 
 def ids_array(ids):
     """Column of packed ids as array<long>."""
-    hexes = F.hex(ids)
-    places = F.when(F.length(ids) >= 4, F.sequence(F.lit(0), (F.length(ids) / 4).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.conv(F.concat(*[F.substring(hexes, i * 8 + 7 - 2 * k, 2) for k in range(4)]), 16, 10).cast("long"))
+    fours = F.regexp_extract_all(F.hex(ids), F.lit("(.{8})"))
+    return F.transform(fours, lambda x: F.conv(F.concat(*[F.substring(x, at, 2) for at in (7, 5, 3, 1)]), 16, 10).cast("long"))
 
 
 def decode_byte_bpe(encoded: DataFrame, bpe: ByteBpe, ids_col: str = "ids") -> DataFrame:

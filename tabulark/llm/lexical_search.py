@@ -211,18 +211,20 @@ def search_block(block: Block, term: np.ndarray, value: np.ndarray, weight: np.n
         most = masks.astype(np.int64) @ (value * block.most[at])
         order = np.argsort(-most, kind="stable")
         by_group = np.argsort(group, kind="stable")
-        ends = np.cumsum(np.bincount(group, minlength=len(most)))
-        starts = ends - np.bincount(group, minlength=len(most))
+        size = np.bincount(group, minlength=len(most))
+        starts = np.cumsum(size) - size
+        met = np.cumsum(size[order])                             # documents up to each mask
         done, take = 0, best.k
         while done < len(order):
             if most[order[done]] < best.least:
                 break                                            # no mask left can reach the list
-            part = order[done:done + take]
+            upto = int(np.searchsorted(met, take)) + 1
+            part = order[done:upto]
             part = part[most[part] >= best.least]
-            chosen = docs[by_group[ragged(starts[part], (ends - starts)[part])]]
+            chosen = docs[by_group[ragged(starts[part], size[part])]]
             best.add(block.scores(chosen, weight), block.ids[chosen], block.known[chosen])
             evaluated += len(chosen)
-            done, take = done + take, take * 2
+            done, take = upto, 2 * int(met[min(upto, len(met)) - 1])
     weight[term] = 0
     return evaluated
 
