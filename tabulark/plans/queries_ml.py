@@ -12,7 +12,7 @@ import uuid
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_sql
+from ..functions.hashing import MODULUS, hash_sql
 from ..ml import models as M
 from ..ml import neighbors as NB
 from ..ml import prep as PR
@@ -107,24 +107,54 @@ def q_scale(spark, sf):
 
 
 # ------------------------------------------------------------------ F5, F17
-@register("smote_oversample", """WITH c AS (SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_orderstatus)
-SELECT o_orderstatus, CAST((SELECT MAX(n) FROM c) AS BIGINT) AS n, CAST((SELECT MAX(n) FROM c) - n AS BIGINT) AS synthetic
-FROM c""")
+SMOTE_X = ["CAST(o_totalprice AS DOUBLE) / 1000", "CAST(month(o_orderdate) AS DOUBLE)", "CAST(dayofyear(o_orderdate) AS DOUBLE)"]
+
+
+@register("smote_oversample", f"""WITH o AS (SELECT o_orderkey, o_orderstatus, {", ".join(f"{e} AS x{i}" for i, e in enumerate(SMOTE_X))} FROM orders),
+c AS (SELECT o_orderstatus, COUNT(*) AS n, (SELECT MAX(n) FROM (SELECT COUNT(*) AS n FROM orders GROUP BY o_orderstatus) t) - COUNT(*) AS need
+      FROM orders GROUP BY o_orderstatus),
+r AS (SELECT o.*, n, need, row_number() OVER (PARTITION BY o.o_orderstatus ORDER BY {hash_sql(["o_orderkey"], 42)}, o_orderkey) AS rn
+      FROM o JOIN c ON o.o_orderstatus = c.o_orderstatus WHERE need > 0),
+m AS (SELECT *, need // n + CASE WHEN rn <= need % n THEN 1 ELSE 0 END AS m FROM r),
+d AS (SELECT a.o_orderkey, {", ".join(f"b.x{i} AS y{i}" for i in range(3))}, row_number() OVER (PARTITION BY a.o_orderkey ORDER BY
+        sqrt({" + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(3))}), b.o_orderkey) AS rank
+      FROM m a JOIN o b ON a.o_orderstatus = b.o_orderstatus AND a.o_orderkey <> b.o_orderkey WHERE a.m > 0),
+k AS (SELECT o_orderkey, COUNT(*) AS size FROM d WHERE rank <= 5 GROUP BY o_orderkey),
+g AS (SELECT m.*, unnest(range(1, CAST(m AS BIGINT) + 1)) AS s FROM m WHERE m > 0),
+h AS (SELECT g.*, {hash_sql(["o_orderkey", "s"], 42)} % size + 1 AS pick, CAST({hash_sql(["o_orderkey", "s"], 43)} AS DOUBLE) / {float(MODULUS)!r} AS u
+      FROM (SELECT g.*, k.size FROM g JOIN k ON g.o_orderkey = k.o_orderkey) g)
+SELECT o_orderstatus, FALSE AS synthetic, {", ".join(r6(f"x{i}") + f" AS x{i}" for i in range(3))} FROM o
+UNION ALL SELECT o_orderstatus, TRUE, {", ".join(r6(f"x{i} + u * (y{i} - x{i})") for i in range(3))}
+FROM h JOIN d ON h.o_orderkey = d.o_orderkey AND d.rank = h.pick""")
 def q_smote(spark, sf):
     o = IO.read_table(spark, "orders", sf)
-    x = o.select("o_orderkey", "o_orderstatus", F.array(
-        F.col("o_totalprice").cast("double") / 1000, F.month("o_orderdate").cast("double"),
-        F.dayofyear("o_orderdate").cast("double")).alias("x"))
+    x = o.select("o_orderkey", "o_orderstatus", F.array(*[F.expr(e) for e in SMOTE_X]).alias("x"))
     out = NB.smote_oversample(x, "o_orderstatus", "x", "o_orderkey", k=5, seed=42)
-    return out.groupBy("o_orderstatus").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                                    F.sum(F.col("synthetic").cast("int")).cast("bigint").alias("synthetic"))
-
-
-@register("knn_classify")
+    return rounded(out.select("o_orderstatus", "synthetic", *[F.col("x")[i].alias(f"x{i}") for i in range(3)]))
+
+
+EMB_SPLIT_SQL = f"""e AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+ec AS (SELECT label, COUNT(*) AS n FROM e GROUP BY label),
+et AS (SELECT CAST(ceil(0.2 * SUM(n)) AS BIGINT) AS nt, SUM(n) AS total FROM ec),
+ee AS (SELECT label, nt * n / total AS ex, CAST(floor(nt * n / total) AS BIGINT) AS fl, nt FROM ec, et),
+er AS (SELECT *, row_number() OVER (ORDER BY ex - fl DESC, label) AS rr, nt - SUM(fl) OVER () AS leftover FROM ee),
+eq AS (SELECT label, fl + CASE WHEN rr <= leftover THEN 1 ELSE 0 END AS quota FROM er),
+es AS (SELECT e.*, row_number() OVER (PARTITION BY label ORDER BY {hash_sql(["vec_id"], 42)}, vec_id) AS rn FROM e),
+train AS (SELECT es.vec_id, es.label, x FROM es JOIN eq ON es.label = eq.label WHERE rn > quota),
+test AS (SELECT es.vec_id, es.label, x FROM es JOIN eq ON es.label = eq.label WHERE rn <= quota)"""
+
+
+@register("knn_classify", f"""WITH {EMB_SPLIT_SQL},
+p AS (SELECT t.vec_id, t.label, r.label AS near, row_number() OVER (PARTITION BY t.vec_id ORDER BY
+        sqrt(list_sum(list_transform(list_zip(t.x, r.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))), r.vec_id) AS rank
+      FROM test t, train r),
+v AS (SELECT vec_id, label, near, COUNT(*) AS votes FROM p WHERE rank <= 5 GROUP BY vec_id, label, near),
+w AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, near) AS place FROM v)
+SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(near AS DOUBLE) AS prediction, CAST(votes / 5 AS DOUBLE) AS share FROM w WHERE place = 1""")
 def q_knn(spark, sf):
     train, test = emb_split(spark, sf)
     pred = NB.knn_classify(train, test, k=5, id_col="vec_id", vec_col="features", label_col="label")
-    return pred.select("vec_id", "label", "prediction")
+    return pred.select("vec_id", "label", "prediction", F.array_max("probability").alias("share"))
 
 
 # ------------------------------------------------------------ F7-F16, F23

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tabulark.ml import models as M
 from tabulark.ml import neighbors as NB
+from tabulark.ml.knn import exact_knn_join
 from tabulark.ml import prep as PR
 
 SF = "/root/testdata/sf0.001"
@@ -39,7 +40,7 @@ def test_knn_recall_against_brute_force(spark):
     pdf = df.select("vec_id", "x").toPandas()
     X = np.stack(pdf.x.values)
     ids = pdf.vec_id.values
-    nn = NB.knn_join(df.select("vec_id", "x"), df.select("vec_id", "x"), 5, "vec_id", "x")
+    nn = exact_knn_join(df.select("vec_id", "x"), df.select("vec_id", "x"), 5, "vec_id", "x")
     got = {}
     for r in nn.collect():
         got.setdefault(r.vec_id, set()).add(r.nn_id)
