@@ -2,7 +2,8 @@
 
 Every fitted model is used through ``predict(model, df)``, which returns the
 input with ``prediction`` (double) and ``probability`` (array<double>, null when
-the model has none). Custom pieces are plain DataFrame code: one-vs-rest
+the model has none). Forests, extremely randomised trees and multinomial boosting
+come from ``trees``. Custom pieces are plain DataFrame code: one-vs-rest
 probabilities, random Fourier features for the RBF SVM, linear discriminant
 analysis from per-class sums, SAMME boosting over weighted stumps, a seeded
 Gaussian random projection.
@@ -19,20 +20,21 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import trees as TR
 
 SEED = 42
 
@@ -43,7 +45,7 @@ SEED = 42
 @dataclass
 class Fitted:
     name: str
-    kind: str                  # "spark", "ovr", "lda", "adaboost", "knn"
+    kind: str                  # "spark", "ovr", "lda", "adaboost", "forest", "boosted"
     model: object
     num_classes: int
     features_col: str = "features"
@@ -95,6 +97,12 @@ def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
         return _lda_predict(fitted, df)
     if fitted.kind == "adaboost":
         return _ada_predict(fitted, df)
+    if fitted.kind in ("forest", "boosted"):
+        apply = TR.predict_forest if fitted.kind == "forest" else TR.predict_boosted
+        out = apply(fitted.model, df, fitted.features_col, "_shares")
+        if fitted.num_classes == 0:
+            return out.select(*cols, F.col("_shares")[0].alias("prediction"), F.lit(None).cast("array<double>").alias("probability"))
+        return out.select(*cols, _argmax(F.col("_shares")).alias("prediction"), F.col("_shares").alias("probability"))
     raise ValueError(f"unknown model kind {fitted.kind}")
 
 
@@ -102,10 +110,15 @@ def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
 # built-in estimators
 # ----------------------------------------------------------------------------
 def random_forest(num_trees: int = 200, seed: int = SEED, **kw):
-    """F7."""
+    """Spark's forest of limited depth, for searches; F7 itself is ``fit_random_forest``."""
     return RandomForestClassifier(numTrees=num_trees, seed=seed, **kw)
 
 
+def fit_random_forest(train: DataFrame, num_classes: int, num_trees: int = 200, max_depth: int | None = None, seed: int = SEED, **kw) -> Fitted:
+    """bootstrapped trees over sqrt(d) features a node, grown to pure leaves unless a depth is given."""
+    return Fitted("RandomForest", "forest", TR.fit_forest(train, num_classes, num_trees, max_depth, "sqrt", seed=seed, **kw), num_classes)
+
+
 def logistic(max_iter: int = 1000, **kw):
     """F8: multinomial logistic regression."""
     return LogisticRegression(maxIter=max_iter, family="multinomial", **kw)
@@ -121,22 +134,21 @@ def gaussian_nb():
     return NaiveBayes(modelType="gaussian")
 
 
-def bagging(num_trees: int = 10, seed: int = SEED):
-    """bagged full-feature trees (bootstrap rows, every feature at every split)."""
-    return RandomForestClassifier(numTrees=num_trees, featureSubsetStrategy="all", bootstrap=True,
-                                  subsamplingRate=1.0, seed=seed)
+def fit_bagging(train: DataFrame, num_classes: int, num_trees: int = 10, max_depth: int | None = None, seed: int = SEED, **kw) -> Fitted:
+    """bootstrapped trees over all features at every node."""
+    return Fitted("Bagging", "forest", TR.fit_forest(train, num_classes, num_trees, max_depth, None, seed=seed, **kw), num_classes)
 
 
-def extra_trees(num_trees: int = 100, seed: int = SEED):
-    """F16: the closest built-in to extremely randomised trees: no bootstrap, a random
-    feature subset per split and coarse (few-bin) split thresholds. An approximation:
-    Spark draws no random split points."""
-    return RandomForestClassifier(numTrees=num_trees, featureSubsetStrategy="sqrt", bootstrap=False,
-                                  maxBins=8, seed=seed)
+def fit_extra_trees(train: DataFrame, num_classes: int, num_trees: int = 100, max_depth: int | None = None, seed: int = SEED,
+                    max_features: int | str | None = "sqrt", **kw) -> Fitted:
+    """F16: extremely randomised trees: all rows, one seeded uniform cut for each node and drawn feature."""
+    return Fitted("ExtraTrees", "forest", TR.fit_forest(train, num_classes, num_trees, max_depth, max_features, bootstrap=False,
+                                                        random_cuts=True, seed=seed, **kw), num_classes)
 
 
-def decision_tree(seed: int = SEED, **kw):
-    return DecisionTreeClassifier(seed=seed, **kw)
+def fit_decision_tree(train: DataFrame, num_classes: int, max_depth: int | None = None, seed: int = SEED, **kw) -> Fitted:
+    """One tree over all rows and features."""
+    return Fitted("DecisionTree", "forest", TR.fit_forest(train, num_classes, 1, max_depth, None, bootstrap=False, seed=seed, **kw), num_classes)
 
 
 def fit_spark(name: str, estimator, train: DataFrame, num_classes: int) -> Fitted:
@@ -144,16 +156,11 @@ def fit_spark(name: str, estimator, train: DataFrame, num_classes: int) -> Fitte
 
 
 # ----------------------------------------------------------------------------
-# F9 boosting: binary GBT, or one-vs-rest GBT with normalised probabilities
+# F9 boosting: one softmax model
 # ----------------------------------------------------------------------------
-def fit_gbt(train: DataFrame, num_classes: int, seed: int = SEED, max_iter: int = 100,
-            max_depth: int = 3) -> Fitted:
-    gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=0.1, seed=seed)
-    if num_classes <= 2:
-        return Fitted("GradientBoosting", "spark", gbt.fit(train), num_classes)
-    ovr = OneVsRest(classifier=gbt, parallelism=min(8, num_classes)).fit(train)
-    # GBT margins F give p = 1 / (1 + exp(-2F)) for each binary model
-    return Fitted("GradientBoosting", "ovr", ovr, num_classes, extra={"margin_scale": 2.0})
+def fit_gbt(train: DataFrame, num_classes: int, max_iter: int = 100, max_depth: int | None = 3, step: float = 0.1, **kw) -> Fitted:
+    """a tree a class and round on shared softmax residuals."""
+    return Fitted("GradientBoosting", "boosted", TR.fit_boosted(train, num_classes, max_iter, max_depth, step, **kw), num_classes)
 
 
 # ----------------------------------------------------------------------------
@@ -311,17 +318,21 @@ def _ada_predict(fitted: Fitted, df: DataFrame) -> DataFrame:
 # F18 regressors, F19/F20 clustering, F21 grid search, F22 random projection
 # ----------------------------------------------------------------------------
 def train_regressors(df: DataFrame, label: str, features: list[str], keys: list[str],
-                     seed: int = SEED, kind: str = "rf") -> dict:
-    """exact 80/20 split by a seeded hash of ``keys`` (F4), random-forest (or
-    GBT) regression, MSE/R^2 and predictions."""
+                     seed: int = SEED, kind: str = "rf", num_trees: int = 100, max_depth: int | None = None) -> dict:
+    """exact 80/20 split by a seeded hash of ``keys`` (F4), random-forest (of any depth, all
+    features at a node) or GBT regression, MSE/R^2 and predictions."""
     from ..operators.evaluate import regression_metrics
     from .prep import random_split
     data = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip").transform(
         df.select(*keys, F.col(label).cast("double").alias("label"), *features))
     train, test = (materialize(p) for p in random_split(data, keys, 0.2, seed))
-    est = RandomForestRegressor(numTrees=100, seed=seed) if kind == "rf" else GBTRegressor(seed=seed)
-    model = est.fit(train)
-    pred = model.transform(test).select(F.col("label").alias("y_test"), F.col("prediction").alias("y_pred"))
+    if kind == "rf":
+        model = Fitted("RandomForestRegressor", "forest", TR.fit_forest(train, None, num_trees, max_depth, None, seed=seed), 0)
+        scored = predict(model, test)
+    else:
+        model = GBTRegressor(seed=seed).fit(train)
+        scored = model.transform(test)
+    pred = materialize(scored.select(*keys, F.col("label").alias("y_test"), F.col("prediction").alias("y_pred")))
     m = regression_metrics(pred, "y_test", "y_pred").first()
     return {"model": model, "predictions": pred, "mse": m["mse"], "r2": m["r2"]}
 
@@ -403,9 +414,14 @@ def feature_importance(fitted: Fitted, feature_names: list[str], top_n: int | No
     model = fitted.model
     if isinstance(model, PipelineModel):
         model = model.stages[-1]
-    if not hasattr(model, "featureImportances"):
+    if isinstance(model, TR.Forest):
+        imp = model.importances()
+    elif isinstance(model, TR.Boosted):
+        imp = model.importances(len(feature_names))
+    elif hasattr(model, "featureImportances"):
+        imp = model.featureImportances.toArray()
+    else:
         return None
-    imp = model.featureImportances.toArray()
     order = sorted(range(len(imp)), key=lambda i: (-imp[i], i))
     rows = [(feature_names[i], float(imp[i]), r + 1) for r, i in enumerate(order)]
     return rows[:top_n] if top_n else rows
@@ -416,11 +432,11 @@ MODEL_NAMES = ["RandomForest", "LogisticRegression", "GradientBoosting", "SVM",
 
 def fit_named(name: str, train: DataFrame, num_features: int, num_classes: int, seed: int = SEED) -> Fitted:
     if name == "RandomForest":
-        return fit_spark(name, random_forest(seed=seed), train, num_classes)
+        return fit_random_forest(train, num_classes, seed=seed)
     if name == "LogisticRegression":
         return fit_spark(name, logistic(), train, num_classes)
     if name == "GradientBoosting":
-        return fit_gbt(train, num_classes, seed)
+        return fit_gbt(train, num_classes)
     if name == "SVM":
         return fit_svm(train, num_features, num_classes, seed=seed)
     if name == "NeuralNetwork":
@@ -432,11 +448,11 @@ def fit_named(name: str, train: DataFrame, num_features: int, num_classes: int,
     if name == "AdaBoost":
         return fit_adaboost(train, num_classes, seed=seed)
     if name == "Bagging":
-        return fit_spark(name, bagging(seed=seed), train, num_classes)
+        return fit_bagging(train, num_classes, seed=seed)
     if name == "ExtraTrees":
-        return fit_spark(name, extra_trees(seed=seed), train, num_classes)
+        return fit_extra_trees(train, num_classes, seed=seed)
     if name == "DecisionTree":
-        return fit_spark(name, decision_tree(seed=seed), train, num_classes)
+        return fit_decision_tree(train, num_classes, seed=seed)
     raise ValueError(f"unknown model {name}")
 
 
@@ -530,7 +546,10 @@ def _plain(v):
 def save_fitted(fitted: Fitted, path: str) -> None:
     """Parameters as one JSON row in ``fitted``, Spark models beside it."""
     from pyspark.sql import SparkSession
-    parts = {"model": fitted.model} if fitted.model is not None else {}
+    own = fitted.kind in ("forest", "boosted")
+    if own:
+        TR.save_trees(fitted.model, f"{path}/trees")
+    parts = {"model": fitted.model} if fitted.model is not None and not own else {}
     parts.update({f"stump{i}": m for i, m in enumerate(fitted.extra.get("stumps", []))})
     for name, model in parts.items():
         model.write().overwrite().save(f"{path}/{name}")
@@ -559,4 +578,5 @@ def load_fitted(spark, path: str) -> Fitted:
     stumps = [parts[f"stump{i}"] for i in range(sum(n.startswith("stump") for n in parts))]
     if stumps:
         extra["stumps"] = stumps
-    return Fitted(meta["name"], meta["kind"], parts.get("model"), meta["num_classes"], meta["features_col"], extra)
+    model = TR.load_trees(spark, f"{path}/trees") if meta["kind"] in ("forest", "boosted") else parts.get("model")
+    return Fitted(meta["name"], meta["kind"], model, meta["num_classes"], meta["features_col"], extra)
