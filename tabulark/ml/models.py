@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
@@ -210,22 +211,32 @@ def fit_lda(train: DataFrame, num_features: int, num_classes: int, features_col:
     (per-class count, sum vector, sum of outer products); the d x d solve runs on
     the driver; scores are native dot products."""
     d = num_features
-    x = vector_to_array(F.col(features_col), "float64")
-    outer = array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(d * d - 1)),
-                                        lambda k: F.element_at(x, (k / d).cast("int") + 1)
-                                        * F.element_at(x, (k % d).cast("int") + 1)))
-    per = (train.select(F.col("label"), F.col(features_col).alias("v"), outer.alias("o"))
-           .groupBy("label").agg(F.count(F.lit(1)).alias("n"), Summarizer.sum(F.col("v")).alias("s"),
-                                  Summarizer.sum(F.col("o")).alias("oo"))
-           .collect())
+
+    def moments(batches):
+        held: dict[float, np.ndarray] = {}
+        for batch in batches:
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            for c in np.unique(y):
+                rows = x[y == c]
+                held[c] = held.get(c, 0.0) + np.concatenate([[len(rows)], rows.sum(0), (rows.T @ rows).ravel()])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.float64()), pa.array([v.tobytes() for v in held.values()], pa.binary())],
+                                             names=["label", "v"])
+    rows = train.select(F.col("label").cast("double").alias("y"), TR.feature_array(train, features_col).alias("x")).filter("y is not null and x is not null")
+    sums = TR.add_up(rows.mapInArrow(moments, "label double, v binary"), "label", "v", rows.rdd.getNumPartitions())
+    per = []
+    for r in sums.collect():                           # one row a class
+        v = np.frombuffer(bytes(r["v"]), np.float64)
+        per.append({"label": r["label"], "n": v[0], "s": v[1:d + 1], "oo": v[d + 1:]})
     n_tot = sum(r["n"] for r in per)
     k = len(per)
     sw = np.zeros((d, d))
     means, priors, labels = [], [], []
     for r in sorted(per, key=lambda r: r["label"]):
         n = r["n"]
-        mu = np.asarray(r["s"].toArray()) / n
-        sw += np.asarray(r["oo"].toArray()).reshape(d, d) - n * np.outer(mu, mu)
+        mu = r["s"] / n
+        sw += r["oo"].reshape(d, d) - n * np.outer(mu, mu)
         means.append(mu)
         priors.append(n / n_tot)
         labels.append(r["label"])

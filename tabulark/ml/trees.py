@@ -43,7 +43,7 @@ SEED = 42
 BLOCK_ROWS = 16384
 ROW_BOUND = 50_000
 HIST_BYTES = 64 << 20               # of the histograms of one pass, per task
-PORTION_BYTES = 64 << 20            # of subtrees that travel with a prediction pass
+PORTION_BYTES = 192 << 20            # of subtrees that travel with a prediction pass
 FAN_IN = 256                        # partial sums added up by one task
 CHECKPOINT_ROUNDS = 10
 
@@ -174,43 +174,55 @@ class Flat:
         return np.bincount(self.feature[at], q[self.left[at]] + q[self.right[at]] - q[at], minlength=d)
 
 
-def grow(x: np.ndarray, s: np.ndarray, rule: Rule, tree: int, key: int = 1, depth: int = 0) -> Tree:
+def grow(x: np.ndarray, s: np.ndarray, rule: Rule, tree: int, key: int = 1, depth: int = 0) -> Flat:
     """A whole tree over rows in memory, a level at a time; ``s`` holds each row's statistics."""
-    out = Tree()
-    out.add(s.sum(0), key, depth)
-    frontier = np.array([0])                           # nodes of this level
-    rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)       # open rows and their place in the frontier
-    while len(frontier):
-        stats = np.array([out.stats[i] for i in frontier])
-        keys = np.array([out.key[i] for i in frontier], np.int64)
-        open_ = rule.splittable(stats, depth)
-        keep = open_[node]
-        rows, node = rows[keep], (np.cumsum(open_) - 1)[node[keep]]
-        frontier, stats, keys = frontier[open_], stats[open_], keys[open_]
-        if not len(frontier):
+    order = [np.argsort(x[:, f], kind="stable") for f in range(x.shape[1])]
+    place = np.empty(x.shape, np.int64)
+    for f, o in enumerate(order):
+        place[o, f] = np.arange(len(o))
+    stats, keys = s.sum(0)[None], np.array([key], np.int64)          # of this level's nodes
+    rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)       # open rows and their node in the level
+    levels, count = [], 1
+    while True:
+        feature, threshold = np.full(len(stats), -1, np.int32), np.zeros(len(stats))
+        child = np.full((len(stats), 2), -1, np.int32)
+        levels.append((feature, threshold, child, stats))
+        open_ = np.flatnonzero(rule.splittable(stats, depth))
+        if len(open_):
+            number = np.full(len(stats), -1)
+            number[open_] = np.arange(len(open_))
+            node = number[node]
+            rows, node = rows[node >= 0], node[node >= 0]
+            f, cut, left = best_splits(x, s, place, order, rows, node, stats[open_], keys[open_], rule, tree)
+            found = np.flatnonzero(f >= 0)
+        if not len(open_) or not len(found):
             break
-        feature, threshold, left = best_splits(x[rows], s[rows], node, stats, keys, rule, tree)
-        found = feature >= 0
-        children = np.full((len(frontier), 2), -1)
-        for i in np.flatnonzero(found):
-            children[i] = out.split(int(frontier[i]), feature[i], threshold[i], left[i], stats[i] - left[i])
-        keep = found[node]
-        rows, node = rows[keep], node[keep]
-        side = (x[rows, feature[node]] > threshold[node]).astype(np.int64)
-        place = np.cumsum(np.repeat(found, 2).astype(np.int64)) - 1
-        node = place[2 * node + side]
-        frontier = children[found].ravel()
+        at = open_[found]
+        feature[at], threshold[at] = f[found], cut[found]
+        child[at] = count + np.arange(2 * len(found)).reshape(-1, 2)
+        count += 2 * len(found)
+        side = (x[rows, f[node]] > cut[node]).astype(np.int64)
+        number = np.full(len(open_), -1)
+        number[found] = np.arange(len(found))
+        keep = number[node] >= 0
+        rows, node = rows[keep], 2 * number[node[keep]] + side[keep]
+        stats = np.stack([left[found], stats[at] - left[found]], 1).reshape(-1, s.shape[1])
+        keys = np.stack([child_key(keys[at], 0), child_key(keys[at], 1)], 1).ravel()
         depth += 1
-    return out
+    feature, threshold, child, stats = (np.concatenate([level[i] for level in levels]) for i in range(4))
+    return Flat(feature, threshold, child[:, 0].copy(), child[:, 1].copy(), stats)
+
 
+def best_splits(x, s, place, order, rows, node, stats, keys, rule: Rule, tree: int):
+    """(feature, threshold, statistics of the left side) of each node of a level; feature -1: none.
 
-def best_splits(x, s, node, stats, keys, rule: Rule, tree: int):
-    """(feature, threshold, statistics of the left side) of each node; feature -1: none."""
-    n_nodes, d = len(stats), x.shape[1]
-    by_node = np.argsort(node, kind="stable")
-    starts = np.searchsorted(node[by_node], np.arange(n_nodes))
-    sorted_x = x[by_node]
-    low, high = np.minimum.reduceat(sorted_x, starts, 0), np.maximum.reduceat(sorted_x, starts, 0)
+    ``rows`` are the open rows, ``node`` their nodes; ``order`` sorts all rows by each feature and
+    ``place`` is its inverse, so one sort of whole numbers orders rows by node and value."""
+    n_nodes, d, n = len(stats), x.shape[1], len(x)
+    by_node = rows[np.argsort(node, kind="stable")]
+    size = np.bincount(node, minlength=n_nodes)
+    starts = np.cumsum(size) - size
+    low, high = np.minimum.reduceat(x[by_node], starts, 0), np.maximum.reduceat(x[by_node], starts, 0)
     drawn = drawn_features(rule, tree, keys, high > low)
     cuts = drawn_cuts(rule, tree, keys, low, high) if rule.random_cuts else None
     best = np.full(n_nodes, -np.inf)
@@ -219,32 +231,43 @@ def best_splits(x, s, node, stats, keys, rule: Rule, tree: int):
         use = drawn[:, f][node]
         if not use.any():
             continue
-        at, v = node[use], x[use, f]
         if rule.random_cuts:
-            low_side = v <= cuts[at, f]
-            mine = np.stack([np.bincount(at[low_side], s[use][low_side, j], n_nodes) for j in range(s.shape[1])], 1)
-            score = rule.quality(mine) + rule.quality(stats - mine)
-            ok = drawn[:, f] & (rule.weight(mine) >= rule.min_leaf) & (rule.weight(stats - mine) >= rule.min_leaf)
-            where, cut, score, mine = np.flatnonzero(ok), cuts[ok, f], score[ok], mine[ok]
+            mine_rows, at = rows[use], node[use]
+            low_side = x[mine_rows, f] <= cuts[at, f]
+            mine_rows, at = mine_rows[low_side], at[low_side]
+            mine = np.stack([np.bincount(at, s[mine_rows, j], n_nodes) for j in range(s.shape[1])], 1)
+            rest = stats - mine
+            where = np.flatnonzero(drawn[:, f] & (rule.weight(mine) >= rule.min_leaf) & (rule.weight(rest) >= rule.min_leaf))
+            cut, mine = cuts[where, f], mine[where]
+            score = rule.quality(mine) + rule.quality(rest[where])
         else:
-            order = np.lexsort((v, at))
-            at, v = at[order], v[order]
-            sums = np.cumsum(s[use][order], 0)
-            first = np.searchsorted(at, at)            # of the node in this order
-            before = np.where((first > 0)[:, None], sums[first - 1], 0.0)
+            key = node[use] * n + place[rows[use], f]
+            key.sort()
+            at = key // n
+            sorted_rows = order[f][key - at * n]
+            v = x[sorted_rows, f]
             edge = np.flatnonzero((at[1:] == at[:-1]) & (v[1:] > v[:-1]))
-            mine = sums[edge] - before[edge]
+            if not len(edge):
+                continue
+            sums = np.cumsum(s[sorted_rows], 0)
+            first = np.searchsorted(at, np.arange(n_nodes))                    # of each node in this order
+            before = np.where((first > 0)[:, None], sums[np.maximum(first, 1) - 1], 0.0)
             where = at[edge]
+            mine = sums[edge] - before[where]
             rest = stats[where] - mine
             ok = (rule.weight(mine) >= rule.min_leaf) & (rule.weight(rest) >= rule.min_leaf)
-            edge, mine, where, rest = edge[ok], mine[ok], where[ok], rest[ok]
-            score = rule.quality(mine) + rule.quality(rest)
+            edge, mine, where = edge[ok], mine[ok], where[ok]
+            if not len(edge):
+                continue
+            score = rule.quality(mine) + rule.quality(rest[ok])
+            # the first of the best of each node
+            runs = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+            top = np.repeat(np.maximum.reduceat(score, runs), np.diff(np.append(runs, len(where))))
+            pick = np.flatnonzero(score == top)
+            pick = pick[np.concatenate([[True], where[pick][1:] != where[pick][:-1]])]
+            edge, mine, where, score = edge[pick], mine[pick], where[pick], score[pick]
             cut = v[edge] + (v[edge + 1] - v[edge]) / 2
             cut = np.where(cut < v[edge + 1], cut, v[edge])
-            if len(where):                             # the first of the best of each node
-                o = np.lexsort((np.arange(len(where)), -score, where))
-                o = o[np.concatenate([[True], where[o][1:] != where[o][:-1]])]
-                where, cut, score, mine = where[o], cut[o], score[o], mine[o]
         better = score > best[where]
         where = where[better]
         best[where], feature[where], threshold[where], left[where] = score[better], f, cut[better], mine[better]
@@ -493,6 +516,19 @@ class Forest:
                 out.append(graft(flat, value, [(node, sub, self.values(sub)) for node, sub in grafts.get(t, [])]))
             yield out
 
+    def first_splits(self) -> list[tuple[int, int, float, float]]:
+        """(tree, feature, cut, summed quality of both sides) of the roots that are split."""
+        flats = {t: top.flat() for t, top in self.tops.items()}
+        if self.subtrees is not None:
+            for r in self.subtrees.filter("node = 0").collect():           # one row a tree at most
+                flats[r["tree"]] = read_flat(r, self.width)
+        out = []
+        for t, flat in sorted(flats.items()):
+            if flat.feature[0] >= 0:
+                sides = self.rule.quality(flat.stats[[flat.left[0], flat.right[0]]])
+                out.append((t, int(flat.feature[0]), float(flat.threshold[0]), float(sides.sum())))
+        return out
+
     def importances(self) -> np.ndarray:
         """Mean over trees of each feature's share of a tree's gain."""
         gains = {t: top.flat().gains(self.rule, self.d) for t, top in self.tops.items()}
@@ -610,7 +646,7 @@ def _finish(scan: Scan, tops: dict[int, Tree], pending: list[tuple[int, int]], r
         parts = sorted((bytes(a.as_buffer()), bytes(b.as_buffer())) for a, b in zip(t.column("x"), t.column("s")))
         x = np.concatenate([np.frombuffer(a, np.float64).reshape(-1, d) for a, _ in parts])
         s = np.concatenate([np.frombuffer(b, np.float64).reshape(-1, width) for _, b in parts])
-        flat = grow(x, s, rule, tree, key, depth).flat()
+        flat = grow(x, s, rule, tree, key, depth)
         blobs = [getattr(flat, c).tobytes() for c in ("feature", "threshold", "left", "right", "stats")]
         return pa.table({"i": pa.array([i], pa.int32()), "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()),
                          "bytes": pa.array([sum(map(len, blobs))], pa.int64()),
@@ -684,89 +720,158 @@ def softmax(f: np.ndarray) -> np.ndarray:
 def fit_boosted(train: DataFrame, num_classes: int, rounds: int = 100, max_depth: int = 3, rate: float = 0.1, bins: int = 64,
                 min_leaf: int = 1, features_col: str = "features", label_col: str = "label") -> Boosted:
     """One softmax model of ``num_classes`` trees a round. Splits reduce the squared error of the
-    residuals, leaves take a Newton step of the log-loss."""
+    residuals, leaves take a Newton step of the log-loss. Each level of a round is one pass over
+    the rows' bins."""
     blocks, d, n = pack_blocks(train, features_col, label_col)
     if n == 0:
         raise ValueError("no rows to fit")
-    k = num_classes
+    k, edges = num_classes, cut_points(train, features_col, d, bins)
     counts = np.zeros(k)
     for r in train.groupBy(F.col(label_col).cast("int").alias("y")).count().collect():         # one row a class
         if r["y"] is not None:
             counts[r["y"]] = r["count"]
     start = np.log(np.maximum(counts, 1e-9) / counts.sum())
-    edges = cut_points(train, features_col, d, bins)
     rule = Rule("newton", max_depth, min_leaf, None, False, bins)
     model = Boosted(start.tolist(), rate, [], [])
-    blocks = blocks.withColumn("f", F.lit(None).cast("binary"))
-    since = 0
-
-    def scores_of(since: int):
-        recent = replace(model, rounds=model.rounds[since:])
-
-        def of(x, extra):
-            kept = extra.get("f")
-            f = np.frombuffer(kept, np.float64).reshape(-1, k) if kept is not None and kept.size else np.tile(start, (len(x), 1))
-            return f + recent.scores(x)
-        return of
-
-    def stats_of(since: int):
-        scores = scores_of(since)
-
-        def of_block(no, x, y, extra):
-            p = softmax(scores(x, extra))
-            label = y.astype(np.int64)
-
-            def of_tree(t):
-                if t < 0:                              # log-loss
-                    loss = -np.log(np.maximum(p[np.arange(len(y)), label], 1e-300))
-                    return np.stack([loss, np.zeros(len(y)), np.ones(len(y))], 1)
-                return np.stack([(label == t) - p[:, t], p[:, t] * (1 - p[:, t]), np.ones(len(y))], 1)
-            return of_tree
-        return of_block
-
+    binned = materialize(blocks.mapInArrow(_binned(edges, d, start), BINNED))
+    parts, width = binned.rdd.getNumPartitions(), max(len(e) for e in edges) + 1
+    recent: list[list[tuple[Flat, int]]] = []         # trees over bins since the scores were brought up to date
     for step in range(rounds):
-        if step - since >= CHECKPOINT_ROUNDS:
-            blocks, since = _carry(blocks, d, scores_of(since)), step
-        scan = Scan(blocks, d, stats_of(since), edges)
-        trees = {t: Tree() for t in range(k)}
+        if len(recent) >= CHECKPOINT_ROUNDS:
+            binned, recent = materialize(binned.mapInArrow(_carried(recent, rate, d), BINNED)), []
+        trees = [Tree() for _ in range(k)]
         for t in trees:
-            trees[t].add(np.array([0.0, 0.0, float(n)]), 1, 0)
-        level, first = [(t, 0) for t in range(k)], True
-        while level:
-            before = {t: len(trees[t].feature) for t in trees}
-            if first:
-                loss = _first_level(scan, trees, level, rule)
-                model.losses.append(float(loss[0] / loss[2]))
-                first = False
-            else:
-                split_level(scan, trees, level, rule)
-            level = [(t, i) for t in trees for i in range(before[t], len(trees[t].feature)) if rule.splittable(trees[t].stats[i][None], trees[t].depth[i])[0]]
+            t.add(np.array([0.0, 0.0, float(n)]), 1, 0)
+        level = [[0] for _ in range(k)]
+        while any(level):
+            flats = [_by_bin(t.flat(), edges) for t in trees]
+            sums = _level_sums(binned, parts, recent, rate, flats, level, d, width)
+            if level == [[0]] * k:
+                model.losses.append(float(sums[-1]) / n)
+            at, nxt = 0, [[] for _ in range(k)]
+            for c, (tree, nodes) in enumerate(zip(trees, level)):
+                for node in nodes:
+                    hist = sums[at:at + d * width * 3].reshape(3, d, width).transpose(1, 2, 0)
+                    at += d * width * 3
+                    if node == 0:
+                        tree.stats[0] = hist[0].sum(0)
+                    if rule.splittable(tree.stats[node][None], tree.depth[node])[0] and _take_best(tree, node, hist, rule, edges):
+                        nxt[c] += [i for i in (tree.left[node], tree.right[node]) if rule.splittable(tree.stats[i][None], tree.depth[i])[0]]
+            level = nxt
         done = []
-        for t in range(k):
-            flat = trees[t].flat()
+        for tree in trees:
+            flat = tree.flat()
             flat.gain = flat.gains(rule, d)
             flat.stats[:, 0] = (k - 1) / k * np.divide(flat.stats[:, 0], flat.stats[:, 1], out=np.zeros(len(flat.stats)), where=flat.stats[:, 1] > 1e-150)
             done.append(flat)
         model.rounds.append(done)
+        recent.append([_by_bin(flat, edges) for flat in done])
     return model
 
 
-def _first_level(scan: Scan, trees: dict[int, Tree], level: list[tuple[int, int]], rule: Rule) -> np.ndarray:
-    """Split the roots, whose statistics come from the same pass, as does the log-loss (returned)."""
-    flat = {t: trees[t].flat() for t in trees}
-    flat[-1] = Flat(np.array([-1]), np.zeros(1), np.array([-1]), np.array([-1]), np.zeros((1, 3)))
-    d, width = scan.d, max(len(e) for e in scan.edges) + 1
+BINNED = "y binary, b binary, f binary"
+
+
+def _binned(edges: list[np.ndarray], d: int, start: np.ndarray):
+    """Blocks of labels, bins and scores from blocks of values."""
+    kind = np.uint8 if max(len(e) for e in edges) < 256 else np.int32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, x, y = open_block(batch, i, d)
+                b = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)]).astype(kind)
+                yield _binned_batch(y.astype(np.int32), b, np.tile(start, (len(y), 1)))
+    return run
+
+
+def _binned_batch(y: np.ndarray, b: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in (y, b, f)], names=["y", "b", "f"])
+
 
-    def per_node(i, x, bins, s):
-        if i == len(level):
-            return s.sum(0)
-        return np.stack([np.bincount(bins[:, f], s[:, j], width) for f in range(d) for j in range(3)]).reshape(d, 3, width).transpose(0, 2, 1).ravel()
-    found = scan.sums(flat, [*level, (-1, 0)], per_node, d * width * 3)
-    for i, (t, node) in enumerate(level):
-        hist = found[i].reshape(d, width, 3)
-        trees[t].stats[node] = hist[0].sum(0)
-        _take_best(trees[t], node, hist, rule, scan.edges)
-    return found[-1]
+def _open_binned(batch: pa.RecordBatch, i: int, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    y, b, f = (batch.column(c)[i].as_buffer() for c in ("y", "b", "f"))
+    y = np.frombuffer(y, np.int32)
+    return y, np.frombuffer(b, np.uint8 if b.size == len(y) * d else np.int32).reshape(d, -1), np.frombuffer(f, np.float64).reshape(len(y), -1)
+
+
+def _by_bin(flat: Flat, edges: list[np.ndarray]) -> tuple[Flat, int]:
+    """A tree that compares bins (leaves point to themselves), and its depth."""
+    leaf = flat.feature < 0
+    own = np.arange(len(leaf), dtype=np.int32)
+    cut = np.array([0 if f < 0 else np.searchsorted(edges[f], t) for f, t in zip(flat.feature, flat.threshold)], np.int32)
+    left, right = np.where(leaf, own, flat.left), np.where(leaf, own, flat.right)
+    depth, at = 0, np.array([0])
+    while not leaf[at].all():
+        depth, at = depth + 1, np.unique(np.concatenate([left[at], right[at]]))
+    return Flat(np.maximum(flat.feature, 0), cut, left, right, flat.stats), depth
+
+
+def _leaves_by_bin(tree: tuple[Flat, int], b: np.ndarray) -> np.ndarray:
+    flat, depth = tree
+    rows, node = np.arange(b.shape[1]), np.zeros(b.shape[1], np.int32)
+    for _ in range(depth):
+        node = np.where(b[flat.feature[node], rows] <= flat.threshold[node], flat.left[node], flat.right[node])
+    return node
+
+
+def _scored(f: np.ndarray, b: np.ndarray, recent: list, rate: float) -> np.ndarray:
+    out = f.copy()
+    for trees in recent:
+        for c, tree in enumerate(trees):
+            out[:, c] += rate * tree[0].stats[_leaves_by_bin(tree, b), 0]
+    return out
+
+
+def _carried(recent: list, rate: float, d: int):
+    """Scores brought up to date."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                y, b, f = _open_binned(batch, i, d)
+                yield _binned_batch(y, b, _scored(f, b, recent, rate))
+    return run
+
+
+def _level_sums(binned: DataFrame, parts: int, recent: list, rate: float, flats: list, level: list[list[int]], d: int, width: int) -> np.ndarray:
+    """Sums of residual, curvature and count by (class, node, statistic, feature, bin), and the log-loss."""
+    places = []
+    for (flat, _), nodes in zip(flats, level):
+        place = np.full(len(flat.feature), -1)
+        place[nodes] = np.arange(len(nodes))
+        places.append(place)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                y, b, f = _open_binned(batch, i, d)
+                p = softmax(_scored(f, b, recent, rate))
+                found = []
+                for c, (tree, place, nodes) in enumerate(zip(flats, places, level)):
+                    if not nodes:
+                        continue
+                    at = place[_leaves_by_bin(tree, b)]
+                    keep = slice(None) if (at >= 0).all() else np.flatnonzero(at >= 0)
+                    at, pc = at[keep] * width, p[keep, c]
+                    r, h = (y[keep] == c) - pc, pc * (1 - pc)
+                    out = np.empty((len(nodes), 3, d, width))
+                    for g in range(d):
+                        cell = at + b[g][keep]
+                        for j, w in enumerate((r, h, None)):
+                            out[:, j, g] = np.bincount(cell, w, len(nodes) * width).reshape(len(nodes), width)
+                    found.append(out.ravel())
+                loss = -np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).sum()
+                found.append([loss])
+                v = np.concatenate(found)
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["i", "v"])
+    sums = binned.mapInArrow(run, "i int, v binary")
+    size = 8 * d * width * 3 * sum(map(len, level))
+    if parts * size > HIST_BYTES:                      # else the driver adds them up
+        sums = add_up(sums, "i", "v", parts)
+    return np.sum([np.frombuffer(bytes(r["v"]), np.float64) for r in sums.collect()], 0)
 
 
 def _take_best(tree: Tree, node: int, hist: np.ndarray, rule: Rule, edges: list[np.ndarray], drawn: np.ndarray | None = None) -> bool:
@@ -784,18 +889,6 @@ def _take_best(tree: Tree, node: int, hist: np.ndarray, rule: Rule, edges: list[
     return True
 
 
-def _carry(blocks: DataFrame, d: int, scores: Callable) -> DataFrame:
-    """The block table with its scores brought up to date."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in range(batch.num_rows):
-                _, x, _ = open_block(batch, b, d)
-                f = scores(x, {"f": batch.column("f")[b].as_buffer()})
-                yield pa.RecordBatch.from_arrays([*batch.slice(b, 1).select(["no", "n", "x", "y"]).columns, pa.array([f.tobytes()], pa.binary())],
-                                                 names=["no", "n", "x", "y", "f"])
-    return materialize(blocks.select("no", "n", "x", "y", "f").mapInArrow(run, "no long, n int, x binary, y binary, f binary"))
-
-
 def predict_boosted(model: Boosted, df: DataFrame, features_col: str = "features", out: str = "_shares") -> DataFrame:
     """``df`` with the class probabilities (array; null for rows without features)."""
     @F.pandas_udf("array<double>")
