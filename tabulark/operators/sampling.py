@@ -21,6 +21,7 @@ from ..functions.hashing import row_hash
 from ..functions.selection import order_statistics
 
 MAX_GROUPS = 100_000
+PIECE = 8192                    # equal rows written out by one row of a job
 
 
 def _attach(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
@@ -115,30 +116,42 @@ def first_n(df: DataFrame, levels: list[Column], n: int | dict, tie_keys: list[s
     strict = F.coalesce(F.col("_all") | (valid_row & _lexi_lt(cols, tcols)), F.lit(False)) & valid_row
     if not cut:                                   # one pass decides every row
         return joined.select(*df.columns, (strict | (full_eq & valid_row)).alias(flag))
-    # every row but exact copies of the threshold row: decided by the strict rule
+    # every row but those with the last key: decided by the strict rule
     main = joined.where(~full_eq).select(*df.columns, strict.alias(flag))
-    # exact copies of the threshold row (a handful): take the first _m of them
-    wd = Window.partitionBy(*by).orderBy(*tie_keys) if by else Window.orderBy(*tie_keys)
-    copies = (joined.where(full_eq).withColumn("_rn", F.row_number().over(wd))
-              .select(*df.columns, (F.col("_rn") <= F.col("_m")).alias(flag)))
-    return main.unionByName(copies)
+    copies = joined.where(full_eq).select(*df.columns)
+    if tie_keys:
+        content = F.xxhash64(*[F.to_json(F.col(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in df.schema.fields])
+        halves = [F.shiftrightunsigned(content, 32), content.bitwiseAND(F.lit(0xFFFFFFFF))]
+        return main.unionByName(first_n(copies, halves, dup_need, [], by, flag))
+    return main.unionByName(_first_equal(copies, dup_need, by, flag))
+
+
+def _first_equal(rows: DataFrame, need: dict, by: list[str], flag: str) -> DataFrame:
+    """Flag ``need`` rows of each group's equal rows (different ones only if their hashes collide)."""
+    numbers = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_c"))
+    fields = [rows.schema[c] for c in by] + [T.StructField("_m", T.LongType())]
+    numbers = _attach(numbers, rows.sparkSession.createDataFrame([tuple(g) + (m,) for g, m in need.items()], T.StructType(fields)), by)
+    order = Window.partitionBy(*by).orderBy(*[c for c in rows.columns]).rowsBetween(Window.unboundedPreceding, -1)
+    numbers = numbers.withColumn("_m", F.col("_m") - F.coalesce(F.sum("_c").over(order), F.lit(0)))
+    pieces = numbers.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_c") - 1) / PIECE))))
+    spread = pieces.repartition(*[F.col(c) for c in ("_p", *by)])
+    each = F.sequence(F.col("_p") * PIECE, F.least((F.col("_p") + 1) * PIECE, F.col("_c")) - 1)
+    return spread.withColumn("_i", F.explode(each)).select(*rows.columns, (F.col("_i") < F.col("_m")).alias(flag))
 
 
 def _lexi_lt(cols: list[str], thr: list[str]) -> Column:
-    """(cols...) < (thr...) lexicographically."""
+    """(cols...) < (thr...) lexicographically, nulls first."""
     cond = None
     for c, t in reversed(list(zip(cols, thr))):
-        if cond is None:
-            cond = F.col(c) < F.col(t)
-        else:
-            cond = (F.col(c) < F.col(t)) | ((F.col(c) == F.col(t)) & cond)
+        less = F.coalesce(F.col(c) < F.col(t), F.col(c).isNull() & F.col(t).isNotNull())
+        cond = less if cond is None else less | (F.col(c).eqNullSafe(F.col(t)) & cond)
     return cond
 
 
 def _all_eq(cols: list[str], thr: list[str]) -> Column:
     cond = None
     for c, t in zip(cols, thr):
-        e = F.col(c) == F.col(t)
+        e = F.col(c).eqNullSafe(F.col(t))
         cond = e if cond is None else cond & e
     return cond
 
