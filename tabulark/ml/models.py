@@ -89,8 +89,8 @@ def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
         src = rff_features(df, fitted.extra["rff"]) if "rff" in fitted.extra else df
         out = fitted.model.transform(src)
         margins = vector_to_array(F.col("rawPrediction"), "float64")
-        scale = fitted.extra.get("margin_scale", 1.0)
-        p = F.transform(margins, lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-F.lit(scale) * m)))
+        p = F.array(*[F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(float(a)) * margins[k] + F.lit(float(b))))
+                      for k, (a, b) in enumerate(fitted.extra["platt"])])
         tot = F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
         prob = F.transform(p, lambda x: x / tot)
         return out.select(*cols, F.col("prediction").cast("double").alias("prediction"), prob.alias("probability"))
@@ -190,17 +190,78 @@ def rff_features(df: DataFrame, params: dict, input_col: str = "features", outpu
     return df.withColumn(output_col, array_to_vector(mapped(vector_to_array(F.col(input_col), "float64"))))
 
 
-def fit_svm(train: DataFrame, num_features: int, num_classes: int, n_components: int = 100,
-            reg: float = 0.01, seed: int = SEED) -> Fitted:
-    params = rff_params(num_features, n_components, seed=seed)
-    data = rff_features(train, params).persist()
+def _margin_model(data: DataFrame, num_classes: int, reg: float):
     svc = LinearSVC(featuresCol="rff", regParam=reg, maxIter=100)
     if num_classes <= 2:
-        model = svc.fit(data)
-    else:
-        model = OneVsRest(classifier=svc, featuresCol="rff", parallelism=min(8, num_classes)).fit(data)
+        return svc.fit(data)
+    return OneVsRest(classifier=svc, featuresCol="rff", parallelism=min(8, num_classes)).fit(data)
+
+
+def _margins(model, df: DataFrame) -> DataFrame:
+    """``df`` with the margin of each class (two classes: of the second and its negative)."""
+    return model.transform(df).withColumn("_margin", vector_to_array(F.col("rawPrediction"), "float64"))
+
+
+def fit_svm(train: DataFrame, num_features: int, num_classes: int, n_components: int = 100,
+            reg: float = 0.01, seed: int = SEED, folds: int = 2) -> Fitted:
+    """RBF machine on random Fourier features; probabilities by Platt scaling of margins that
+    models of the other folds give (folds by a seeded hash of the features)."""
+    params = rff_params(num_features, n_components, seed=seed)
+    fold = F.pmod(F.xxhash64("rff", F.lit(seed)), F.lit(folds))
+    data = materialize(rff_features(train, params).withColumn("_fold", fold).select("label", "rff", "_fold")).persist()
+    model = _margin_model(data, num_classes, reg)
+    held = None
+    for i in range(folds):
+        if data.where(F.col("_fold") != i).select("label").distinct().count() < max(2, num_classes):
+            continue                                   # the other folds lack a class
+        other = _margin_model(data.where(F.col("_fold") != i), num_classes, reg)
+        part = _margins(other, data.where(F.col("_fold") == i)).select("label", "_margin")
+        held = part if held is None else held.unionByName(part)
+    platt = fit_platt(materialize(held), max(2, num_classes)) if held is not None else [(-1.0, 0.0)] * max(2, num_classes)
     data.unpersist()
-    return Fitted("SVM", "ovr", model, num_classes, extra={"margin_scale": 1.0, "rff": params})
+    return Fitted("SVM", "ovr", model, num_classes, extra={"platt": platt, "rff": params})
+
+
+def fit_platt(margins: DataFrame, num_classes: int, rounds: int = 50) -> list[tuple[float, float]]:
+    """(A, B) of p = 1 / (1 + exp(A m + B)) for each class from ``label, _margin``: Newton steps on the
+    log-loss against the smoothed targets (n + 1) / (n + 2) and 1 / (n + 2), all classes in one aggregate."""
+    n = margins.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("label") == k).alias(f"n{k}") for k in range(num_classes)]).first()
+    high = [(n[f"n{k}"] + 1) / (n[f"n{k}"] + 2) for k in range(num_classes)]
+    low = [1 / (n["n"] - n[f"n{k}"] + 2) for k in range(num_classes)]
+    found = [[0.0, math.log((n["n"] - n[f"n{k}"] + 1) / (n[f"n{k}"] + 1))] for k in range(num_classes)]
+    loss = [math.inf] * num_classes
+    step = [[0.0, 0.0] for _ in range(num_classes)]
+    open_ = set(range(num_classes))
+    for _ in range(rounds):
+        aggregates = []
+        for k in sorted(open_):
+            m = F.col("_margin")[k]
+            t = F.when(F.col("label") == k, high[k]).otherwise(low[k])
+            z = F.lit(found[k][0]) * m + F.lit(found[k][1])
+            p = F.lit(1.0) / (F.lit(1.0) + F.exp(z))
+            w = p * (F.lit(1.0) - p)
+            aggregates += [F.sum((t - p) * m).alias(f"ga{k}"), F.sum(t - p).alias(f"gb{k}"), F.sum(w * m * m).alias(f"aa{k}"),
+                           F.sum(w * m).alias(f"ab{k}"), F.sum(w).alias(f"bb{k}"),
+                           F.sum(t * z + F.when(z > 30, F.exp(-z)).otherwise(F.log1p(F.exp(-z)))).alias(f"l{k}")]
+        r = margins.agg(*aggregates).first()
+        for k in sorted(open_):
+            if r[f"l{k}"] > loss[k] + 1e-9:            # too far: half the last step back
+                step[k] = [v / 2 for v in step[k]]
+                found[k] = [a + v for a, v in zip(found[k], step[k])]
+                if max(map(abs, step[k])) < 1e-8:
+                    open_.discard(k)
+                continue
+            loss[k] = r[f"l{k}"]
+            ga, gb, aa, ab, bb = (r[f"{c}{k}"] for c in ("ga", "gb", "aa", "ab", "bb"))
+            aa, bb = aa + 1e-12, bb + 1e-12
+            det = aa * bb - ab * ab
+            step[k] = [(bb * ga - ab * gb) / det, (aa * gb - ab * ga) / det] if det > 0 else [0.0, 0.0]
+            found[k] = [a - v for a, v in zip(found[k], step[k])]
+            if max(map(abs, step[k])) < 1e-7:
+                open_.discard(k)
+        if not open_:
+            break
+    return [tuple(v) for v in found]
 
 
 # ----------------------------------------------------------------------------
