@@ -239,21 +239,53 @@ def q_pearson(spark, sf):
     return rounded(X.pearson_frame(coded, "l_quantity", "o_orderstatus"))
 
 
-@register("test_hypotheses")
+def _hypothesis_sql(name: str, x: str) -> str:
+    return f"""SELECT '{name}' AS hypothesis, {r6("r")} AS correlation, abs(r * sqrt((n - 2) / (1 - r * r))) > 1.96 AS significant,
+       CASE WHEN abs(r) >= 0.7 THEN 'Fuerte' WHEN abs(r) >= 0.5 THEN 'Moderada' WHEN abs(r) >= 0.3 THEN 'Débil' ELSE 'Muy débil' END AS interpretation
+FROM (SELECT corr({x}, y) AS r, COUNT(*) AS n FROM j) t"""
+
+
+@register("test_hypotheses", f"""WITH a AS ({FR.LEARNING_SQL}),
+y AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT final_result AS v FROM a) t),
+g AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT age_band AS v FROM a) t),
+j AS (SELECT CAST(sum_click AS DOUBLE) AS clicks, CAST(g.code AS DOUBLE) AS age, CAST(y.code AS DOUBLE) AS y
+      FROM a JOIN y ON a.final_result = y.v JOIN g ON a.age_band = g.v)
+{_hypothesis_sql("H1_VLE_Performance", "clicks")} UNION ALL {_hypothesis_sql("H2_Age_Performance", "age")}""")
 def q_hypotheses(spark, sf):
+    """The p-values need the incomplete beta function, which SQL lacks; the decision at 5 % is compared."""
     lf = FR.learning_frame(spark, sf)
-    return X.test_hypotheses(lf, "final_result", "sum_click", "age_band")
+    return rounded(X.test_hypotheses(lf, "final_result", "sum_click", "age_band").drop("p_value"))
 
 
 # ------------------------------------------------------------------ E19-E21
-@register("ks_normality")
+def _ks_sql(source: str, column: str) -> str:
+    return f"""SELECT '{column}' AS variable, d AS ks_statistic, CASE WHEN z < 0.2 THEN 1.0 ELSE
+         least(1.0, greatest(0.0, 2 * ({" + ".join(f"{(-1) ** (j - 1)} * exp(-2 * {j * j} * z * z)" for j in range(1, 12))}))) END AS ks_p_value
+FROM (SELECT d, sqrt(n) * d + 1 / (6 * sqrt(n)) + (sqrt(n) * d - 1) / (4 * n) AS z FROM (
+  SELECT n, max(greatest(abs(upto / n - p), abs(p - (upto - c) / n))) AS d FROM (
+    SELECT n, c, SUM(c) OVER (ORDER BY x) AS upto, {ST.normal_cdf_sql("((x - m) / s)")} AS p FROM (
+      SELECT x, COUNT(*) AS c FROM (SELECT CAST({column} AS DOUBLE) AS x FROM {source} WHERE {column} IS NOT NULL) v GROUP BY x) k,
+      (SELECT CAST(COUNT({column}) AS DOUBLE) AS n, avg(CAST({column} AS DOUBLE)) AS m, stddev_samp(CAST({column} AS DOUBLE)) AS s FROM {source}) f) g
+  GROUP BY n) h) w"""
+
+
+KS = ["value", "user_id"]
+NORMALITY = ["l_quantity", "l_discount", "o_totalprice"]
+
+
+@register("ks_normality", "\nUNION ALL\n".join(
+    f"SELECT variable, {r6('ks_statistic')} AS ks_statistic, {r6('ks_p_value')} AS ks_p_value, ks_p_value > 0.05 AS normal_ks FROM ({_ks_sql('events', c)}) q{i}"
+    for i, c in enumerate(KS)))
 def q_ks(spark, sf):
-    return X.ks_normality(read_table(spark, "events", sf), ["value", "user_id"])
+    return rounded(X.ks_normality(read_table(spark, "events", sf), KS))
 
 
-@register("normality_report")
+@register("normality_report", f"WITH a AS ({A})\n" + "\nUNION ALL\n".join(
+    f"""SELECT variable, {r6('ks_statistic')} AS ks_statistic, {r6('ks_p_value')} AS ks_p_value, ks_p_value > 0.05 AS normal_ks,
+       (SELECT {r6(f"skewness({c})")} FROM a) AS skewness, (SELECT {r6(f"kurtosis({c})")} FROM a) AS kurtosis FROM ({_ks_sql('a', c)}) q{i}"""
+    for i, c in enumerate(NORMALITY)))
 def q_normality(spark, sf):
-    return X.normality_report(_act(spark, sf), ["l_quantity", "l_discount", "o_totalprice"])
+    return rounded(X.normality_report(_act(spark, sf), NORMALITY))
 
 
 OUT_COLS = ["value", "user_id"]
