@@ -133,7 +133,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = fit_toxicity(_training(spark, sf_dir, "toxic", 4, 2))
     scored = toxic_spans(table(spark, sf_dir, "documents"), field)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans")
 
 
 @query("op4_pu_quality")

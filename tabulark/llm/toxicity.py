@@ -12,7 +12,7 @@ Whole texts are tagged: forward-backward runs over a batch of documents at a tim
 one vector step per token position. The marginals of a document aggregate to its
 highest one, the expected number of toxic tokens, of different toxic words, and
 their density; a logistic function of these, fitted with the field, is the score.
-Spans are runs of tokens whose marginal reaches ``span_min``.
+Spans are runs of tokens whose marginal reaches ``span_min``, as offsets into the text.
 
 All fitting uses a bounded sample of the labelled training documents (about
 ``max_train_docs`` of each label, by a hash of the text, equal texts once).
@@ -25,7 +25,11 @@ without labels of both kinds every score is 0.
 from __future__ import annotations
 
 import re
+import sys
+import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,7 @@ STEMS = (4, 5, 6, 7, 8)
 MAX_TRAIN_DOCS, MAX_UNITS = 3000, 8000
 MIN_CONTEXTS, MIN_LIFT, MIN_GAIN = 5, 4.0, 30.0   # a unit stands out by so much
 TRAIN_WINDOW, EPOCHS = 64, 100
+TAG_CHARS, CACHE_WORDS = 1 << 22, 300_000          # text tagged at once, words (of 64 letters at most) a worker keeps
 
 
 def units(word: str) -> list[str]:
@@ -90,9 +95,11 @@ class Field:
     def emission(self, word: str) -> float:
         e = self.cache.get(word)
         if e is None:
-            if len(self.cache) > 400_000:
-                self.cache.clear()
-            e = self.cache[word] = float(self.weights[self.features(word)].sum())
+            e = float(self.weights[self.features(word)].sum())
+            if len(word) <= 64:
+                if len(self.cache) >= CACHE_WORDS:
+                    self.cache.clear()
+                self.cache[word] = e
         return e
 
 
@@ -198,16 +205,16 @@ def aggregate(words: list[str], p: np.ndarray) -> list[float]:
 
 
 def _tagged(texts: list[str | None], field: Field) -> Iterator[tuple[int, list[str], np.ndarray]]:
-    """(row, words, marginals) of all texts, some 16 MB at a time."""
+    """(row, words, marginals) of all texts, 4 MB at a time."""
     lo = 0
     while lo < len(texts):
         hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size < 1 << 24):
+        while hi < len(texts) and (hi == lo or size < TAG_CHARS):
             size += len(texts[hi] or "")
             hi += 1
         words = [WORD.findall((t or "").lower()) for t in texts[lo:hi]]
         emission = field.emission
-        for i, p in enumerate(marginals([np.array([emission(w) for w in ws]) for ws in words], field)):
+        for i, p in enumerate(marginals([np.fromiter(map(emission, ws), np.float64, len(ws)) for ws in words], field)):
             yield lo + i, words[i], p
         lo = hi
 
@@ -257,11 +264,11 @@ def fit_toxicity(train: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Fiel
     field = Field({r["unit"]: i + 1 for i, r in enumerate(telling)})
     high = {r["unit"] for r in telling if standing_out(r["toxic"], r["clean"], n1, n0) >= MIN_GAIN
             and r["toxic"] / n1 >= MIN_LIFT * r["clean"] / n0}
-    texts = [(r["text"], r["toxic"]) for r in sample.orderBy(F.xxhash64("text")).toLocalIterator()]   # bounded by the sample
     seen: dict[str, set] = {u: set() for u in high}
     found = []
-    for text, label in texts:
-        words = WORD.findall(text.lower())
+    for r in sample.orderBy(F.xxhash64("text")).toLocalIterator():             # bounded by the sample
+        text, label = r["text"], r["toxic"]
+        words = [sys.intern(w) for w in WORD.findall(text.lower())]
         hits = [(i, [u for u in units(w) if u in high]) for i, w in enumerate(words)] if label else []
         found.append((words, [(i, us) for i, us in hits if us]))
         for i, us in found[-1][1]:
@@ -275,12 +282,13 @@ def fit_toxicity(train: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Fiel
         hit = np.zeros(len(words))
         hit[[i for i, us in hits if any(u in bad for u in us)]] = 1
         starts = list(range(0, len(words), TRAIN_WINDOW))
-        held = [s for s in starts if hit[s:s + TRAIN_WINDOW].any()]
-        # a document's windows with toxic tokens, and a few others
-        for s in held[:6] + [s for s in starts if s not in held[:6]][:2]:
+        # windows with toxic tokens and a few others, drawn from the whole text
+        starts.sort(key=lambda s: zlib.crc32(" ".join(words[s:s + TRAIN_WINDOW]).encode("utf-8", "surrogatepass")))
+        held = [s for s in starts if hit[s:s + TRAIN_WINDOW].any()][:6]
+        for s in held + [s for s in starts if s not in held][:2]:
             sequences.append(words[s:s + TRAIN_WINDOW])
             tags.append(hit[s:s + TRAIN_WINDOW])
-    del found, texts
+    del found
     if not sequences:
         return None
     fit_field(sequences, tags, field)
@@ -310,15 +318,20 @@ def _score(field: Field | None, span_min: float):
 
 
 def _spans(text: str, p: np.ndarray, span_min: float) -> list[dict[str, int]]:
-    """Character ranges of runs of toxic tokens (offsets in the lower-cased text)."""
+    """Character ranges of runs of toxic tokens."""
     out, last = [], -2
-    for i, m in enumerate(WORD.finditer(text.lower())):
+    low = text.lower()
+    for i, m in enumerate(WORD.finditer(low)):
         if p[i] >= span_min:
             if last == i - 1:
                 out[-1]["end"] = m.end()
             else:
                 out.append({"start": m.start(), "end": m.end()})
             last = i
+    if len(low) != len(text):                          # some characters have longer small forms
+        ends = list(accumulate(len(c.lower()) for c in text))
+        for span in out:
+            span["start"], span["end"] = bisect_right(ends, span["start"]), bisect_left(ends, span["end"]) + 1
     return out
 
 

@@ -62,3 +62,12 @@ def test_without_both_labels(spark):
     one = spark.createDataFrame([(1, "a b", 0)], "doc_id long, text string, toxic int")
     assert fit_toxicity(one) is None and fit_toxicity(one.limit(0)) is None
     assert [r.score for r in toxic_spans(one, None).collect()] == [0.0]
+
+
+def test_offsets_are_those_of_the_text():
+    from tabulark.llm.toxicity import WORD, _spans
+    text = "İİ abc vexnak İzorgu x"
+    words = WORD.findall(text.lower())
+    p = np.array([0.9 if "vexnak" in w or "zorgu" in w else 0.0 for w in words])
+    assert [text[s["start"]:s["end"]] for s in _spans(text, p, 0.5)][0].startswith("vexnak")
+    assert all(0 <= s["start"] < s["end"] <= len(text) for s in _spans(text, p, 0.5))
