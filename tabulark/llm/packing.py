@@ -5,8 +5,9 @@ their lengths (``max_tokens + 1`` counts at most, whatever the corpus) goes to t
 driver, where dynamic programming finds the ``buckets`` boundaries with the least
 total padding. Every sequence is padded to its bucket's boundary and batches of
 one bucket take as many as fit the token budget; a bucket's batches are all full
-but its last one. Sequences are numbered across ranges of a hash order, so no
-bucket is gathered in a task.
+but its last one. Texts are read once: their lengths are kept with a row number.
+Sequences are numbered across ranges of an order by a hash of id, part and row
+number, so neither a bucket nor the rows of one id are gathered in a task.
 
 Defined results: a null or empty text is one sequence of length 0; a null id is
 passed through; repeated rows are sequences of their own; an empty table gives an
@@ -19,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .numbering import numbered
 
 MAX_TOKENS, BUCKETS, BUDGET = 2048, 16, 65536
@@ -63,12 +65,13 @@ def pack_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``bucket_length``, ``batch`` (within the bucket) and ``position`` in the batch."""
     if budget < max_tokens:
         raise ValueError("the budget must hold a sequence of max_tokens")
-    sized = docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("n"))
+    sized = materialize(docs.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("n"),
+                                    F.monotonically_increasing_id().alias("row")))
     parts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr(f"cast((n - 1) div {max_tokens} as int)")))
-    seqs = sized.select("doc_id", "n", F.explode(parts).alias("part")).select(
-        "doc_id", "part", (F.col("part").cast("long") * max_tokens).alias("start"),
+    seqs = sized.select("doc_id", "n", "row", F.explode(parts).alias("part")).select(
+        "doc_id", "row", "part", (F.col("part").cast("long") * max_tokens).alias("start"),
         F.least(F.col("n") - F.col("part") * max_tokens, F.lit(max_tokens)).cast("int").alias("length"))
-    seqs = seqs.select("*", F.xxhash64("doc_id", "part").alias("mix"))
+    seqs = seqs.select("*", F.xxhash64("doc_id", "part", "row").alias("mix"))
     hist = seqs.groupBy("length").count().orderBy("length").collect()     # max_tokens + 1 rows at most
     ends = length_buckets(np.array([r["length"] for r in hist], np.int64), np.array([r["count"] for r in hist], np.int64), buckets)
     if not ends:
@@ -79,7 +82,7 @@ def pack_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         bucket = F.when(F.col("length") <= ends[i], i).otherwise(bucket)
         size = F.when(F.col("length") <= ends[i], ends[i]).otherwise(size)
     placed = numbered(seqs.withColumn("bucket", bucket).withColumn("bucket_length", size),
-                      "bucket", ["bucket", "mix", "doc_id", "part"], "at")
+                      "bucket", ["bucket", "mix", "row", "part"], "at")
     room = F.expr(f"cast({budget} div greatest(bucket_length, 1) as long)")
     return placed.select("doc_id", "part", "start", "length", "bucket", "bucket_length",
                          F.expr(f"at div cast({budget} div greatest(bucket_length, 1) as long)").alias("batch"),

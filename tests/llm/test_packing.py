@@ -50,3 +50,26 @@ def test_batches(spark):
 
 def test_empty_table(spark):
     assert pack_lengths(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_of_one_id_spread_over_ranges(spark, monkeypatch):
+    from tabulark.llm import numbering
+    ranges = []
+    old = numbering._number
+    monkeypatch.setattr(numbering, "_number", lambda first, group, name: ranges.append(first) or old(first, group, name))
+    df = spark.createDataFrame([(None if i % 3 else 7, "w " * (i % 40)) for i in range(6000)], "doc_id long, text string").repartition(4)
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(small, "false")
+    try:
+        out = pack_lengths(df)
+        assert out.count() == 6000
+    finally:
+        spark.conf.unset(small)
+    spread = out.groupBy("bucket", "batch").count().count()
+    assert spread > 1 and len({pid for pid, _ in ranges[0]}) >= 6
+
+
+def test_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "w " * 300_000), (2, "a b")], "doc_id long, text string")
+    out = pack_lengths(df)
+    assert out.agg({"length": "sum"}).first()[0] == 300_002 and out.filter("doc_id = 1").count() == -(-300_000 // 2048)
