@@ -22,8 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
-                                       RandomForestClassifier)
+                                       NaiveBayes, OneVsRest, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -35,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import network as NN
 from . import trees as TR
 
 SEED = 42
@@ -46,7 +46,7 @@ SEED = 42
 @dataclass
 class Fitted:
     name: str
-    kind: str                  # "spark", "ovr", "lda", "adaboost", "forest", "boosted"
+    kind: str                  # "spark", "ovr", "lda", "adaboost", "forest", "boosted", "network"
     model: object
     num_classes: int
     features_col: str = "features"
@@ -98,9 +98,9 @@ def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
         return _lda_predict(fitted, df)
     if fitted.kind == "adaboost":
         return _ada_predict(fitted, df)
-    if fitted.kind in ("forest", "boosted"):
-        apply = TR.predict_forest if fitted.kind == "forest" else TR.predict_boosted
-        out = apply(fitted.model, df, fitted.features_col, "_shares")
+    if fitted.kind in ("forest", "boosted", "network"):
+        apply = {"forest": TR.predict_forest, "boosted": TR.predict_boosted, "network": NN.predict_network}[fitted.kind]
+        out = apply(fitted.model or fitted.extra, df, fitted.features_col, "_shares")
         if fitted.num_classes == 0:
             return out.select(*cols, F.col("_shares")[0].alias("prediction"), F.lit(None).cast("array<double>").alias("probability"))
         return out.select(*cols, _argmax(F.col("_shares")).alias("prediction"), F.col("_shares").alias("probability"))
@@ -125,9 +125,9 @@ def logistic(max_iter: int = 1000, **kw):
     return LogisticRegression(maxIter=max_iter, family="multinomial", **kw)
 
 
-def mlp(num_features: int, num_classes: int, hidden: int = 100, max_iter: int = 500, seed: int = SEED):
-    """one hidden layer (100 units like sklearn's default; the registry used 50)."""
-    return MultilayerPerceptronClassifier(layers=[num_features, hidden, num_classes], maxIter=max_iter, seed=seed)
+def fit_mlp(train: DataFrame, num_classes: int, hidden: int = 100, max_iter: int = 500, seed: int = SEED, **kw) -> Fitted:
+    """one hidden layer (100 units like sklearn's default; the registry used 50), Adam on mini-batches."""
+    return Fitted("NeuralNetwork", "network", None, num_classes, extra=NN.fit_network(train, num_classes, hidden, max_iter, seed=seed, **kw))
 
 
 def gaussian_nb():
@@ -449,6 +449,66 @@ def grid_search(train: DataFrame, estimator, grid: dict, folds: int = 3, seed: i
     return {"model": model.bestModel, "best_params": best, "scores": list(model.avgMetrics)}
 
 
+def fit_params(name: str, data: DataFrame, num_features: int, num_classes: int, seed: int = SEED, **params) -> Fitted:
+    """``fit_named`` with parameters of the model's own fit function."""
+    fits = {"RandomForest": fit_random_forest, "Bagging": fit_bagging, "ExtraTrees": fit_extra_trees, "DecisionTree": fit_decision_tree,
+            "NeuralNetwork": fit_mlp}
+    if not params:
+        return fit_named(name, data, num_features, num_classes, seed)
+    if name in fits:
+        return fits[name](data, num_classes, seed=seed, **params)
+    if name == "GradientBoosting":
+        return fit_gbt(data, num_classes, **params)
+    if name == "SVM":
+        return fit_svm(data, num_features, num_classes, seed=seed, **params)
+    if name == "AdaBoost":
+        return fit_adaboost(data, num_classes, seed=seed, **params)
+    if name == "LogisticRegression":
+        return fit_spark(name, logistic(**params), data, num_classes)
+    raise ValueError(f"{name} has no parameters to search")
+
+
+# The two searches of the reference.
+GRIDS = {"RandomForest": {"num_trees": [50, 100], "max_depth": [5, 10]}, "GradientBoosting": {"max_iter": [50, 100], "max_depth": [3, 6]}}
+
+
+def search_chain(name: str, train: DataFrame, keys: list[str], num_features: int, num_classes: int, grid: dict | None = None,
+                 folds: int = 3, oversample: bool = True, seed: int = SEED) -> dict:
+    """search over the whole chain. Rows fall into folds by a seeded hash of ``keys``; the rows outside
+    a fold are oversampled and scaled once, written, and shared by all settings, which are fitted on them
+    and judged on the fold by weighted F1. The best mean (the first on ties) is refitted on all rows.
+
+    Returns ``best_params``, ``scores`` (params, fold, rows of the fold, weighted F1) and ``model``."""
+    from itertools import product
+
+    from ..functions.hashing import row_hash
+    from ..operators.evaluate import classification_metrics, fit_confusion
+    grid = grid if grid is not None else GRIDS[name]
+    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
+    dealt = materialize(train.withColumn("_fold", (row_hash(keys, seed) % folds).cast("int")))
+    sizes = {r["_fold"]: r["count"] for r in dealt.groupBy("_fold").count().collect()}
+    scores = []
+    for fold in sorted(sizes):
+        rest = dealt.where(F.col("_fold") != fold).drop("_fold")
+        held = dealt.where(F.col("_fold") == fold).drop("_fold")
+        made = materialize(oversampled(rest, keys[0] if len(keys) == 1 else None, seed) if oversample else rest.select("label", "features"))
+        scale = fit_vector_scale(made)
+        made = materialize(scale_vector(made, scale))
+        for i, params in enumerate(settings):
+            fitted = fit_params(name, made, num_features, num_classes, seed, **params)
+            fitted.extra["scale"] = scale
+            f1 = classification_metrics(fit_confusion(predict(fitted, held), "label", "prediction"))["f1_weighted"]
+            scores.append({"setting": i, "params": params, "fold": fold, "rows": sizes[fold], "f1_weighted": f1})
+    mean = [float(np.mean([s["f1_weighted"] for s in scores if s["setting"] == i])) for i in range(len(settings))]
+    best = settings[int(np.argmax(mean))]
+    made = oversampled(dealt, keys[0] if len(keys) == 1 else None, seed) if oversample else dealt.select("label", "features")
+    made = materialize(made)
+    scale = fit_vector_scale(made)
+    model = fit_params(name, materialize(scale_vector(made, scale)), num_features, num_classes, seed, **best)
+    model.extra["scale"] = scale
+    return {"best_params": best, "scores": scores, "mean": mean, "model": model}
+
+
 def random_projection_matrix(num_features: int, n_components: int = 2, seed: int = SEED,
                              kind: str = "gaussian") -> np.ndarray:
     """Seeded projection matrix (n_components x num_features): Gaussian N(0, 1/k) or the
@@ -512,7 +572,7 @@ def fit_named(name: str, train: DataFrame, num_features: int, num_classes: int,
     if name == "SVM":
         return fit_svm(train, num_features, num_classes, seed=seed)
     if name == "NeuralNetwork":
-        return fit_spark(name, mlp(num_features, num_classes, seed=seed), train, num_classes)
+        return fit_mlp(train, num_classes, seed=seed)
     if name == "GaussianNB":
         return fit_spark(name, gaussian_nb(), train, num_classes)
     if name == "LinearDiscriminantAnalysis":

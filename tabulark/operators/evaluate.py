@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.cumulative import running_totals
 from .explore import histogram
 
-MAX_CLASSES = 1_000
+MAX_CLASSES = 1_000             # class tables up to this size are broadcast
 
 
 # ---------------------------------------------------------------------- G1
@@ -60,8 +60,12 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list | None
 
 @dataclass
 class Confusion:
+    """What the metrics need of the confusion matrix: three sums a class, in class order."""
+
     classes: list
-    m: list   # m[i][j] = rows with label classes[i] predicted classes[j]
+    hits: list[int]
+    supports: list[int]
+    predictions: list[int]
 
     @property
     def k(self):
@@ -69,25 +73,27 @@ class Confusion:
 
     @property
     def total(self):
-        return sum(map(sum, self.m))
+        return sum(self.supports)
 
     def tp(self, i):
-        return self.m[i][i]
+        return self.hits[i]
 
     def support(self, i):
-        return sum(self.m[i])
+        return self.supports[i]
 
     def predicted(self, i):
-        return sum(self.m[r][i] for r in range(self.k))
+        return self.predictions[i]
 
 
 def fit_confusion(df: DataFrame, label: str, pred: str) -> Confusion:
-    classes = class_labels(df, label, pred)
-    idx = {c: i for i, c in enumerate(classes)}
-    m = [[0] * len(classes) for _ in classes]
-    for r in _pair_counts(df, label, pred).collect():
-        m[idx[r["label"]]][idx[r["prediction"]]] = r["n"]
-    return Confusion(classes, m)
+    """One aggregation by (label, prediction), then one by class: a row a class reaches the driver."""
+    pairs = _pair_counts(df, label, pred)
+    same = F.col("label").eqNullSafe(F.col("prediction"))
+    sides = F.array(F.struct(F.col("label").alias("c"), F.col("n").alias("s"), F.lit(0).cast("bigint").alias("p"), F.when(same, F.col("n")).otherwise(0).alias("t")),
+                    F.struct(F.col("prediction").alias("c"), F.lit(0).cast("bigint").alias("s"), F.col("n").alias("p"), F.lit(0).cast("bigint").alias("t")))
+    rows = pairs.select(F.explode(sides).alias("e")).groupBy("e.c").agg(*[F.sum(f"e.{x}").alias(x) for x in "spt"]).collect()
+    rows = sorted((r for r in rows if r["c"] is not None), key=lambda r: r["c"]) + [r for r in rows if r["c"] is None]
+    return Confusion([r["c"] for r in rows], *[[r[x] for r in rows] for x in "tsp"])
 
 
 # ------------------------------------------------------------------ G2-G5, G8
@@ -133,7 +139,8 @@ def confusion_counts(cm: Confusion) -> dict:
     reference's pooled form TP = trace, FP = sum of column off-diagonals,
     FN = sum of row off-diagonals, TN = total - (FP + FN + TP), manual F1 = 0."""
     if cm.k == 2:
-        tn, fp, fn, tp = cm.m[0][0], cm.m[0][1], cm.m[1][0], cm.m[1][1]
+        tn, tp = cm.tp(0), cm.tp(1)
+        fp, fn = cm.support(0) - tn, cm.support(1) - tp
         p = _div(tp, tp + fp)
         r = _div(tp, tp + fn)
         return {"TP": tp, "FP": fp, "TN": tn, "FN": fn, "f1_score_manual": _div(2 * p * r, p + r)}
@@ -302,11 +309,7 @@ def metrics_dict(df: DataFrame, label: str, pred: str, probability: str | None =
     cm = fit_confusion(df, label, pred)
     out = dict(confusion_counts(cm))
     out.update(classification_metrics(cm))
-    labels_only = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct()
-                         .limit(MAX_CLASSES + 1).collect())
-    if len(labels_only) > MAX_CLASSES:
-        raise ValueError("too many classes")
-    out["roc_auc"] = roc_auc(df, label, probability, pred, labels_only)
+    out["roc_auc"] = roc_auc(df, label, probability, pred)
     reg = regression_metrics(df, label, pred).first()
     out["mse"], out["r2"] = reg["mse"], reg["r2"]
     if research is not None:

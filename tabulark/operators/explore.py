@@ -39,6 +39,7 @@ from pyspark.sql import types as T  # noqa: E402
 from ..functions import stats as ST  # noqa: E402
 from ..functions.cumulative import running_totals  # noqa: E402
 from ..functions.selection import global_quantiles, quantiles  # noqa: E402
+from ..session import bounded_lookup, materialize  # noqa: E402
 from .clean import coerce_numeric, fit_mode  # noqa: E402
 from .profile import numeric_columns, string_columns  # noqa: E402
 
@@ -312,25 +313,17 @@ def grouped_box_stats(df: DataFrame, by: str, col: str) -> DataFrame:
 def grouped_histogram(df: DataFrame, by: str, col: str, bins: int = 30) -> DataFrame:
     """``bins`` equal-width bins of ``col`` per group, each over the group's own range:
     (group, bin, bin_start, bin_end, count)."""
-    spark = df.sparkSession
     ranges = (df.where(F.col(col).isNotNull()).groupBy(by)
-              .agg(F.min(F.col(col).cast("double")).alias("mn"), F.max(F.col(col).cast("double")).alias("mx"))
-              .limit(MAX_GROUPS + 1).collect())
-    if len(ranges) > MAX_GROUPS:
-        raise ValueError("too many groups for grouped histograms")
-    scaffold = []
-    for r in ranges:
-        mn, mx = (r["mn"] - 0.5, r["mx"] + 0.5) if r["mn"] == r["mx"] else (r["mn"], r["mx"])
-        step = (mx - mn) / bins
-        for b in range(bins):
-            scaffold.append((r[by], b, b * step + mn, mx if b == bins - 1 else (b + 1) * step + mn,
-                             mn, mx, bins / (mx - mn), step))
-    sc = spark.createDataFrame(scaffold, T.StructType([
-        T.StructField(by, df.schema[by].dataType), T.StructField("bin", T.IntegerType()),
-        T.StructField("bin_start", T.DoubleType()), T.StructField("bin_end", T.DoubleType()),
-        T.StructField("_mn", T.DoubleType()), T.StructField("_mx", T.DoubleType()),
-        T.StructField("_norm", T.DoubleType()), T.StructField("_step", T.DoubleType())]))
-    params = sc.select(by, "_mn", "_mx", "_norm", "_step").distinct()
+              .agg(F.min(F.col(col).cast("double")).alias("mn"), F.max(F.col(col).cast("double")).alias("mx")))
+    flat = F.col("mn") == F.col("mx")
+    ranges = ranges.select(by, F.when(flat, F.col("mn") - 0.5).otherwise(F.col("mn")).alias("_mn"),
+                           F.when(flat, F.col("mx") + 0.5).otherwise(F.col("mx")).alias("_mx"))
+    ranges = ranges.withColumn("_norm", bins / (F.col("_mx") - F.col("_mn"))).withColumn("_step", (F.col("_mx") - F.col("_mn")) / bins)
+    params, _ = bounded_lookup(ranges)               # broadcast if few, else a table joined by shuffle
+    n = F.col("bin").cast("double")
+    sc = params.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(
+        by, "bin", (n * F.col("_step") + F.col("_mn")).alias("bin_start"),
+        F.when(F.col("bin") == bins - 1, F.col("_mx")).otherwise((n + 1) * F.col("_step") + F.col("_mn")).alias("bin_end"))
     x = F.col(col).cast("double")
     i0 = F.least(F.greatest(F.floor((x - F.col("_mn")) * F.col("_norm")).cast("int"), F.lit(0)), F.lit(bins - 1))
 
@@ -339,9 +332,9 @@ def grouped_histogram(df: DataFrame, by: str, col: str, bins: int = 30) -> DataF
 
     b = F.coalesce(F.when(x < edge(i0), i0 - 1),
                    F.when((x >= edge(i0 + 1)) & (i0 != bins - 1), i0 + 1), i0)
-    counts = (df.select(by, col).where(F.col(col).isNotNull()).join(F.broadcast(params), by)
+    counts = (df.select(by, col).where(F.col(col).isNotNull()).join(params, by)
               .groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
-    return (F.broadcast(sc.drop("_mn", "_mx", "_norm", "_step")).join(counts, [by, "bin"], "left")
+    return (sc.join(counts, [by, "bin"], "left")
             .select(by, "bin", "bin_start", "bin_end", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
@@ -383,19 +376,18 @@ def anova_f_scores(df: DataFrame, label: str, features: list[str], k: int = 15,
     per = df.where(F.col(label).isNotNull()).groupBy(label).agg(
         F.count(F.lit(1)).alias("n"),
         *[a for i, c in enumerate(features) for a in (F.avg(x[c]).alias(f"m{i}"), F.var_pop(x[c]).alias(f"v{i}"))])
-    classes = per.limit(MAX_GROUPS + 1).collect()      # one row per class
-    if len(classes) > MAX_GROUPS:
-        raise ValueError("too many classes for ANOVA")
-    n_ = sum(r["n"] for r in classes)
-    k_ = len(classes)
+    per = materialize(per)                           # one row a class, read twice
+    size = per.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), *[
+        (F.sum(F.when(F.col(f"m{i}").isNotNull(), F.col("n") * F.col(f"m{i}"))) / F.sum(F.when(F.col(f"m{i}").isNotNull(), F.col("n")))).alias(f"g{i}")
+        for i in range(len(features))]).first()
+    n_, k_ = int(size["n"] or 0), size["k"]
+    sums = per.agg(*[a for i in range(len(features)) for a in (
+        F.sum(F.col("n") * (F.col(f"m{i}") - F.lit(size[f"g{i}"]).cast("double")) ** 2).alias(f"b{i}"),
+        F.sum(F.col("n") * F.col(f"v{i}")).alias(f"w{i}"))]).first()
     rows = []
     for i, c in enumerate(features):
-        stats_ = [(r["n"], r[f"m{i}"], r[f"v{i}"]) for r in classes if r[f"m{i}"] is not None]
-        f = None
-        if stats_ and k_ >= 2 and n_ - k_ > 0:
-            grand = sum(n * m for n, m, _ in stats_) / sum(n for n, _, _ in stats_)
-            ssb = sum(n * (m - grand) ** 2 for n, m, _ in stats_)
-            ssw = sum(n * v for n, _, v in stats_)
+        f, ssb, ssw = None, sums[f"b{i}"], sums[f"w{i}"]
+        if ssb is not None and k_ >= 2 and n_ - k_ > 0:
             if ssw == 0:
                 f = float("inf") if ssb > 0 else None
             else:

@@ -321,10 +321,14 @@ def q_silhouette(spark, sf):
 
 @register("grid_search")
 def q_grid(spark, sf):
+    """Both searches of the reference over the whole chain: every setting's score on every fold."""
     train, _ = emb_split(spark, sf)
-    res = M.grid_search(train, M.random_forest(num_trees=50), {"numTrees": [50, 100], "maxDepth": [5, 10]})
-    return spark.createDataFrame([(k, float(v)) for k, v in sorted(res["best_params"].items())],
-                                 "param string, value double")
+    rows = []
+    for name in M.GRIDS:
+        res = M.search_chain(name, train, ["vec_id"], 64, 10)
+        rows += [(name, *[int(v) for _, v in sorted(s["params"].items(), reverse=True)], s["fold"], s["rows"], float(s["f1_weighted"]),
+                  s["params"] == res["best_params"]) for s in res["scores"]]
+    return spark.createDataFrame(rows, "model string, trees int, max_depth int, fold int, fold_rows long, f1_weighted double, best boolean")
 
 
 RP = M.random_projection_matrix(64, 2, 42)
