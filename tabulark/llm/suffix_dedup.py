@@ -49,7 +49,7 @@ COVER, PERIOD = (0, 1, 3), 7  # every difference mod 7 occurs among the cover
 NULL_ID = (1 << 63) - 1
 BLOCK_BYTES = 1 << 18        # text per minimizer pass (fits a core's cache)
 FLUSH_BYTES = 1 << 23        # text per map-side collapse
-BUCKET_BYTES = 1 << 24       # text whose contexts share a bucket
+BUCKET_BYTES = 1 << 22       # text whose contexts share a bucket
 WINDOWS_AT_ONCE = 1 << 20
 HEAVY = 1 << 18              # different contexts of a minimizer that is dealt suffix by suffix
 HEAVY_AT_MOST = 100_000
@@ -193,10 +193,8 @@ def _flush(parts, length, n_buckets):
     gb = gs % n_buckets
     cuts, gorder = np.searchsorted(bucket, np.arange(n_buckets + 1)), np.argsort(gb, kind="stable")
     gcuts = np.searchsorted(gb[gorder], np.arange(n_buckets + 1))
-    for b in range(n_buckets):
+    for b in np.union1d(bucket, gb).tolist():
         i, g = live[cuts[b]:cuts[b + 1]], gorder[gcuts[b]:gcuts[b + 1]]
-        if len(i) + len(g) == 0:
-            continue
         d, t, r = doc[i], th[i], rel[i]
         new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]))[:len(i)])
         step = np.diff(r, prepend=0)
