@@ -735,9 +735,15 @@ def fit_boosted(train: DataFrame, num_classes: int, rounds: int = 100, max_depth
     model = Boosted(start.tolist(), rate, [], [])
     binned = materialize(blocks.mapInArrow(_binned(edges, d, start), BINNED))
     parts, width = binned.rdd.getNumPartitions(), max(len(e) for e in edges) + 1
+    one = None
+    if n <= BLOCK_ROWS:                                # rows of one block at most need no jobs: the same sums are made here
+        opened = [_open_binned(pa.RecordBatch.from_pylist([r.asDict()]), 0, d) for r in binned.collect()]
+        one = tuple(np.concatenate([o[i] for o in opened], axis) for i, axis in enumerate((0, 1, 0)))
     recent: list[list[tuple[Flat, int]]] = []         # trees over bins since the scores were brought up to date
     for step in range(rounds):
-        if len(recent) >= CHECKPOINT_ROUNDS:
+        if one is not None:
+            one, recent = (one[0], one[1], _scored(one[2], one[1], recent, rate)), []
+        elif len(recent) >= CHECKPOINT_ROUNDS:
             binned, recent = materialize(binned.mapInArrow(_carried(recent, rate, d), BINNED)), []
         trees = [Tree() for _ in range(k)]
         for t in trees:
@@ -745,7 +751,8 @@ def fit_boosted(train: DataFrame, num_classes: int, rounds: int = 100, max_depth
         level = [[0] for _ in range(k)]
         while any(level):
             flats = [_by_bin(t.flat(), edges) for t in trees]
-            sums = _level_sums(binned, parts, recent, rate, flats, level, d, width)
+            sums = (_level_sums(binned, parts, recent, rate, flats, level, d, width) if one is None
+                    else _block_sums(*one, recent, rate, flats, _places(flats, level), level, d, width))
             if level == [[0]] * k:
                 model.losses.append(float(sums[-1]) / n)
             at, nxt = 0, [[] for _ in range(k)]
@@ -833,37 +840,46 @@ def _carried(recent: list, rate: float, d: int):
     return run
 
 
-def _level_sums(binned: DataFrame, parts: int, recent: list, rate: float, flats: list, level: list[list[int]], d: int, width: int) -> np.ndarray:
-    """Sums of residual, curvature and count by (class, node, statistic, feature, bin), and the log-loss."""
+def _places(flats: list, level: list[list[int]]) -> list[np.ndarray]:
+    """The place in the level of each tree's nodes (-1: not in it)."""
     places = []
     for (flat, _), nodes in zip(flats, level):
         place = np.full(len(flat.feature), -1)
         place[nodes] = np.arange(len(nodes))
         places.append(place)
+    return places
+
+
+def _block_sums(y, b, f, recent: list, rate: float, flats: list, places: list, level: list[list[int]], d: int, width: int) -> np.ndarray:
+    """Sums of residual, curvature and count by (class, node, statistic, feature, bin), and the log-loss, of a block."""
+    p = softmax(_scored(f, b, recent, rate))
+    found = []
+    for c, (tree, place, nodes) in enumerate(zip(flats, places, level)):
+        if not nodes:
+            continue
+        at = place[_leaves_by_bin(tree, b)]
+        keep = slice(None) if (at >= 0).all() else np.flatnonzero(at >= 0)
+        at, pc = at[keep] * width, p[keep, c]
+        r, h = (y[keep] == c) - pc, pc * (1 - pc)
+        out = np.empty((len(nodes), 3, d, width))
+        for g in range(d):
+            cell = at + b[g][keep]
+            for j, w in enumerate((r, h, None)):
+                out[:, j, g] = np.bincount(cell, w, len(nodes) * width).reshape(len(nodes), width)
+        found.append(out.ravel())
+    found.append([-np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).sum()])
+    return np.concatenate(found)
+
+
+def _level_sums(binned: DataFrame, parts: int, recent: list, rate: float, flats: list, level: list[list[int]], d: int, width: int) -> np.ndarray:
+    """``_block_sums`` of all blocks."""
+    places = _places(flats, level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             for i in range(batch.num_rows):
-                y, b, f = _open_binned(batch, i, d)
-                p = softmax(_scored(f, b, recent, rate))
-                found = []
-                for c, (tree, place, nodes) in enumerate(zip(flats, places, level)):
-                    if not nodes:
-                        continue
-                    at = place[_leaves_by_bin(tree, b)]
-                    keep = slice(None) if (at >= 0).all() else np.flatnonzero(at >= 0)
-                    at, pc = at[keep] * width, p[keep, c]
-                    r, h = (y[keep] == c) - pc, pc * (1 - pc)
-                    out = np.empty((len(nodes), 3, d, width))
-                    for g in range(d):
-                        cell = at + b[g][keep]
-                        for j, w in enumerate((r, h, None)):
-                            out[:, j, g] = np.bincount(cell, w, len(nodes) * width).reshape(len(nodes), width)
-                    found.append(out.ravel())
-                loss = -np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).sum()
-                found.append([loss])
-                v = np.concatenate(found)
+                v = _block_sums(*_open_binned(batch, i, d), recent, rate, flats, places, level, d, width)
                 total = v if total is None else total + v
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["i", "v"])

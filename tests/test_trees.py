@@ -139,6 +139,17 @@ def test_boosting_lowers_the_loss_each_round(spark):
     assert np.mean([r.prediction == r.label for r in out]) > 0.75 and all(abs(sum(r.probability) - 1) < 1e-9 for r in out)
 
 
+def test_small_and_distributed_rounds_agree(spark, monkeypatch):
+    x, y = rings(400)
+    train = frame(spark, x, y)
+    small = fit_boosted(train, 4, 12, max_depth=2)
+    monkeypatch.setattr(TR, "BLOCK_ROWS", 64)                # more rows than a block: every level is a pass
+    spread = fit_boosted(train, 4, 12, max_depth=2)
+    assert np.allclose(small.losses, spread.losses)
+    fresh, _ = rings(100, 5)
+    assert np.allclose(small.scores(fresh), spread.scores(fresh))
+
+
 def test_first_round_leaf_values(spark):
     x, y = rings(500)
     model = fit_boosted(frame(spark, x, y), 4, 1, max_depth=2)
