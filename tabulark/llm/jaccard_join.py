@@ -21,10 +21,15 @@ that lose more (near copies of one text) are compared inside such groups.
 
 A pair is first held against a sketch (how many elements fall into each of 128
 cells; the differences bound the symmetric difference from below, so only certain
-misses go) and then verified exactly on its shingles. ``jaccard_links`` verifies all
-pairs; ``jaccard_components`` needs connections only: of a large group it tests all
-members against one of them, and then just the pairs still unconnected. All of this
-works on numbered sets; ids come in at the end, where sets that stand under one id
+misses go) and then verified exactly on its shingles. The groups of a family of near
+copies hold nearly the same sets, so a group goes by the least hash rank among its
+members: groups that agree on it are one, and a set is listed once for each, however
+many signatures it shares. ``jaccard_links`` verifies all pairs in a group;
+``jaccard_components`` needs connections only. It tests all members against one of
+them; then every set still apart from others of its group is tested against the few
+that its sketch holds for nearest, with more a round, until a round leaves no pair of
+different components untested. The first rounds stay inside blocks of a group. All of
+this works on numbered sets; ids come in at the end, where sets that stand under one id
 are joined by edges of their own.
 
 Defined results: null and empty texts have the empty set and link with nothing; a
@@ -60,11 +65,12 @@ SMALL_GROUP = 8                # signatures of more sets are dropped where slack
 EXTRA = 0.15                   # slack for dropped signatures, as a share of the allowances needed
 CELLS = 128                    # cells of a sketch
 BLOCK_MEMBERS = 2048           # members of a large group compared at once
-BIN_MEMBERS = 100_000          # members of small groups handed to one call
+BIN_MEMBERS = 25_000           # members of small groups handed to one call
 HELD_PAIRS = 500_000           # pairs a call holds before it makes them distinct
-DENSE, ROUNDS = 200, 4         # groups this large on average are tested by few against all again, so often
+NEAREST, STEP = 2, 4           # partners a set is tested against in the first round, and their growth a round
+INSIDE = 2                     # rounds that compare inside blocks only
 BROADCAST_NODES = 200_000      # ids sent to all tasks at most (8 bytes each)
-_SEG, _ELEM = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
+_SEG, _ELEM, _RANK = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3)
 
 
 # ---- allocation ----------------------------------------------------------------
@@ -187,10 +193,14 @@ def sketches(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 255).astype(np.uint8).reshape(-1, CELLS)
 
 
-def _may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lower bound of the symmetric difference from sketches (uint8)."""
+    return (np.maximum(x, y) - np.minimum(x, y)).sum(-1, dtype=np.int64)
+
+
+def _may_link(apart: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
     """Whether sizes and sketches leave the similarity possible."""
-    apart = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(-1, dtype=np.int64)
-    total = nx.astype(np.int64) + ny
+    total = ny.astype(np.int64) + nx
     # common >= percent * total / (100 + percent), apart <= total - 2 * common
     return (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & ((100 + percent) * apart <= (100 - percent) * total)
 
@@ -226,15 +236,15 @@ def _emit(words: int, percent: int, n_buckets: int):
         bucket = ((sigs >> U64(32)) % U64(n_buckets)).astype(np.int64)
         order = np.lexsort((rows, bucket))
         rows, sigs = rows[order], sigs[order]
-        cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        present = bucket[order]
+        cuts = np.append(bounds(present), len(present))
         blobs = []
-        for b in range(n_buckets):
-            r, s = rows[cuts[b]:cuts[b + 1]], sigs[cuts[b]:cuts[b + 1]]
-            if len(r):
-                st = bounds(r)
-                own = r[st]
-                blobs.append((b, pack([d1[own], d2[own], n[own].astype("<i4"), spare[own].astype("<i4"),
-                                       np.diff(np.append(st, len(r))).astype("<u4"), s])))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            r, s = rows[lo:hi], sigs[lo:hi]
+            st = bounds(r)
+            own = r[st]
+            blobs.append((int(present[lo]), pack([d1[own], d2[own], n[own].astype("<i4"), spare[own].astype("<i4"),
+                                                  np.diff(np.append(st, len(r))).astype("<u4"), s])))
         if blobs:
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blobs], pa.int32()),
                                               pa.array([x for _, x in blobs], pa.binary())], names=["bucket", "blob"])
@@ -257,7 +267,7 @@ _MET = "gid long, times int, a1 long, a2 long, an int, spare int, b1 long, b2 lo
 
 def _meet(percent: int):
     """Signatures of a bucket -> pairs of small groups (gid null), and the members of large
-    ones (b null) with the number of signatures that have just these members."""
+    ones (b null), each once a least rank, with the number of its signatures there."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack(b) for b in pdf["blob"]]
         many = np.concatenate([p[4] for p in parts]).astype(np.int64)
@@ -282,26 +292,32 @@ def _meet(percent: int):
         sig, who = sig[keep], who[keep]
         st = bounds(sig)
         size = np.diff(np.append(st, len(sig)))
-        name = np.add.reduceat(mix64(d1[who].view(U64) ^ mix64(d2[who].view(U64))), st).view(np.int64) if len(st) else st
-        _, first, times = np.unique(name, return_index=True, return_counts=True)   # one group for each set of members
-        first, times = first[size[first] > 1], times[size[first] > 1]
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in range(2, SMALL_GROUP + 1):
-            m = who[st[first[size[first] == k]][:, None] + np.arange(k)]
+            m = who[st[size == k][:, None] + np.arange(k)]
             for i in range(k - 1):
                 left.append(np.repeat(m[:, i], k - 1 - i)), right.append(m[:, i + 1:].ravel())
-        a, b = np.concatenate(left), np.concatenate(right)
-        ok = 100 * np.minimum(n[a], n[b]).astype(np.int64) >= percent * np.maximum(n[a], n[b]).astype(np.int64)
-        pair = np.unique(a[ok] * len(d1) + b[ok])
+        pair = np.unique(np.concatenate(left) * len(d1) + np.concatenate(right))
         a, b = pair // max(1, len(d1)), pair % max(1, len(d1))
-        big = size[first] > SMALL_GROUP
-        g, k = first[big], size[first[big]]
-        mem = who[ragged(st[g], k)]
+        ok = 100 * np.minimum(n[a], n[b]).astype(np.int64) >= percent * np.maximum(n[a], n[b]).astype(np.int64)
+        a, b = a[ok], b[ok]
+        big = np.flatnonzero(size > SMALL_GROUP)
+        mem = who[ragged(st[big], size[big])]
+        least = np.zeros(len(mem), U64)
+        if len(big):
+            rank = mix64(d1.view(U64) ^ _RANK)
+            ends = np.cumsum(size[big])
+            least = np.repeat(np.minimum.reduceat(rank[mem], ends - size[big]), size[big])
+        o = np.lexsort((mem, least))                       # a set once for each least rank
+        mem, least = mem[o], least[o]
+        first = np.flatnonzero(np.append(True, (mem[1:] != mem[:-1]) | (least[1:] != least[:-1]))[:len(mem)])
+        times = np.diff(np.append(first, len(mem)))
+        mem, gid = mem[first], least[first].view(np.int64)
         none = lambda x, kind: pd.array([None] * len(x), kind)
         return pd.concat([
             pd.DataFrame({"gid": none(a, "Int64"), "times": none(a, "Int32"), "a1": d1[a], "a2": d2[a], "an": n[a], "spare": spare[a],
                           "b1": pd.array(d1[b], "Int64"), "b2": pd.array(d2[b], "Int64")}),
-            pd.DataFrame({"gid": pd.array(np.repeat(name[g], k), "Int64"), "times": pd.array(np.repeat(times[big], k), "Int32"),
+            pd.DataFrame({"gid": pd.array(gid, "Int64"), "times": pd.array(times, "Int32"),
                           "a1": d1[mem], "a2": d2[mem], "an": n[mem], "spare": spare[mem], "b1": none(mem, "Int64"), "b2": none(mem, "Int64")})])
     return run
 
@@ -310,27 +326,39 @@ def _sketch_filter(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("ca", "cb"))
-            ok = pa.array(_may_link(x, y, b.column("na").to_numpy(), b.column("nb").to_numpy(), percent))
+            ok = pa.array(_may_link(_apart(x, y), b.column("na").to_numpy(), b.column("nb").to_numpy(), percent))
             yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], names=["a", "b"])
     return run
 
 
-def _open_pairs(percent: int):
-    """Pairs of a block of members and another of their group, in different components, that
-    may link; a task call holds many small groups, each pair once."""
+def _open_pairs(percent: int, nearest: int | None):
+    """For the members of a block of a group (or of two blocks) the ``nearest`` others of other components
+    that may link, by sketch; all, if None. ``more``: whether a member has others yet.
+
+    Members of the block's commonest component are only sought, as each open pair has an end outside it."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["gid", "i", "j"], kind="stable")
         cells = np.frombuffer(b"".join(pdf["cells"]), np.uint8).reshape(-1, CELLS)
-        node, n, comp, own, i, j = (pdf[c].to_numpy() for c in ("node", "n", "component", "own", "i", "j"))
+        node, n, comp, own = (pdf[c].to_numpy() for c in ("node", "n", "component", "own"))
         keys = pdf[["gid", "i", "j"]].to_numpy()
         st = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
-        found, held = [], 0
+        found, held, more = [], 0, False
         for lo, hi in zip(st, np.append(st[1:], len(node))):
+            names, count = np.unique(comp[lo:hi], return_counts=True)
+            if len(names) == 1:
+                continue
+            two = keys[lo, 1] != keys[lo, 2]
             at = np.arange(lo, hi)
-            x, y = at[own[at] == i[lo]], at[own[at] == j[lo]]
-            for r in x:
-                ok = y[(comp[y] != comp[r]) & ((i[lo] != j[lo]) | (node[y] > node[r]))]
-                ok = ok[_may_link(cells[r][None, :], cells[ok], n[r], n[ok], percent)]
+            for r in at[comp[lo:hi] != names[count.argmax()]]:
+                ok = at[comp[lo:hi] != comp[r]]
+                if two:
+                    ok = ok[own[ok] != own[r]]
+                apart = _apart(cells[r], cells[ok])
+                may = _may_link(apart, n[r], n[ok], percent)
+                ok, apart = ok[may], apart[may]
+                if nearest is not None and len(ok) > nearest:
+                    more = True
+                    ok = ok[np.lexsort((node[ok], apart / (n[ok] + n[r])))[:nearest]]
                 if len(ok):
                     found.append(np.stack([np.minimum(node[r], node[ok]), np.maximum(node[r], node[ok])], 1))
                     held += len(ok)
@@ -338,7 +366,7 @@ def _open_pairs(percent: int):
                 found = [np.unique(np.concatenate(found), axis=0)]
                 held = 0
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "more": np.full(len(pairs), more)})
     return run
 
 
@@ -409,51 +437,50 @@ class _Join:
         pairs = (met.filter("gid is null").select("a1", "a2", "b1", "b2").distinct()
                  .join(reps("a"), ["a1", "a2"]).join(reps("b"), ["b1", "b2"]).select("a", "b"))
         large = met.filter("gid is not null")
-        lost = (large.groupBy("a1", "a2").agg(F.sum("times").alias("lost"), F.min("spare").alias("spare"))
-                .filter("lost > spare").select("a1", "a2"))
-        members = (large.select("gid", "a1", "a2").distinct().join(lost, ["a1", "a2"]).join(reps("a"), ["a1", "a2"])
-                   .select("gid", F.col("a").alias("node")))
+        members = (large.groupBy("a1", "a2").agg(F.sum("times").alias("lost"), F.min("spare").alias("spare"), F.collect_set("gid").alias("gids"))
+                   .filter("lost > spare").join(reps("a"), ["a1", "a2"]).select(F.explode("gids").alias("gid"), F.col("a").alias("node")))
         return pairs, materialize(members)
 
-    def still_split(self, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
-        """The members of groups with several components, and the mean size of the groups they are in."""
-        at = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        groups = at.groupBy("gid").agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        row = groups.agg(F.sum(F.col("k") * F.col("k")).alias("kk"), F.sum("k").alias("k")).first()
-        return members.join(groups.select("gid"), "gid"), (row["kk"] / row["k"] if row["k"] else 0.0)
-
-    def few_against_all(self, members: DataFrame, turn: int = 0) -> DataFrame:
+    def few_against_all(self, members: DataFrame) -> DataFrame:
         """One member of every group with all others."""
-        centres = members.groupBy("gid").agg(F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("b"))
-        return members.join(centres, "gid").select(F.col("node").alias("a"), "b").distinct()
+        centres = members.groupBy("gid").agg(F.min_by("node", F.xxhash64("node")).alias("b"))
+        return members.join(centres, "gid").select(F.col("node").alias("a"), "b")
 
-    def all_against_all(self, members: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-        """Pairs of a group's members in different components that sketches don't rule out, block by block."""
+    def open_pairs(self, members: DataFrame, labels: DataFrame | None = None, nearest: int | None = None,
+                   turn: int | None = None) -> tuple[DataFrame, bool]:
+        """Pairs ``a, b`` of a group's members in different components that sketches don't rule out, and whether
+        these are all: with ``nearest``, so many a member and block; with ``turn``, inside that turn's blocks only."""
         at = members.withColumn("component", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         groups = at.groupBy("gid").agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
         left = materialize(at.join(groups, "gid").withColumn("blocks", F.ceil(F.col("k") / BLOCK_MEMBERS).cast("int"))
-                           .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).select("gid", "node", "component", "blocks", "own"))
-        if not left.limit(1).count():
-            return left.select(F.col("node").alias("a"), F.col("node").alias("b"))
-        other = left.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                           .withColumn("own", F.pmod(F.xxhash64(F.lit(turn or 0), "node"), "blocks").cast("int"))
+                           .select("gid", "node", "component", "blocks", "own"))
+        seen = left.agg(F.sum("blocks").alias("copies"), F.count("*").alias("rows"), F.max("blocks").alias("most")).first()
+        if not seen["rows"]:
+            return left.select(F.col("node").alias("a"), F.col("node").alias("b")), True
+        other = left.withColumn("o", F.col("own") if turn is not None else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         cells = self.sketches.select(F.col("rep").alias("node"), "n", "cells")
         met = (other.join(cells, "node").withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
                .select("gid", "i", "j", "own", "node", "component", "n", "cells"))
-        n_bins = int(max(12, -(-left.count() // BIN_MEMBERS)))
-        return (met.groupBy(F.pmod(F.xxhash64("gid", "i", "j"), F.lit(n_bins)).alias("bin"))
-                .applyInPandas(_open_pairs(self.percent), "a long, b long"))
+        n_bins = int(max(12, -(-(seen["copies"] if turn is None else seen["rows"]) // BIN_MEMBERS)))
+        found = materialize(met.groupBy(F.pmod(F.xxhash64("gid", "i", "j"), F.lit(n_bins)).alias("bin"))
+                            .applyInPandas(_open_pairs(self.percent, nearest), "a long, b long, more boolean"))
+        more = nearest is not None and found.agg(F.max("more")).first()[0]
+        return found.select("a", "b").distinct(), not more and (turn is None or seen["most"] == 1)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame, sketched: bool = False) -> DataFrame:
         """Of pairs ``a, b`` of representatives those similar enough, with their counts."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-        for x in ("a", "b"):
-            pairs = pairs.join(self.sketches.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("cells").alias(f"c{x}")), x)
-        pairs = materialize(pairs.mapInArrow(_sketch_filter(self.percent), "a long, b long"))
-        wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-        few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-        want = (self.classes.join(F.broadcast(wanted) if few else wanted, self.classes["rep"] == wanted["node"])
-                .select("rep", "d1", "d2", "id"))
+        if not sketched:
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+            for x in ("a", "b"):
+                pairs = pairs.join(self.sketches.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("cells").alias(f"c{x}")), x)
+            pairs = pairs.mapInArrow(_sketch_filter(self.percent), "a long, b long")
+        pairs = materialize(pairs)
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        few = 2 * pairs.count() <= BROADCAST_NODES
+        want = materialize(self.classes.join(F.broadcast(wanted) if few else wanted, self.classes["rep"] == wanted["node"])
+                           .select("rep", "d1", "d2", "id"))
         known = want.filter("id is not null").select(F.col("id").alias("doc_id")).distinct()
         rows = self.rows.join(F.broadcast(known) if few else known, "doc_id", "left_semi")
         if want.filter("id is null").limit(1).count():
@@ -470,18 +497,19 @@ class _Join:
     def connected(self) -> DataFrame:
         """All sets with the group their texts connect them to: ``d1, d2, id, group`` and, with row keys, ``first``."""
         pairs, members = self.meet()
-        links = self.verified(pairs.union(self.few_against_all(members)))
-        labels = components(links)
-        for turn in range(1, ROUNDS):
-            split, mean = self.still_split(members, labels)
-            if mean < DENSE:                                      # large groups of near copies: connect them first
-                break
-            links = links.union(self.verified(self.few_against_all(split, turn))).coalesce(
-                int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-            labels = components(links)
-        more = self.verified(self.all_against_all(members, labels))   # members of a group not connected yet
-        if more.limit(1).count():
-            labels = components(links.select("a", "b").union(more.select("a", "b")))
+        links = self.verified(pairs.union(self.few_against_all(members))).select("a", "b")
+        labels, tested, turn, done = components(links), None, 0, False
+        while not done:
+            pairs, done = self.open_pairs(members, labels, NEAREST * STEP ** turn, turn if turn < INSIDE else None)
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = materialize(pairs)
+            if not pairs.isEmpty():
+                parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                links = links.union(self.verified(pairs, sketched=True).select("a", "b")).coalesce(parts)
+                labels = components(links)
+                tested = pairs if tested is None else tested.union(pairs).coalesce(parts)
+            turn += 1
         return (self.classes.drop("n", "cells").join(labels, self.classes["rep"] == labels["node"], "left")
                 .withColumn("group", F.coalesce("component", "rep")).drop("rep", "node", "component"))
 
@@ -506,7 +534,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     then in ``a``, for sets without an id), ``common``, ``total``."""
     j = _Join(docs, id_col, text_col, words, percent)
     pairs, members = j.meet()
-    links = j.verified(pairs.union(j.all_against_all(members)))
+    links = j.verified(pairs.union(j.open_pairs(members)[0]))
     for x in ("a", "b"):
         links = links.join(j.classes.select(F.col("rep").alias(x), F.col("id").alias(f"id_{x}")), x)
     return links.select(F.least("id_a", "id_b").alias("a"),

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from tabulark.llm import components as C
 from tabulark.llm import jaccard_join as J
 
 
@@ -69,6 +70,52 @@ def test_components(spark, seed):
     assert got == brute(rows)
 
 
+def family(seed, n):
+    """Near copies of a text that link with it but mostly not with each other, a chain of edits that drifts
+    away from it, and texts that share most of a passage without a link."""
+    rnd = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(5000, " ".join(base))]
+    for i in range(n):
+        w = list(base)
+        for at in rnd.sample(range(8, 112, 8), 2):
+            w[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(w)))
+    w = list(base)
+    for i in range(24):
+        w[i * 5] = f"y{i}"
+        rows.append((6000 - i, " ".join(w)))
+    for i in range(40):
+        rows.append((7000 + i, " ".join(base[:100] + [f"z{i}_{k}" for k in range(40)])))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [2048, 50])
+def test_family_of_near_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK_MEMBERS", block)
+    rows = family(4, 300)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = sorted((tuple(r) for r in J.jaccard_components(df).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_members_grow_with_the_family(spark):
+    """A member is listed a few times, not once a shared signature."""
+    rows = family(6, 2000)
+    j = J._Join(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 5, 80)
+    _, members = j.meet()
+    assert members.count() == members.distinct().count() <= 6 * len(rows)
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_components_with_and_without_broadcast(spark, monkeypatch, limit):
+    monkeypatch.setattr(C, "BROADCAST_LABELS", limit)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)] + [(200, 200), (301, 300), (100, 101)]
+    got = dict(tuple(r) for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(31)}, 300: 300, 301: 300}
+
+
 def test_links(spark):
     rows = [(d, t) for d, t in corpus(3) if d is not None]
     df = spark.createDataFrame(rows, "doc_id long, text string")
