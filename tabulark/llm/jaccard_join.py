@@ -23,10 +23,10 @@ A pair is first held against a sketch (how many elements fall into each of 128
 cells; the differences bound the symmetric difference from below, so only certain
 misses go) and then verified exactly on its shingles. The groups of a family of near
 copies hold nearly the same sets, so a group goes by the least hash rank among its
-members: groups that agree on it are one, and a set is listed once for each, however
-many signatures it shares. ``jaccard_links`` verifies all pairs in a group;
-``jaccard_components`` needs connections only. It tests all members against one of
-them; then every set still apart from others of its group is tested against the few
+members: groups that agree on it are one, and a set is listed once for each, not once
+for every signature it shares. ``jaccard_links`` verifies all pairs in a group;
+``jaccard_components`` needs connections only. It tests every set
+once, against one of those with the same least group; then every set still apart from others of its group is tested against the few
 that its sketch holds for nearest, with more a round, until a round leaves no pair of
 different components untested. The first rounds stay inside blocks of a group. All of
 this works on numbered sets; ids come in at the end, where sets that stand under one id
@@ -305,7 +305,7 @@ def _meet(percent: int):
         mem = who[ragged(st[big], size[big])]
         least = np.zeros(len(mem), U64)
         if len(big):
-            rank = mix64(d1.view(U64) ^ _RANK)
+            rank = mix64(d1.view(U64) ^ _RANK) >> U64(1)   # the same order as a long
             ends = np.cumsum(size[big])
             least = np.repeat(np.minimum.reduceat(rank[mem], ends - size[big]), size[big])
         o = np.lexsort((mem, least))                       # a set once for each least rank
@@ -442,9 +442,10 @@ class _Join:
         return pairs, materialize(members)
 
     def few_against_all(self, members: DataFrame) -> DataFrame:
-        """One member of every group with all others."""
-        centres = members.groupBy("gid").agg(F.min_by("node", F.xxhash64("node")).alias("b"))
-        return members.join(centres, "gid").select(F.col("node").alias("a"), "b")
+        """Every member once, with one of those whose least group is its own."""
+        own = members.groupBy("node").agg(F.min("gid").alias("gid"))
+        centres = own.groupBy("gid").agg(F.min_by("node", F.xxhash64("node")).alias("b"))
+        return own.join(centres, "gid").select(F.col("node").alias("a"), "b")
 
     def open_pairs(self, members: DataFrame, labels: DataFrame | None = None, nearest: int | None = None,
                    turn: int | None = None) -> tuple[DataFrame, bool]:
