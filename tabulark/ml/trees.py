@@ -15,9 +15,9 @@ over blocks whose per-task sums are added up by node.
   ``CHECKPOINT_ROUNDS`` rounds; in between a pass adds the few trees since then.
 
 Statistics of a node decide everything: class weights (``gini``), weight, sum and sum of
-squares (``mse``), or residual, curvature and count (``newton``). Subtrees stay a table;
-prediction reads them in portions of ``PORTION_BYTES``, so no model passes through the
-driver whole. Bootstrap counts are Poisson draws seeded by tree and block, so a lost task
+squares (``mse``), or residual, curvature and count (``newton``). Subtrees stay a table:
+a model beyond ``PORTION_BYTES`` meets the rows in tasks, by portions of subtrees and chunks
+of rows, and does not pass through the driver. Bootstrap counts are Poisson draws seeded by tree and block, so a lost task
 draws them again. Rows without a label or features, or with a component that is not finite,
 are left out of fits.
 """
@@ -43,7 +43,8 @@ SEED = 42
 BLOCK_ROWS = 16384
 ROW_BOUND = 50_000
 HIST_BYTES = 64 << 20               # of the histograms of one pass, per task
-PORTION_BYTES = 192 << 20            # of subtrees that travel with a prediction pass
+PORTION_BYTES = 32 << 20             # of subtrees that a prediction task holds, or that travel with a pass
+CHUNK_BYTES = 64 << 20              # of rows that a prediction task holds
 FAN_IN = 256                        # partial sums added up by one task
 CHECKPOINT_ROUNDS = 10
 
@@ -379,7 +380,7 @@ class Scan:
                             if hi > lo:
                                 rows = order[lo:hi]
                                 held[i] = per_node(i, x[rows], None if bins is None else bins[rows], s[rows], held.get(i))
-                yield from make(held, False)
+                        yield from make(held, False)
             yield from make(held, True)
         return run
 
@@ -467,6 +468,13 @@ def split_level(scan: Scan, trees: dict[int, Tree], wanted: list[tuple[int, int]
 # ----------------------------------------------------------------------------
 # forests
 # ----------------------------------------------------------------------------
+def _values_of(rule: Rule) -> Callable:
+    """What a leaf says, from its statistics."""
+    if rule.kind == "gini":
+        return lambda flat: flat.stats / np.maximum(flat.stats.sum(1, keepdims=True), 1e-300)
+    return lambda flat: (flat.stats[:, 1] / np.maximum(flat.stats[:, 0], 1e-300))[:, None]
+
+
 @dataclass
 class Forest:
     """Top levels on the driver, subtrees in a checkpointed table (i, tree, node, bytes, arrays)."""
@@ -480,26 +488,26 @@ class Forest:
 
     def values(self, flat: Flat) -> np.ndarray:
         """What a leaf says: class shares, or the mean."""
-        if self.rule.kind == "gini":
-            return flat.stats / np.maximum(flat.stats.sum(1, keepdims=True), 1e-300)
-        return (flat.stats[:, 1] / np.maximum(flat.stats[:, 0], 1e-300))[:, None]
+        return _values_of(self.rule)(flat)
+
+    def spans(self) -> list[tuple[int, int]]:
+        """Subtrees from one number to before another, ``PORTION_BYTES`` at a time (a larger one by itself)."""
+        if self.subtrees is None:
+            return [(0, 0)]
+        size, lo, spans = 0, 0, []
+        for r in self.subtrees.select("i", "bytes").orderBy("i").collect():    # numbers of one row a subtree
+            if size and size + r["bytes"] > PORTION_BYTES:
+                spans.append((lo, r["i"]))
+                lo, size = r["i"], 0
+            size += r["bytes"]
+        return [*spans, (lo, len(self.pending))]
 
     def portions(self) -> Iterator[list[tuple[Flat, np.ndarray]]]:
         """The trees with the values of the leaves of a portion (others 0), portion by portion."""
-        spans = [(0, 0)]
-        if self.subtrees is not None:
-            size, lo = 0, 0
-            spans = []
-            for r in self.subtrees.select("i", "bytes").orderBy("i").collect():    # numbers of one row a subtree
-                if size and size + r["bytes"] > PORTION_BYTES:
-                    spans.append((lo, r["i"]))
-                    lo, size = r["i"], 0
-                size += r["bytes"]
-            spans.append((lo, len(self.pending)))
         open_nodes: dict[int, list[int]] = {}
         for t, node in self.pending:
             open_nodes.setdefault(t, []).append(node)
-        for n, (lo, hi) in enumerate(spans):
+        for n, (lo, hi) in enumerate(self.spans()):
             grafts: dict[int, list] = {}
             if hi > lo:
                 for r in self.subtrees.filter((F.col("i") >= lo) & (F.col("i") < hi)).collect():
@@ -519,15 +527,26 @@ class Forest:
     def first_splits(self) -> list[tuple[int, int, float, float]]:
         """(tree, feature, cut, summed quality of both sides) of the roots that are split."""
         flats = {t: top.flat() for t, top in self.tops.items()}
-        if self.subtrees is not None:
-            for r in self.subtrees.filter("node = 0").collect():           # one row a tree at most
-                flats[r["tree"]] = read_flat(r, self.width)
-        out = []
-        for t, flat in sorted(flats.items()):
-            if flat.feature[0] >= 0:
-                sides = self.rule.quality(flat.stats[[flat.left[0], flat.right[0]]])
-                out.append((t, int(flat.feature[0]), float(flat.threshold[0]), float(sides.sum())))
-        return out
+        rule, width, root = self.rule, self.width, "tree int, feature int, threshold double, score double"
+
+        def split(t: int, flat: Flat) -> list[tuple[int, int, float, float]]:
+            if flat.feature[0] < 0:
+                return []
+            sides = rule.quality(flat.stats[[flat.left[0], flat.right[0]]])
+            return [(t, int(flat.feature[0]), float(flat.threshold[0]), float(sides.sum()))]
+
+        def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    r = {c: batch.column(c)[k].as_buffer() for c in ("feature", "threshold", "left", "right", "stats")}
+                    for row in split(batch.column("tree")[k].as_py(), read_flat(r, width)):
+                        yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), pa.array([row[1]], pa.int32()), pa.array([row[2]]),
+                                                          pa.array([row[3]])], names=["tree", "feature", "threshold", "score"])
+        below: list[tuple] = []
+        if self.subtrees is not None:                                      # one row a tree at most, made where the subtrees are
+            below = [tuple(r) for r in self.subtrees.filter("node = 0").mapInArrow(roots, root).collect()]
+        grown = {t for t, node in self.pending if node == 0}
+        return sorted(below + [row for t, flat in flats.items() if t not in grown for row in split(t, flat)])
 
     def importances(self) -> np.ndarray:
         """Mean over trees of each feature's share of a tree's gain."""
@@ -545,8 +564,23 @@ SUBTREE = "i int, tree int, node int, bytes long, feature binary, threshold bina
 
 
 def read_flat(r, width: int) -> Flat:
-    return Flat(np.frombuffer(bytes(r["feature"]), np.int32), np.frombuffer(bytes(r["threshold"]), np.float64), np.frombuffer(bytes(r["left"]), np.int32),
-                np.frombuffer(bytes(r["right"]), np.int32), np.frombuffer(bytes(r["stats"]), np.float64).reshape(-1, width))
+    return Flat(np.frombuffer(r["feature"], np.int32), np.frombuffer(r["threshold"], np.float64), np.frombuffer(r["left"], np.int32),
+                np.frombuffer(r["right"], np.int32), np.frombuffer(r["stats"], np.float64).reshape(-1, width))
+
+
+def packed(a: np.ndarray) -> bytes:
+    """Numbers in the narrowest of three types that keeps them all, named by the first byte."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        for code, kind in ((0, np.uint8), (1, np.float32)):
+            short = a.astype(kind)
+            if np.array_equal(short, a) and not np.signbit(a[a == 0]).any():
+                return bytes([code]) + short.tobytes()
+    return bytes([2]) + np.ascontiguousarray(a, np.float64).tobytes()
+
+
+def unpacked(v: pa.Buffer, width: int) -> np.ndarray:
+    kind = (np.uint8, np.float32, np.float64)[np.frombuffer(v, np.uint8, 1)[0]]
+    return np.frombuffer(v, np.uint8, offset=1).view(kind).astype(np.float64).reshape(-1, width)
 
 
 def graft(flat: Flat, value: np.ndarray, subs: list[tuple[int, Flat, np.ndarray]]) -> tuple[Flat, np.ndarray]:
@@ -635,7 +669,7 @@ def _finish(scan: Scan, tops: dict[int, Tree], pending: list[tuple[int, int]], r
     def make(held, end):
         for i, parts in held.items():
             x, s = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary()), pa.array([s.tobytes()], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(x)], pa.binary()), pa.array([packed(s)], pa.binary())],
                                              names=["i", "x", "s"])
         held.clear()
 
@@ -643,9 +677,10 @@ def _finish(scan: Scan, tops: dict[int, Tree], pending: list[tuple[int, int]], r
         i = t.column("i")[0].as_py()
         tree, node, key, depth = info[i]
         # the rows in an order of their own, whatever order the parts came in
-        parts = sorted((bytes(a.as_buffer()), bytes(b.as_buffer())) for a, b in zip(t.column("x"), t.column("s")))
-        x = np.concatenate([np.frombuffer(a, np.float64).reshape(-1, d) for a, _ in parts])
-        s = np.concatenate([np.frombuffer(b, np.float64).reshape(-1, width) for _, b in parts])
+        parts = [(unpacked(a.as_buffer(), d), unpacked(b.as_buffer(), width)) for a, b in zip(t.column("x"), t.column("s"))]
+        parts.sort(key=lambda p: (p[0].tobytes(), p[1].tobytes()))
+        x, s = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        del parts
         flat = grow(x, s, rule, tree, key, depth)
         blobs = [getattr(flat, c).tobytes() for c in ("feature", "threshold", "left", "right", "stats")]
         return pa.table({"i": pa.array([i], pa.int32()), "tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()),
@@ -660,15 +695,96 @@ def _finish(scan: Scan, tops: dict[int, Tree], pending: list[tuple[int, int]], r
 
 def predict_forest(forest: Forest, df: DataFrame, features_col: str = "features", out: str = "_votes") -> DataFrame:
     """``df`` with the mean of the trees' leaf values (array; null for rows without features)."""
+    spans = forest.spans()
+    if len(spans) > 1:
+        return _met(forest, df, spans, features_col, out)
     size = forest.width if forest.rule.kind == "gini" else 1
-    total = len(forest.tops)
     x = feature_array(df, features_col)
-    result = df.withColumn(out, F.lit(None).cast("array<double>"))
-    for n, portion in enumerate(forest.portions()):
-        if n:
-            result = materialize(result)               # one portion at a time in a worker
-        result = result.withColumn(out, _adder(portion, size, total)(x, F.col(out)))
-    return result
+    portion = next(forest.portions())
+    return df.withColumn(out, _adder(portion, size, len(forest.tops))(x, F.lit(None).cast("array<double>")))
+
+
+def _met(forest: Forest, df: DataFrame, spans: list[tuple[int, int]], features_col: str, out: str) -> DataFrame:
+    """``predict_forest`` where subtrees and rows meet in tasks. A block of rows goes down the tops; what reaches
+    subtrees of a span goes to the task of that span (and of the block's chunk), which sends back sums of leaf values."""
+    size, total, d, width = forest.width if forest.rule.kind == "gini" else 1, len(forest.tops), forest.d, forest.width
+    starts, leaf_values = np.array([lo for lo, _ in spans]), _values_of(forest.rule)
+    number = {at: i for i, at in enumerate(forest.pending)}
+    tops = []
+    for t, top in forest.tops.items():
+        flat = top.flat()
+        sub = np.array([number.get((t, node), -1) for node in range(len(flat.feature))], np.int32)
+        value = forest.values(flat)
+        value[sub >= 0] = 0.0
+        tops.append((replace(flat, stats=np.zeros((0, 0))), value, sub))
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    chunks = max(1, math.ceil(rows.count() * min(1.0, total / len(spans)) * 8 * d / CHUNK_BYTES))
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seq = TaskContext.get().partitionId(), 0
+        for whole in batches:
+            for lo in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(lo, BLOCK_ROWS)
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+                votes, at, subs = np.zeros((len(x), size)), [], []
+                for flat, value, sub in tops:
+                    leaf = flat.leaves(x)
+                    votes += value[leaf]
+                    i = sub[leaf]
+                    at.append(np.flatnonzero(i >= 0).astype(np.int32))
+                    subs.append(i[at[-1]])
+                at, subs = np.concatenate(at), np.concatenate(subs)
+                span = np.searchsorted(starts, subs, "right") - 1
+                order = np.argsort(span, kind="stable")
+                found, first = np.unique(span[order], return_index=True)
+                ends = np.append(first[1:], len(order))
+                for k, (p, a, b) in enumerate(zip(found, first, ends) if len(found) else [(0, 0, 0)]):
+                    mine = order[a:b]
+                    # the block's row numbers and the votes of the tops travel with its first part
+                    pos = np.arange(len(x), dtype=np.int32) if k == 0 else np.unique(at[mine])
+                    cells = [[int(p)], [(task + seq) % chunks], [(task << 32) + seq],
+                             [batch.column("_row").to_numpy().astype(np.int64).tobytes() if k == 0 else b""], [votes.tobytes() if k == 0 else b""],
+                             [pos.tobytes()], [packed(x[pos])], [np.searchsorted(pos, at[mine]).astype(np.int32).tobytes()], [subs[mine].tobytes()]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(cells, (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 6))],
+                                                     names=["p", "c", "b", "ids", "votes", "pos", "x", "at", "i"])
+                seq += 1
+
+    def voted(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        trees = {}
+        for k in range(right.num_rows):
+            flat = read_flat({c: right.column(c)[k].as_buffer() for c in ("feature", "threshold", "left", "right", "stats")}, width)
+            trees[right.column("i")[k].as_py()] = flat, leaf_values(flat)
+        sums = []
+        for k in range(left.num_rows):
+            pos, at, i = (np.frombuffer(left.column(c)[k].as_buffer(), np.int32) for c in ("pos", "at", "i"))
+            x, votes = unpacked(left.column("x")[k].as_buffer(), d), np.frombuffer(left.column("votes")[k].as_buffer(), np.float64)
+            v = votes.reshape(-1, size).copy() if votes.size else np.zeros((len(pos), size))
+            order = np.argsort(i, kind="stable")
+            found, first = np.unique(i[order], return_index=True)
+            for one, a, b in zip(found, first, np.append(first[1:], len(order))):
+                flat, value = trees[int(one)]
+                v[at[order[a:b]]] += value[flat.leaves(x[at[order[a:b]]])]
+            sums.append(v.tobytes())
+        return pa.table({"b": left.column("b"), "ids": left.column("ids"), "pos": left.column("pos"), "v": pa.array(sums, pa.binary())})
+
+    def total_of(t: pa.Table) -> pa.Table:
+        ids = next(np.frombuffer(v.as_buffer(), np.int64) for v in t.column("ids") if v.as_buffer().size)
+        parts = sorted((v.as_buffer().to_pybytes(), w.as_buffer().to_pybytes()) for v, w in zip(t.column("pos"), t.column("v")))
+        votes = np.zeros((len(ids), size))
+        for pos, v in parts:
+            votes[np.frombuffer(pos, np.int32)] += np.frombuffer(v, np.float64).reshape(-1, size)
+        offsets = pa.array(np.arange(0, (len(ids) + 1) * size, size, dtype=np.int32))
+        return pa.table({"_row": pa.array(ids), out: pa.ListArray.from_arrays(offsets, pa.array((votes / total).ravel()))})
+
+    x = feature_array(df, features_col)
+    sent = rows.select("_row", x.alias("x")).where("x is not null").mapInArrow(
+        routed, "p int, c int, b long, ids binary, votes binary, pos binary, x binary, at binary, i binary")
+    span_of = F.pandas_udf(lambda i: pd.Series(np.searchsorted(starts, i.to_numpy(), "right").astype(np.int32) - 1), "int")
+    subtrees = forest.subtrees.drop("gains", "bytes", "tree", "node").withColumn("p", span_of("i")).withColumn(
+        "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    sums = sent.groupBy("p", "c").cogroup(subtrees.groupBy("p", "c")).applyInArrow(voted, "b long, ids binary, pos binary, v binary")
+    votes = sums.groupBy("b").applyInArrow(total_of, f"_row long, {out} array<double>")
+    return rows.join(materialize(votes), "_row", "left").select(*[rows[c] for c in df.columns], F.col(out))
 
 
 def _adder(portion: list[tuple[Flat, np.ndarray]], size: int, total: int):

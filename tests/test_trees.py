@@ -115,6 +115,49 @@ def test_portions_and_saving(spark, tmp_path, monkeypatch):
     assert abs(imp.sum() - 1) < 1e-9 and imp[:2].sum() > 0.7
 
 
+def test_large_forests_meet_rows_in_tasks(spark, monkeypatch):
+    x, y = rings(500)
+    train = frame(spark, x, y)
+    extra = spark.createDataFrame([(900, None, 1.0)], "id long, features array<double>, label double")
+    rows = train.select("id", M.vector_to_array("features").alias("features"), "label").unionByName(extra)
+    for f in (M.fit_random_forest(train, 4, 6, row_bound=120), M.fit_extra_trees(train, 4, 5)):
+        before = M.predict(f, train).orderBy("id").select("probability").collect()
+        splits = f.model.first_splits()
+        with monkeypatch.context() as m:
+            m.setattr(TR, "PORTION_BYTES", 3000)
+            m.setattr(TR, "CHUNK_BYTES", 4000)
+            m.setattr(TR, "BLOCK_ROWS", 70)
+            m.setattr(TR.Forest, "portions", None)                    # no subtree comes to the driver
+            after = predict_forest(f.model, rows).orderBy("id").select("_votes").collect()
+        assert after[-1]["_votes"] is None and len(after) == 501
+        assert np.allclose([r.probability for r in before], [r["_votes"] for r in after[:-1]])
+        flats = next(f.model.portions())
+        assert [(t, int(flat.feature[0]), float(flat.threshold[0])) for t, (flat, _) in enumerate(flats)] == [s[:3] for s in splits]
+
+
+def test_rows_of_a_block_go_out_tree_by_tree(spark):
+    x, y = rings(64)
+    blocks, d, _ = TR.pack_blocks(frame(spark, x, y).coalesce(1))
+    scan = TR.Scan(blocks, d, TR.class_stats(4, False, 0), [])
+    empty = TR.Flat(np.array([-1]), np.zeros(1), np.array([-1]), np.array([-1]), np.zeros((1, 4)))
+    held_at_once = []
+
+    def make(held, end):
+        held_at_once.append(len(held))
+        held.clear()
+        return iter(())
+    run = scan.by_node({t: empty for t in range(9)}, [(t, 0) for t in range(9)], lambda i, x, b, s, so_far: s, make)
+    list(run(iter(blocks.toArrow().to_batches())))
+    assert max(held_at_once) == 1
+
+
+def test_numbers_travel_narrow_and_whole():
+    import pyarrow as pa
+    for a, size in ((np.arange(6.0), 7), (np.array([0.5, -1.25]), 9), (np.array([0.1, 1e300]), 17), (np.array([-0.0, 1.0]), 17)):
+        sent = TR.packed(a[:, None])
+        assert len(sent) == size and np.array_equal(TR.unpacked(pa.py_buffer(sent), 1).ravel().view(np.int64), a.view(np.int64))
+
+
 def test_random_cuts_are_the_hash(spark):
     x, y = rings(200)
     forest = fit_forest(frame(spark, x, y), 4, 3, bootstrap=False, random_cuts=True, max_features=None, max_depth=1)
