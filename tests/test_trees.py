@@ -193,6 +193,30 @@ def test_small_and_distributed_rounds_agree(spark, monkeypatch):
     assert np.allclose(small.scores(fresh), spread.scores(fresh))
 
 
+def test_boosting_over_cells_equals_boosting_over_rows(spark, monkeypatch):
+    x, y = rings(500)
+    train = frame(spark, np.floor(x * 4), y)
+    whole = fit_boosted(train, 4, 6, max_depth=3)
+    passes = []
+    old = TR._level_sums
+    monkeypatch.setattr(TR, "_level_sums", lambda *a: passes.append(1) or old(*a))
+    monkeypatch.setattr(TR, "BLOCK_ROWS", 400)                # 500 rows are more than a block
+    monkeypatch.setattr(TR, "CELLS", 4 * 8 ** 4)
+    narrow = frame(spark, np.floor(x[:, :2] * 4), y)
+    cells = fit_boosted(narrow, 4, 6, max_depth=3)
+    assert not passes                                         # 256 cells at most need no pass a level
+    monkeypatch.setattr(TR, "CELLS", 0)
+    rows = fit_boosted(narrow, 4, 6, max_depth=3)
+    assert passes and np.allclose(cells.losses, rows.losses)
+    grid = np.floor(x[:, :2] * 4)
+    assert np.allclose(cells.scores(grid), rows.scores(grid))
+    assert [int(t.stats[0, 2]) for t in cells.rounds[0]] == [500] * 4
+    monkeypatch.setattr(TR, "CELLS", 1 << 20)
+    monkeypatch.setattr(TR, "BLOCK_ROWS", 50)                 # more cells than a block: weighted passes
+    spread = fit_boosted(train, 4, 6, max_depth=3)
+    assert np.allclose(whole.losses, spread.losses)
+
+
 def test_first_round_leaf_values(spark):
     x, y = rings(500)
     model = fit_boosted(frame(spark, x, y), 4, 1, max_depth=2)
