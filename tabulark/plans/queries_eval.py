@@ -8,6 +8,7 @@ score, class probabilities = normalised (l_discount + .01, l_tax + .01, l_quanti
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as EV
@@ -243,6 +244,9 @@ UNION ALL SELECT 'Best Model', model FROM b
 UNION ALL SELECT 'Best F1-Score', printf('%.3f', f1_weighted) FROM b""")
 def q_project_summary(spark, sf):
     e = eval_frame(spark, sf)
+    width = len(e.columns)
+    e = e.select("y", *MODELS.values()).persist(StorageLevel.MEMORY_AND_DISK)      # read by every metric of every model
     n = e.count()
     results = {k: {"metrics": EV.metrics_dict(e, "y", p)} for k, p in MODELS.items()}
-    return EV.project_summary(spark, n, len(e.columns), 0.0, results)
+    e.unpersist()
+    return EV.project_summary(spark, n, width, 0.0, results)
