@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ SELECT d.l_orderkey, d.l_linenumber, CAST(m.code AS DOUBLE) AS label,
        {", ".join(f"COALESCE(CAST(d.{c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM d)) AS {c}" for c in PM_COLS)}
 FROM d JOIN m ON COALESCE(d.o_orderstatus, 'nan') = m.v""")
 def q_prepare(spark, sf):
-    d = FR.dirty(spark, sf).select(*KEYS, "o_orderstatus", *PM_COLS)
+    d = FR.dirty(spark, sf).select(*KEYS, "o_orderstatus", *PM_COLS).persist(StorageLevel.MEMORY_AND_DISK)
     return PR.prepare_matrix(d, "o_orderstatus", keys=KEYS, assemble=False).df
 
 
