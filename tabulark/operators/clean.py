@@ -378,6 +378,7 @@ def clean_dataset(df: DataFrame, requirement: int = 1, outlier_method: str = "iq
     1 change count, 1 infinity check, 1 final profile.
     """
     report = {}
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df      # until its distinct rows are held
     first = P.profile(df)
     report.update(initial_records=first.rows, initial_features=len(df.columns),
                   initial_nulls=first.total_nulls, initial_duplicates=first.duplicates)
@@ -398,6 +399,8 @@ def clean_dataset(df: DataFrame, requirement: int = 1, outlier_method: str = "iq
         *[F.count_if(~F.col(c).cast("double").eqNullSafe(
             outlier_expr(c, out_params.bounds[c], outlier_method))).alias(f"c{i}")
           for i, c in enumerate(treat) if c in out_params.bounds]).first()
+    if persist:
+        source.unpersist()
     dedup_rows = counts_row["__rows"]
     changes = sum(counts_row[f"c{i}"] for i, c in enumerate(treat) if c in out_params.bounds)
     cur = apply_outliers(cur, out_params)
