@@ -19,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .trees import BLOCK_ROWS, HIST_BYTES, add_up, feature_array, open_block, pack_blocks, softmax
+from .trees import BLOCK_ROWS, add_up, feature_array, open_block, pack_blocks, softmax
 
 SEED = 42
+HIST_BYTES = 1 << 20                # sent to the driver by an epoch, whatever the number of tasks
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
 
@@ -99,7 +100,7 @@ def fit_network(train: DataFrame, num_classes: int, hidden: int = 100, max_epoch
     for epoch in range(max_epochs):
         sums = blocks.mapInArrow(_epoch(state, steps, epoch, d, hidden, num_classes, min(batch, n), rate, l2, seed), "i int, v binary")
         if parts * state.nbytes > HIST_BYTES:          # else the driver adds them up
-            sums = add_up(sums, "i", "v", parts)
+            sums = add_up(sums, "i", "v", parts, ordered=True)
         total = np.sum([np.frombuffer(bytes(r["v"]), np.float64) for r in sums.collect()], 0)
         steps, loss, state = total[1] / total[0], float(total[2] / total[0]), total[3:] / total[0]
         losses.append(loss)

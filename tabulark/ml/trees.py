@@ -328,11 +328,11 @@ def cut_points(df: DataFrame, features_col: str, d: int, bins: int) -> list[np.n
     return out
 
 
-def add_up(parts: DataFrame, key: str, value: str, n_parts: int) -> DataFrame:
-    """Sums of binary float64 arrays by key, ``FAN_IN`` partial sums a task."""
+def add_up(parts: DataFrame, key: str, value: str, n_parts: int, ordered: bool = False) -> DataFrame:
+    """Sums of binary float64 arrays by key, ``FAN_IN`` partial sums a task; ``ordered`` adds them in an order of their own."""
     def total(t: pa.Table) -> pa.Table:
         out = None
-        for v in t.column(value):
+        for v in sorted(t.column(value), key=lambda v: v.as_buffer().to_pybytes()) if ordered else t.column(value):
             a = np.frombuffer(v.as_buffer(), np.float64)
             out = a.copy() if out is None else out + a
         return pa.table({key: t.column(key).slice(0, 1), value: pa.array([out.tobytes()], pa.binary())})

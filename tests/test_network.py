@@ -55,3 +55,12 @@ def test_stops_early_and_adds_up_in_tasks(spark, monkeypatch):
     assert np.allclose(M.fit_mlp(train, 2, max_iter=300, patience=3, tol=1e-3).extra["weights"], one["weights"])
     with pytest.raises(ValueError):
         NN.fit_network(train.limit(0), 2)
+
+
+def test_an_epoch_of_many_tasks_sends_one_sum(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    train = frame(spark, rng.normal(size=(400, 2)), rng.integers(0, 2, 400)).repartition(40, "id")
+    sent, old = [], NN.add_up
+    monkeypatch.setattr(NN, "add_up", lambda *a, **k: sent.append(old(*a, **k)) or sent[-1])
+    NN.fit_network(train, 2, hidden=800, max_epochs=2)
+    assert len(sent) == 2 and sent[0].count() == 1
