@@ -243,3 +243,13 @@ def test_values_and_odd_rows(spark):
     assert one.subtrees is None
     with pytest.raises(ValueError):
         fit_forest(df.limit(0), None, 2)
+
+
+def test_blocks_of_one_partition_are_work_for_all_cores(spark):
+    n = 3 * TR.BLOCK_ROWS + 5
+    one = spark.range(n).select(F.array(F.col("id").cast("double")).alias("features"), (F.col("id") % 2).cast("double").alias("label")).coalesce(1)
+    blocks, d, rows = TR.pack_blocks(one)
+    assert (d, rows) == (1, n)
+    numbers = sorted(r.no for r in blocks.select("no").collect())
+    assert len(numbers) > 1 and numbers == list(range(len(numbers)))
+    assert blocks.rdd.getNumPartitions() == min(len(numbers), spark.sparkContext.defaultParallelism)
