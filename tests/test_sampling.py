@@ -52,3 +52,16 @@ def test_hash_is_sql_portable(spark):
         d = duckdb.connect().execute(f"SELECT {hash_sql(['k'], 42)} AS h FROM (SELECT CAST({k} AS BIGINT) AS k)").fetchone()[0]
         s = spark.sql(f"SELECT {hash_sql(['k'], 42)} AS h FROM (SELECT CAST({k} AS BIGINT) AS k)").first()[0]
         assert d == s and 0 <= s < 2147483647
+
+
+def test_random_sample_holds_and_compares_little(spark, monkeypatch):
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    held, persist = [], type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, *level: (held.append(self.count()), persist(self, *level))[1])
+    out = S.random_sample(df, 50, ["k"])
+    first = df.orderBy(S.row_hash(["k"]), "k").limit(50)
+    assert {r.k for r in out.collect()} == {r.k for r in first.collect()}
+    assert held and max(held) < 200                    # rows up to the slice of row 50
+    # the hash is written out in the filter at most twice (each ends with this factor)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("69621") <= 2
+    assert S.random_sample(df, 20000, ["k"]).count() == 20000 and S.random_sample(df.where("k < 0"), 5, ["k"]).count() == 0
