@@ -79,8 +79,10 @@ def minimise(size: int, max_iter: int, tol: float) -> Generator[np.ndarray, tupl
                     by = shrink
                 else:
                     break
-                if tries >= SEARCHES or not 1e-10 <= alpha * by <= 1e10:
+                if not 1e-10 <= alpha * by <= 1e10:
                     raise _NoStep
+                if tries + 1 >= SEARCHES:                  # the last one tried is taken, as in Spark's search
+                    break
                 alpha, tries = alpha * by, tries + 1
         except _NoStep:
             if failed:

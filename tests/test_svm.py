@@ -42,3 +42,13 @@ def test_jobs_are_those_of_the_slowest_machine(spark):
     rows = M.predict(f, df).where("label is not null").collect()
     assert all(len(r["probability"]) == 3 and abs(sum(r["probability"]) - 1) < 1e-9 for r in rows)
     assert np.mean([r["prediction"] == r["label"] for r in rows]) > 0.6
+
+
+def test_a_search_without_an_end_takes_its_last_step():
+    moving = SV.minimise(1, 1, 1e-6)                   # |x - 0.3| has no slope that the search would stop at
+    x = next(moving)
+    try:
+        while True:
+            x = moving.send((abs(x[0] - 0.3), np.where(x < 0.3, -1.0, 1.0)))
+    except StopIteration as end:
+        assert 0 < end.value[0] < 0.6
