@@ -71,14 +71,14 @@ def words8(data: np.ndarray, big: bool = False) -> np.ndarray:
                       data.flags.c_contiguous else data, 0, (1,))
 
 
-def pack(arrays: list[np.ndarray]) -> bytes:
+def pack(arrays: list[np.ndarray], level: int = _LEVEL) -> bytes:
     """Arrays (at most 8 byte items) as one compressed blob."""
     head = [np.array([len(arrays)], "<i8")]
     for a in arrays:
         head.append(np.frombuffer(np.dtype(a.dtype).str.ljust(8).encode(), "<i8"))
         head.append(np.array([a.nbytes], "<i8"))
     body = b"".join(np.ascontiguousarray(x).tobytes() for x in [np.concatenate(head), *arrays])
-    return zstandard.ZstdCompressor(level=_LEVEL).compress(body)
+    return zstandard.ZstdCompressor(level=level).compress(body)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:

@@ -50,12 +50,14 @@ NULL_ID = (1 << 63) - 1
 BLOCK_BYTES = 1 << 18        # text per minimizer pass (fits a core's cache)
 FLUSH_BYTES = 1 << 23        # text per map-side collapse
 BUCKET_BYTES = 1 << 22       # text whose contexts share a bucket
-WINDOWS_AT_ONCE = 1 << 20
+WINDOWS_AT_ONCE = 1 << 16    # suffixes sorted at once (in a core's cache)
+BATCH_BYTES = 1 << 20        # packed contexts sent at once
 HEAVY = 1 << 18              # different contexts of a minimizer that is dealt suffix by suffix
 HEAVY_AT_MOST = 100_000
 SAMPLE_BYTES = 1 << 28       # text sampled for heavy minimizers, if that finds SAMPLE_HITS of each
 SAMPLE_HITS = 50
 SURE_BYTES = 1 << 24         # texts this long are always in the sample
+LEVEL = 6                    # compression of packed contexts, most of what is shuffled
 CONTEXT_BYTES = 16           # text a context stands for, at least, in the size of a map-side collapse
 
 
@@ -200,22 +202,31 @@ def _flush(parts, length, n_buckets):
         step = np.diff(r, prepend=0)
         step[new] = r[new]
         yield b, pack([d[new], t[new], np.diff(np.append(new, len(i))).astype("<u4"), step.astype("<i4" if len(i) == 0 or abs(step).max() < 2 ** 31 else "<i8"),
-                       ln[i].astype("u1"), ao[i].astype("u1"), data[ragged(p[i], ln[i])], gd[g], gt[g], gs[g], ge[g]])
+                       ln[i].astype("u1"), ao[i].astype("u1"), data[ragged(p[i], ln[i])], gd[g], gt[g], gs[g], ge[g]], LEVEL)
 
 
 def _map_contexts(length: int, n_buckets: int, heavy: np.ndarray = np.zeros(0, U64)):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(out):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
+                names=["bucket", "blob"])
+
         def rows(parts):
-            out = list(_flush(parts, length, n_buckets))
+            out, size = [], 0
+            for b, blob in _flush(parts, length, n_buckets):
+                out.append((b, blob))
+                size += len(blob)
+                if size >= BATCH_BYTES:
+                    yield batch(out)
+                    out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
-                    names=["bucket", "blob"])
+                yield batch(out)
 
         parts, held = [], 0
         for block, data, off in text_blocks(batches, "text", BLOCK_BYTES):
-            ids = block.column("ord").to_numpy()
-            ths = block.column("th").to_numpy()
+            ids = block.column("ord").to_numpy().copy()           # a view would hold the batch and its texts
+            ths = block.column("th").to_numpy().copy()
             found = _apart(data, contexts(data, off, length), heavy, length)
             parts.append((ids, ths, data, off, found))
             held += max(len(data), CONTEXT_BYTES * len(found[0]))
@@ -265,7 +276,15 @@ def suffix_classes(flat: np.ndarray, pos: np.ndarray, group: np.ndarray, doc: np
     ``flat`` is zero-padded by ``PAD`` bytes."""
     big = _view(flat, ">u8")
     w0, w1 = big[pos].astype(U64), big[pos + 8].astype(U64)
-    order = np.lexsort((w1, w0, group))
+    # suffixes whose group and first bytes have a hash of their own, or of one document, tie with none
+    key = mix64((w0 + mix64(group.astype(U64))) * U64(0x9E3779B97F4A7C15) ^ mix64(w1))
+    order = np.argsort(key)
+    starts = bounds(key[order])
+    low, high = np.minimum.reduceat(doc[order], starts), np.maximum.reduceat(doc[order], starts)
+    order = order[np.repeat(low != high, np.diff(np.append(starts, len(order))))]
+    if len(order) == 0:
+        return order, order
+    order = order[np.lexsort((w1[order], w0[order], group[order]))]
     g, a, b = group[order], w0[order], w1[order]
     starts = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
     low, high = np.minimum.reduceat(doc[order], starts), np.maximum.reduceat(doc[order], starts)
@@ -321,14 +340,16 @@ def _sort_bucket(length: int):
             done.append(g)
             n = len(ln)
             ln64 = ln.astype(np.int64)
-            mat = np.zeros((n, width * 8), np.uint8)
-            mat[np.repeat(np.arange(n), ln64), ragged(np.zeros(n, np.int64), ln64)] = raw
             total = np.cumsum(step.astype(np.int64))
             new = np.cumsum(np.append([0], many[:-1].astype(np.int64))) if len(many) else np.zeros(0, np.int64)
             rel = total - np.repeat(total[new] - step[new], many)
-            cols.append((np.repeat(d, many), np.repeat(t, many), rel, ln64, ao.astype(np.int64), mat))
+            cols.append([np.repeat(d, many), np.repeat(t, many), rel, ln64, ao.astype(np.int64), raw])
         doc, th, rel, ln, ao = (np.concatenate([c[i] for c in cols]) for i in range(5))
-        flat = np.concatenate([*(c[5].ravel() for c in cols), np.zeros(PAD, np.uint8)])
+        flat, at = np.zeros(len(doc) * width * 8 + PAD, np.uint8), 0
+        for c in cols:                                # a context each ``width`` words, zero behind its end
+            end = at + len(c[3]) * width * 8
+            flat[at:end].reshape(-1, width * 8)[np.arange(width * 8) < c[3][:, None]] = c.pop()
+            at = end
         del cols
         found = [tuple(np.concatenate(x) for x in zip(*done))]
         if len(doc):
@@ -360,9 +381,13 @@ def _repeats(flat, width, doc, th, rel, ln, ao, length) -> list[tuple[np.ndarray
     run = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])))
     count = np.diff(np.append(run, len(order)))
     head = np.repeat(order[run], count)
-    same = ln[order] == ln[head]
+    same = np.ones(len(order), bool)
+    again = np.flatnonzero(order != head)             # all but a run's first are compared with it
+    x, y = order[again], head[again]
+    equal = ln[x] == ln[y]
     for j in range(width):
-        same &= w[base[order] + 8 * j] == w[base[head] + 8 * j]
+        equal &= w[base[x] + 8 * j] == w[base[y] + 8 * j]
+    same[again] = equal
     late = doc[order] > doc[head]
     gone = order[late & same]
     out = [(doc[gone], th[gone], rel[gone], rel[gone] + ln[gone])]
@@ -385,7 +410,7 @@ def _repeats(flat, width, doc, th, rel, ln, ao, length) -> list[tuple[np.ndarray
         while k < len(picked) and (total == 0 or total + windows[picked[k]] <= WINDOWS_AT_ONCE):
             total += windows[picked[k]]
             k += 1
-        members = np.concatenate([np.arange(gs[x], gs[x] + per[x]) for x in picked[i:k]])
+        members = ragged(gs[picked[i:k]], per[picked[i:k]])
         pieces = 1 if k - i > 1 or total <= WINDOWS_AT_ONCE else min(reach, -(-int(total) // WINDOWS_AT_ONCE))
         jobs += [(members, reach * q // pieces, reach * (q + 1) // pieces) for q in range(pieces)]
         i = k

@@ -135,3 +135,23 @@ def test_heavy_minimizer_is_spread(spark, monkeypatch):
     for b, blob in packed:
         size[b] = size.get(b, 0) + len(S.unpack(blob)[4])
     assert len(size) == 32 and max(size.values()) < 3 * sum(size.values()) / 32
+
+
+def test_tasks_hold_little_at_once():
+    """A block's suffixes are sorted in small parts and packed contexts leave a map task in small batches."""
+    import tracemalloc
+
+    import pandas as pd
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) for _ in range(300)]
+    phrases = [" ".join(rnd.choices(words, k=9)) for _ in range(2000)]
+    texts = [" ".join(rnd.choice(phrases) for _ in range(20)).encode() for _ in range(1500)]
+    table = pa.RecordBatch.from_arrays([pa.array(list(range(1500))), pa.array([0] * 1500), pa.array(texts)], names=["ord", "th", "text"])
+    out = list(S._map_contexts(50, 32)(iter([table])))
+    assert len(out) > 1 and max(b.nbytes for b in out) < 3 * S.BATCH_BYTES
+    blobs = [x for b in S._map_contexts(50, 1)(iter([table])) for x in b.column("blob").to_pylist()]
+    tracemalloc.start()
+    S._sort_bucket(50)(pd.DataFrame({"blob": blobs}))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(map(len, texts)), peak / sum(map(len, texts))
