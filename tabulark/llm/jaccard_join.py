@@ -24,7 +24,8 @@ cells; the differences bound the symmetric difference from below, so only certai
 misses go) and then verified exactly on its shingles. The groups of a family of near
 copies hold nearly the same sets, so a group goes by the least hash rank among its
 members: groups that agree on it are one, and a set is listed once for each, not once
-for every signature it shares. ``jaccard_links`` verifies all pairs in a group;
+for every signature it shares. Groups of a family that still differ are then joined, where
+that brings no more comparisons than a block or the groups themselves (``families``). ``jaccard_links`` verifies all pairs in a group;
 ``jaccard_components`` needs connections only. It tests every set
 once, against one of those with the same least group; then every set still apart from others of its group is tested against the few
 that its sketch holds for nearest, with more a round, until a round leaves no pair of
@@ -439,7 +440,22 @@ class _Join:
         large = met.filter("gid is not null")
         members = (large.groupBy("a1", "a2").agg(F.sum("times").alias("lost"), F.min("spare").alias("spare"), F.collect_set("gid").alias("gids"))
                    .filter("lost > spare").join(reps("a"), ["a1", "a2"]).select(F.explode("gids").alias("gid"), F.col("a").alias("node")))
-        return pairs, materialize(members)
+        return pairs, self.families(materialize(members))
+
+    def families(self, members: DataFrame) -> DataFrame:
+        """``members`` with the groups of a family of near copies as one, which lists a set once and not for each of
+        them: groups go by the least group that one of their sets is in, if the family fits in a block or
+        comparing it whole costs no more than comparing its groups."""
+        low = members.groupBy("node").agg(F.min("gid").alias("low"))
+        groups = members.join(low, "node").groupBy("gid").agg(F.min("low").alias("family"), F.count("*").cast("double").alias("k"))
+        groups = materialize(groups)
+        whole = members.join(groups, "gid").select("family", "node").distinct().groupBy("family").agg(F.count("*").cast("double").alias("all"))
+        alone = groups.groupBy("family").agg(F.sum(F.col("k") * F.col("k")).alias("alone"))
+        one = whole.join(alone, "family").filter((F.col("all") <= BLOCK_MEMBERS) | (F.col("all") * F.col("all") <= F.col("alone")))
+        # decided for each group first, as a large family's sets would all meet in one task
+        goes = groups.join(one.select("family", F.lit(True).alias("one")), "family", "left").select(
+            "gid", F.when(F.col("one"), F.col("family")).otherwise(F.col("gid")).alias("goes"))
+        return materialize(members.join(goes, "gid").select(F.col("goes").alias("gid"), "node").distinct())
 
     def few_against_all(self, members: DataFrame) -> DataFrame:
         """Every member once, with one of those whose least group is its own."""

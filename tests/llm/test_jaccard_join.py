@@ -112,6 +112,22 @@ def test_members_grow_with_the_family(spark):
     assert rate[2000] <= 1.25 * rate[500]
 
 
+def test_sets_of_a_family_are_listed_once(spark, monkeypatch):
+    rows = family(6, 500)
+    _, members = J._Join(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 5, 80).meet()
+    assert members.count() <= 1.1 * members.select("node").distinct().count()
+    # no pair of a group gets lost; groups that share few sets are not compared as one
+    monkeypatch.setattr(J, "BLOCK_MEMBERS", 8)
+    groups = {1: range(10), 2: range(1, 11), 3: range(1, 9), **{i: range(9 * i, 9 * i + 10) for i in range(4, 30)}}
+    listed = spark.createDataFrame([(g, x) for g, xs in groups.items() for x in xs], "gid long, node long")
+    join = J._Join(spark.createDataFrame(rows[:20], "doc_id long, text string"), "doc_id", "text", 5, 80)
+    got = {}
+    for r in join.families(listed).collect():
+        got.setdefault(r.gid, set()).add(r.node)
+    assert got[1] == set(range(11)) and 2 not in got and 3 not in got and max(map(len, got.values())) < 20
+    assert all(any(set(xs) <= own for own in got.values()) for xs in groups.values())
+
+
 @pytest.mark.parametrize("limit", [200_000, 0])
 def test_components_with_and_without_broadcast(spark, monkeypatch, limit):
     monkeypatch.setattr(C, "BROADCAST_LABELS", limit)
