@@ -43,6 +43,8 @@ SEED = 42
 BLOCK_ROWS = 16384
 ROW_BOUND = 50_000
 HIST_BYTES = 64 << 20               # of the histograms of one pass, per task
+DRIVER_BYTES = 4 << 20              # of partial sums that the driver adds up itself
+BATCH_BYTES = 4 << 20               # of sums that leave a task at once
 PORTION_BYTES = 32 << 20             # of subtrees that a prediction task holds, or that travel with a pass
 CHUNK_BYTES = 64 << 20              # of rows that a prediction task holds
 FAN_IN = 256                        # partial sums added up by one task
@@ -348,21 +350,56 @@ def cut_points(df: DataFrame, features_col: str, d: int, bins: int) -> list[np.n
     return out
 
 
-def add_up(parts: DataFrame, key: str, value: str, n_parts: int, ordered: bool = False) -> DataFrame:
-    """Sums of binary float64 arrays by key, ``FAN_IN`` partial sums a task; ``ordered`` adds them in an order of their own."""
-    def total(t: pa.Table) -> pa.Table:
+def add_up(parts: DataFrame, key: str, value: str, n_parts: int, ordered: bool = False, then: Callable | None = None) -> DataFrame:
+    """Sums of binary float64 arrays by key, ``FAN_IN`` partial sums a task; ``ordered`` adds them in an order of their own.
+    ``then(key, sum)`` makes the array that is kept of a sum."""
+    def summed(t: pa.Table) -> np.ndarray:
         out = None
         for v in sorted(t.column(value), key=lambda v: v.as_buffer().to_pybytes()) if ordered else t.column(value):
             a = np.frombuffer(v.as_buffer(), np.float64)
-            out = a.copy() if out is None else out + a
-        return pa.table({key: t.column(key).slice(0, 1), value: pa.array([out.tobytes()], pa.binary())})
+            if out is None:
+                out = a.copy()
+            else:
+                out += a
+        return out
+
+    def total(t: pa.Table) -> pa.Table:
+        return pa.table({key: t.column(key).slice(0, 1), value: pa.array([summed(t).tobytes()], pa.binary())})
+
+    def kept(t: pa.Table) -> pa.Table:
+        return pa.table({key: t.column(key).slice(0, 1), value: pa.array([then(t.column(key)[0].as_py(), summed(t)).tobytes()], pa.binary())})
     kind = parts.schema[key].dataType.simpleString()
     width = -(-n_parts // FAN_IN)
     while width > 1:
         parts = (parts.withColumn("_part", F.pmod(F.xxhash64(value), F.lit(width))).groupBy(key, "_part")
                  .applyInArrow(total, f"{key} {kind}, {value} binary"))
         width = -(-width // FAN_IN)
-    return parts.groupBy(key).applyInArrow(total, f"{key} {kind}, {value} binary")
+    return parts.groupBy(key).applyInArrow(kept if then else total, f"{key} {kind}, {value} binary")
+
+
+def sum_batches(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A task's sums (i, v), ``BATCH_BYTES`` at a time; they leave ``held``."""
+    while held:
+        ids, values, size = [], [], 0
+        while held and size < BATCH_BYTES:
+            i, v = held.popitem()
+            ids.append(i)
+            values.append(v.tobytes())
+            size += v.nbytes
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(values, pa.binary())], names=["i", "v"])
+
+
+def sums_of(parts: DataFrame, n_parts: int, many: int, size: int, then: Callable | None = None) -> list:
+    """The sum by number (of ``many``, ``size`` numbers each at most) of partial sums (i, v), or what ``then`` makes of it.
+    Beyond ``DRIVER_BYTES`` they are added up in tasks, and only what ``then`` keeps of them comes back."""
+    far = n_parts * many * size * 8 > DRIVER_BYTES
+    if far:
+        parts = add_up(parts, "i", "v", n_parts, then=then)
+    out: list = [None] * many
+    for r in parts.collect():
+        v = np.frombuffer(bytes(r["v"]), np.float64)
+        out[r["i"]] = v if out[r["i"]] is None else out[r["i"]] + v
+    return out if far or then is None else [None if v is None else then(i, v) for i, v in enumerate(out)]
 
 
 # ----------------------------------------------------------------------------
@@ -408,24 +445,17 @@ class Scan:
             yield from make(held, True)
         return run
 
-    def sums(self, trees: dict[int, Flat], wanted: list[tuple[int, int]], per_node: Callable, size: int) -> list[np.ndarray]:
-        """Each wanted node's sum of ``per_node(i, x, bins, s)``, an array of ``size`` numbers at most."""
+    def sums(self, trees: dict[int, Flat], wanted: list[tuple[int, int]], per_node: Callable, size: int, then: Callable | None = None) -> list:
+        """Each wanted node's sum of ``per_node(i, x, bins, s)``, an array of ``size`` numbers at most, or what ``then(i, sum)`` makes of it."""
         def one(i, x, bins, s, so_far):
             v = per_node(i, x, bins, s)
             return v if so_far is None else so_far + v
 
         def make(held, end):
-            if end and held:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())],
-                                                 names=["i", "v"])
+            if end:
+                yield from sum_batches(held)
         parts = self.blocks.mapInArrow(self.by_node(trees, wanted, one, make), "i int, v binary")
-        if self.parts * len(wanted) * size * 8 > HIST_BYTES:       # else the driver adds them up
-            parts = add_up(parts, "i", "v", self.parts)
-        out: list = [None] * len(wanted)
-        for r in parts.collect():
-            v = np.frombuffer(bytes(r["v"]), np.float64)
-            out[r["i"]] = v if out[r["i"]] is None else out[r["i"]] + v
-        return out
+        return sums_of(parts, self.parts, len(wanted), size, then)
 
     def ranges(self, trees: dict[int, Flat], wanted: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest value of every feature in each wanted node."""
@@ -446,10 +476,12 @@ class Scan:
 
 
 def split_level(scan: Scan, trees: dict[int, Tree], wanted: list[tuple[int, int]], rule: Rule) -> list[tuple[int, int]]:
-    """Split the wanted (tree, node) pairs by one pass (two for random cuts); returns those without a split."""
+    """Split the wanted (tree, node) pairs by one pass (two for random cuts); returns those without a split.
+    The cut is chosen where a node's sums are added up."""
     flats = {t: trees[t].flat() for t in {t for t, _ in wanted}}
     keys = [np.array([trees[t].key[n]], np.int64) for t, n in wanted]
     m, d = len(trees[wanted[0][0]].stats[0]), scan.d
+    whole = [trees[t].stats[n] for t, n in wanted]
     if rule.random_cuts:
         low, high = scan.ranges(flats, wanted)
         drawn = np.concatenate([drawn_features(rule, t, key, (high > low)[i:i + 1]) for i, ((t, _), key) in enumerate(zip(wanted, keys))])
@@ -457,11 +489,20 @@ def split_level(scan: Scan, trees: dict[int, Tree], wanted: list[tuple[int, int]
 
         def left_sums(i, x, bins, s):
             return ((x <= cuts[i]).T.astype(np.float64) @ s).ravel()
-        found = scan.sums(flats, wanted, left_sums, d * m)
+
+        def best(i, v):
+            left = v.reshape(d, m)
+            right = whole[i] - left
+            ok = drawn[i] & (rule.weight(left) >= rule.min_leaf) & (rule.weight(right) >= rule.min_leaf)
+            score = np.where(ok, rule.quality(left) + rule.quality(right), -np.inf)
+            f = int(score.argmax())
+            return np.concatenate([[f, cuts[i, f]], left[f], right[f]]) if np.isfinite(score[f]) else np.zeros(0)
+        found = scan.sums(flats, wanted, left_sums, d * m, best)
     else:
-        usable = np.array([[len(e) > 0 for e in scan.edges]])
+        edges = scan.edges
+        usable = np.array([[len(e) > 0 for e in edges]])
         drawn = np.concatenate([drawn_features(rule, t, key, usable) for (t, _), key in zip(wanted, keys)])
-        width = max(len(e) for e in scan.edges) + 1
+        width = max(len(e) for e in edges) + 1
 
         def histogram(i, x, bins, s):
             out = np.zeros((d, width, m))
@@ -469,23 +510,16 @@ def split_level(scan: Scan, trees: dict[int, Tree], wanted: list[tuple[int, int]
                 for j in range(m):
                     out[f, :, j] = np.bincount(bins[:, f], s[:, j], width)
             return out.ravel()
-        found = scan.sums(flats, wanted, histogram, d * width * m)
+
+        def best(i, v):
+            return _best_cut(whole[i], v.reshape(d, -1, m), rule, edges, drawn[i])
+        found = scan.sums(flats, wanted, histogram, d * width * m, best)
     stuck = []
-    for i, (t, node) in enumerate(wanted):
-        if found[i] is None:
-            stuck.append((t, node))
-        elif rule.random_cuts:
-            left = found[i].reshape(d, m)
-            right = trees[t].stats[node] - left
-            ok = drawn[i] & (rule.weight(left) >= rule.min_leaf) & (rule.weight(right) >= rule.min_leaf)
-            score = np.where(ok, rule.quality(left) + rule.quality(right), -np.inf)
-            f = int(score.argmax())
-            if np.isfinite(score[f]):
-                trees[t].split(node, f, cuts[i, f], left[f], right[f])
-            else:
-                stuck.append((t, node))
-        elif not _take_best(trees[t], node, found[i].reshape(d, -1, m), rule, scan.edges, drawn[i]):
+    for (t, node), v in zip(wanted, found):
+        if v is None or not len(v):
             stuck.append((t, node))
+        else:
+            trees[t].split(node, v[0], v[1], v[2:2 + m], v[2 + m:])
     return stuck
 
 
@@ -895,19 +929,21 @@ def fit_boosted(train: DataFrame, num_classes: int, rounds: int = 100, max_depth
         level = [[0] for _ in range(k)]
         while any(level):
             flats = [_by_bin(t.flat(), edges) for t in trees]
-            sums = (_level_sums(binned, parts, recent, rate, flats, level, d, width) if one is None
-                    else _block_sums(*one, recent, rate, flats, _places(flats, level), level, d, width))
+            wanted = [(c, node) for c, nodes in enumerate(level) for node in nodes]
+            cut_of = _cut_of([None if node == 0 else trees[c].stats[node] for c, node in wanted], d, width, rule, edges)
+            if one is None:
+                found = _level_sums(binned, parts, recent, rate, flats, level, d, width, cut_of)
+            else:
+                found = [cut_of(i, v) for i, v in enumerate(_block_sums(*one, recent, rate, flats, _places(flats, level), level, d, width))]
             if level == [[0]] * k:
-                model.losses.append(float(sums[-1]) / n)
-            at, nxt = 0, [[] for _ in range(k)]
-            for c, (tree, nodes) in enumerate(zip(trees, level)):
-                for node in nodes:
-                    hist = sums[at:at + d * width * 3].reshape(3, d, width).transpose(1, 2, 0)
-                    at += d * width * 3
-                    if node == 0:
-                        tree.stats[0] = hist[0].sum(0)
-                    if rule.splittable(tree.stats[node][None], tree.depth[node])[0] and _take_best(tree, node, hist, rule, edges):
-                        nxt[c] += [i for i in (tree.left[node], tree.right[node]) if rule.splittable(tree.stats[i][None], tree.depth[i])[0]]
+                model.losses.append(float(found[-1][0]) / n)
+            nxt: list[list[int]] = [[] for _ in range(k)]
+            for (c, node), v in zip(wanted, found):
+                tree = trees[c]
+                if node == 0:
+                    tree.stats[0] = v[:3]
+                if len(v) > 3 and rule.splittable(tree.stats[node][None], tree.depth[node])[0]:
+                    nxt[c] += [i for i in tree.split(node, v[3], v[4], v[5:8], v[8:]) if rule.splittable(tree.stats[i][None], tree.depth[i])[0]]
             level = nxt
         done = []
         for tree in trees:
@@ -1018,8 +1054,8 @@ def _places(flats: list, level: list[list[int]]) -> list[np.ndarray]:
     return places
 
 
-def _block_sums(y, b, f, w, recent: list, rate: float, flats: list, places: list, level: list[list[int]], d: int, width: int) -> np.ndarray:
-    """Sums of residual, curvature and count by (class, node, statistic, feature, bin), and the log-loss, of a block."""
+def _block_sums(y, b, f, w, recent: list, rate: float, flats: list, places: list, level: list[list[int]], d: int, width: int) -> list[np.ndarray]:
+    """Sums of residual, curvature and count by (statistic, feature, bin) for each node of each class, and the log-loss, of a block."""
     p = softmax(_scored(f, b, recent, rate))
     found = []
     for c, (tree, place, nodes) in enumerate(zip(flats, places, level)):
@@ -1035,43 +1071,49 @@ def _block_sums(y, b, f, w, recent: list, rate: float, flats: list, places: list
             cell = at + b[g][keep]
             for j, v in enumerate((r, h, mass)):
                 out[:, j, g] = np.bincount(cell, v, len(nodes) * width).reshape(len(nodes), width)
-        found.append(out.ravel())
-    found.append([-(w * np.log(np.maximum(p[np.arange(len(y)), y], 1e-300))).sum()])
-    return np.concatenate(found)
+        found += list(out.reshape(len(nodes), -1))
+    return [*found, np.array([-(w * np.log(np.maximum(p[np.arange(len(y)), y], 1e-300))).sum()])]
+
 
+def _cut_of(whole: list, d: int, width: int, rule: Rule, edges: list[np.ndarray]) -> Callable:
+    """What is kept of a node's sums: its statistics, then its best cut if there is one. The last sum is the log-loss."""
+    def kept(i, v):
+        if i == len(whole):
+            return v
+        hist = v.reshape(3, d, width).transpose(1, 2, 0)
+        stats = hist[0].sum(0) if whole[i] is None else whole[i]
+        return np.concatenate([stats, _best_cut(stats, hist, rule, edges)])
+    return kept
 
-def _level_sums(binned: DataFrame, parts: int, recent: list, rate: float, flats: list, level: list[list[int]], d: int, width: int) -> np.ndarray:
-    """``_block_sums`` of all blocks."""
-    places = _places(flats, level)
+
+def _level_sums(binned: DataFrame, parts: int, recent: list, rate: float, flats: list, level: list[list[int]], d: int, width: int,
+                then: Callable) -> list[np.ndarray]:
+    """``then`` of the ``_block_sums`` of all blocks."""
+    places, many = _places(flats, level), sum(map(len, level)) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                v = _block_sums(*_open_binned(batch, i, d), recent, rate, flats, places, level, d, width)
-                total = v if total is None else total + v
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["i", "v"])
-    sums = binned.mapInArrow(run, "i int, v binary")
-    size = 8 * d * width * 3 * sum(map(len, level))
-    if parts * size > HIST_BYTES:                      # else the driver adds them up
-        sums = add_up(sums, "i", "v", parts)
-    return np.sum([np.frombuffer(bytes(r["v"]), np.float64) for r in sums.collect()], 0)
-
-
-def _take_best(tree: Tree, node: int, hist: np.ndarray, rule: Rule, edges: list[np.ndarray], drawn: np.ndarray | None = None) -> bool:
+                for j, v in enumerate(_block_sums(*_open_binned(batch, i, d), recent, rate, flats, places, level, d, width)):
+                    held[j] = held[j] + v if j in held else v
+        yield from sum_batches(held)
+    return sums_of(binned.mapInArrow(run, "i int, v binary"), parts, many, d * width * 3, then)
+
+
+def _best_cut(whole: np.ndarray, hist: np.ndarray, rule: Rule, edges: list[np.ndarray], drawn: np.ndarray | None = None) -> np.ndarray:
+    """(feature, cut, statistics of both sides) of the best split of a node by its sums (feature, bin, statistic); empty: none."""
     left = np.cumsum(hist, 1)[:, :-1]
-    right = tree.stats[node] - left
+    right = whole - left
     inside = np.arange(left.shape[1])[None, :] < np.array([len(e) for e in edges])[:, None]
     if drawn is not None:
         inside &= drawn[:, None]
     ok = inside & (rule.weight(left) >= rule.min_leaf) & (rule.weight(right) >= rule.min_leaf)
     score = np.where(ok, rule.quality(left) + rule.quality(right), -np.inf)
     if not score.size or not np.isfinite(score.max()):
-        return False
+        return np.zeros(0)
     f, b = np.unravel_index(int(score.argmax()), score.shape)
-    tree.split(node, f, edges[f][b], left[f, b], right[f, b])
-    return True
+    return np.concatenate([[f, edges[f][b]], left[f, b], right[f, b]])
 
 
 def predict_boosted(model: Boosted, df: DataFrame, features_col: str = "features", out: str = "_shares") -> DataFrame:

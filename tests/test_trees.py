@@ -253,3 +253,45 @@ def test_blocks_of_one_partition_are_work_for_all_cores(spark):
     numbers = sorted(r.no for r in blocks.select("no").collect())
     assert len(numbers) > 1 and numbers == list(range(len(numbers)))
     assert blocks.rdd.getNumPartitions() == min(len(numbers), spark.sparkContext.defaultParallelism)
+
+
+def largest_sent(monkeypatch, frames):
+    """The largest binary value that a collect of rows (i, v) brings to the driver."""
+    sent = [0]
+    old = frames.collect
+
+    def collect(self):
+        rows = old(self)
+        sent.extend(len(r["v"]) for r in rows if set(self.columns) == {"i", "v"})
+        return rows
+    monkeypatch.setattr(frames, "collect", collect)
+    return sent
+
+
+@pytest.mark.parametrize("random_cuts", [False, True])
+def test_cuts_are_chosen_in_tasks(spark, monkeypatch, random_cuts):
+    x, y = rings(500)
+    train = frame(spark, x, y).persist()
+    near = fit_forest(train, 4, 3, row_bound=60, random_cuts=random_cuts)          # the driver adds the sums up
+    monkeypatch.setattr(TR, "DRIVER_BYTES", 0, raising=False)
+    sent = largest_sent(monkeypatch, type(train))
+    far = fit_forest(train, 4, 3, row_bound=60, random_cuts=random_cuts)
+    assert 0 < max(sent) <= 8 * (2 + 2 * 4)                                        # feature, cut and both sides of a node
+    for t in range(3):
+        a, b = near.tops[t].flat(), far.tops[t].flat()
+        assert len(a.feature) > 3 and all(np.array_equal(getattr(a, c), getattr(b, c)) for c in ("feature", "threshold", "left", "right", "stats"))
+    train.unpersist()
+
+
+def test_boosting_cuts_are_chosen_in_tasks(spark, monkeypatch):
+    x, y = rings(400)
+    train = frame(spark, x, y)
+    near = fit_boosted(train, 4, 3, max_depth=3)
+    monkeypatch.setattr(TR, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(TR, "CELLS", 0)
+    monkeypatch.setattr(TR, "DRIVER_BYTES", 0, raising=False)
+    monkeypatch.setattr(TR, "HIST_BYTES", 0)
+    sent = largest_sent(monkeypatch, type(train))
+    far = fit_boosted(train, 4, 3, max_depth=3)
+    assert 0 < max(sent) <= 8 * (3 + 2 + 2 * 3)
+    assert np.allclose(near.losses, far.losses) and np.allclose(near.scores(x), far.scores(x))
