@@ -1,5 +1,6 @@
 """Search over whole chains; metrics of many classes."""
 import numpy as np
+import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -54,3 +55,23 @@ def test_sums_equal_the_matrix(spark):
     for i, c in enumerate(cm.classes):
         assert cm.support(i) == sum(y == c for y, _ in rows) and cm.predicted(i) == sum(p == c for _, p in rows)
         assert cm.tp(i) == sum(y == p == c for y, p in rows)
+
+
+def test_settings_run_side_by_side_and_small_boosting_in_a_task(spark, monkeypatch):
+    import threading
+
+    from tabulark.ml import trees as TR
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(240, 2))
+    df = spark.createDataFrame([(i, [float(v) for v in r], float(r[0] > 0)) for i, r in enumerate(x)], "id long, v array<double>, label double")
+    df = df.select("id", array_to_vector("v").alias("features"), "label")
+    threads, driver = set(), []
+    fit, sums = M.fit_params, TR._block_sums
+    monkeypatch.setattr(M, "fit_params", lambda *a, **k: threads.add(threading.get_ident()) or fit(*a, **k))
+    monkeypatch.setattr(TR, "_block_sums", lambda *a: driver.append(1) or sums(*a))
+    res = M.search_chain("GradientBoosting", df, ["id"], 2, 2, {"max_iter": [1, 2, 8], "max_depth": [1, 2]}, folds=2, oversample=False)
+    assert [(s["fold"], s["setting"]) for s in res["scores"]] == [(f, i) for f in (0, 1) for i in range(6)]
+    assert len(threads) > 2 and not driver                                # the refit's thread and those of the settings
+    assert max(res["mean"]) > 0.9
+    with pytest.raises(ValueError):                                       # a failed setting ends the search
+        M.search_chain("GaussianNB", df, ["id"], 2, 2, {"smoothing": [1, 2]}, folds=2, oversample=False)
